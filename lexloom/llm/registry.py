@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chat import conversation_nodes, digests, format_trees
+from .html_text import extract
 from .packing import pack
-from .runtime import table
+from .runtime import stored, table
 from .token_counts import token_counts
+from .warc import round_trip
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -24,8 +28,26 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE, capacity=1024)
 
 
+def op3_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back from the archives."""
+    return round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+def op5_chat_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one of control strings, formatted and read back."""
+    control = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select(*(F.col(c).cast(t).alias(c) for c, t in added.dtypes)).unionByName(added)
+    return digests(stored(format_trees(stored(conversation_nodes(rows), "replies")), "chats"))
+
+
+def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op5_chat_reply_trees, op10_html_main_text)}
 
 
 def oracle_sql() -> dict[str, str]:
