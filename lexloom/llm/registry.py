@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid, quality
 from .chat import conversation_nodes, digests, format_trees
 from .html_text import extract
 from .packing import pack
@@ -41,13 +42,28 @@ def op5_chat_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(stored(format_trees(stored(conversation_nodes(rows), "replies")), "chats"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored, name = quality.with_quality(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", f"{name}.*")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs, langid.held_out())
+    scored, name = langid.with_language(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", langid.held_out().alias("held_out"), f"{name}.*")
+
+
 def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return extract(table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op5_chat_reply_trees, op10_html_main_text)}
+    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op5_chat_reply_trees, op8_quality_rules, op9_language_id, op10_html_main_text)}
 
 
 def oracle_sql() -> dict[str, str]:

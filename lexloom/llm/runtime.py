@@ -8,8 +8,10 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word of every contract: a run of anything but the ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -69,3 +71,31 @@ def slices(lengths: list[int], limit: int) -> Iterator[tuple[int, int]]:
         total += n
     if start < len(lengths):
         yield start, len(lengths)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it if the table has such a column."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = "_" + name
+    return name
+
+
+def annotated(df: DataFrame, column: str, fn, name: str, kind: T.DataType) -> DataFrame:
+    """``df`` with one more column: ``fn`` of each whole value of ``column``.
+
+    ``fn`` maps a list of texts (null: empty) to an Arrow array of ``kind``.
+    All other columns pass as they are; one narrow pass.
+    """
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, fn(texts)], [*batch.schema.names, name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
+
+
+def by_crc(key: str, modulus: int) -> Column:
+    """crc32 of the key's decimal text, modulo ``modulus``."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % modulus
