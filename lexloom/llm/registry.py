@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality
+from . import langid, near_dup, quality
 from .chat import conversation_nodes, digests, format_trees
 from .html_text import extract
 from .packing import pack
@@ -42,6 +42,11 @@ def op5_chat_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(stored(format_trees(stored(conversation_nodes(rows), "replies")), "chats"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return near_dup.classes(table(spark, sf_dir, "documents"), width=5, percent=80)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,7 +68,7 @@ def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op5_chat_reply_trees, op8_quality_rules, op9_language_id, op10_html_main_text)}
+    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op5_chat_reply_trees, op6_ngram_jaccard_join, op8_quality_rules, op9_language_id, op10_html_main_text)}
 
 
 def oracle_sql() -> dict[str, str]:
