@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -78,29 +79,34 @@ def paths(nodes: DataFrame, best: int = 1) -> DataFrame:
     nodes: tree, node, parent (null, or a node that isn't there: a root) and
     score.  Each round joins the jump table with itself and doubles its reach,
     until no node has further to go; a path's score is the sum of its nodes'
-    scores, ties go to the smallest leaf.  Nodes on a cycle reach no root and
+    scores, ties go to the smallest leaf.  Nodes whose way is known take no part
+    in later rounds.  Nodes on a cycle reach no root and
     are on no path.  Every join has (tree, node) as its key, so one large tree
     is still dealt evenly.
     """
     own = nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     there = own.select("tree", F.col("node").alias("parent"), F.lit(True).alias("found"))
-    start = own.join(there, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("found"), F.col("parent")).alias("up"), "score", F.lit(1).cast("long").alias("n"))
+    start = own.join(there.hint("merge"), ["tree", "parent"], "left").select("tree", "node", F.when(F.col("found"), F.col("parent")).alias("up"), "score", F.lit(1).cast("long").alias("n"))
     levels = [stored(start, "reply-jumps")]
+    ended = [levels[0].where(F.col("up").isNull())]
     rounds = max(1, levels[0].count()).bit_length() + 1
     while len(levels) <= rounds and not levels[-1].where(F.col("up").isNotNull()).isEmpty():
-        low = levels[-1]
-        high = low.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"), F.col("n").alias("n2"))
-        joined = low.join(high, ["tree", "up"], "left")
-        levels.append(stored(joined.select("tree", "node", F.col("up2").alias("up"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"), (F.col("n") + F.coalesce("n2", F.lit(0))).alias("n")), "reply-jumps"))
-    whole = levels[-1].where(F.col("up").isNull())
+        low = levels[-1].where(F.col("up").isNotNull())
+        known = reduce(DataFrame.unionByName, ended, low)
+        high = known.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"), F.col("n").alias("n2"))
+        joined = low.join(high.hint("merge"), ["tree", "up"])
+        levels.append(stored(joined.select("tree", "node", F.col("up2").alias("up"), (F.col("score") + F.col("score2")).alias("score"), (F.col("n") + F.col("n2")).alias("n")), "reply-jumps"))
+        ended.append(levels[-1].where(F.col("up").isNull()))
+    whole = reduce(DataFrame.unionByName, ended)
     parents = levels[0].where(F.col("up").isNotNull()).select("tree", F.col("up").alias("node")).distinct()
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.col("score").desc(), "node"))
-    leaves = whole.join(parents, ["tree", "node"], "left_anti").withColumn("rank", rank).where(F.col("rank") <= best)
+    leaves = whole.join(parents.hint("merge"), ["tree", "node"], "left_anti").withColumn("rank", rank).where(F.col("rank") <= best)
     chosen = leaves.select("tree", F.col("node").alias("leaf"), "node", F.col("n").alias("depth"))
     for k in range(len(levels) - 2, -1, -1):
-        jump = levels[k].where(F.col("up").isNotNull()).select("tree", "node", "up")
-        above = chosen.join(jump, ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("depth") - F.lit(1 << k)).alias("depth"))
-        chosen = chosen.unionByName(above)
+        jump = levels[k].where(F.col("up").isNotNull()).select("tree", "node", "up").hint("merge")
+        own, above = F.struct("node", "depth"), F.struct(F.col("up").alias("node"), (F.col("depth") - F.lit(1 << k)).alias("depth"))
+        both = F.when(F.col("up").isNull(), F.array(own)).otherwise(F.array(own, above))
+        chosen = chosen.join(jump, ["tree", "node"], "left").select("tree", "leaf", F.inline(both))
     return chosen
 
 
@@ -111,7 +117,7 @@ def format_trees(nodes: DataFrame, best: int = 1, learn: str = "assistant") -> D
     loss: the spans of ``formatted`` that are learnt.  Null texts and roles
     are empty.  A conversation's turns meet in one row, which is its result.
     """
-    turns = paths(nodes, best).join(nodes.select("tree", "node", "role", "text"), ["tree", "node"])
+    turns = nodes.select("tree", "node", "role", "text").join(paths(nodes, best).hint("merge"), ["tree", "node"])
     turn = F.struct("depth", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = turns.groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 
