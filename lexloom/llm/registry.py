@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, near_dup, quality
+from . import langid, language_model, near_dup, quality
 from .chat import conversation_nodes, digests, format_trees
 from .html_text import extract
 from .packing import pack
@@ -47,6 +47,12 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents"), width=5, percent=80)
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document."""
+    scored = language_model.scores(table(spark, sf_dir, "documents"), language_model.learnt())
+    return scored.withColumn("held_out", ~F.col("learnt")).drop("learnt")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,7 +74,7 @@ def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op5_chat_reply_trees, op6_ngram_jaccard_join, op8_quality_rules, op9_language_id, op10_html_main_text)}
+    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op5_chat_reply_trees, op6_ngram_jaccard_join, op7_lm_scoring, op8_quality_rules, op9_language_id, op10_html_main_text)}
 
 
 def oracle_sql() -> dict[str, str]:

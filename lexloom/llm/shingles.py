@@ -30,8 +30,15 @@ def _ladder(size: int) -> list[np.ndarray]:
 _byte_value = mix(np.arange(1, 257, dtype=np.uint64) * _RADIX)
 
 
-def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of the texts, in order, and the number of words of each.
+def span_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each span of ``raw`` bytes; equal bytes have equal hashes."""
+    power, inverse = _ladder(len(raw) + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_byte_value[raw] * power[: len(raw)])])
+    return mix((total[end] - total[begin]) * inverse[begin] + (end - begin).astype(np.uint64) * _MIX[0])
+
+
+def word_spans(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of the texts, begin and end of every word in them, words of each text.
 
     A word is a run of anything but ASCII white space; A-Z are lower-cased.
     """
@@ -42,12 +49,14 @@ def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.nd
     solid = ~((raw == 0x20) | ((raw >= 9) & (raw <= 13)))
     edge = np.diff(solid.astype(np.int8), prepend=0)
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    power, inverse = _ladder(len(raw) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_byte_value[raw] * power[: len(raw)])])
-    hashes = mix((total[end] - total[begin]) * inverse[begin] + (end - begin).astype(np.uint64) * _MIX[0])
     close = np.cumsum([len(d) + 1 for d in data]) if data else np.zeros(0, np.int64)
-    upto = np.searchsorted(begin, close)
-    return hashes, np.diff(upto, prepend=0)
+    return raw, begin, end, np.diff(np.searchsorted(begin, close), prepend=0)
+
+
+def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of the texts, in order, and the number of words of each."""
+    raw, begin, end, counts = word_spans(texts, lower)
+    return span_hashes(raw, begin, end), counts
 
 
 def shingle_hashes(texts: list[str], width: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -79,10 +88,16 @@ def shingle_hashes(texts: list[str], width: int = 5) -> tuple[np.ndarray, np.nda
     return mix(joined), place
 
 
+def narrow(place: np.ndarray, size: int) -> np.ndarray:
+    """Small numbers in a type that sorts in linear time, where they fit."""
+    return place.astype(np.uint16) if size < 1 << 16 else place
+
+
 def shingle_sets(texts: list[str], width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """The texts' sets of shingles: sorted hashes text by text, and set sizes."""
     hashes, place = shingle_hashes(texts, width)
-    order = np.lexsort((hashes, place))
+    order = np.argsort(hashes)
+    order = order[np.argsort(narrow(place, len(texts))[order], kind="stable")]
     hashes, place = hashes[order], place[order]
     if len(hashes):
         new = np.ones(len(hashes), bool)
