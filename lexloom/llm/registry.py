@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, language_model, near_dup, quality
+from . import decontaminate, langid, language_model, near_dup, quality
 from .chat import conversation_nodes, digests, format_trees
 from .html_text import extract
 from .packing import pack
@@ -34,6 +34,11 @@ def op3_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that contains a benchmark item, with the item."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_chat_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one of control strings, formatted and read back."""
     control = "</s>[INST] ok [/INST]"
@@ -74,7 +79,7 @@ def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op5_chat_reply_trees, op6_ngram_jaccard_join, op7_lm_scoring, op8_quality_rules, op9_language_id, op10_html_main_text)}
+    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op4_benchmark_decontamination, op5_chat_reply_trees, op6_ngram_jaccard_join, op7_lm_scoring, op8_quality_rules, op9_language_id, op10_html_main_text)}
 
 
 def oracle_sql() -> dict[str, str]:
