@@ -4,196 +4,178 @@ Two documents link when their sets of word shingles have a Jaccard similarity
 of at least ``percent`` hundredths.  In any one order of all shingles, linked
 sets share a member among the first n - ceil(percent n / 100) + 1 of each, so
 
-1. all shingles are counted, and the order puts frequent ones last;
+1. all shingles are counted, and the order puts frequent ones last; those that
+   one document alone holds can be shared with nothing and are let go of;
 2. documents of one size and prefix are one group, equal sets one variant;
 3. groups that share a prefix shingle form a list; lists are expanded to the
    variants of their groups, and pairs of them that no chain of links joins
-   yet are verified on their whole sets;
+   yet are verified on all that they can share;
 4. components of the verified links give the classes.
+
+Counts never meet on one machine: documents are dealt into blocks, each block
+asks for the counts of its own shingles, and ranges of the hash answer.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import zstandard as zstd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .runtime import keyed_text, slices, stored
-from .shingles import mix, shingle_sets
+from .shingles import mix, narrow, shingle_sets
 
-#: Documents that a shingle occurs in to count as frequent, at least; the list
-#: of frequent shingles is broadcast, so the number is doubled until there are
-#: no more than ``MOST_FREQUENT``.  It changes the order, never the result.
-FREQUENT, MOST_FREQUENT = 16, 1 << 20
-#: Bits of the filter that finds the documents whose sets are needed (4 MB).
-FILTER_BITS = 25
-#: Rounds in which a list's members are compared with one of them only.
-STAR_ROUNDS = 2
-BATCH = 4 << 20
-#: Shingles that a task sorts at once while counting.
-COUNTED = 8 << 20
+#: Documents of a block, about.
+BLOCK = 4096
+#: For each round in which a list's members are compared with a few of them
+#: only: how many those are.
+CENTRES = (16, 64)
+BATCH = 2 << 20
 
 
-def _batches(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
-    texts = batch.column(1).to_pylist()
-    for a, b in slices([len(t) for t in texts], BATCH):
-        yield batch.column(0).slice(a, b - a), texts[a:b]
+def _block_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sets of a block's texts, end to end, and their sizes."""
+    made = [shingle_sets(texts[a:b], width) for a, b in slices([len(t) for t in texts], BATCH)]
+    return (np.concatenate([m[k] for m in made]) if made else np.zeros(0, np.uint64 if k == 0 else np.int64) for k in (0, 1))
 
 
-def shingle_counts(docs: DataFrame, width: int, bits: int) -> DataFrame:
-    """(low, counts): for each of 2**bits ranges of the hash, the frequent ones.
+def with_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, n, d1, d2, g, prefix, spots, live) of every document.
 
-    A task sends each range one compressed array of the next 32 bits of its
-    shingles, about two bytes a shingle; a range's arrays are merged, counted
-    and let go of again.  id: the first bits + 32 bits of the hash.
+    n: set size; d1, d2: digest of the set; g: digest of its prefix; prefix and
+    live: the members of the prefix, and of the set, that some other document
+    may hold; spots: the places in the ordered set of those in the prefix.  A
+    member of the prefix is a number that sorts as the order does.  The order goes by the power of two of a shingle's count, then by
+    its hash.  A block sends each range of the hash one compressed array of the
+    next 32 bits of its shingles, about two bytes each, and gets a byte for
+    each back; a text is shuffled to its block and read twice there.
     """
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = docs.count()
+    bits = min(20, max(4, (rows // BLOCK).bit_length()))
+    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-rows // BLOCK)))))
+
+    def ask(table: pa.Table) -> pa.Table:
+        values, _ = _block_sets(table.column("text").to_pylist(), width)
+        ids = np.sort(values) >> np.uint64(32 - bits)
+        cuts = np.searchsorted(ids, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(32))
         squeeze = zstd.ZstdCompressor(level=1)
-        held, size = [], 0
-
-        def out() -> pa.RecordBatch:
-            ids = np.sort(np.concatenate(held)) >> np.uint64(32 - bits)
-            cuts = np.searchsorted(ids, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
-            full = np.flatnonzero(np.diff(cuts))
-            blobs = [squeeze.compress(np.diff(ids[cuts[k] : cuts[k + 1]] & np.uint64(0xFFFFFFFF), prepend=np.uint64(0)).astype("<u4").tobytes()) for k in full]
-            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blobs, pa.binary())], ["part", "blob"])
-
-        for batch in batches:
-            for _, texts in _batches(batch):
-                values, _ = shingle_sets(texts, width)
-                held.append(values)
-                size += len(values)
-                if size >= COUNTED:
-                    yield out()
-                    held, size = [], 0
-        if size:
-            yield out()
-
-    def merge(table: pa.Table) -> pa.Table:
+        low = np.split(ids & np.uint64(0xFFFFFFFF), cuts)
+        blobs = [squeeze.compress(np.diff(part, prepend=np.uint64(0)).astype("<u4").tobytes()) for part in low]
+        n = len(blobs)
+        return pa.table({"part": pa.array(range(n), pa.int32()), "block": pa.array([table.column("block")[0].as_py()] * n, pa.int64()), "blob": pa.array(blobs, pa.binary())})
+
+    def answer(table: pa.Table) -> pa.Table:
+        expand, squeeze = zstd.ZstdDecompressor(), zstd.ZstdCompressor(level=1)
+        each = [np.cumsum(np.frombuffer(expand.decompress(b), "<u4").astype(np.uint64)) for b in table.column("blob").to_pylist()]
+        _, place, count = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
+        power = np.log2(count).astype(np.uint8)[place]
+        back = [squeeze.compress(p.tobytes()) for p in np.split(power, np.cumsum([len(e) for e in each])[:-1])]
+        return pa.table([table.column("block").combine_chunks(), table.column("part").combine_chunks(), pa.array(back, pa.binary())], ["block", "part", "blob"])
+
+    def order(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["doc_id", "n", "d1", "d2", "g", "prefix", "spots", "live"]
+        texts = left.column("text").to_pylist()
+        values, n = _block_sets(texts, width)
         expand = zstd.ZstdDecompressor()
-        part = table.column(0)[0].as_py()
-        each = [np.cumsum(np.frombuffer(expand.decompress(b), "<u4").astype(np.uint64)) for b in table.column(1).to_pylist()]
-        ids, n = np.unique(np.concatenate(each), return_counts=True)
-        often = n >= FREQUENT
-        return pa.table({"id": pa.array((ids[often] | np.uint64(part) << np.uint64(32)).astype(np.int64)), "n": pa.array(n[often], pa.int64())})
-
-    return docs.mapInArrow(send, "part int, blob binary").groupBy("part").applyInArrow(merge, "id long, n long")
-
-
-def frequent_shingles(docs: DataFrame, width: int, bits: int) -> np.ndarray:
-    """Sorted ids of the most frequent shingles, bounded."""
-    counted = stored(shingle_counts(docs, width, bits), "shingle-counts")
-    least = FREQUENT
-    while counted.where(F.col("n") >= least).count() > MOST_FREQUENT:
-        least *= 2
-    got = counted.where(F.col("n") >= least).select("id").toArrow()
-    return np.sort(got.column(0).to_numpy().astype(np.uint64))
-
-
-def prefixes(docs: DataFrame, width: int, percent: int, frequent, bits: int) -> DataFrame:
-    """(doc_id, n, d1, d2, g, prefix): set size, digest of the set, digest of
-    the prefix, and the prefix itself."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = frequent.value
-        for batch in batches:
-            for keys, texts in _batches(batch):
-                values, n = shingle_sets(texts, width)
-                owner = np.repeat(np.arange(len(texts)), n)
-                ids = values >> np.uint64(32 - bits)
-                at = np.minimum(np.searchsorted(last, ids), max(len(last) - 1, 0))
-                often = last[at] == ids if len(last) else np.zeros(len(ids), bool)
-                order = np.lexsort((values, often, owner))
-                begin = np.cumsum(n) - n
-                length = np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
-                ahead = (np.arange(len(values)) - begin[owner]) < length[owner]
-                ordered = values[order]
-                d1, d2, g = (np.zeros(len(texts), np.uint64) for _ in range(3))
-                np.add.at(d1, owner, mix(values + np.uint64(1)))
-                np.add.at(d2, owner, mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
-                np.add.at(g, owner[ahead], mix(ordered[ahead] + np.uint64(3)))
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(ordered[ahead].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64()), *(pa.array(x.view(np.int64)) for x in (d1, d2, g)), lists], ["doc_id", "n", "d1", "d2", "g", "prefix"])
-
-    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, g long, prefix array<long>")
-
-
-def needed_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(vid, n, s): the whole sets of the documents in ``wanted`` (vid).
-
-    A bitset of constant size lets through every wanted document and, by
-    chance, a few others, which the join drops.
-    """
-    spark = docs.sparkSession
-    place = lambda c: F.shiftrightunsigned(F.xxhash64(c), 64 - FILTER_BITS)
-    words = wanted.select(place("vid").alias("p")).distinct().groupBy((F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, int(p % 64))")).alias("v")).toArrow()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bits[words.column(0).to_numpy()] = words.column(1).to_numpy()
-    held = spark.sparkContext.broadcast(bits)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitset = held.value
-        for batch in batches:
-            p = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-            hit = np.flatnonzero((bitset[p >> 6] >> (p & 63)) & 1)
-            for keys, texts in _batches(batch.select([0, 1]).take(pa.array(hit))):
-                values, n = shingle_sets(texts, width)
-                sets = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64()), sets], ["vid", "n", "s"])
-
-    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", place("doc_id").alias("p")).mapInArrow(run, "vid long, n long, s array<long>")
-    return rows.join(wanted.select("vid").hint("merge"), "vid", "left_semi")
+        blobs = [b for _, b in sorted(zip(right.column("part").to_pylist(), right.column("blob").to_pylist(), strict=True))]
+        power = np.empty(len(values), np.uint8)
+        power[np.argsort(values, kind="stable")] = np.concatenate([np.frombuffer(expand.decompress(b), np.uint8) for b in blobs] or [np.zeros(0, np.uint8)])
+        owner = np.repeat(np.arange(len(texts)), n)
+        ranked = np.argsort(power, kind="stable")  # within a text, values ascend already
+        ranked = ranked[np.argsort(narrow(owner, len(texts))[ranked], kind="stable")]
+        begin = np.cumsum(n) - n
+        length = np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
+        spot = np.arange(len(values)) - begin[owner]
+        ahead = spot < length[owner]
+        ordered, shared = values[ranked], power[ranked] > 0
+        d1, d2, g = (np.zeros(len(texts), np.uint64) for _ in range(3))
+        np.add.at(d1, owner, mix(values + np.uint64(1)))
+        np.add.at(d2, owner, mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+        np.add.at(g, owner[ahead], mix(ordered[ahead] + np.uint64(3)))
+        lists = []
+        keys = (power[ranked].astype(np.uint64) << np.uint64(57) | ordered >> np.uint64(7)).view(np.int64)
+        for some, what in ((ahead & shared, keys), (ahead & shared, spot.astype(np.int32)), (shared, ordered.view(np.int64))):
+            upto = np.concatenate([[0], np.cumsum(np.bincount(owner[some], minlength=len(texts)))])
+            lists.append(pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(what[some])))
+        return pa.table([left.column("doc_id").combine_chunks(), pa.array(n, pa.int64()), *(pa.array(x.view(np.int64)) for x in (d1, d2, g)), *lists], names)
+
+    asked = dealt.groupBy("block").applyInArrow(ask, "part int, block long, blob binary")
+    answered = asked.groupBy("part").applyInArrow(answer, "block long, part int, blob binary")
+    return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(order, "doc_id long, n long, d1 long, d2 long, g long, prefix array<long>, spots array<int>, live array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
-    one = sets.select(F.col("vid").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa")).hint("merge")
-    two = sets.select(F.col("vid").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb")).hint("merge")
+    one = sets.select(F.col("vid").alias("a"), F.col("n").alias("na"), F.col("live").alias("sa")).hint("merge")
+    two = sets.select(F.col("vid").alias("b"), F.col("n").alias("nb"), F.col("live").alias("sb")).hint("merge")
     joined = pairs.join(one, "a").join(two, "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
     return joined.where(100 * F.col("i") >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b").distinct()
 
 
-def _candidate_lists(sized: DataFrame) -> DataFrame:
-    """(list, vid, n): variants of groups that share a prefix shingle, and of
-    one group; of lists with the same groups, one."""
-    variants = sized.groupBy("n", "g", "d1", "d2").agg(F.min("doc_id").alias("vid"))
-    variants = stored(variants.where(F.col("vid").isNotNull()), "variants")
-    groups = sized.groupBy("n", "g").agg(F.first("prefix").alias("prefix"))
-    groups = groups.withColumn("gid", F.xxhash64("n", "g", F.lit("group")))
-    shared = groups.select("gid", "n", F.explode("prefix").alias("h")).repartition("h")
-    lists = shared.groupBy("h").agg(F.count("*").alias("c"), F.max("n").alias("most"), F.min("n").alias("fewest"), F.bit_xor(F.xxhash64("gid")).alias("x"), F.bit_xor(F.xxhash64("gid", F.lit(7))).alias("y"))
+def _candidate_lists(variants: DataFrame) -> DataFrame:
+    """(list, vid, n, spot): variants of groups that share a prefix shingle,
+    with its place in their sets, and variants of one group.
+
+    Of lists with the same groups the first in the order stays: it holds the
+    first shingle that any two of its members share.
+    """
+    gid = F.xxhash64("n", "g")
+    named = variants.select(gid.alias("gid"), "vid", "n")
+    groups = variants.groupBy(gid.alias("gid")).agg(F.first(F.arrays_zip("prefix", "spots")).alias("prefix"), F.count("*").alias("c"))
+    shared = groups.select("gid", F.inline("prefix").alias("h", "spot"))
+    lists = shared.groupBy("h").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("gid")).alias("x"), F.bit_xor(F.xxhash64("gid", F.lit(7))).alias("y"))
     kept = lists.where("c > 1").groupBy("c", "x", "y").agg(F.min("h").alias("h")).select("h")
-    members = shared.join(kept.hint("merge"), "h").select(F.col("h").alias("list"), "gid", "n")
-    several = variants.groupBy("n", "g").agg(F.count("*").alias("c")).where("c > 1").select(F.col("g").alias("list"), F.xxhash64("n", "g", F.lit("group")).alias("gid"), "n")
-    named = variants.select(F.xxhash64("n", "g", F.lit("group")).alias("gid"), "vid")
-    return members.unionByName(several.withColumn("list", F.xxhash64("gid", F.lit("own")))).join(named.hint("merge"), "gid").select("list", "vid", "n")
+    members = shared.join(kept.hint("merge"), "h").select(F.col("h").alias("list"), "gid", "spot")
+    members = members.unionByName(groups.where("c > 1").select(F.xxhash64("gid", F.lit("own")).alias("list"), "gid", F.lit(0).alias("spot")))
+    return members.join(named.hint("merge"), "gid").select("list", "vid", "n", "spot")
+
 
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Whether two sets whose first shared shingle has these places can be
+    similar enough: what is left from there on bounds what they share."""
+    most = F.least(F.col(f"{a}n") - F.col(f"{a}spot"), F.col(f"{b}n") - F.col(f"{b}spot"))
+    return (100 + percent) * most >= percent * (F.col(f"{a}n") + F.col(f"{b}n"))
 
-def _links(lists: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+
+def _links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of all variants that have a link.
 
     A pair is verified unless its members are known to be in one component
-    already.  The first rounds take one member of each list, against the rest
-    of it; the last takes every pair that is still open, so none is left out.
+    already.  The first rounds compare every variant with a few members of its
+    longest list, which joins up large groups of copies at a cost
+    that follows the number of variants; the last takes every pair of every
+    list that is still open, so none is left out.
     """
-    sets = stored(needed_sets(docs, lists.select("vid").distinct(), width), "sets")
-    fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
+    size = lists.groupBy("list").agg(F.count("*").alias("c"))
+    longest = F.max_by(F.struct("list", "n", "spot"), F.struct("c", "list")).alias("m")
+    home = stored(lists.join(size.hint("merge"), "list").groupBy("vid").agg(longest).select("m.*", "vid"), "longest-lists")
     roots = tested = None
-    for step in range(STAR_ROUNDS + 1):
-        now = lists.withColumn("root", F.col("vid")) if roots is None else lists.join(roots.select(F.col("node").alias("vid"), "root").hint("merge"), "vid", "left").withColumn("root", F.coalesce("root", "vid"))
-        spread = now.groupBy("list").agg(F.min_by(F.struct("vid", "n", "root"), F.xxhash64("vid", F.lit(step))).alias("p"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        if step < STAR_ROUNDS:
-            met = now.join(spread.hint("merge"), "list").where((F.col("root") != F.col("p.root")) & fits(F.col("n"), F.col("p.n"))).select(F.col("vid").alias("x"), F.col("p.vid").alias("y"))
+
+    def rooted(rows: DataFrame) -> DataFrame:
+        if roots is None:
+            return rows.withColumn("root", F.col("vid"))
+        found = roots.select(F.col("node").alias("vid"), "root").hint("merge")
+        return rows.join(found, "vid", "left").withColumn("root", F.coalesce("root", "vid"))
+
+    for step in range(len(CENTRES) + 1):
+        now = rooted(lists)
+        member = F.struct("vid", "n", "spot", "root")
+        if step < len(CENTRES):
+            rank = F.xxhash64("vid", F.lit(step))
+            centres = now.groupBy("list", F.pmod(rank, F.lit(CENTRES[step])).alias("part")).agg(F.min_by(member, rank).alias("b"))
+            one, two = rooted(home).select("list", member.alias("a")), centres.select("list", "b")
         else:
-            open_ = now.join(spread.select("list").hint("merge"), "list", "left_semi")
-            met = open_.select("list", F.col("vid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx")).join(open_.select("list", F.col("vid").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry")).hint("merge"), "list")
-            met = met.where((F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & fits(F.col("nx"), F.col("ny")))
+            spread = now.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+            still = now.join(spread.select("list").hint("merge"), "list", "left_semi")
+            one, two = (still.select("list", member.alias(c)) for c in "ab")
+        apart = F.col("a.root") != F.col("b.root")
+        sizes = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
+        open_pair = apart & sizes if step < len(CENTRES) else apart & _may_link("a.", "b.", percent) & (F.col("a.vid") < F.col("b.vid"))
+        met = one.join(two.hint("merge"), "list").where(open_pair)
+        met = met.select(F.col("a.vid").alias("x"), F.col("b.vid").alias("y"))
         pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
@@ -215,16 +197,29 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     document; a row without doc_id has no class of its own but takes part in
     that of equal texts.  Sets are compared by 64-bit hashes of the shingles.
     """
-    spark = docs.sparkSession
-    docs = keyed_text(docs)
-    bits = min(20, max(4, (docs.count() >> 12).bit_length()))
-    frequent = spark.sparkContext.broadcast(frequent_shingles(docs, width, bits))
-    whole = stored(prefixes(docs, width, percent, frequent, bits), "prefixes")
+    whole = stored(with_prefixes(keyed_text(docs), width, percent), "prefixes")
     sized = whole.where("n > 0")
-    lists = stored(_candidate_lists(sized), "lists")
-    roots = _links(lists, docs, width, percent)
-    named = sized.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("vid"))
-    named = named.join(roots.hint("merge"), F.col("vid") == F.col("node"), "left").select("n", "d1", "d2", F.coalesce("root", "vid").alias("component_id"))
+    alike = sized.groupBy("n", "g", "d1", "d2").agg(F.min("doc_id").alias("vid"), F.first("prefix").alias("prefix"), F.first("spots").alias("spots"), F.first("live").alias("live"))
+    variants = stored(alike.where(F.col("vid").isNotNull()), "variants")
+    lists = stored(_candidate_lists(variants), "lists")
+    roots = _links(lists, variants.select("vid", "n", "live"), percent)
+    named = variants.join(roots.hint("merge"), F.col("vid") == F.col("node"), "left").select("n", "d1", "d2", F.coalesce("root", "vid").alias("component_id"))
     rows = whole.select("doc_id", "n", "d1", "d2").join(named.hint("merge"), ["n", "d1", "d2"], "left")
     own = F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The documents without those that link, directly or not, to one of
+    smaller doc_id; of repeated rows with one doc_id, one.
+
+    All columns pass as they are.  Rows without a doc_id stay.
+    """
+    found = classes(docs, width, percent)
+    gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "copies")
+    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    again = stored(kept.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again")), "repeated")
+    if again.isEmpty():
+        return kept
+    single = kept.join(again, kept["doc_id"] == again["again"], "left_anti")
+    return single.unionByName(kept.join(again, kept["doc_id"] == again["again"], "left_semi").dropDuplicates(["doc_id"]))
