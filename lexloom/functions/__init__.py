@@ -1 +1,13 @@
+"""Column-to-Column functions: every one is a native Catalyst expression."""
 
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once."""
+    return F.transform(F.array(value), body)[0]
