@@ -109,12 +109,18 @@ def lookup(targets: DataFrame, units: DataFrame) -> DataFrame:
 
     units: doc_id, pasal, ayat, huruf, text; one row for each unit.
     """
-    at = lambda name, *nulls: units.where(" and ".join([f"{n} is null" for n in nulls] or ["true"])).select("doc_id", *(F.col(k).alias(f"{name}_{k}") for k in ("pasal", "ayat", "huruf")), F.col("text").alias(f"{name}_text"))
-    whole, para = at("p", "ayat", "huruf"), at("a", "huruf").where("a_ayat is not null")
-    item = at("h").where("h_huruf is not null")
-    out = targets.join(whole.drop("p_ayat", "p_huruf"), (targets.doc_id == whole.doc_id) & (targets.pasal == F.col("p_pasal")), "left").drop(whole.doc_id)
-    out = out.join(para.drop("a_huruf"), (out.doc_id == para.doc_id) & (F.col("pasal") == F.col("a_pasal")) & (F.col("ayat") == F.col("a_ayat")), "left").drop(para.doc_id)
-    out = out.join(item, (out.doc_id == item.doc_id) & (F.col("pasal") == F.col("h_pasal")) & F.col("ayat").eqNullSafe(F.col("h_ayat")) & (F.col("huruf") == F.col("h_huruf")), "left").drop(item.doc_id)
+    def at(name: str, test: str) -> DataFrame:
+        return units.where(test).select(*(F.col(k).alias(f"{name}_{k}") for k in ("doc_id", "pasal", "ayat", "huruf", "text")))
+
+    def same(name: str, *more: Column) -> Column:
+        on = (F.col("doc_id") == F.col(f"{name}_doc_id")) & (F.col("pasal") == F.col(f"{name}_pasal"))
+        for m in more:
+            on = on & m
+        return on
+
+    out = targets.join(at("p", "ayat is null and huruf is null"), same("p"), "left")
+    out = out.join(at("a", "ayat is not null and huruf is null"), same("a", F.col("ayat") == F.col("a_ayat")), "left")
+    out = out.join(at("h", "huruf is not null"), same("h", F.col("ayat").eqNullSafe(F.col("h_ayat")), F.col("huruf") == F.col("h_huruf")), "left")
     known, no_ayat, no_huruf = F.col("p_text").isNotNull(), F.col("ayat").isNull(), F.col("huruf").isNull()
     text = F.when(~known, F.lit(None)).when(no_ayat & no_huruf, F.col("p_text")).when(no_ayat, F.coalesce("h_text", "p_text")).when(F.col("a_text").isNull(), F.col("p_text")).when(no_huruf, F.col("a_text")).otherwise(F.coalesce("h_text", "a_text"))
     exact = known & F.when(no_huruf, no_ayat | F.col("a_text").isNotNull()).otherwise(F.col("h_text").isNotNull() & (no_ayat | F.col("a_text").isNotNull()))

@@ -24,6 +24,10 @@ def pdf_files(spark: SparkSession, folder: str, containing: str | None = None) -
     download leaves beside files are passed over.
     """
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{pdf,PDF,Pdf}").load(folder)
+    found = found.select("path", "length", "content")
+    empty = [(p, 0) for p in _empty_files(spark, folder) if p.lower().endswith(".pdf")]
+    if empty:
+        found = found.unionByName(spark.createDataFrame(empty, "path string, length long").withColumn("content", F.lit(b"")))
     found = found.where(~F.col("path").contains("Zone.Identifier"))
     if containing:
         found = found.where(F.lower("path").contains(containing.lower()))
@@ -31,6 +35,18 @@ def pdf_files(spark: SparkSession, folder: str, containing: str | None = None) -
     return found.select("path", file_slug(stem).alias("doc_id"), "length", "content", F.when(F.col("length") == 0, "zero-byte file").alias("error"))
 
 
+def _empty_files(spark: SparkSession, folder: str) -> list[str]:
+    """Files without a byte, which scans leave out; from the listing alone."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    each = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    out = []
+    while each.hasNext():
+        status = each.next()
+        if not status.getLen():
+            out.append(status.getPath().toString())
+    return out
+
+
 def layer_pages(texts: DataFrame) -> DataFrame:
     """(doc_id, page, text) of whole text layers (doc_id, text): split at form
     feeds, one trailing blank page dropped."""
