@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import keyed_text, slices, stored
+from .runtime import keyed_text, release, slices, stored
 from .shingles import mix, span_hashes, word_spans
 
 #: Template tokens of a window, and literal ones among them, at least.
@@ -29,7 +29,7 @@ COVER, AGREE = 0.5, 0.8
 #: Windows of the benchmark that are sent to every task, at most (16 MB); a
 #: larger benchmark is joined by a shuffle.
 SENT_WINDOWS = 1 << 20
-BATCH = 4 << 20
+BATCH = 1 << 20
 NUMBER, NAME, UNIT = np.uint64(1), np.uint64(2), np.uint64(3)
 _NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
 _UNITS = (
@@ -231,6 +231,7 @@ def _sent(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     rows += _rows(keys[a + doc], items, bench, t.value)
             if rows:
                 yield _table(rows)
+            release()
 
     return docs.mapInArrow(run, f"doc_id long, {FIELDS}")
 

@@ -21,7 +21,7 @@ from .bpe import LETTER, char_classes
 from .runtime import annotated, by_crc, free_name, slices
 
 #: Documents that a language's text is taken from, and its characters, at most.
-SAMPLE_DOCS, SAMPLE_CHARS = 64, 32768
+SAMPLE_DOCS, SAMPLE_CHARS = 64, 16384
 #: Characters that a parse goes on for; a longer text is parsed in such segments.
 SEGMENT = 1024
 BATCH = 2 << 20

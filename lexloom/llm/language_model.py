@@ -19,11 +19,12 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import by_crc, keyed_text
-from .shingles import mix, span_hashes, word_spans
+from .runtime import by_crc, keyed_text, release, slices
+from .shingles import mix, word_hashes
 
 #: Documents of a block, about.
-BLOCK = 4096
+BLOCK = 2048
+BATCH = 1 << 20
 #: Pseudo-count of the failure arc of a word context, and discount of a word.
 PRIOR, DISCOUNT = 1000.0, 0.75
 #: Hash of the end of a text; the start shares its count, one for each text.
@@ -33,8 +34,8 @@ START = np.uint64(0x3C6EF372FE94F82B)
 
 def _block_grams(texts: list[str]):
     """Tokens of a block: their ids, the ids before them, bigram ids, their texts."""
-    raw, begin, end, words = word_spans(texts)
-    hashes = span_hashes(raw, begin, end)
+    made = [word_hashes(texts[a:b]) for a, b in slices([len(t) for t in texts], BATCH)]
+    hashes, words = (np.concatenate([m[k] for m in made]) for k in (0, 1))
     owner = np.repeat(np.arange(len(texts)), words + 1)
     close = np.cumsum(words + 1) - 1
     ids = np.empty(len(owner), np.uint64)
@@ -89,6 +90,7 @@ def scores(docs: DataFrame, learn, key: str = "doc_id") -> DataFrame:
     dealt = plain.withColumn("block", F.pmod(F.xxhash64(key, "text"), F.lit(blocks)))
 
     def ask(table: pa.Table) -> pa.Table:
+        release()
         block = table.column("block")[0].as_py()
         made = _requests(table.column("text").to_pylist(), table.column("learn").to_numpy(), bits)
         parts = []
@@ -102,6 +104,7 @@ def scores(docs: DataFrame, learn, key: str = "doc_id") -> DataFrame:
     answered = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("kind", pa.int32()), ("n", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())])
 
     def answer(table: pa.Table) -> pa.Table:
+        release()
         part, kind = table.column("part")[0].as_py(), table.column("kind")[0].as_py()
         ids = [_get(b, "u8") for b in table.column("ids").to_pylist()]
         own = [_get(b, "i8") for b in table.column("n").to_pylist()]
@@ -118,6 +121,7 @@ def scores(docs: DataFrame, learn, key: str = "doc_id") -> DataFrame:
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return scored.empty_table()
+        release()
         held = sorted(zip(right.column("kind").to_pylist(), right.column("part").to_pylist(), range(right.num_rows), strict=True))
         blobs, tokens, types = (right.column(c).to_pylist() for c in ("n", "tokens", "types"))
         counts = [np.concatenate([_get(blobs[r], "i8") for k, _, r in held if k == kind]) for kind in (0, 1)]

@@ -25,11 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .runtime import keyed_text, slices, stored
+from .runtime import keyed_text, release, slices, stored
 from .shingles import mix, narrow, shingle_sets
 
 #: Documents of a block, about.
-BLOCK = 4096
+BLOCK = 2048
 #: For each round in which a list's members are compared with a few of them
 #: only: how many those are.
 CENTRES = (16, 64)
@@ -58,6 +58,7 @@ def with_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-rows // BLOCK)))))
 
     def ask(table: pa.Table) -> pa.Table:
+        release()
         values, _ = _block_sets(table.column("text").to_pylist(), width)
         ids = np.sort(values) >> np.uint64(32 - bits)
         cuts = np.searchsorted(ids, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(32))
@@ -68,6 +69,7 @@ def with_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
         return pa.table({"part": pa.array(range(n), pa.int32()), "block": pa.array([table.column("block")[0].as_py()] * n, pa.int64()), "blob": pa.array(blobs, pa.binary())})
 
     def answer(table: pa.Table) -> pa.Table:
+        release()
         expand, squeeze = zstd.ZstdDecompressor(), zstd.ZstdCompressor(level=1)
         each = [np.cumsum(np.frombuffer(expand.decompress(b), "<u4").astype(np.uint64)) for b in table.column("blob").to_pylist()]
         _, place, count = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
@@ -76,6 +78,7 @@ def with_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
         return pa.table([table.column("block").combine_chunks(), table.column("part").combine_chunks(), pa.array(back, pa.binary())], ["block", "part", "blob"])
 
     def order(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         names = ["doc_id", "n", "d1", "d2", "g", "prefix", "spots", "live"]
         texts = left.column("text").to_pylist()
         values, n = _block_sets(texts, width)

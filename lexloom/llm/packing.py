@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Vocabulary
-from .runtime import keyed_text
+from .runtime import keyed_text, release
 
 #: Bins that are open at once in a task, and pieces of its look-ahead.
 OPEN_BINS = 32768
@@ -94,6 +94,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int =
             if out:
                 columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, [key, "piece", "start", "length", "ids_crc32"])
+            release()
 
     return keyed_text(docs, key, text).mapInArrow(run, f"`{key}` long, piece int, start long, length long, ids_crc32 long")
 

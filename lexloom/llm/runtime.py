@@ -3,6 +3,7 @@ lineage go, how text columns are read, and the word definition they share."""
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -73,6 +74,16 @@ def slices(lengths: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
+def release() -> None:
+    """Give memory that a finished batch has left back to the host, so that a
+    worker that is used again doesn't hold on to its largest batch."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not this C library
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it if the table has such a column."""
     while name.lower() in (c.lower() for c in df.columns):
@@ -92,6 +103,7 @@ def annotated(df: DataFrame, column: str, fn, name: str, kind: T.DataType) -> Da
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, fn(texts)], [*batch.schema.names, name])
+            release()
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
 
