@@ -105,7 +105,7 @@ class QualityModel:
     toxic: boosting.Trees
 
     def rejects(self, x: np.ndarray) -> np.ndarray:
-        return (self.low.probability(x) >= 0.5) | (self.toxic.probability(x) >= 0.5)
+        return (self.low.probability(x) > 0.5) | (self.toxic.probability(x) > 0.5)
 
 
 def _markers(rows: DataFrame, label: str) -> tuple[str, ...]:
