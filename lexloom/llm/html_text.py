@@ -38,8 +38,9 @@ _NAMES = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification outbrain overlay pager pagination popup promo promotion recommended register related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar topbar widget".split()
 )
 _CORE = frozenset(("article", "main"))
-#: Share of the mean score at which a block counts as content.
-THRESHOLD = 0.25
+#: Share of the mean score at which a block counts as content, and of the
+#: content that a container holds to be its home.
+THRESHOLD, HOME = 0.25, 0.8
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -153,6 +154,19 @@ def scores(found: list[tuple[tuple[str, ...], str]]) -> np.ndarray:
     return np.sqrt(_smooth(by_text) * _smooth(by_point))
 
 
+def _home(found: list[tuple[tuple[str, ...], str]], picked: np.ndarray) -> tuple[str, ...] | None:
+    """The deepest container that holds most of the picked text, if there is
+    one below the page itself."""
+    inside: dict[tuple[str, ...], int] = defaultdict(int)
+    for i in np.flatnonzero(picked):
+        path, text = found[i]
+        for depth in range(1, len(path)):
+            if path[depth - 1] not in ("html", "body"):
+                inside[path[:depth]] += len(text)
+    most = HOME * sum(len(found[i][1]) for i in np.flatnonzero(picked))
+    return max((h for h, n in inside.items() if n >= most), key=len, default=None)
+
+
 def main_text(page: str) -> str:
     """The article of a page: its blocks in page order, one a line."""
     found = blocks(page)
@@ -165,6 +179,9 @@ def main_text(page: str) -> str:
     picked = score >= THRESHOLD * np.average(score, weights=weight)
     if not picked.any():
         picked[:] = True
+    home = None if core else _home(found, picked)
+    if home:
+        return "\n".join(t for p, t in found if p[: len(home)] == home)
     chosen = {found[i][0] for i in np.flatnonzero(picked)}
     homes = {c for p in chosen for c in ([p[: max(i for i, x in enumerate(p) if x in _CORE) + 1]] if not _CORE.isdisjoint(p) else [p[:-1]])}
     return "\n".join(t for p, t in found if p in chosen or any(p[: len(h)] == h for h in homes if h and h[-1] not in ("html", "body")))
