@@ -82,5 +82,43 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op4_benchmark_decontamination, op5_chat_reply_trees, op6_ngram_jaccard_join, op7_lm_scoring, op8_quality_rules, op9_language_id, op10_html_main_text)}
 
 
+#: Every page's payload, and for repeats of a large one the page that holds it.
+WARC_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+h AS (SELECT payload_digest, max(page_id) AS holder FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND holder <> page_id THEN holder END AS refers_to
+FROM p LEFT JOIN h ON p.payload_digest = h.payload_digest
+"""
+
+#: Turns, loss text and formatted length; every control string in a text gains a backslash.
+CHAT_SQL = r"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+m AS (SELECT *, length(text) + len(regexp_extract_all(text, '[<\[]\\*(/?s>|/?INST\]|</?SYS>>|<ROLE [^<>]*>>|</ROLE>>)'))
+        + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 END AS n FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id
+"""
+
+#: All pairs that share a shingle, and what links reach.
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                                          WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
+n AS (SELECT w.doc_id, count(sh) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON p.x = a.doc_id JOIN n b ON p.y = b.doc_id WHERE 100 * i >= 80 * (a.n + b.n - i)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+c(doc_id, r) AS (SELECT doc_id, doc_id FROM n UNION SELECT c.doc_id, e.y FROM c JOIN e ON c.r = e.x)
+SELECT c.doc_id, any_value(n.n) AS n_shingles, min(r) AS component_id FROM c JOIN n ON c.doc_id = n.doc_id GROUP BY 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that SQL can express; the others need a tokenizer,
+    trees, automata or markup, and are tested against brute force."""
+    return {"op3_warc_dictionary": WARC_SQL, "op5_chat_reply_trees": CHAT_SQL, "op6_ngram_jaccard_join": NEAR_SQL}
