@@ -16,24 +16,37 @@ _OPEN, _CLOSE = "\x01", "\x02"
 MATCH = "struct<start:int,end:int,text:string>"
 
 
-def find_all(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, text>> of the matches, in order."""
+def _folded(text: Column, pattern: str, rest: bool) -> Column:
     clean = F.translate(text, _OPEN + _CLOSE, "\ufffd\ufffd")
     marked = F.regexp_replace(clean, pattern, f"{_OPEN}$0{_CLOSE}")
+    kind = MATCH.replace(">", ",rest:string>") if rest else MATCH
 
     def fold(parts: Column) -> Column:
-        start = F.struct(F.length(parts[0]).alias("at"), F.array().cast(f"array<{MATCH}>").alias("out"))
+        start = F.struct(F.length(parts[0]).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
 
         def step(acc: Column, part: Column) -> Column:
             size = F.instr(part, _CLOSE) - 1
-            found = F.struct(acc["at"].alias("start"), (acc["at"] + size).alias("end"), F.substring(part, F.lit(1), size).alias("text"))
-            return F.struct((acc["at"] + F.length(part) - 1).alias("at"), F.concat(acc["out"], F.array(found)).alias("out"))
+            fields = [acc["at"].alias("start"), (acc["at"] + size).alias("end"), F.substring(part, F.lit(1), size).alias("text")]
+            if rest:
+                fields.append(F.substring(part, size + 2, F.length(part)).alias("rest"))
+            return F.struct((acc["at"] + F.length(part) - 1).alias("at"), F.concat(acc["out"], F.array(F.struct(*fields))).alias("out"))
 
         return F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), start, step)["out"]
 
     return F.when(text.isNotNull(), let(F.split(marked, _OPEN), fold))
 
 
+def find_all(text: Column, pattern: str) -> Column:
+    """array<struct<start, end, text>> of the matches, in order."""
+    return _folded(text, pattern, False)
+
+
+def find_with_rest(text: Column, pattern: str) -> Column:
+    """The same with ``rest``: what follows each match up to the next, which
+    costs nothing more than the split that finds them."""
+    return _folded(text, pattern, True)
+
+
 def first_start(text: Column, pattern: str) -> Column:
     """Offset of the first match, null without one."""
     return F.try_element_at(find_all(text, pattern), F.lit(1))["start"]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import let
-from ..functions.matchers import cut, find_all, first_start
+from ..functions.matchers import cut, find_all, find_with_rest, first_start
 from ..functions.numerals import GLYPH_FROM, GLYPH_TO
 
 # Headers, markers and limits of the source format.
@@ -101,11 +101,10 @@ def section_prefix(section: Column) -> Column:
 def pasals(docs: DataFrame) -> DataFrame:
     """(doc_id, section, pasal, occurrence, citation, start, end, text): the
     articles of every section, numbered where a label comes again."""
-    headers = F.transform(find_all(F.col("chunk"), PASAL), lambda m: F.struct(m["start"].alias("at"), m["end"].alias("from"), F.regexp_extract(m["text"], PASAL, 1).alias("pasal")))
-    each = sections(docs).select("doc_id", "section_no", "section", F.col("start").alias("base"), "chunk", headers.alias("h"))
-    each = each.select("doc_id", "section_no", "section", "base", "chunk", F.posexplode("h").alias("nth", "x"), F.transform("h", lambda m: m["at"]).alias("ats"))
-    end = F.coalesce(F.get("ats", F.col("nth") + 1), F.length("chunk"))
-    rows = each.select("doc_id", "section", "x.pasal", (F.col("base") + F.col("x.from")).alias("start"), (F.col("base") + end).alias("end"), cut(F.col("chunk"), F.col("x.from"), end).alias("text"))
+    found = find_with_rest(F.col("chunk"), PASAL)
+    bodies = F.transform(found, lambda m: F.struct(F.regexp_extract(m["text"], PASAL, 1).alias("pasal"), m["end"].alias("from"), (m["end"] + F.length(m["rest"])).alias("to"), m["rest"].alias("text")))
+    each = sections(docs).select("doc_id", "section", F.col("start").alias("base"), F.inline(bodies))
+    rows = each.select("doc_id", "section", "pasal", (F.col("base") + F.col("from")).alias("start"), (F.col("base") + F.col("to")).alias("end"), "text")
     again = F.row_number().over(Window.partitionBy("doc_id", "section", "pasal").orderBy("start"))
     cite = F.concat(section_prefix(F.col("section")), F.lit("Pasal "), F.col("pasal"), F.when(F.col("occurrence") > 1, F.concat(F.lit(" #"), F.col("occurrence"))).otherwise(""))
     return rows.withColumn("occurrence", again).withColumn("citation", cite).select("doc_id", "section", "pasal", "occurrence", "citation", "start", "end", "text")

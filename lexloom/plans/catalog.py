@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numerals, text
@@ -271,3 +271,76 @@ def cross_instrument_outliers(spark: SparkSession, d: str) -> DataFrame:
     """Suppliers whose largest rate in a provision differs from the usual one."""
     rates = corpus.truth(spark, d).groupBy(F.col("ln").alias("provision"), F.col("sup").alias("instrument")).agg(F.max("p").alias("value"))
     return conflict.outliers(rates)
+
+
+_VOCABULARY = ", ".join(f"('{w}', {(numerals.UNITS | numerals.SPECIAL).get(w, -1)})" for w in numerals.VOCABULARY)
+
+
+@query(f"""WITH v(w, x) AS (VALUES {_VOCABULARY}), t AS (SELECT DISTINCT overlay AS tok FROM (SELECT concat(substr(w, 1, k), chr(CAST(97 + s % 26 AS INT)), substr(w, k + 2)) AS overlay
+    FROM (SELECT w, s_suppkey AS s, CAST(s_suppkey % length(w) AS INT) AS k FROM v, supplier))),
+    n AS (SELECT tok, w, x FROM t JOIN v ON levenshtein(tok, w) = 1), g AS (SELECT tok, min(w) AS w, count(DISTINCT x) AS k FROM n GROUP BY 1)
+    SELECT t.tok AS token, CASE WHEN t.tok IN (SELECT w FROM v) THEN t.tok WHEN g.k = 1 THEN g.w END AS word FROM t LEFT JOIN g USING (tok)""")
+def levenshtein_snap(spark: SparkSession, d: str) -> DataFrame:
+    """Number words with one damaged letter, and the word that each is repaired to."""
+    words = spark.createDataFrame([(w,) for w in numerals.VOCABULARY], "w string")
+    k, s = F.col("k"), F.col("s_suppkey")
+    both = words.join(_read(spark, d, "supplier").select("s_suppkey"), F.lit(True)).withColumn("k", (s % F.length("w")).cast("int"))
+    token = F.concat(F.substring(F.col("w"), F.lit(1), k), F.char(97 + s % 26), F.substring(F.col("w"), k + 2, F.length("w")))
+    tokens = both.select(token.alias("token")).distinct()
+    known = F.array_contains(F.array(*map(F.lit, numerals.VOCABULARY)), F.col("token"))
+    return tokens.select("token", F.when(known, F.col("token")).otherwise(F.try_element_at(numerals.snap(F.col("token"))["words"], F.lit(1))).alias("word"))
+
+
+@query("""WITH b AS (SELECT p_brand, list_sort(list(DISTINCT lower(p_type))) AS m FROM part GROUP BY 1),
+    s AS (SELECT concat('UU_', p_brand) AS doc_id, regexp_replace(lower(concat('objek pajak ', p_brand)), '[^a-z0-9]+', '_', 'g') AS sid, concat('Objek pajak ', p_brand) AS label, m FROM b)
+    SELECT doc_id, 'subject' AS level, sid AS id, label, CAST(NULL AS VARCHAR) AS parent FROM s
+    UNION ALL SELECT doc_id, 'huruf', regexp_replace(x, '[^a-z0-9]+', '_', 'g'), x, sid FROM (SELECT *, unnest(m) AS x FROM s)""")
+def category_harvest(spark: SparkSession, d: str) -> DataFrame:
+    """Categories of provisions that list the part types of each brand."""
+    rows = _read(spark, d, "part").groupBy("p_brand").agg(F.array_sort(F.collect_set(F.lower("p_type"))).alias("m"))
+    items = F.array_join(F.transform("m", lambda x, i: F.concat(F.char(97 + i), F.lit(". "), x, F.lit(";\n"))), "")
+    docs = rows.select(F.concat(F.lit("UU_"), "p_brand").alias("doc_id"), F.concat(F.lit("Pasal 1\n(1) Objek pajak "), "p_brand", F.lit(" meliputi:\n"), items).alias("text"))
+    cats, _ = ontology.harvest(segment.units(docs))
+    return cats.select("doc_id", "level", "id", "label", "parent")
+
+
+@query(f"""{_R}, n AS (SELECT sup, pasal, max(ayat) AS top FROM r GROUP BY 1, 2) SELECT concat({_DOC}, '#', r.pasal, '#', ayat) AS norm, CAST(CASE WHEN ayat + 1 <= top THEN 1 ELSE 0 END AS BIGINT) AS hits,
+    CASE WHEN ayat + 1 <= top THEN 'ok' ELSE 'MISSING' END AS verdict FROM r JOIN n USING (sup, pasal)""")
+def gold_resolution(spark: SparkSession, d: str) -> DataFrame:
+    """Records that cite the paragraph after their own."""
+    norms = corpus.paragraphs(spark, d).select("doc_id", F.concat_ws("#", "doc_id", "pasal", "ayat").alias("norm"), F.concat(F.lit("Pasal "), "pasal", F.lit(" ayat ("), F.col("ayat") + 1, F.lit(")")).alias("citation"))
+    return crossref.gold_resolution(norms, _units(spark, d))
+
+
+@query("""WITH f AS (SELECT DISTINCT regexp_replace(lower(p_type), '[^a-z0-9]+', '_', 'g') AS id, lower(p_type) AS label FROM part),
+    g AS (SELECT CASE WHEN length(label) % 2 = 0 THEN concat('g_', id) ELSE id END AS id, label FROM f UNION ALL SELECT 'none', 'none')
+    SELECT g.id, CASE WHEN g.id IN (SELECT id FROM f) THEN 'matched' WHEN g.label IN (SELECT label FROM f) THEN 'renamed' ELSE 'missed' END AS verdict FROM g
+    UNION ALL SELECT id, 'extra' FROM f WHERE id NOT IN (SELECT id FROM g)""")
+def ontology_compare(spark: SparkSession, d: str) -> DataFrame:
+    """Part types against a copy in which some have other identifiers."""
+    found = _read(spark, d, "part").select(text.slug(F.col("p_type")).alias("id"), F.lower("p_type").alias("label")).distinct()
+    gold = found.select(F.when(F.length("label") % 2 == 0, F.concat(F.lit("g_"), "id")).otherwise(F.col("id")).alias("id"), "label")
+    return ontology.compare(found, gold.unionByName(spark.createDataFrame([("none", "none")], "id string, label string")))
+
+
+@query("""WITH k AS (SELECT p_type AS t, p_brand AS b, count(*) AS n FROM part GROUP BY 1, 2), c AS (SELECT t, CASE WHEN length(t) % 2 = 0 THEN sum(n) % 11 END AS cap FROM k GROUP BY 1)
+    SELECT concat(b, '@', t) AS category, CASE WHEN n % 11 <= coalesce(cap, 5) THEN 'COMPLIANT' ELSE 'CONFLICT' END AS verdict, CAST(CASE WHEN n % 11 <= coalesce(cap, 5) THEN n % 11 END AS INT) AS witness, cap IS NULL AS national_via_residual
+    FROM k JOIN c USING (t)""")
+def rate_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    """Rates of a local instrument for brands under types, against the caps of a
+    national one for some types and its residual rule for the rest."""
+    k = _read(spark, d, "part").groupBy(F.col("p_type").alias("t"), F.col("p_brand").alias("b")).agg(F.count("*").alias("n"))
+    own = F.concat_ws("@", "b", "t")
+    cats = k.select(own.alias("id"), own.alias("label"), F.col("t").alias("parent")).unionByName(k.select(F.col("t").alias("id"), F.col("t").alias("label"), F.lit(None).cast("string").alias("parent")).distinct())
+    caps = k.groupBy("t").agg((F.sum("n") % 11).alias("v")).where(F.length("t") % 2 == 0)
+
+    def norm(rows: DataFrame, name: Column, instrument: str, rank: int, applies: Column, residual: bool, op: str, value: Column) -> DataFrame:
+        return rows.select(name.alias("norm"), F.lit(0).alias("ord"), F.lit(instrument).alias("instrument"), F.lit(rank).alias("rank"), F.lit("rate_constraint").alias("norm_type"), F.array(applies).alias("applies_to"), F.lit(residual).alias("is_residual"), F.lit(op).alias("op"), (value / 100.0).alias("value"))
+
+    rules = norm(caps, F.concat(F.lit("U-"), "t"), "U", 3, F.col("t"), False, "<=", F.col("v"))
+    rules = rules.unionByName(norm(spark.range(1), F.lit("U-rest"), "U", 3, F.lit("*"), True, "<=", F.lit(5)))
+    rules = rules.unionByName(norm(k, F.concat(F.lit("L-"), own), "L", 7, own, False, "==", F.col("n") % 11))
+    norms = rules.select("norm", "ord", "instrument", "rank", "norm_type", "applies_to", "is_residual", F.array().cast("array<string>").alias("delegated_scope"), F.array().cast("array<string>").alias("open_textured_terms"))
+    none = spark.createDataFrame([], "id string, label string")
+    got = conflict.verdicts(norms, rules.select("norm", "ord", "op", "value"), cats, none, "U", "L")
+    return got.select("category", "verdict", F.round(F.col("witness") * 100).cast("int").alias("witness"), "national_via_residual")
