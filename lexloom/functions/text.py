@@ -70,3 +70,8 @@ def instrument_rank(doc_id: Column) -> Column:
 def term_like(label: Column) -> Column:
     """Short enough to be its own identifier."""
     return F.size(words(canonical(label))) <= ID_WORDS
+
+
+def percent(c: Column, digits: int = 0) -> Column:
+    """A fraction as a percentage, for reports."""
+    return F.format_string(f"%.{digits}f%%", c * 100)

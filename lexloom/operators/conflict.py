@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import percent
 from ..plans.storage import kept
 
 
@@ -118,3 +119,11 @@ def outliers(rates: DataFrame, least: int = 3) -> DataFrame:
     n = rates.groupBy("provision", "value").agg(F.count("*").alias("k"))
     usual = n.groupBy("provision").agg(F.min_by("value", F.struct(-F.col("k"), "value")).alias("usual"), F.sum("k").alias("n")).where(F.col("n") >= least)
     return rates.join(usual, "provision").where(F.col("value") != F.col("usual")).select("provision", "instrument", "value", "usual", "n")
+
+
+def core_lines(found: DataFrame, norms: DataFrame, bounds: DataFrame) -> DataFrame:
+    """(category, norm, line, rank): the clashing rules of each conflict, as a
+    report words them.  norms: norm, title, citation, rank."""
+    each = found.where("verdict = 'CONFLICT'").select("category", F.explode("core").alias("norm")).distinct()
+    said = F.concat_ws(" ", F.substring_index("title", " tentang", 1), "citation", F.lit("tarif"), "op", percent(F.col("value")))
+    return each.join(norms.select("norm", "title", "citation", "rank"), "norm").join(bounds.select("norm", "op", "value"), "norm").select("category", "norm", said.alias("line"), "rank")

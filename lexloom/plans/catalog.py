@@ -232,15 +232,15 @@ def subsumption_closure(spark: SparkSession, d: str) -> DataFrame:
     return conflict.closure(cats)
 
 
-@query("""SELECT l_suppkey AS supplier, max(CAST(floor(l_discount * 100 + 0.5) AS INT)) AS low, min(CAST(floor(l_tax * 100 + 0.5) AS INT) + 2) AS high,
-    max(CAST(floor(l_discount * 100 + 0.5) AS INT)) <= min(CAST(floor(l_tax * 100 + 0.5) AS INT) + 2) AS sat FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1""")
+@query("""SELECT l_orderkey AS provision, max(CAST(floor(l_discount * 100 + 0.5) AS INT)) AS low, min(CAST(floor(l_tax * 100 + 0.5) AS INT) + 2) AS high,
+    max(CAST(floor(l_discount * 100 + 0.5) AS INT)) <= min(CAST(floor(l_tax * 100 + 0.5) AS INT) + 2) AS sat FROM lineitem GROUP BY 1""")
 def interval_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    """Whether a supplier's floors (discounts) and ceilings (taxes plus two) share a rate."""
-    rows = _read(spark, d, "lineitem").where("l_returnflag = 'R'")
+    """Whether an order's floors (discounts) and ceilings (taxes plus two) share a rate."""
     percent = lambda c: F.floor(F.col(c) * 100 + 0.5).cast("int")
-    both = rows.select(F.col("l_suppkey").alias("supplier"), F.col("l_linenumber").alias("ord"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("norm"), F.explode(F.array(F.struct(F.lit(">=").alias("op"), (percent("l_discount") / 100.0).alias("value")), F.struct(F.lit("<=").alias("op"), ((percent("l_tax") + 2) / 100.0).alias("value")))).alias("b"))
-    out = conflict.interval(both.select("supplier", "ord", "norm", "b.*"), ["supplier"])
-    return out.select("supplier", F.round(F.col("low") * 100).cast("int").alias("low"), F.round(F.col("high") * 100).cast("int").alias("high"), "sat")
+    pair = F.array(F.struct(F.lit(">=").alias("op"), (percent("l_discount") / 100.0).alias("value")), F.struct(F.lit("<=").alias("op"), ((percent("l_tax") + 2) / 100.0).alias("value")))
+    rows = _read(spark, d, "lineitem").select(F.col("l_orderkey").alias("provision"), F.col("l_linenumber").alias("ord"), F.col("l_suppkey").alias("norm"), F.inline(pair))
+    out = conflict.interval(rows, ["provision"])
+    return out.select("provision", F.round(F.col("low") * 100).cast("int").alias("low"), F.round(F.col("high") * 100).cast("int").alias("high"), "sat")
 
 
 @query("""WITH s AS (SELECT lower(p_type) AS term, min(p_partkey) AS ord FROM part GROUP BY 1), l AS (SELECT p_partkey, lower(concat(p_type, CASE WHEN p_size % 2 = 0 THEN '' ELSE concat(' ', p_brand) END)) AS lab FROM part)
