@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import numerals, text
 from ..operators import conflict, crossref, layout, ontology, prefilter, reconcile, segment, slots
 from . import corpus
+from .storage import kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -128,7 +129,7 @@ def _slots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
     table = slots.slot_table(arts).select(F.col("pasal_key").alias("call"), "slot_no", "slot", "start", "end", "value", "unit", "source_numeral", "source_words", "ocr_recovered", "needs_review")
     marks = arts.select("pasal_key", "text", segment.ayat_marks(F.col("text")).alias("m")).select("pasal_key", "text", F.posexplode("m").alias("i", "x"), F.transform("m", lambda x: x["at"]).alias("ats"))
     unit = marks.select(F.col("pasal_key").alias("call"), F.concat(F.lit("ayat "), "x.label").alias("citation"), F.col("x.from").alias("start"), F.coalesce(F.get("ats", F.col("i") + 1), F.length("text")).alias("end"))
-    return table, unit, arts
+    return kept(table), kept(unit), arts
 
 
 @query(f"""{_R}, s AS (SELECT *, row_number() OVER (PARTITION BY sup, pasal ORDER BY ayat) AS k FROM r WHERE kind <= 6),
