@@ -33,6 +33,8 @@ FEATURES = {
     "words": 0, "word_length": 0, "symbol_share": 1, "dup_line_share": 1, "repeat_share": 1, "stutter_share": 1, "letter_share": -1,
     "number_share": 0, "point_share": 0, "line_words": 0, "distinct_share": 0, "top_share": 0, "markers": 1, "marker_share": 1,
 }
+#: The statistics that speak of toxicity: length and layout don't.
+TOXIC_FEATURES = [list(FEATURES).index(f) for f in ("markers", "marker_share")]
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _classes: list[np.ndarray] = []
 
@@ -105,7 +107,7 @@ class QualityModel:
     toxic: boosting.Trees
 
     def rejects(self, x: np.ndarray) -> np.ndarray:
-        return (self.low.probability(x) > 0.5) | (self.toxic.probability(x) > 0.5)
+        return (self.low.probability(x) > 0.5) | (self.toxic.probability(x[:, TOXIC_FEATURES]) > 0.5)
 
 
 def _markers(rows: DataFrame, label: str) -> tuple[str, ...]:
@@ -144,10 +146,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = LABELLED) -> QualityMo
     order = np.lexsort(x.T)
     signs = np.array(list(FEATURES.values()))
     models = []
-    for label in ("low", "toxic"):
+    for label, columns in (("low", list(range(len(FEATURES)))), ("toxic", TOXIC_FEATURES)):
         y = np.array(got[label].to_pylist(), object)
         there = np.array([i for i in order if y[i] is not None], int)
-        models.append(boosting.fit(x[there], (y[there] > 0).astype(float) if len(there) else np.zeros(0), signs))
+        models.append(boosting.fit(x[there][:, columns], (y[there] > 0).astype(float) if len(there) else np.zeros(0), signs[columns]))
     return QualityModel(markers, *models)
 
 
