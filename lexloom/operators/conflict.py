@@ -74,10 +74,11 @@ def verdicts(norms: DataFrame, bounds: DataFrame, categories: DataFrame, open_te
     """One row for each category that the lower instrument names.
 
     (category, label, verdict, low, high, witness, core, resolution,
-    authorised_by, national_via_residual, abstained_on).  CONFLICT with the
+    authorised_by, national_via_residual, abstained_on, caveat).  CONFLICT with the
     clashing rules, COMPLIANT with a rate that satisfies all, ABSTAIN where an
     open-textured rule of the lower instrument reaches a category that it does
-    not name, NO_PAIR where an instrument has no rule.
+    not name, NO_PAIR where an instrument has no rule.  Where such a rule names
+    the category, its terms are a caveat only.
     """
     own = norms.where(F.col("instrument") == lower)
     wanted = own.where(F.col("norm_type") == "rate_constraint").select(F.explode("applies_to").alias("category")).where("category <> '*'").distinct()
@@ -94,7 +95,9 @@ def verdicts(norms: DataFrame, bounds: DataFrame, categories: DataFrame, open_te
     delegations = norms.where(F.col("norm_type") == "delegation").select(F.col("norm").alias("by"), "ord", F.explode("delegated_scope").alias("norm"))
     allowed = rules.where(F.col("instrument") == higher).join(delegations, "norm").groupBy("category").agg(F.min_by("by", "ord").alias("by"))
     vague = rules.where(F.col("instrument") == lower).join(own.select("norm", "applies_to", F.explode("open_textured_terms").alias("term")), "norm").join(open_terms.select(F.col("id").alias("term")), "term", "left_semi")
-    tail = vague.where(~F.array_contains("applies_to", F.col("category"))).groupBy("category").agg(F.array_sort(F.collect_set("term")).alias("abstained_on"))
+    names = F.array_contains("applies_to", F.col("category"))
+    terms = lambda test: F.nullif(F.array_sort(F.collect_set(F.when(test, F.col("term")))), F.array().cast("array<string>"))
+    tail = vague.groupBy("category").agg(terms(~names).alias("abstained_on"), terms(names).alias("named_with"))
     out = out.join(allowed, "category", "left").join(tail, "category", "left").join(categories.select(F.col("id").alias("category"), "label"), "category", "left")
     none = (F.col("n_high") == 0) | (F.col("n_low") == 0)
     verdict = F.when(none, "NO_PAIR").when(F.col("abstained_on").isNotNull(), "ABSTAIN").when(F.col("sat"), "COMPLIANT").otherwise("CONFLICT")
@@ -103,7 +106,7 @@ def verdicts(norms: DataFrame, bounds: DataFrame, categories: DataFrame, open_te
     return out.select(
         "category", "label", verdict.alias("verdict"), "low", "high", F.when(~none, F.col("witness")).alias("witness"), core.alias("core"),
         F.when(clash & (F.col("low_rank") != F.col("high_rank")), "lex_superior").alias("resolution"), F.when(F.col("sat") & ~none, F.col("by")).alias("authorised_by"),
-        F.coalesce("national_via_residual", F.lit(False)).alias("national_via_residual"), "abstained_on",
+        F.coalesce("national_via_residual", F.lit(False)).alias("national_via_residual"), "abstained_on", F.when(F.col("abstained_on").isNull(), F.col("named_with")).alias("caveat"),
     )
 
 

@@ -120,6 +120,7 @@ def test_verdicts(rows):
         "pijat": ("CONFLICT", None, "lex_superior", None, True),
         "listrik": ("COMPLIANT", 0.03, None, "U4", True),
     }
+    assert {r.category: r.caveat for r in got.collect()} == {"bar": ["dll"], "pijat": ["dll"], "listrik": None}
     assert {r.verdict: r.n for r in conflict.tally(got, rows([("dll",)], "id string")).collect()} == {"COMPLIANT": 2, "CONFLICT": 1, "ABSTAIN": 1}
 
 
@@ -136,3 +137,16 @@ def test_open_interval(rows):
 def test_gate(rows):
     c = rows([("a", "sepuluh", "agree", 0.1, None, "10% (sepuluh persen)"), ("b", "lima", None, 0.5, 0.05, "5% (lima persen)"), ("c", "tiga", None, None, None, "kosong")], "case_id string, match_words string, expect_status string, expect_value double, wrong_value double, text string")
     assert {r.case_id: r.verdict for r in calibrate.gate(c).collect()} == {"a": "PASS", "b": "SMOOTHED", "c": "NOT_FOUND"}
+
+
+def test_open_terms_override_and_no_pair(rows):
+    cats = rows([("bar", "Bar", None), ("karaoke", "Karaoke", "bar")], "id string, label string, parent string")
+    schema = "norm string, ord int, instrument string, rank int, norm_type string, applies_to array<string>, is_residual boolean, delegated_scope array<string>, open_textured_terms array<string>"
+    local = [("L1", 1, "L", 7, "rate_constraint", ["bar"], False, None, ["dll"]), ("L2", 2, "L", 7, "rate_constraint", ["karaoke"], False, None, [])]
+    norms = rows([("U1", 0, "U", 3, "rate_constraint", ["bar"], False, None, None), *local], schema)
+    bounds = rows([("U1", 0, "<=", 0.1), ("L1", 0, "==", 0.1), ("L2", 0, "==", 0.1)], "norm string, ord int, op string, value double")
+    terms = rows([("dll",)], "id string")
+    got = {r.category: (r.verdict, r.abstained_on) for r in conflict.verdicts(norms, bounds, cats, terms, "U", "L").collect()}
+    assert got == {"bar": ("COMPLIANT", None), "karaoke": ("ABSTAIN", ["dll"])}
+    alone = conflict.verdicts(norms.where("instrument = 'L'"), bounds, cats, terms, "U", "L").collect()
+    assert {(r.category, r.verdict, r.label) for r in alone} == {("bar", "NO_PAIR", "Bar"), ("karaoke", "NO_PAIR", "Karaoke")}
