@@ -36,6 +36,13 @@ def test_every_code_point_splits_as_the_library_does(vocabulary, library):
     assert TokenCounter(vocabulary).count(texts).tolist() == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_packed_ids_are_those_of_the_library(vocabulary, library):
+    points = [chr(c) for c in range(1, 0x110000, 7) if not 0xD800 <= c < 0xE000]
+    texts = _texts() + ["".join(f"a{c}1{c}!{c} " for c in points[k : k + 50]) for k in range(0, len(points), 50)]
+    encode = packing.encoder(vocabulary)
+    assert [list(encode(t)) for t in texts] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_operator_on_odd_rows(rows, vocabulary):
     data = [(1, None, "x"), (2, "", "x"), (None, "one two", "x"), (3, "ä " * 600, None), (3, "ä " * 600, None)]
     got = token_counts(rows(data, SCHEMA), vocabulary).collect()
