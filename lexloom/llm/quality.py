@@ -1,18 +1,20 @@
 """Quality rules: boosted trees over document statistics.
 
-Counts of a text's words, lines, symbols and repeats, and of marker words
-learnt from the labels, feed two constrained tree ensembles, for low quality
+Counts of a text's words, lines, symbols and repeats, and of marker words and
+word beginnings learnt from the labels, feed two constrained tree ensembles, for low quality
 and for toxicity.  A text is kept if it passes the base rule and both.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,18 +27,23 @@ POINTS = ".,;:!?"
 BLANK = " \t\n\x0b\x0c\r"
 #: Labelled rows that the models are fitted on, at most: those of smallest hash.
 LABELLED = 8192
-#: A marker word occurs in this share of the positive rows at least, is this
-#: many times as frequent there, and there are so many of them at most.
-MARKER_SHARE, MARKER_LIFT, MARKERS = 0.1, 20.0, 64
+#: A marker occurs in so many positive rows at least, whatever their share, and
+#: is this many times as frequent there.
+MARKER_ROWS, MARKER_LIFT = 5, 20.0
+#: Letters of a word beginning that is a marker, and different words of the
+#: positive rows that it begins, at least.
+BEGINNING, BEGUN = range(4, 13), 5
 #: Statistics, and whether the chance of rejection may only rise (+1) with each.
 FEATURES = {
     "words": 0, "word_length": 0, "symbol_share": 1, "dup_line_share": 1, "repeat_share": 1, "stutter_share": 1, "letter_share": -1,
     "number_share": 0, "point_share": 0, "line_words": 0, "distinct_share": 0, "top_share": 0, "markers": 1, "marker_share": 1,
 }
-#: The statistics that speak of toxicity: length and layout don't.
-TOXIC_FEATURES = [list(FEATURES).index(f) for f in ("markers", "marker_share")]
+#: The statistic that speaks of toxicity: length and layout don't, and a long
+#: text holds some marker by chance.
+TOXIC_FEATURES = [list(FEATURES).index("marker_share")]
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _classes: list[np.ndarray] = []
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def counts(text: str, words: list[str]) -> tuple[int, int, int, int, int]:
@@ -62,22 +69,23 @@ def counts(text: str, words: list[str]) -> tuple[int, int, int, int, int]:
     return n, sum(map(len, words)), sum(map(text.count, SYMBOLS)), dup, repeat
 
 
-def marker_hits(lowered: str, markers: tuple[str, ...]) -> tuple[int, int]:
-    """Distinct marker words in a lower-case text, and their occurrences."""
-    distinct = total = 0
-    for m in markers:
-        at, found = lowered.find(m), 0
-        while at >= 0:
-            end = at + len(m)
-            if not (at and lowered[at - 1].isalnum()) and not (end < len(lowered) and lowered[end].isalnum()):
-                found += 1
-            at = lowered.find(m, end)
-        distinct += found > 0
-        total += found
-    return distinct, total
+@dataclass(frozen=True)
+class Markers:
+    """Words, and beginnings of words, that set the positive rows apart."""
 
+    words: frozenset[str] = frozenset()
+    beginnings: frozenset[str] = frozenset()
 
-def statistics(texts: list[str], markers: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    def hits(self, text: str) -> tuple[int, int]:
+        """Distinct marker words in a text, and their occurrences."""
+        if not self.words and not self.beginnings:
+            return 0, 0
+        sizes = sorted({len(b) for b in self.beginnings})
+        found = [n for w, n in Counter(_LETTERS.findall(text.lower())).items() if w in self.words or any(w[:k] in self.beginnings for k in sizes)]
+        return len(found), sum(found)
+
+
+def statistics(texts: list[str], markers: Markers) -> tuple[np.ndarray, np.ndarray]:
     """Base counts and model features of texts."""
     if not _classes:
         _classes.append(char_classes())
@@ -90,7 +98,7 @@ def statistics(texts: list[str], markers: tuple[str, ...]) -> tuple[np.ndarray,
             continue
         kinds = np.bincount(_classes[0][np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)], minlength=4)
         freq = Counter(words)
-        distinct, total = marker_hits(text.lower(), markers) if markers else (0, 0)
+        distinct, total = markers.hits(text)
         lines = text.count("\n") + 1
         stutter = sum(map(str.__eq__, words, words[1:]))
         x[i] = (n, chars / n, symbols / chars, dup / lines, min(1.0, repeat / n), stutter / n, kinds[LETTER] / chars, kinds[NUMBER] / chars,
@@ -102,7 +110,7 @@ def statistics(texts: list[str], markers: tuple[str, ...]) -> tuple[np.ndarray,
 class QualityModel:
     """Marker words, and the chance of low quality and of toxicity."""
 
-    markers: tuple[str, ...]
+    markers: Markers
     low: boosting.Trees
     toxic: boosting.Trees
 
@@ -110,17 +118,40 @@ class QualityModel:
         return (self.low.probability(x) > 0.5) | (self.toxic.probability(x[:, TOXIC_FEATURES]) > 0.5)
 
 
-def _markers(rows: DataFrame, label: str) -> tuple[str, ...]:
-    """Words that set the positive rows apart."""
-    both = rows.where(F.col(label).isNotNull())
-    n = both.agg(F.count_if(F.col(label) > 0).alias("p"), F.count_if(F.col(label) <= 0).alias("q")).first()
+def _markers(rows: DataFrame, label: str) -> Markers:
+    """Words and word beginnings that set the positive rows apart, however few
+    of these they occur in: a language with few labels has markers of its own.
+    """
+    both = rows.where(F.col(label).isNotNull()).select((F.col(label) > 0).alias("positive"), "text")
+    n = both.agg(F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("q")).first()
     if not n["p"] or not n["q"]:
-        return ()
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\p{L}[\p{L}\p{M}'-]*)"), 1))
-    each = both.select(label, F.explode(words).alias("word")).groupBy("word").agg(F.count_if(F.col(label) > 0).alias("p"), F.count_if(F.col(label) <= 0).alias("q"))
-    lift = ((F.col("p") + 0.5) / (n["p"] + 1)) / ((F.col("q") + 0.5) / (n["q"] + 1))
-    best = each.where((F.col("p") >= max(5, MARKER_SHARE * n["p"])) & (lift >= MARKER_LIFT) & (F.length("word") >= 3))
-    return tuple(r["word"] for r in best.orderBy(F.desc("p"), "word").limit(MARKERS).collect())
+        return Markers()
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for positive, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = sorted(w for w in set(_LETTERS.findall(text.lower())) if len(w) >= 3)
+                begun = Counter(w[:k] for w in words for k in BEGINNING if k < len(w))
+                size = len(words) + len(begun)
+                columns = [positive] * size, words + list(begun), [True] * len(words) + [False] * len(begun), [1] * len(words) + list(begun.values())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.bool_(), pa.string(), pa.bool_(), pa.int64()), strict=True)], ["positive", "part", "whole", "n"])
+
+    def lift(p: str, q: str, of_p: int, of_q: int) -> Column:
+        return ((F.col(p) + 0.5) / (of_p + 1)) / ((F.col(q) + 0.5) / (of_q + 1))
+
+    clean = ~F.col("positive")
+    each = both.mapInArrow(parts, "positive boolean, part string, whole boolean, n long").groupBy("part", "whole").agg(
+        F.count_if("positive").alias("p"), F.count_if(clean).alias("q"), F.sum(F.when(F.col("positive"), F.col("n")).otherwise(0)).alias("np"), F.sum(F.when(clean, F.col("n")).otherwise(0)).alias("nq")
+    ).cache()
+    words = each.where((F.col("p") >= MARKER_ROWS) & F.col("whole") & (lift("p", "q", n["p"], n["q"]) >= MARKER_LIFT))
+    # a beginning is met by chance in long texts: what counts is how many of a text's words it begins
+    of = each.where("whole").agg(F.coalesce(F.sum("p"), F.lit(0)).alias("p"), F.coalesce(F.sum("q"), F.lit(0)).alias("q")).first()
+    some = F.transform(F.sequence(F.lit(BEGINNING[0]), F.least(F.lit(BEGINNING[-1]), F.length("part") - 1)), lambda k: F.substring("part", F.lit(1), k))
+    begun = each.where((F.col("p") > 0) & F.col("whole") & (F.length("part") > BEGINNING[0])).select(F.explode(some).alias("part")).groupBy("part").count().where(F.col("count") >= BEGUN)
+    beginnings = each.where((F.col("p") >= MARKER_ROWS) & ~F.col("whole") & (lift("np", "nq", of["p"], of["q"]) >= MARKER_LIFT)).join(begun, "part", "left_semi")
+    found = Markers(frozenset(r["part"] for r in words.select("part").collect()), frozenset(r["part"] for r in beginnings.select("part").collect()))
+    each.unpersist()
+    return found
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = LABELLED) -> QualityModel:

@@ -107,6 +107,20 @@ def test_quality_verdicts(spark):
     assert sum(low) <= 0.05 * len(low) and sum(good) >= 0.8 * len(good)
 
 
+def test_toxic_texts_are_found_in_every_language(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    model = quality.fit(docs.select("doc_id", "text"), labels.where(~held))
+    got = docs.join(labels.where(held), "doc_id").select("text", "lang", "toxic").collect()
+    x = quality.statistics([r.text or "" for r in got], model.markers)[1]
+    toxic = model.toxic.probability(x[:, quality.TOXIC_FEATURES]) > 0.5
+    for lang in ("en", "fr", "de", "es"):
+        found = [t for t, r in zip(toxic, got, strict=True) if r.lang == lang and r.toxic]
+        clean = [t for t, r in zip(toxic, got, strict=True) if r.lang == lang and not r.toxic]
+        assert sum(found) >= 0.9 * len(found) > 0 and sum(clean) <= 0.05 * len(clean)
+
+
 def test_quality_without_labels(spark, rows):
     docs = _docs(rows, [(1, " ".join(f"w{i}" for i in range(50))), (2, None)])
     model = quality.fit(docs, rows([], "doc_id long, quality int, toxic int"))
