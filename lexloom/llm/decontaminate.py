@@ -2,8 +2,8 @@
 
 Numbers, names and units in a text become typed placeholders.  Windows of the
 resulting templates are matched by hash with those of the benchmark items; a
-document that covers enough of an item is contaminated if what fills the
-placeholders is one consistent renaming of what fills the item's.  So a
+document is contaminated if one occurrence in it covers enough of an item and
+what fills its placeholders is one consistent renaming of what fills the item's.  So a
 question asked again with other numbers is found like a verbatim copy.
 """
 
@@ -144,40 +144,65 @@ class Benchmark:
         return cls(hashes, np.array(keys, np.int64)[owner] if keys else owner, at - begin[owner] if keys else at, dict(zip(keys, t.sizes.tolist(), strict=True)), cut(t.token), cut(t.value))
 
 
-def judge(pairs: list[tuple[int, int]], tokens: np.ndarray, item_values: np.ndarray, doc_values: np.ndarray, size: int = WINDOW) -> tuple[int, int, float, bool] | None:
-    """Whether matched windows make a document contain an item.
-
-    pairs: (position in the item, position in doc_values) of each window.
-    Returns covered tokens, slots, their agreement and whether any was renamed.
-    """
-    covered = np.zeros(len(tokens), bool)
-    filled: dict[int, Counter] = defaultdict(Counter)
-    seen: dict[int, set] = defaultdict(set)
-    for i, d in pairs:
-        covered[i : i + size] = True
-        for k in range(size):
-            if tokens[i + k] <= UNIT:
-                seen[i + k].add(int(doc_values[d + k]))
-    if covered.sum() < COVER * len(tokens):
+def _verdict(filled: dict[int, int], tokens: np.ndarray, item_values: np.ndarray) -> tuple[int, int, float, bool] | None:
+    """The verdict on one occurrence: the value found at each item position."""
+    if len(filled) < COVER * len(tokens):
         return None
-    for position, found in seen.items():
-        for v in found:
-            filled[int(item_values[position])][v] += 1
-    total = sum(sum(c.values()) for c in filled.values())
-    agree = sum(max(c.values()) for c in filled.values()) / total if total else 1.0
+    renaming: dict[int, Counter] = defaultdict(Counter)
+    slots = [p for p in filled if tokens[p] <= UNIT]
+    for p in slots:
+        renaming[int(item_values[p])][filled[p]] += 1
+    agree = sum(max(c.values()) for c in renaming.values()) / len(slots) if slots else 1.0
     if agree < AGREE:
         return None
-    renamed = any(c.most_common(1)[0][0] != v for v, c in filled.items())
-    return int(covered.sum()), len(seen), agree, renamed
+    return len(filled), len(slots), agree, any(c.most_common(1)[0][0] != v for v, c in renaming.items())
+
+
+def judge(hits: list[tuple[int, int, int]], tokens: np.ndarray, item_values: np.ndarray, doc_values: np.ndarray, size: int = WINDOW) -> tuple[int, int, float, bool] | None:
+    """Whether matched windows make a document contain an item.
+
+    hits: (position in the item, position in the text, position in doc_values)
+    of each window.  Hits of one alignment, the difference of the two first,
+    are an occurrence of the item, which is judged on its own, and again with
+    what nearby alignments add where words were put in or left out.
+    Returns covered tokens, slots, their agreement and whether any was renamed,
+    of the best occurrence: verbatim before renamed.
+    """
+    by_shift: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for i, d, v in hits:
+        by_shift[d - i].append((i, v))
+    shifts = sorted(by_shift)
+    gap = max(size, len(tokens) // 2)
+    best = None
+    low = high = 0
+    for shift in shifts:
+        while shifts[low] < shift - gap:
+            low += 1
+        while high < len(shifts) and shifts[high] <= shift + gap:
+            high += 1
+        filled: dict[int, int] = {}
+        for near in sorted(shifts[low:high], key=lambda s: (abs(s - shift), s)):
+            if len(filled) == len(tokens):
+                break
+            for i, v in by_shift[near]:
+                for k in range(size):
+                    filled.setdefault(i + k, int(doc_values[v + k]))
+            if near == shift:
+                verdicts = [_verdict(filled, tokens, item_values)]
+        verdicts.append(_verdict(filled, tokens, item_values))
+        best = max((v for v in [best, *verdicts] if v), key=lambda v: (not v[3], v[2], v[0]), default=None)
+        if best and best[0] == len(tokens) and best[2] == 1.0 and not best[3]:
+            break
+    return best
 
 
 FIELDS = "item_id long, covered long, item_tokens long, slots long, agreement double, renamed boolean"
 
 
-def _rows(key, found: dict[int, list[tuple[int, int]]], bench: Benchmark, values: np.ndarray) -> list[tuple]:
+def _rows(key, found: dict[int, list[tuple[int, int, int]]], bench: Benchmark, values: np.ndarray) -> list[tuple]:
     out = []
-    for item, pairs in sorted(found.items()):
-        verdict = judge(pairs, bench.tokens[item], bench.values[item], values)
+    for item, hits in sorted(found.items()):
+        verdict = judge(hits, bench.tokens[item], bench.values[item], values)
         if verdict:
             out.append((key, item, verdict[0], bench.sizes[item], *verdict[1:]))
     return out
@@ -225,7 +250,7 @@ def _sent(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 for w in hit:
                     k = low[w]
                     while k < len(bench.hashes) and bench.hashes[k] == hashes[w]:
-                        found[int(t.owner[at[w]])][int(bench.item[k])].append((int(bench.at[k]), int(at[w])))
+                        found[int(t.owner[at[w]])][int(bench.item[k])].append((int(bench.at[k]), int(at[w]), int(at[w])))
                         k += 1
                 for doc, items in sorted(found.items()):
                     rows += _rows(keys[a + doc], items, bench, t.value)
@@ -247,18 +272,19 @@ def _shuffled(docs: DataFrame, rows: DataFrame) -> DataFrame:
                 at, hashes = windows(t)
                 spans = t.value[at[:, None] + np.arange(WINDOW)].view(np.int64).ravel() if len(at) else np.zeros(0, np.int64)
                 held = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * WINDOW, pa.int32()), pa.array(spans))
-                yield pa.RecordBatch.from_arrays([keys.take(pa.array(t.owner[at] + a)), pa.array(hashes.view(np.int64)), held], ["doc_id", "h", "found"])
+                begin = np.cumsum(t.sizes) - t.sizes
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(t.owner[at] + a)), pa.array(hashes.view(np.int64)), pa.array(at - begin[t.owner[at]], pa.int64()), held], ["doc_id", "h", "place", "found"])
 
     def judged(table: pa.Table) -> pa.Table:
         tokens = np.array(table.column("tokens")[0].as_py(), np.int64).view(np.uint64)
         values = np.array(table.column("vals")[0].as_py(), np.int64).view(np.uint64)
         spans = np.array(table.column("found").to_pylist(), np.int64).view(np.uint64)
-        pairs = [(i, k * WINDOW) for k, i in enumerate(table.column("at").to_pylist())]
-        verdict = judge(pairs, tokens, values, spans.ravel())
+        hits = [(i, d, k * WINDOW) for k, (i, d) in enumerate(zip(table.column("at").to_pylist(), table.column("place").to_pylist(), strict=True))]
+        verdict = judge(hits, tokens, values, spans.ravel())
         rows = [(table.column("doc_id")[0].as_py(), table.column("item_id")[0].as_py(), verdict[0], len(tokens), *verdict[1:])] if verdict else []
         return pa.Table.from_batches([_table(rows)])
 
-    each = docs.mapInArrow(run, "doc_id long, h long, found array<long>")
+    each = docs.mapInArrow(run, "doc_id long, h long, place long, found array<long>")
     return each.join(rows, "h").groupBy("doc_id", "item_id").applyInArrow(judged, f"doc_id long, {FIELDS}")
 
 

@@ -223,6 +223,21 @@ def test_inconsistent_renaming_is_no_match(rows):
     assert decontaminate.matches(_docs(rows, [(1, doc)]), rows([(1, item)], "item_id long, text string")).collect() == []
 
 
+def test_each_occurrence_is_judged_alone(rows):
+    first = "Carol Smith bought 15 apples for 45 dollars and then gave 6 apples to Peter before she went home on Friday"
+    second = "Dora Jones bought 17 apples for 51 dollars and then gave 8 apples to Oscar before she went home on Sunday"
+    start, end = "so bought 1 apples for 2 dollars and then gave 3 apples", "filler words stand here " * 30
+    docs = [
+        (1, f"first, {QUESTION}. then, {first}."), (2, f"first, {first}. then, {second}. last, {first.replace('15', '99')}."),
+        (3, f"first, {QUESTION}. " + "".join(f"{end} so x bought {i} apples for {i + 1} dollars and then gave {i} apples. " for i in range(40))),
+        (4, f"so 9 apples for 2 dollars and then gave 3 apples {end} to Peter before she went home on Friday"),
+    ]
+    bench = rows([(7, QUESTION)], "item_id long, text string")
+    for limit in (decontaminate.SENT_WINDOWS, 0):
+        got = {r.doc_id: r.renamed for r in decontaminate.matches(_docs(rows, docs), bench, limit).collect()}
+        assert got == {1: False, 2: True, 3: False}
+
+
 def test_both_joins_find_the_planted_passages(spark):
     d = "/root/testdata/sf0.01"
     docs, bench = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/benchmark.parquet")
