@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -58,16 +59,40 @@ class OpenBins:
         return chosen
 
 
+#: A run of white space on which the stack of tiktoken's splitter might overflow.
+_LONG_BLANK = re.compile(r"\s{100000}")
 _encoders: dict[str, tuple] = {}
 
 
 def encoder(path: str):
-    """ids(text) for a byte-level BPE file; special strings become their ids."""
+    """ids(text) for a byte-level BPE file; special strings become their ids.
+
+    A text that tiktoken can't split is encoded by ``tokenizers``.
+    """
     if path not in _encoders:
         vocabulary = Vocabulary(path)
         made = vocabulary.encoder()
         specials = tuple(vocabulary.specials)
-        _encoders[path] = (lambda t: made.encode(t, allowed_special="all") if any(s in t for s in specials) else made.encode_ordinary(t),)
+        library = []
+
+        def slowly(text: str) -> list[int]:
+            if not library:
+                from tokenizers import Tokenizer
+
+                library.append(Tokenizer.from_file(path))
+            return library[0].encode(text, add_special_tokens=False).ids
+
+        def encode(text: str) -> list[int]:
+            if len(text) >= 100000 and _LONG_BLANK.search(text):
+                return slowly(text)
+            try:
+                return made.encode(text, allowed_special="all") if any(s in text for s in specials) else made.encode_ordinary(text)
+            except BaseException as e:
+                if type(e).__name__ != "PanicException":  # derives from BaseException alone
+                    raise
+                return slowly(text)
+
+        _encoders[path] = (encode,)
     return _encoders[path][0]
 
 

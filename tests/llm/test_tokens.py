@@ -43,6 +43,15 @@ def test_packed_ids_are_those_of_the_library(vocabulary, library):
     assert [list(encode(t)) for t in texts] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("run", [" ", "\n", " \n", "\u3000"])
+def test_packing_takes_millions_of_white_space(rows, vocabulary, library, run):
+    text = "a" + run * (3_000_000 // len(run)) + "x<|endoftext|> b"
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert list(packing.encoder(vocabulary)(text)) == ids
+    if run == " ":
+        _check_packing(packing.pack(rows([(1, text, "x"), (2, "one", "x")], SCHEMA), vocabulary).collect(), {1: [*ids, 2], 2: [*library.encode("one").ids, 2]})
+
+
 def test_operator_on_odd_rows(rows, vocabulary):
     data = [(1, None, "x"), (2, "", "x"), (None, "one two", "x"), (3, "ä " * 600, None), (3, "ä " * 600, None)]
     got = token_counts(rows(data, SCHEMA), vocabulary).collect()
