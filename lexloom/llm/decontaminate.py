@@ -4,7 +4,8 @@ Numbers, names and units in a text become typed placeholders.  Windows of the
 resulting templates are matched by hash with those of the benchmark items; a
 document is contaminated if one occurrence in it covers enough of an item and
 what fills its placeholders is one consistent renaming of what fills the item's.  So a
-question asked again with other numbers is found like a verbatim copy.
+question asked again with other numbers is found like a verbatim copy.  Beside
+that, any verbatim run of an item's words is a match, and so is a whole short item.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ WINDOW, LITERALS = 8, 5
 #: Share of an item's tokens that matching windows cover, at least, and share
 #: of the placeholder positions that follow the renaming, at least.
 COVER, AGREE = 0.5, 0.8
+#: Words of a verbatim run that is a match whatever its share of the item; an
+#: item of fewer words is one run.
+EXACT = 13
 #: Windows of the benchmark that are sent to every task, at most (16 MB); a
 #: larger benchmark is joined by a shuffle.
 SENT_WINDOWS = 1 << 20
@@ -38,6 +42,8 @@ _UNITS = (
 ).split()
 _ODD = np.random.default_rng(0x7E3A).integers(1, 1 << 63, WINDOW, dtype=np.uint64) | np.uint64(1)
 
+_EXACT_ODD = np.random.default_rng(0x7E3B).integers(1, 1 << 63, EXACT, dtype=np.uint64) | np.uint64(1)
+
 
 def _hash_of(words: list[str]) -> np.ndarray:
     raw, begin, end, _ = word_spans([" ".join(words)])
@@ -55,6 +61,10 @@ class Templates:
     value: np.ndarray  # hash of what stands there
     owner: np.ndarray  # its text
     sizes: np.ndarray  # tokens of each text
+    word: np.ndarray  # hash of each word, placeholder or not, adjacent names apart
+    word_owner: np.ndarray
+    word_sizes: np.ndarray  # words of each text
+    place: np.ndarray  # the template token that holds the word
 
 
 def templates(texts: list[str]) -> Templates:
@@ -93,17 +103,18 @@ def templates(texts: list[str]) -> Templates:
     is_unit[1:] = is_number[:-1] & ~is_number[1:] & np.isin(value[1:], _UNIT_HASH) & (owner[1:] == owner[:-1])
     is_name &= ~is_unit
     token = np.where(is_number, NUMBER, np.where(is_unit, UNIT, np.where(is_name, NAME, value | np.uint64(4))))
+    word, word_owner, place = value, owner, np.arange(n)
     joined = np.zeros(n, bool)
     joined[1:] = is_name[1:] & is_name[:-1] & (owner[1:] == owner[:-1])
     if joined.any():
-        group = np.cumsum(~joined) - 1
+        place = group = np.cumsum(~joined) - 1
         order = np.arange(n).astype(np.uint64) - np.flatnonzero(~joined)[group].astype(np.uint64)
         merged = np.zeros(group[-1] + 1, np.uint64)
         np.add.at(merged, group, mix(value + order))
         single = np.bincount(group) == 1
         value = np.where(single, value[~joined], merged)
         token, owner = token[~joined], owner[~joined]
-    return Templates(token, value, owner, np.bincount(owner, minlength=len(texts)))
+    return Templates(token, value, owner, np.bincount(owner, minlength=len(texts)), word, word_owner, np.bincount(word_owner, minlength=len(texts)), place)
 
 
 def windows(t: Templates, size: int = WINDOW, literals: int = LITERALS) -> tuple[np.ndarray, np.ndarray]:
@@ -121,9 +132,33 @@ def windows(t: Templates, size: int = WINDOW, literals: int = LITERALS) -> tuple
     return at, mix(total[at])
 
 
+def runs(t: Templates, sizes: set[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each size its runs of words: start and hash of every one."""
+    total = np.zeros(len(t.word), np.uint64)
+    spread = mix(t.word)
+    for k in range(min(max(sizes, default=0), len(t.word))):
+        n = len(t.word) - k
+        total = total[:n] + spread[k:] * _EXACT_ODD[k]
+        if k + 1 in sizes:
+            at = np.flatnonzero(t.word_owner[:n] == t.word_owner[k:])
+            yield k + 1, at, mix(total[at] + np.uint64(k + 1))
+
+
+def _lookup(held: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(index in hashes, index in held) of all that are equal; held is sorted."""
+    if not len(held):
+        return
+    low = np.searchsorted(held, hashes, "left")
+    for w in np.flatnonzero(held[np.minimum(low, len(held) - 1)] == hashes).tolist():
+        k = int(low[w])
+        while k < len(held) and held[k] == hashes[w]:
+            yield w, k
+            k += 1
+
+
 @dataclass
 class Benchmark:
-    """Windows of all items, sorted by hash, with each item's tokens and values."""
+    """Windows and runs of all items, sorted by hash, with each item's tokens and values."""
 
     hashes: np.ndarray
     item: np.ndarray
@@ -131,6 +166,11 @@ class Benchmark:
     sizes: dict[int, int]
     tokens: dict[int, np.ndarray]
     values: dict[int, np.ndarray]
+    run_hashes: np.ndarray
+    run_item: np.ndarray
+    run_at: np.ndarray  # position in the item's words
+    run_size: np.ndarray
+    places: dict[int, np.ndarray]  # template token of each word of an item
 
     @classmethod
     def of(cls, keys: list[int], texts: list[str]) -> Benchmark:
@@ -140,8 +180,21 @@ class Benchmark:
         order = np.argsort(hashes, kind="stable")
         at, hashes = at[order], hashes[order]
         owner = t.owner[at]
-        cut = lambda x: dict(zip(keys, np.split(x, begin[1:]), strict=True)) if keys else {}
-        return cls(hashes, np.array(keys, np.int64)[owner] if keys else owner, at - begin[owner] if keys else at, dict(zip(keys, t.sizes.tolist(), strict=True)), cut(t.token), cut(t.value))
+        item = np.array(keys, np.int64)
+        first = np.cumsum(t.word_sizes) - t.word_sizes
+        whole = np.minimum(t.word_sizes, EXACT)
+        parts = [(h[there], o[there], (x - first[o])[there], np.full(int(there.sum()), size)) for size, x, h in runs(t, set(whole.tolist())) for o in [t.word_owner[x]] for there in [whole[o] == size]]
+        run = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3]
+        run = [c[np.argsort(run[0], kind="stable")] for c in run]
+        cut = lambda x, at: dict(zip(keys, np.split(x, at[1:]), strict=True)) if keys else {}
+        places = {k: p - p[0] if len(p) else p for k, p in cut(t.place, first).items()}
+        return cls(hashes, item[owner], at - begin[owner], dict(zip(keys, t.sizes.tolist(), strict=True)), cut(t.token, begin), cut(t.value, begin), run[0], item[run[1]], run[2], run[3], places)
+
+
+def covered_by(found: list[tuple[int, int]], tokens: np.ndarray, places: np.ndarray) -> tuple[int, int, float, bool]:
+    """The verdict on verbatim runs: (position in the item's words, size) of each."""
+    covered = np.unique(np.concatenate([places[i : i + size] for i, size in found]))
+    return len(covered), int((tokens[covered] <= UNIT).sum()), 1.0, False
 
 
 def _verdict(filled: dict[int, int], tokens: np.ndarray, item_values: np.ndarray) -> tuple[int, int, float, bool] | None:
@@ -199,10 +252,12 @@ def judge(hits: list[tuple[int, int, int]], tokens: np.ndarray, item_values: np.
 FIELDS = "item_id long, covered long, item_tokens long, slots long, agreement double, renamed boolean"
 
 
-def _rows(key, found: dict[int, list[tuple[int, int, int]]], bench: Benchmark, values: np.ndarray) -> list[tuple]:
+def _rows(key, found: dict[int, list[tuple[int, int, int]]], verbatim: dict[int, list[tuple[int, int]]], bench: Benchmark, values: np.ndarray) -> list[tuple]:
     out = []
-    for item, hits in sorted(found.items()):
-        verdict = judge(hits, bench.tokens[item], bench.values[item], values)
+    for item in sorted(found.keys() | verbatim.keys()):
+        verdict = judge(found[item], bench.tokens[item], bench.values[item], values) if item in found else None
+        if not verdict and item in verbatim:
+            verdict = covered_by(verbatim[item], bench.tokens[item], bench.places[item])
         if verdict:
             out.append((key, item, verdict[0], bench.sizes[item], *verdict[1:]))
     return out
@@ -216,19 +271,22 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(h, item_id, at, tokens, values, sizes): the items' windows as rows."""
+    """(h, size, item_id, at, tokens, vals, places): the items' windows (size 0)
+    and runs as rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_pylist()
             for key, text in zip(keys, batch.column(1).to_pylist(), strict=True):
                 b = Benchmark.of([key], [text])
-                n = len(b.hashes)
+                h, size, at = np.concatenate([b.hashes, b.run_hashes]), np.concatenate([np.zeros(len(b.hashes), np.int64), b.run_size]), np.concatenate([b.at, b.run_at])
+                n = len(h)
                 same = lambda x, n=n: pa.array([x.view(np.int64).tolist()] * n, pa.list_(pa.int64()))
                 if n:
-                    yield pa.RecordBatch.from_arrays([pa.array(b.hashes.view(np.int64)), pa.array([key] * n, pa.int64()), pa.array(b.at, pa.int64()), same(b.tokens[key]), same(b.values[key])], ["h", "item_id", "at", "tokens", "vals"])
+                    columns = [pa.array(h.view(np.int64)), pa.array(size, pa.int64()), pa.array([key] * n, pa.int64()), pa.array(at, pa.int64()), same(b.tokens[key]), same(b.values[key]), same(b.places[key])]
+                    yield pa.RecordBatch.from_arrays(columns, ["h", "size", "item_id", "at", "tokens", "vals", "places"])
 
-    return benchmark.mapInArrow(run, "h long, item_id long, at long, tokens array<long>, vals array<long>")
+    return benchmark.mapInArrow(run, "h long, size long, item_id long, at long, tokens array<long>, vals array<long>, places array<long>")
 
 
 def _sent(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -238,22 +296,22 @@ def _sent(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench: Benchmark = held.value
+        sizes = set(bench.run_size.tolist())
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = []
             for a, b in slices([len(t) for t in texts], BATCH):
                 t = templates(texts[a:b])
                 at, hashes = windows(t)
-                low = np.searchsorted(bench.hashes, hashes, "left")
-                hit = np.flatnonzero((low < len(bench.hashes)) & (bench.hashes[np.minimum(low, len(bench.hashes) - 1)] == hashes)) if len(bench.hashes) else []
                 found: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
-                for w in hit:
-                    k = low[w]
-                    while k < len(bench.hashes) and bench.hashes[k] == hashes[w]:
-                        found[int(t.owner[at[w]])][int(bench.item[k])].append((int(bench.at[k]), int(at[w]), int(at[w])))
-                        k += 1
-                for doc, items in sorted(found.items()):
-                    rows += _rows(keys[a + doc], items, bench, t.value)
+                verbatim: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
+                for w, k in _lookup(bench.hashes, hashes):
+                    found[int(t.owner[at[w]])][int(bench.item[k])].append((int(bench.at[k]), int(at[w]), int(at[w])))
+                for _, start, hashes in runs(t, sizes):
+                    for w, k in _lookup(bench.run_hashes, hashes):
+                        verbatim[int(t.word_owner[start[w]])][int(bench.run_item[k])].append((int(bench.run_at[k]), int(bench.run_size[k])))
+                for doc in sorted(found.keys() | verbatim.keys()):
+                    rows += _rows(keys[a + doc], found[doc], verbatim[doc], bench, t.value)
             if rows:
                 yield _table(rows)
             release()
@@ -263,6 +321,8 @@ def _sent(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _shuffled(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Matches by a hash join of window rows, for a benchmark of any size."""
+    names = ["doc_id", "h", "size", "place", "found"]
+    sizes = {r["size"] for r in rows.where("size > 0").select("size").distinct().collect()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,28 +333,35 @@ def _shuffled(docs: DataFrame, rows: DataFrame) -> DataFrame:
                 spans = t.value[at[:, None] + np.arange(WINDOW)].view(np.int64).ravel() if len(at) else np.zeros(0, np.int64)
                 held = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * WINDOW, pa.int32()), pa.array(spans))
                 begin = np.cumsum(t.sizes) - t.sizes
-                yield pa.RecordBatch.from_arrays([keys.take(pa.array(t.owner[at] + a)), pa.array(hashes.view(np.int64)), pa.array(at - begin[t.owner[at]], pa.int64()), held], ["doc_id", "h", "place", "found"])
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(t.owner[at] + a)), pa.array(hashes.view(np.int64)), pa.array(np.zeros(len(at), np.int64)), pa.array(at - begin[t.owner[at]], pa.int64()), held], names)
+                for size, start, hashes in runs(t, sizes):
+                    n = len(start)
+                    none = pa.ListArray.from_arrays(pa.array(np.zeros(n + 1), pa.int32()), pa.array([], pa.int64()))
+                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(t.word_owner[start] + a)), pa.array(hashes.view(np.int64)), pa.array(np.full(n, size)), pa.array(np.zeros(n, np.int64)), none], names)
 
     def judged(table: pa.Table) -> pa.Table:
         tokens = np.array(table.column("tokens")[0].as_py(), np.int64).view(np.uint64)
         values = np.array(table.column("vals")[0].as_py(), np.int64).view(np.uint64)
-        spans = np.array(table.column("found").to_pylist(), np.int64).view(np.uint64)
-        hits = [(i, d, k * WINDOW) for k, (i, d) in enumerate(zip(table.column("at").to_pylist(), table.column("place").to_pylist(), strict=True))]
-        verdict = judge(hits, tokens, values, spans.ravel())
+        places = np.array(table.column("places")[0].as_py(), np.int64)
+        each = list(zip(*(table.column(c).to_pylist() for c in ("size", "at", "place", "found")), strict=True))
+        spans = np.array([f for size, _, _, f in each if not size], np.int64).view(np.uint64)
+        hits = [(i, d, k * WINDOW) for k, (i, d) in enumerate((i, d) for size, i, d, _ in each if not size)]
+        verbatim = [(i, size) for size, i, _, _ in each if size]
+        verdict = judge(hits, tokens, values, spans.ravel()) or (covered_by(verbatim, tokens, places) if verbatim else None)
         rows = [(table.column("doc_id")[0].as_py(), table.column("item_id")[0].as_py(), verdict[0], len(tokens), *verdict[1:])] if verdict else []
         return pa.Table.from_batches([_table(rows)])
 
-    each = docs.mapInArrow(run, "doc_id long, h long, place long, found array<long>")
-    return each.join(rows, "h").groupBy("doc_id", "item_id").applyInArrow(judged, f"doc_id long, {FIELDS}")
+    each = docs.mapInArrow(run, "doc_id long, h long, size long, place long, found array<long>")
+    return each.join(rows, ["h", "size"]).groupBy("doc_id", "item_id").applyInArrow(judged, f"doc_id long, {FIELDS}")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, sent_windows: int = SENT_WINDOWS) -> DataFrame:
     """(doc_id, item_id, ...) for every document and item that it contains.
 
-    covered and item_tokens: tokens of the item that matching windows cover,
+    covered and item_tokens: tokens of the item that matching windows or runs cover,
     and all of them; slots, agreement: placeholders met, and the share of them
     that one renaming explains; renamed: whether any was renamed.  Null and
-    empty texts match nothing, nor do items of fewer than ``WINDOW`` tokens;
+    empty texts match nothing, nor do items without a word;
     repeated rows match alike; an item whose key is null is left out.
     """
     docs, items = keyed_text(docs), keyed_text(benchmark, "item_id").where(F.col("item_id").isNotNull()).dropDuplicates(["item_id"])

@@ -238,6 +238,19 @@ def test_each_occurrence_is_judged_alone(rows):
         assert got == {1: False, 2: True, 3: False}
 
 
+def test_verbatim_parts_and_short_items_match(rows):
+    long = QUESTION + " and the shop that sold them had closed early because of heavy snow in the valley while nobody was looking at all"
+    dense = "On 3 May 1 2 3 4 5 6 7 8 9 10 11 12 13 14"
+    docs = [
+        (1, "so " + " ".join(long.split()[-13:]) + " end"), (2, "so " + " ".join(long.split()[-12:]) + " end"), (3, f"see. {dense} there"),
+        (4, "what is the Capital of France, asked she"), (5, "what is the capital of Spain"), (6, "x " + " ".join(QUESTION.split()[:13])),
+    ]
+    bench = rows([(7, long), (8, dense), (9, "Capital of France?"), (10, "..."), (11, "")], "item_id long, text string")
+    for limit in (decontaminate.SENT_WINDOWS, 0):
+        got = decontaminate.matches(_docs(rows, docs), bench, limit).collect()
+        assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 7), (3, 8), (4, 9), (6, 7)] and not any(r.renamed for r in got)
+
+
 def test_both_joins_find_the_planted_passages(spark):
     d = "/root/testdata/sf0.01"
     docs, bench = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/benchmark.parquet")
