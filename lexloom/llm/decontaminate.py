@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import keyed_text, release, slices, stored
+from .runtime import free_name, keyed_text, release, slices, stored
 from .shingles import mix, span_hashes, word_spans
 
 #: Template tokens of a window, and literal ones among them, at least.
@@ -252,53 +252,63 @@ def judge(hits: list[tuple[int, int, int]], tokens: np.ndarray, item_values: np.
 FIELDS = "item_id long, covered long, item_tokens long, slots long, agreement double, renamed boolean"
 
 
-def _rows(key, found: dict[int, list[tuple[int, int, int]]], verbatim: dict[int, list[tuple[int, int]]], bench: Benchmark, values: np.ndarray) -> list[tuple]:
+def _keyed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """(name, key, text): rows with the hash of their key and text, which tells
+    texts of one key apart and is there where the key is null."""
+    return keyed_text(df, key).select(_row(key).alias(name), key, "text")
+
+
+def _row(key: str) -> Column:
+    """Hash of a row's key and text."""
+    return F.md5(F.concat(F.coalesce(F.col(key).cast("long").cast("string"), F.lit("")), F.lit("\n"), F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("binary"))
+
+
+def _rows(row, key, found: dict[int, list[tuple[int, int, int]]], verbatim: dict[int, list[tuple[int, int]]], bench: Benchmark, values: np.ndarray) -> list[tuple]:
     out = []
     for item in sorted(found.keys() | verbatim.keys()):
         verdict = judge(found[item], bench.tokens[item], bench.values[item], values) if item in found else None
         if not verdict and item in verbatim:
             verdict = covered_by(verbatim[item], bench.tokens[item], bench.places[item])
         if verdict:
-            out.append((key, item, verdict[0], bench.sizes[item], *verdict[1:]))
+            out.append((row, key, item, verdict[0], bench.sizes[item], *verdict[1:]))
     return out
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 5 + [pa.float64(), pa.bool_()]
-    names = ["doc_id", "item_id", "covered", "item_tokens", "slots", "agreement", "renamed"]
-    columns = zip(*rows, strict=True) if rows else [[]] * 7
+    kinds = [pa.string(), *[pa.int64()] * 5, pa.float64(), pa.bool_()]
+    names = ["row", "doc_id", "item_id", "covered", "item_tokens", "slots", "agreement", "renamed"]
+    columns = zip(*rows, strict=True) if rows else [[]] * 8
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
 def _benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(h, size, item_id, at, tokens, vals, places): the items' windows (size 0)
+    """(h, size, item, item_id, at, tokens, vals, places): the items' windows (size 0)
     and runs as rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for key, text in zip(keys, batch.column(1).to_pylist(), strict=True):
-                b = Benchmark.of([key], [text])
+            for item, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                b = Benchmark.of([0], [text])
                 h, size, at = np.concatenate([b.hashes, b.run_hashes]), np.concatenate([np.zeros(len(b.hashes), np.int64), b.run_size]), np.concatenate([b.at, b.run_at])
                 n = len(h)
                 same = lambda x, n=n: pa.array([x.view(np.int64).tolist()] * n, pa.list_(pa.int64()))
                 if n:
-                    columns = [pa.array(h.view(np.int64)), pa.array(size, pa.int64()), pa.array([key] * n, pa.int64()), pa.array(at, pa.int64()), same(b.tokens[key]), same(b.values[key]), same(b.places[key])]
-                    yield pa.RecordBatch.from_arrays(columns, ["h", "size", "item_id", "at", "tokens", "vals", "places"])
+                    columns = [pa.array(h.view(np.int64)), pa.array(size, pa.int64()), pa.array([item] * n), pa.array([key] * n, pa.int64()), pa.array(at, pa.int64()), same(b.tokens[0]), same(b.values[0]), same(b.places[0])]
+                    yield pa.RecordBatch.from_arrays(columns, ["h", "size", "item", "item_id", "at", "tokens", "vals", "places"])
 
-    return benchmark.mapInArrow(run, "h long, size long, item_id long, at long, tokens array<long>, vals array<long>, places array<long>")
+    return benchmark.mapInArrow(run, "h long, size long, item string, item_id long, at long, tokens array<long>, vals array<long>, places array<long>")
 
 
 def _sent(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Matches by looking up a benchmark that every task holds."""
     got = benchmark.toArrow()
-    held = docs.sparkSession.sparkContext.broadcast(Benchmark.of(got.column(0).to_pylist(), got.column(1).to_pylist()))
+    held = docs.sparkSession.sparkContext.broadcast((Benchmark.of(list(range(len(got))), got.column(2).to_pylist()), got.column(1).to_pylist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench: Benchmark = held.value
+        bench, ids = held.value
         sizes = set(bench.run_size.tolist())
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keyed, keys, texts = (c.to_pylist() for c in batch.columns)
             rows = []
             for a, b in slices([len(t) for t in texts], BATCH):
                 t = templates(texts[a:b])
@@ -311,33 +321,33 @@ def _sent(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     for w, k in _lookup(bench.run_hashes, hashes):
                         verbatim[int(t.word_owner[start[w]])][int(bench.run_item[k])].append((int(bench.run_at[k]), int(bench.run_size[k])))
                 for doc in sorted(found.keys() | verbatim.keys()):
-                    rows += _rows(keys[a + doc], found[doc], verbatim[doc], bench, t.value)
+                    rows += [(row, key, ids[item], *rest) for row, key, item, *rest in _rows(keyed[a + doc], keys[a + doc], found[doc], verbatim[doc], bench, t.value)]
             if rows:
                 yield _table(rows)
             release()
 
-    return docs.mapInArrow(run, f"doc_id long, {FIELDS}")
+    return docs.mapInArrow(run, f"row string, doc_id long, {FIELDS}")
 
 
 def _shuffled(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Matches by a hash join of window rows, for a benchmark of any size."""
-    names = ["doc_id", "h", "size", "place", "found"]
+    names = ["row", "doc_id", "h", "size", "place", "found"]
     sizes = {r["size"] for r in rows.where("size > 0").select("size").distinct().collect()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
+            keyed, keys, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
             for a, b in slices([len(t) for t in texts], BATCH):
                 t = templates(texts[a:b])
                 at, hashes = windows(t)
                 spans = t.value[at[:, None] + np.arange(WINDOW)].view(np.int64).ravel() if len(at) else np.zeros(0, np.int64)
                 held = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * WINDOW, pa.int32()), pa.array(spans))
                 begin = np.cumsum(t.sizes) - t.sizes
-                yield pa.RecordBatch.from_arrays([keys.take(pa.array(t.owner[at] + a)), pa.array(hashes.view(np.int64)), pa.array(np.zeros(len(at), np.int64)), pa.array(at - begin[t.owner[at]], pa.int64()), held], names)
+                yield pa.RecordBatch.from_arrays([keyed.take(pa.array(t.owner[at] + a)), keys.take(pa.array(t.owner[at] + a)), pa.array(hashes.view(np.int64)), pa.array(np.zeros(len(at), np.int64)), pa.array(at - begin[t.owner[at]], pa.int64()), held], names)
                 for size, start, hashes in runs(t, sizes):
                     n = len(start)
                     none = pa.ListArray.from_arrays(pa.array(np.zeros(n + 1), pa.int32()), pa.array([], pa.int64()))
-                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(t.word_owner[start] + a)), pa.array(hashes.view(np.int64)), pa.array(np.full(n, size)), pa.array(np.zeros(n, np.int64)), none], names)
+                    yield pa.RecordBatch.from_arrays([keyed.take(pa.array(t.word_owner[start] + a)), keys.take(pa.array(t.word_owner[start] + a)), pa.array(hashes.view(np.int64)), pa.array(np.full(n, size)), pa.array(np.zeros(n, np.int64)), none], names)
 
     def judged(table: pa.Table) -> pa.Table:
         tokens = np.array(table.column("tokens")[0].as_py(), np.int64).view(np.uint64)
@@ -348,11 +358,21 @@ def _shuffled(docs: DataFrame, rows: DataFrame) -> DataFrame:
         hits = [(i, d, k * WINDOW) for k, (i, d) in enumerate((i, d) for size, i, d, _ in each if not size)]
         verbatim = [(i, size) for size, i, _, _ in each if size]
         verdict = judge(hits, tokens, values, spans.ravel()) or (covered_by(verbatim, tokens, places) if verbatim else None)
-        rows = [(table.column("doc_id")[0].as_py(), table.column("item_id")[0].as_py(), verdict[0], len(tokens), *verdict[1:])] if verdict else []
+        rows = [(*(table.column(c)[0].as_py() for c in ("row", "doc_id", "item_id")), verdict[0], len(tokens), *verdict[1:])] if verdict else []
         return pa.Table.from_batches([_table(rows)])
 
-    each = docs.mapInArrow(run, "doc_id long, h long, size long, place long, found array<long>")
-    return each.join(rows, ["h", "size"]).groupBy("doc_id", "item_id").applyInArrow(judged, f"doc_id long, {FIELDS}")
+    once = docs.dropDuplicates(["row"]).mapInArrow(run, "row string, doc_id long, h long, size long, place long, found array<long>")
+    found = once.join(rows, ["h", "size"]).groupBy("row", "item").applyInArrow(judged, f"row string, doc_id long, {FIELDS}")
+    return found.join(docs.select("row"), "row")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, sent_windows: int) -> DataFrame:
+    """``matches`` with the hash ``row`` of the document's key and text."""
+    docs, items = _keyed(docs, "doc_id", "row"), _keyed(benchmark, "item_id", "item").dropDuplicates(["item"])
+    rows = stored(_benchmark_windows(items), "benchmark-windows")
+    if rows.count() <= sent_windows:
+        return _sent(docs, items)
+    return _shuffled(docs, rows)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, sent_windows: int = SENT_WINDOWS) -> DataFrame:
@@ -361,17 +381,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, sent_windows: int = SENT_WIND
     covered and item_tokens: tokens of the item that matching windows or runs cover,
     and all of them; slots, agreement: placeholders met, and the share of them
     that one renaming explains; renamed: whether any was renamed.  Null and
-    empty texts match nothing, nor do items without a word;
-    repeated rows match alike; an item whose key is null is left out.
+    empty texts match nothing, nor do items without a word.  Every row is judged
+    by its own text: repeated rows match alike, rows or items of one key and
+    different texts stay apart, and a null key is a key like others.
     """
-    docs, items = keyed_text(docs), keyed_text(benchmark, "item_id").where(F.col("item_id").isNotNull()).dropDuplicates(["item_id"])
-    rows = stored(_benchmark_windows(items), "benchmark-windows")
-    if rows.count() <= sent_windows:
-        return _sent(docs, items)
-    return _shuffled(docs, rows)
+    return _found(docs, benchmark, sent_windows).drop("row")
 
 
-def without_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_matches(docs: DataFrame, benchmark: DataFrame, sent_windows: int = SENT_WINDOWS) -> DataFrame:
     """The documents that contain no benchmark item, all columns as they are."""
-    found = stored(matches(docs, benchmark).select(F.col("doc_id").alias("leaked")).distinct(), "leaked")
-    return docs.join(found, docs["doc_id"].cast("long") == found["leaked"], "left_anti")
+    name = free_name(docs, "leaked")
+    found = stored(_found(docs, benchmark, sent_windows).select(F.col("row").alias(name)).distinct(), "leaked")
+    return docs.join(found, _row("doc_id") == F.col(name), "left_anti")

@@ -251,6 +251,19 @@ def test_verbatim_parts_and_short_items_match(rows):
         assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 7), (3, 8), (4, 9), (6, 7)] and not any(r.renamed for r in got)
 
 
+def test_rows_and_items_are_told_apart_by_their_texts(rows):
+    other = "Which of the seven hills of the old town is the highest above the river that runs below the walls"
+    docs = _docs(rows, [(1, f"a {QUESTION} b"), (1, f"a {QUESTION} b"), (1, "clean text of the same id"), (1, f"x {other}"), (None, f"c {QUESTION}"), (None, "clean text without an id"), (2, None)])
+    bench = rows([(7, QUESTION), (7, other), (7, other), (None, "an item that has no id, called Zanzibar Quokka")], "item_id long, text string")
+    more = _docs(rows, [(3, "this is an item that has no id, called Zanzibar Quokka, here")])
+    for limit in (decontaminate.SENT_WINDOWS, 0):
+        got = [(r.doc_id, r.item_id) for r in decontaminate.matches(docs.union(more), bench, limit).collect()]
+        assert sorted(got, key=str) == sorted([(1, 7), (1, 7), (1, 7), (None, 7), (3, None)], key=str)
+        left = decontaminate.without_matches(docs.union(more), bench, limit)
+        assert left.columns == docs.columns
+        assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [(0, "clean text without an id"), (1, "clean text of the same id"), (2, "")]
+
+
 def test_both_joins_find_the_planted_passages(spark):
     d = "/root/testdata/sf0.01"
     docs, bench = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/benchmark.parquet")
