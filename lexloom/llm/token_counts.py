@@ -1,9 +1,10 @@
 """Token counts by a compiled finite-state tokenizer.
 
 A byte-level BPE vocabulary becomes a deterministic transducer (see
-``bpe.CountTransducer``).  Texts are cut into chunks, all chunks of a batch
-run in lockstep through the transducer, and the chunks' state maps are
-composed left to right with a segmented scan.
+``bpe.CountTransducer``).  Texts are cut into chunks, and all chunks of a batch
+run in lockstep through the transducer, each from one entry state.  Where that
+was a wrong guess the chunk runs again from the right one: no state maps are
+built or composed.
 """
 
 from __future__ import annotations
@@ -85,9 +86,9 @@ class TokenCounter:
     def _run(self, data: np.ndarray, flag: np.ndarray, cuts: np.ndarray, known: np.ndarray) -> np.ndarray:
         """Counts of the chunks.
 
-        The state map of a chunk that starts at a pretoken is constant.  Any
-        other chunk is mapped for the state that a short run-up reaches; where
-        the scan delivers another one, the chunk is mapped for that too.
+        A chunk that starts at a pretoken needs no entry state.  Any other
+        chunk runs from the state that a short run-up reaches, and again while
+        the chunk before it ends in another one.
         """
         ends = np.concatenate([cuts[1:], [len(data)]])
         entry = np.zeros(len(cuts), np.int32)
