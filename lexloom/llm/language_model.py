@@ -1,11 +1,11 @@
-"""Scoring texts with a weighted backoff automaton.
-
-States are word contexts.  A bigram that training has seen is an arc of its
-context's state; any other word follows the failure arc to the empty context,
-whose arcs are the words seen and one for all words that are not.  Every state
-is smoothed, so that its arcs and its failure arc share out a probability of
-one over the known words and the unknown one, and a text is read once from left
-to right, the state and the sum of log-probabilities carried along.
+"""Scoring texts with a backoff model of word bigrams.
+
+A bigram that training has seen scores as an arc of its context would; any
+other word backs off to the empty context, which knows the words seen and one
+for all words that are not.  Every context is smoothed, so that it shares out a
+probability of one over the known words and the unknown one.  The counts of
+each token's bigram and unigram are looked up and the logarithms summed: this
+lookup stands in for the automaton, no states are built or walked.
 
 Counts never meet on one machine: documents are dealt into blocks, each block
 asks for the counts of its own n-grams, and ranges of the n-gram hash answer.
