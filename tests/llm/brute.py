@@ -1,5 +1,6 @@
 """Plain readings of the operators' contracts, for small tables."""
 
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -59,3 +60,53 @@ def warc_rows(pages):
         if len(b) >= 1000:
             held[facts[i]] = max(held[facts[i]], i)
     return {i: (*f, "response", None) if f[0] < 1000 or held[f] == i else (*f, "revisit", held[f]) for i, f in facts.items()}
+
+
+def chosen_blocks(b, h):
+    """Main text by tag-path ratios, read plainly: loops over blocks and the
+    elements above them; ``h`` gives the thresholds."""
+    n = len(b.text)
+
+    def above(k):
+        out = [k]
+        while b.parent[out[-1]] >= 0:
+            out.append(b.parent[out[-1]])
+        return out
+
+    size = [len(t) for t in b.text]
+    points = [sum(c in ".,;:!?…。，；：！？、" for c in t) for t in b.text]
+    inside = defaultdict(int)
+    for i in range(n):
+        for k in above(b.node[i]):
+            inside[k] += size[i]
+
+    def marked(k):
+        wraps = b.tag[k] in ("div", "section", "form", "table", "tr", "td", "tbody", "center") and inside[k] >= h.WRAPPER * inside[0]
+        return b.marked[k] and not wraps
+
+    soft = [any(marked(k) for k in above(b.node[i])) for i in range(n)]
+    if all(soft):
+        return [False] * n
+    path = [b.path[k] for k in b.node]
+    mean = lambda xs: sum(xs) / len(xs)
+    text = [math.log1p(mean([size[j] for j in range(n) if path[j] == path[i]])) for i in range(n)]
+    point = [math.log1p(mean([points[j] for j in range(n) if path[j] == path[i]])) for i in range(n)]
+    smooth = lambda v, i: (v[max(i - 1, 0)] + 2 * v[i] + v[min(i + 1, n - 1)]) / 4
+    share = [b.linked[i] / size[i] for i in range(n)]
+    each = [math.exp((smooth(text, i) + smooth(point, i)) / 2) * (h.LABELLED if soft[i] else 1) * (1 - 0.9 * share[i]) for i in range(n)]
+    score = [mean([each[j] for j in range(n) if path[j] == path[i] and soft[j] == soft[i]]) for i in range(n)]
+    free = [i for i in range(n) if not soft[i]]
+    least = h.THRESHOLD * sum(score[i] * size[i] for i in free) / sum(size[i] for i in free)
+    listed = [share[i] >= h.LINKED and b.links[i] >= 2 for i in range(n)]
+    content = [score[i] >= least * (1 - 1e-12) and not listed[i] for i in range(n)]
+    out = list(content)
+    for i in free:
+        if content[i] or listed[i] or share[i] >= h.MOSTLY:
+            continue
+        held = lambda k, some: sum(size[j] for j in some if k in above(b.node[j]))
+        good = [j for j in range(n) if content[j]]
+        home = next((k for k in above(b.node[i]) if held(k, good)), 0)
+        along = b.tag[home] not in ("", "html", "body") and held(home, good) >= h.MOSTLY * held(home, free)
+        head = b.tag[b.node[i]] in ("h1", "h2", "h3", "h4", "h5", "h6") and i + 1 < n and content[i + 1]
+        out[i] = along or head
+    return out
