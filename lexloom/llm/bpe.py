@@ -9,6 +9,7 @@ BPE on arrays of code points.
 from __future__ import annotations
 
 import json
+import os
 from functools import cached_property
 
 import numpy as np
@@ -26,11 +27,28 @@ def _byte_chars() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def found(vocabulary: str) -> str:
+    """The file of a vocabulary on this machine: a path, or a public name."""
+    if os.path.exists(vocabulary):
+        return vocabulary
+    import public_tokenizers
+
+    return public_tokenizers.path(vocabulary)
+
+
+class NotFromTheLeft(ValueError):
+    """A vocabulary some encoding of which depends on what comes after it."""
+
+
+class TooManyStates(MemoryError):
+    """A machine has reached its limit and must forget its states."""
+
+
 class Vocabulary:
     """Tokens, merges and special strings of a byte-level BPE file."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
+        with open(found(path), encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
         if model["type"] != "BPE" or (spec["pre_tokenizer"] or {}).get("type") != "ByteLevel":
@@ -72,21 +90,26 @@ class CountTransducer:
     count(p[:j]) - count(p).  Reading a byte picks the one token that ends
     there and may follow the token before it; the transition carries
     count(pb) - count(p), so a sum over transitions is the count.  States come
-    from a subset construction that runs when a transition is first needed.
+    from a subset construction that runs when a transition is first needed;
+    beyond ``limit`` of them it raises, and ``forget`` drops them all.
     """
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.v = vocabulary
+    def __init__(self, vocabulary: Vocabulary, limit: int = 1 << 62):
+        self.v, self.limit = vocabulary, limit
         self.child: dict[int, int] = {}
         self.token_at: list[int] = [-1]
         self.inner: list[bool] = [False]
         for b, i in vocabulary.ids.items():
             if i in vocabulary.rank:
                 self._add(b, i)
+        self.start = ((0, -1, 0),)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start over with the start state alone."""
         self._left: dict[int, tuple] = {}
         self._right: dict[int, tuple] = {}
         self._follows: dict[tuple[int, int], bool] = {}
-        self.start = ((0, -1, 0),)
         self.number: dict[tuple, int] = {self.start: 0}
         self.states: list[tuple] = [self.start]
         self._keys = np.full(1 << 16, -1, np.int64)
@@ -152,14 +175,19 @@ class CountTransducer:
             if self.inner[node]:
                 grown.append((node, last, rel))
         if chosen is None:
-            raise ValueError("this vocabulary's encodings aren't determined from the left")
+            raise NotFromTheLeft("this vocabulary's encodings aren't determined from the left")
         token, delta = chosen
-        key = (*((n, last, rel - delta) for n, last, rel in grown), (0, token, 0))
+        return self.intern((*((n, last, rel - delta) for n, last, rel in grown), (0, token, 0))), delta
+
+    def intern(self, key: tuple) -> int:
+        """The number of a state, which is made if it isn't there."""
         number = self.number.get(key)
         if number is None:
+            if len(self.states) >= self.limit:
+                raise TooManyStates
             number = self.number[key] = len(self.states)
             self.states.append(key)
-        return number, delta
+        return number
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         size = len(self._keys)

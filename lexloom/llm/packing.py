@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Vocabulary
+from .bpe import Vocabulary, found
 from .runtime import keyed_text, release
 
 #: Bins that are open at once in a task, and pieces of its look-ahead.
@@ -79,7 +79,7 @@ def encoder(path: str):
             if not library:
                 from tokenizers import Tokenizer
 
-                library.append(Tokenizer.from_file(path))
+                library.append(Tokenizer.from_file(found(path)))
             return library[0].encode(text, add_special_tokens=False).ids
 
         def encode(text: str) -> list[int]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +15,8 @@ from .runtime import stored, table
 from .token_counts import token_counts
 from .warc import round_trip
 
-BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+#: A public vocabulary by name; each machine finds its own file of it.
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
+import base64
 import random
 import zlib
 
 import numpy as np
 import pytest
 
-from lexloom.llm import packing
-from lexloom.llm.token_counts import TokenCounter, token_counts
+from lexloom.llm import bpe, packing
+from lexloom.llm import token_counts as counting
+from lexloom.llm.token_counts import StateMaps, TokenCounter, scanned, token_counts
 
 SCHEMA = "doc_id long, text string, n_tokens string"
 
@@ -30,6 +32,60 @@ def test_counts_equal_the_library(vocabulary, library):
     assert TokenCounter(vocabulary).count(texts).tolist() == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def _long_texts():
+    rng = random.Random(9)
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400_000))
+    return [" " * 5_000_000 + "x", "\n" * 5_000_000, "a" * 1_200_000, letters, base64.b64encode(rng.randbytes(900_000)).decode(), "word text \n" * 250_000, "ab" * 5000 + " " + letters[:70_000]]
+
+
+def test_long_texts_and_a_bounded_machine(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(counting, "STATES", 20_000)
+    counter = TokenCounter(vocabulary)
+    for text in _long_texts():
+        assert counter.count([text, "x"]).tolist() == [len(library.encode(text, add_special_tokens=False).ids), 1]
+        assert len(counter.machine.states) <= 20_000
+
+
+def _maps(rng, n, states):
+    """Random maps that know every state, in random order and with padding."""
+    entry, exit_, count = (np.full((n, states + 2), v) for v in (-1, -1, 0))
+    for k in range(n):
+        entry[k, :states] = rng.permutation(states)
+        exit_[k, :states] = rng.integers(0, states, states)
+        count[k, :states] = rng.integers(0, 9, states)
+    return StateMaps(entry, exit_, count)
+
+
+def test_state_maps_compose():
+    rng = np.random.default_rng(4)
+    a, b, c = (_maps(rng, 7, 5) for _ in range(3))
+    left, right = a.then(b).then(c), a.then(b.then(c))
+    assert all((getattr(left, x) == getattr(right, x)).all() for x in ("entry", "exit", "count"))
+    maps = _maps(rng, 40, 5)
+    first = rng.random(40) < 0.2
+    first[0] = True
+    whole = scanned(maps, first)
+    for k in range(40):
+        start = max(i for i in range(k + 1) if first[i])
+        for j in range(5):
+            state, total = int(whole.entry[k, j]), 0
+            for i in range(start, k + 1):
+                at = maps.entry[i].tolist().index(state)
+                state, total = int(maps.exit[i, at]), total + int(maps.count[i, at])
+            assert (whole.exit[k, j], whole.count[k, j]) == (state, total)
+    with pytest.raises(ValueError):
+        a.then(StateMaps(np.full((7, 1), 99), np.zeros((7, 1), int), np.zeros((7, 1), int)))
+
+
+def test_other_vocabularies_fall_back_on_the_library(vocabulary, library, monkeypatch):
+    def never(*_):
+        raise bpe.NotFromTheLeft
+
+    counter = TokenCounter(vocabulary)
+    monkeypatch.setattr(counter.machine, "move", never)
+    assert counter.count(["some words", ""]).tolist() == [len(library.encode("some words").ids), 0]
+
+
 def test_every_code_point_splits_as_the_library_does(vocabulary, library):
     points = [chr(c) for c in range(1, 0x110000, 7) if not 0xD800 <= c < 0xE000]
     texts = ["".join(f"a{c}1{c}!{c} " for c in points[k : k + 50]) for k in range(0, len(points), 50)]
