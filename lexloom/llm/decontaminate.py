@@ -1,11 +1,12 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units in a text become typed placeholders.  Windows of the
-resulting templates are matched by hash with those of the benchmark items; a
+resulting templates are joined by hash with those of the benchmark items; a
 document is contaminated if one occurrence in it covers enough of an item and
-what fills its placeholders is one consistent renaming of what fills the item's.  So a
-question asked again with other numbers is found like a verbatim copy.  Beside
-that, any verbatim run of an item's words is a match, and so is a whole short item.
+what fills its placeholders is one consistent, one-to-one renaming of what fills
+the item's.  So a question asked again with other numbers is found like a
+verbatim copy.  Beside that, any verbatim run of an item's words is a match, and
+so is a whole short item.
 """
 
 from __future__ import annotations
@@ -16,29 +17,40 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import free_name, keyed_text, release, slices, stored
 from .shingles import mix, span_hashes, word_spans
 
-#: Template tokens of a window, and literal ones among them, at least.
-WINDOW, LITERALS = 8, 5
+#: Template tokens of a window; an item of fewer is one window.  Literal tokens
+#: among them, at least, and in a shorter window.
+WINDOW, LITERALS, SHORT_LITERALS = 8, 3, 4
 #: Share of an item's tokens that matching windows cover, at least, and share
 #: of the placeholder positions that follow the renaming, at least.
 COVER, AGREE = 0.5, 0.8
 #: Words of a verbatim run that is a match whatever its share of the item; an
 #: item of fewer words is one run.
 EXACT = 13
-#: Windows of the benchmark that are sent to every task, at most (16 MB); a
-#: larger benchmark is joined by a shuffle.
-SENT_WINDOWS = 1 << 20
+#: Different hashes of the benchmark's windows and runs, at most, by which every
+#: task drops what can't match before the join (8 MB); beyond, the join does it.
+SENT_HASHES = 1 << 20
 BATCH = 1 << 20
 NUMBER, NAME, UNIT = np.uint64(1), np.uint64(2), np.uint64(3)
-_NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
+# Number words and units in English, French, German and Spanish.
+_NUMBER_WORDS = (
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion "
+    "deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante cinquante soixante cent mille "
+    "zwei drei vier f\u00fcnf sechs sieben acht neun zehn elf zw\u00f6lf dreizehn vierzehn f\u00fcnfzehn zwanzig drei\u00dfig vierzig f\u00fcnfzig sechzig siebzig achtzig neunzig hundert tausend "
+    "dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa cien ciento mil"
+).split()
 _UNITS = (
     "km m cm mm mi ft yd inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers kilometre kilometres kg g mg lb lbs oz ton tons tonne tonnes gram grams kilogram kilograms pound pounds ounce ounces "
-    "l ml liter liters litre litres gallon gallons cup cups s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years dollar dollars euro euros cent cents usd eur gbp percent degree degrees mph kmh kph w kw kwh v hz j kj cal kcal"
+    "l ml liter liters litre litres gallon gallons cup cups s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years dollar dollars euro euros cent cents usd eur gbp percent degree degrees mph kmh kph w kw kwh v hz j kj cal kcal "
+    "kilom\u00e8tre kilom\u00e8tres m\u00e8tre m\u00e8tres seconde secondes heure heures jour jours semaine semaines mois an ans ann\u00e9e ann\u00e9es pour-cent degr\u00e9 degr\u00e9s "
+    "sekunde sekunden minuten stunde stunden tag tage tagen woche wochen monat monate monaten jahr jahre jahren prozent grad pfund "
+    "kil\u00f3metro kil\u00f3metros metro metros segundo segundos minuto minutos hora horas d\u00eda d\u00edas semana semanas mes meses a\u00f1o a\u00f1os gramo gramos kilo kilos litro litros grado grados"
 ).split()
 _ODD = np.random.default_rng(0x7E3A).integers(1, 1 << 63, WINDOW, dtype=np.uint64) | np.uint64(1)
 
@@ -71,7 +83,7 @@ def templates(texts: list[str]) -> Templates:
     """Words without the punctuation around them, A-Z lower-cased; a word with
     a digit or a number word is a number; a known unit right after a number is
     a unit; a capitalised word that starts neither a line nor a sentence is a
-    name, and adjacent names are one.  Words of punctuation alone vanish.
+    name, and adjacent names are one, known by the last.  Words of punctuation alone vanish.
     """
     raw, begin, end, words = word_spans(texts, lower=False)
     digit = (raw >= 0x30) & (raw <= 0x39)
@@ -107,18 +119,14 @@ def templates(texts: list[str]) -> Templates:
     joined = np.zeros(n, bool)
     joined[1:] = is_name[1:] & is_name[:-1] & (owner[1:] == owner[:-1])
     if joined.any():
-        place = group = np.cumsum(~joined) - 1
-        order = np.arange(n).astype(np.uint64) - np.flatnonzero(~joined)[group].astype(np.uint64)
-        merged = np.zeros(group[-1] + 1, np.uint64)
-        np.add.at(merged, group, mix(value + order))
-        single = np.bincount(group) == 1
-        value = np.where(single, value[~joined], merged)
+        place = np.cumsum(~joined) - 1
+        value = value[np.append(~joined[1:], True)]
         token, owner = token[~joined], owner[~joined]
     return Templates(token, value, owner, np.bincount(owner, minlength=len(texts)), word, word_owner, np.bincount(word_owner, minlength=len(texts)), place)
 
 
-def windows(t: Templates, size: int = WINDOW, literals: int = LITERALS) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of every window with enough literal tokens."""
+def windows(t: Templates, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of every window of ``size`` tokens with enough literal ones."""
     n = len(t.token) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -127,9 +135,9 @@ def windows(t: Templates, size: int = WINDOW, literals: int = LITERALS) -> tuple
     for k in range(size):
         total += spread[k : k + n] * _ODD[k]
     plain = np.concatenate([[0], np.cumsum(t.token > UNIT)])
-    good = (t.owner[:n] == t.owner[size - 1 :]) & (plain[size:] - plain[:n] >= literals)
+    good = (t.owner[:n] == t.owner[size - 1 :]) & (plain[size:] - plain[:n] >= (LITERALS if size == WINDOW else SHORT_LITERALS))
     at = np.flatnonzero(good)
-    return at, mix(total[at])
+    return at, mix(total[at] + np.uint64(size))
 
 
 def runs(t: Templates, sizes: set[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -144,53 +152,6 @@ def runs(t: Templates, sizes: set[int]) -> Iterator[tuple[int, np.ndarray, np.nd
             yield k + 1, at, mix(total[at] + np.uint64(k + 1))
 
 
-def _lookup(held: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(index in hashes, index in held) of all that are equal; held is sorted."""
-    if not len(held):
-        return
-    low = np.searchsorted(held, hashes, "left")
-    for w in np.flatnonzero(held[np.minimum(low, len(held) - 1)] == hashes).tolist():
-        k = int(low[w])
-        while k < len(held) and held[k] == hashes[w]:
-            yield w, k
-            k += 1
-
-
-@dataclass
-class Benchmark:
-    """Windows and runs of all items, sorted by hash, with each item's tokens and values."""
-
-    hashes: np.ndarray
-    item: np.ndarray
-    at: np.ndarray  # position in the item
-    sizes: dict[int, int]
-    tokens: dict[int, np.ndarray]
-    values: dict[int, np.ndarray]
-    run_hashes: np.ndarray
-    run_item: np.ndarray
-    run_at: np.ndarray  # position in the item's words
-    run_size: np.ndarray
-    places: dict[int, np.ndarray]  # template token of each word of an item
-
-    @classmethod
-    def of(cls, keys: list[int], texts: list[str]) -> Benchmark:
-        t = templates(texts)
-        begin = np.cumsum(t.sizes) - t.sizes
-        at, hashes = windows(t)
-        order = np.argsort(hashes, kind="stable")
-        at, hashes = at[order], hashes[order]
-        owner = t.owner[at]
-        item = np.array(keys, np.int64)
-        first = np.cumsum(t.word_sizes) - t.word_sizes
-        whole = np.minimum(t.word_sizes, EXACT)
-        parts = [(h[there], o[there], (x - first[o])[there], np.full(int(there.sum()), size)) for size, x, h in runs(t, set(whole.tolist())) for o in [t.word_owner[x]] for there in [whole[o] == size]]
-        run = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3]
-        run = [c[np.argsort(run[0], kind="stable")] for c in run]
-        cut = lambda x, at: dict(zip(keys, np.split(x, at[1:]), strict=True)) if keys else {}
-        places = {k: p - p[0] if len(p) else p for k, p in cut(t.place, first).items()}
-        return cls(hashes, item[owner], at - begin[owner], dict(zip(keys, t.sizes.tolist(), strict=True)), cut(t.token, begin), cut(t.value, begin), run[0], item[run[1]], run[2], run[3], places)
-
-
 def covered_by(found: list[tuple[int, int]], tokens: np.ndarray, places: np.ndarray) -> tuple[int, int, float, bool]:
     """The verdict on verbatim runs: (position in the item's words, size) of each."""
     covered = np.unique(np.concatenate([places[i : i + size] for i, size in found]))
@@ -198,34 +159,39 @@ def covered_by(found: list[tuple[int, int]], tokens: np.ndarray, places: np.ndar
 
 
 def _verdict(filled: dict[int, int], tokens: np.ndarray, item_values: np.ndarray) -> tuple[int, int, float, bool] | None:
-    """The verdict on one occurrence: the value found at each item position."""
+    """The verdict on one occurrence: the value found at each item position.
+
+    The renaming is one-to-one: a slot agrees if most slots with the item's
+    value have the text's, and most with the text's have the item's.
+    """
     if len(filled) < COVER * len(tokens):
         return None
-    renaming: dict[int, Counter] = defaultdict(Counter)
+    there, back = defaultdict(Counter), defaultdict(Counter)
     slots = [p for p in filled if tokens[p] <= UNIT]
     for p in slots:
-        renaming[int(item_values[p])][filled[p]] += 1
-    agree = sum(max(c.values()) for c in renaming.values()) / len(slots) if slots else 1.0
+        there[int(item_values[p])][filled[p]] += 1
+        back[filled[p]][int(item_values[p])] += 1
+    agree = min(sum(max(c.values()) for c in x.values()) for x in (there, back)) / len(slots) if slots else 1.0
     if agree < AGREE:
         return None
-    return len(filled), len(slots), agree, any(c.most_common(1)[0][0] != v for v, c in renaming.items())
+    return len(filled), len(slots), agree, any(c.most_common(1)[0][0] != v for v, c in there.items())
 
 
-def judge(hits: list[tuple[int, int, int]], tokens: np.ndarray, item_values: np.ndarray, doc_values: np.ndarray, size: int = WINDOW) -> tuple[int, int, float, bool] | None:
+def judge(hits: list[tuple[int, int, list[int]]], tokens: np.ndarray, item_values: np.ndarray) -> tuple[int, int, float, bool] | None:
     """Whether matched windows make a document contain an item.
 
-    hits: (position in the item, position in the text, position in doc_values)
-    of each window.  Hits of one alignment, the difference of the two first,
+    hits: (position in the item, position in the text, values found there) of
+    each window.  Hits of one alignment, the difference of the two positions,
     are an occurrence of the item, which is judged on its own, and again with
     what nearby alignments add where words were put in or left out.
     Returns covered tokens, slots, their agreement and whether any was renamed,
     of the best occurrence: verbatim before renamed.
     """
-    by_shift: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for i, d, v in hits:
-        by_shift[d - i].append((i, v))
+    by_shift: dict[int, list[tuple[int, list[int]]]] = defaultdict(list)
+    for i, d, values in hits:
+        by_shift[d - i].append((i, values))
     shifts = sorted(by_shift)
-    gap = max(size, len(tokens) // 2)
+    gap = max(WINDOW, len(tokens) // 2)
     best = None
     low = high = 0
     for shift in shifts:
@@ -237,9 +203,9 @@ def judge(hits: list[tuple[int, int, int]], tokens: np.ndarray, item_values: np.
         for near in sorted(shifts[low:high], key=lambda s: (abs(s - shift), s)):
             if len(filled) == len(tokens):
                 break
-            for i, v in by_shift[near]:
-                for k in range(size):
-                    filled.setdefault(i + k, int(doc_values[v + k]))
+            for i, values in by_shift[near]:
+                for k, v in enumerate(values):
+                    filled.setdefault(i + k, v)
             if near == shift:
                 verdicts = [_verdict(filled, tokens, item_values)]
         verdicts.append(_verdict(filled, tokens, item_values))
@@ -252,130 +218,108 @@ def judge(hits: list[tuple[int, int, int]], tokens: np.ndarray, item_values: np.
 FIELDS = "item_id long, covered long, item_tokens long, slots long, agreement double, renamed boolean"
 
 
-def _keyed(df: DataFrame, key: str, name: str) -> DataFrame:
-    """(name, key, text): rows with the hash of their key and text, which tells
-    texts of one key apart and is there where the key is null."""
-    return keyed_text(df, key).select(_row(key).alias(name), key, "text")
-
-
 def _row(key: str) -> Column:
     """Hash of a row's key and text."""
     return F.md5(F.concat(F.coalesce(F.col(key).cast("long").cast("string"), F.lit("")), F.lit("\n"), F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("binary"))
 
 
-def _rows(row, key, found: dict[int, list[tuple[int, int, int]]], verbatim: dict[int, list[tuple[int, int]]], bench: Benchmark, values: np.ndarray) -> list[tuple]:
-    out = []
-    for item in sorted(found.keys() | verbatim.keys()):
-        verdict = judge(found[item], bench.tokens[item], bench.values[item], values) if item in found else None
-        if not verdict and item in verbatim:
-            verdict = covered_by(verbatim[item], bench.tokens[item], bench.places[item])
-        if verdict:
-            out.append((row, key, item, verdict[0], bench.sizes[item], *verdict[1:]))
-    return out
-
-
-def _table(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), *[pa.int64()] * 5, pa.float64(), pa.bool_()]
-    names = ["row", "doc_id", "item_id", "covered", "item_tokens", "slots", "agreement", "renamed"]
-    columns = zip(*rows, strict=True) if rows else [[]] * 8
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
-
-
-def _benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(h, size, item, item_id, at, tokens, vals, places): the items' windows (size 0)
-    and runs as rows."""
+def _items(benchmark: DataFrame) -> DataFrame:
+    """(item, item_id, tokens, vals, places, h, size, at): every different item
+    with its template and the hashes of its windows (size < 0) and verbatim runs."""
+    once = keyed_text(benchmark, "item_id").select(_row("item_id").alias("item"), "item_id", "text").dropDuplicates(["item"])
+    names = ["item", "item_id", "tokens", "vals", "places", "h", "size", "at"]
+    longs = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out = []
             for item, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                b = Benchmark.of([0], [text])
-                h, size, at = np.concatenate([b.hashes, b.run_hashes]), np.concatenate([np.zeros(len(b.hashes), np.int64), b.run_size]), np.concatenate([b.at, b.run_at])
-                n = len(h)
-                same = lambda x, n=n: pa.array([x.view(np.int64).tolist()] * n, pa.list_(pa.int64()))
-                if n:
-                    columns = [pa.array(h.view(np.int64)), pa.array(size, pa.int64()), pa.array([item] * n), pa.array([key] * n, pa.int64()), pa.array(at, pa.int64()), same(b.tokens[0]), same(b.values[0]), same(b.places[0])]
-                    yield pa.RecordBatch.from_arrays(columns, ["h", "size", "item", "item_id", "at", "tokens", "vals", "places"])
+                t = templates([text])
+                size = min(WINDOW, len(t.token))
+                at, hashes = windows(t, size) if size else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+                found = [(h, -size, i) for h, i in zip(hashes.view(np.int64).tolist(), at.tolist(), strict=True)]
+                for n, start, h in runs(t, {min(EXACT, len(t.word))} - {0}):
+                    found += [(x, n, i) for x, i in zip(h.view(np.int64).tolist(), start.tolist(), strict=True)]
+                if found:
+                    out.append((item, key, *(x.astype(np.int64, copy=False).tolist() if x.dtype != np.uint64 else x.view(np.int64).tolist() for x in (t.token, t.value, t.place)), *map(list, zip(*found, strict=True))))
+            columns = zip(*out, strict=True) if out else [[]] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), *[longs] * 6), strict=True)], names)
 
-    return benchmark.mapInArrow(run, "h long, size long, item string, item_id long, at long, tokens array<long>, vals array<long>, places array<long>")
+    return once.mapInArrow(run, "item string, item_id long, " + ", ".join(f"{n} array<long>" for n in names[2:]))
 
 
-def _sent(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Matches by looking up a benchmark that every task holds."""
-    got = benchmark.toArrow()
-    held = docs.sparkSession.sparkContext.broadcast((Benchmark.of(list(range(len(got))), got.column(2).to_pylist()), got.column(1).to_pylist()))
+def _hits(docs: DataFrame, shapes: list[int], held) -> DataFrame:
+    """(uid, row, doc_id, h, size, place, found): the windows and runs of every
+    document that may be some item's, with the values in a window.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench, ids = held.value
-        sizes = set(bench.run_size.tolist())
-        for batch in batches:
-            keyed, keys, texts = (c.to_pylist() for c in batch.columns)
-            rows = []
-            for a, b in slices([len(t) for t in texts], BATCH):
-                t = templates(texts[a:b])
-                at, hashes = windows(t)
-                found: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
-                verbatim: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
-                for w, k in _lookup(bench.hashes, hashes):
-                    found[int(t.owner[at[w]])][int(bench.item[k])].append((int(bench.at[k]), int(at[w]), int(at[w])))
-                for _, start, hashes in runs(t, sizes):
-                    for w, k in _lookup(bench.run_hashes, hashes):
-                        verbatim[int(t.word_owner[start[w]])][int(bench.run_item[k])].append((int(bench.run_at[k]), int(bench.run_size[k])))
-                for doc in sorted(found.keys() | verbatim.keys()):
-                    rows += [(row, key, ids[item], *rest) for row, key, item, *rest in _rows(keyed[a + doc], keys[a + doc], found[doc], verbatim[doc], bench, t.value)]
-            if rows:
-                yield _table(rows)
-            release()
-
-    return docs.mapInArrow(run, f"row string, doc_id long, {FIELDS}")
-
-
-def _shuffled(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Matches by a hash join of window rows, for a benchmark of any size."""
-    names = ["row", "doc_id", "h", "size", "place", "found"]
-    sizes = {r["size"] for r in rows.where("size > 0").select("size").distinct().collect()}
+    uid numbers the rows of a task, so that equal rows are told apart.
+    """
+    names = ["uid", "row", "doc_id", "h", "size", "place", "found"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_row = TaskContext.get().partitionId() << 40
         for batch in batches:
             keyed, keys, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
             for a, b in slices([len(t) for t in texts], BATCH):
                 t = templates(texts[a:b])
-                at, hashes = windows(t)
-                spans = t.value[at[:, None] + np.arange(WINDOW)].view(np.int64).ravel() if len(at) else np.zeros(0, np.int64)
-                held = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * WINDOW, pa.int32()), pa.array(spans))
                 begin = np.cumsum(t.sizes) - t.sizes
-                yield pa.RecordBatch.from_arrays([keyed.take(pa.array(t.owner[at] + a)), keys.take(pa.array(t.owner[at] + a)), pa.array(hashes.view(np.int64)), pa.array(np.zeros(len(at), np.int64)), pa.array(at - begin[t.owner[at]], pa.int64()), held], names)
-                for size, start, hashes in runs(t, sizes):
-                    n = len(start)
-                    none = pa.ListArray.from_arrays(pa.array(np.zeros(n + 1), pa.int32()), pa.array([], pa.int64()))
-                    yield pa.RecordBatch.from_arrays([keyed.take(pa.array(t.word_owner[start] + a)), keys.take(pa.array(t.word_owner[start] + a)), pa.array(hashes.view(np.int64)), pa.array(np.full(n, size)), pa.array(np.zeros(n, np.int64)), none], names)
-
-    def judged(table: pa.Table) -> pa.Table:
-        tokens = np.array(table.column("tokens")[0].as_py(), np.int64).view(np.uint64)
-        values = np.array(table.column("vals")[0].as_py(), np.int64).view(np.uint64)
-        places = np.array(table.column("places")[0].as_py(), np.int64)
-        each = list(zip(*(table.column(c).to_pylist() for c in ("size", "at", "place", "found")), strict=True))
-        spans = np.array([f for size, _, _, f in each if not size], np.int64).view(np.uint64)
-        hits = [(i, d, k * WINDOW) for k, (i, d) in enumerate((i, d) for size, i, d, _ in each if not size)]
-        verbatim = [(i, size) for size, i, _, _ in each if size]
-        verdict = judge(hits, tokens, values, spans.ravel()) or (covered_by(verbatim, tokens, places) if verbatim else None)
-        rows = [(*(table.column(c)[0].as_py() for c in ("row", "doc_id", "item_id")), verdict[0], len(tokens), *verdict[1:])] if verdict else []
-        return pa.Table.from_batches([_table(rows)])
-
-    once = docs.dropDuplicates(["row"]).mapInArrow(run, "row string, doc_id long, h long, size long, place long, found array<long>")
-    found = once.join(rows, ["h", "size"]).groupBy("row", "item").applyInArrow(judged, f"row string, doc_id long, {FIELDS}")
-    return found.join(docs.select("row"), "row")
-
-
-def _found(docs: DataFrame, benchmark: DataFrame, sent_windows: int) -> DataFrame:
-    """``matches`` with the hash ``row`` of the document's key and text."""
-    docs, items = _keyed(docs, "doc_id", "row"), _keyed(benchmark, "item_id", "item").dropDuplicates(["item"])
-    rows = stored(_benchmark_windows(items), "benchmark-windows")
-    if rows.count() <= sent_windows:
-        return _sent(docs, items)
-    return _shuffled(docs, rows)
+                found = [(n, *windows(t, -n), t.owner) for n in shapes if n < 0] + [(n, at, h, t.word_owner) for n, at, h in runs(t, {n for n in shapes if n > 0})]
+                for size, at, h, owner in found:
+                    if held is not None:
+                        known = held.value
+                        good = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+                        at, h = at[good], h[good]
+                    if not len(at):
+                        continue
+                    doc = owner[at]
+                    wide = max(-size, 0)
+                    values = t.value[at[:, None] + np.arange(wide)].view(np.int64).ravel() if wide else np.zeros(0, np.int64)
+                    spans = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * wide, pa.int32()), pa.array(values))
+                    place = at - begin[doc] if wide else np.zeros(len(at), np.int64)
+                    take = pa.array(doc + a)
+                    yield pa.RecordBatch.from_arrays([pa.array(doc + a + at_row), keyed.take(take), keys.take(take), pa.array(h.view(np.int64)), pa.array(np.full(len(at), size)), pa.array(place, pa.int64()), spans], names)
+            at_row += len(texts)
+            release()
 
+    return docs.mapInArrow(run, "uid long, row string, doc_id long, h long, size long, place long, found array<long>")
 
-def matches(docs: DataFrame, benchmark: DataFrame, sent_windows: int = SENT_WINDOWS) -> DataFrame:
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.string(), *[pa.int64()] * 5, pa.float64(), pa.bool_()]
+    names = ["row", "doc_id", "item_id", "covered", "item_tokens", "slots", "agreement", "renamed"]
+    for batch in batches:
+        rows = []
+        for row, key, hits, item, tokens, vals, places in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "hits", "item_id", "tokens", "vals", "places")), strict=True):
+            tokens, vals = (np.array(x, np.int64).view(np.uint64) for x in (tokens, vals))
+            spans = [(h["at"], h["place"], np.array(h["found"], np.int64).view(np.uint64).tolist()) for h in hits if h["size"] < 0]
+            verbatim = [(h["at"], h["size"]) for h in hits if h["size"] > 0]
+            verdict = judge(spans, tokens, vals) or (covered_by(verbatim, tokens, np.array(places, np.int64)) if verbatim else None)
+            if verdict:
+                rows.append((row, key, item, verdict[0], len(tokens), *verdict[1:]))
+        columns = zip(*rows, strict=True) if rows else [[]] * 8
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, sent: int) -> DataFrame:
+    """``matches`` with the hash ``row`` of the document's key and text."""
+    spark = docs.sparkSession
+    items = stored(_items(benchmark), "benchmark-items")
+    hashes = items.select("item", F.inline(F.arrays_zip("h", "size", "at")))
+    shapes = [r["size"] for r in hashes.select("size").distinct().collect()]  # 20 at most
+    once = hashes.select("h").distinct()
+    held = None
+    if once.count() <= sent:
+        known = np.sort(np.array(once.toArrow().column(0), np.int64).view(np.uint64))
+        if not len(known):
+            shapes, known = [], np.zeros(1, np.uint64)
+        held = spark.sparkContext.broadcast(known)
+    hits = _hits(keyed_text(docs).select(_row("doc_id").alias("row"), "doc_id", "text"), shapes, held)
+    met = hits.join(hashes, ["h", "size"])
+    each = met.groupBy("uid", "item").agg(F.first("row").alias("row"), F.first("doc_id").alias("doc_id"), F.collect_list(F.struct("size", "at", "place", "found")).alias("hits"))
+    return each.join(items.select("item", "item_id", "tokens", "vals", "places"), "item").mapInArrow(_judged, f"row string, doc_id long, {FIELDS}")
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, sent: int = SENT_HASHES) -> DataFrame:
     """(doc_id, item_id, ...) for every document and item that it contains.
 
     covered and item_tokens: tokens of the item that matching windows or runs cover,
@@ -383,13 +327,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, sent_windows: int = SENT_WIND
     that one renaming explains; renamed: whether any was renamed.  Null and
     empty texts match nothing, nor do items without a word.  Every row is judged
     by its own text: repeated rows match alike, rows or items of one key and
-    different texts stay apart, and a null key is a key like others.
+    different texts stay apart, and a null key is a key like others.  An item of
+    fewer than WINDOW tokens is found re-parameterised if SHORT_LITERALS of them
+    are plain words; any is found verbatim.  ``sent`` decides only where hashes
+    that match nothing are dropped, in the scan or in the join.
     """
-    return _found(docs, benchmark, sent_windows).drop("row")
+    return _found(docs, benchmark, sent).drop("row")
 
 
-def without_matches(docs: DataFrame, benchmark: DataFrame, sent_windows: int = SENT_WINDOWS) -> DataFrame:
-    """The documents that contain no benchmark item, all columns as they are."""
+def without_matches(docs: DataFrame, benchmark: DataFrame, sent: int = SENT_HASHES) -> DataFrame:
+    """The documents that contain no benchmark item, all columns as they are.
+
+    Null and empty texts stay; of rows with one key only those whose own text
+    contains an item go.
+    """
     name = free_name(docs, "leaked")
-    found = stored(_found(docs, benchmark, sent_windows).select(F.col("row").alias(name)).distinct(), "leaked")
+    found = stored(_found(docs, benchmark, sent).select(F.col("row").alias(name)).distinct(), "leaked")
     return docs.join(found, _row("doc_id") == F.col(name), "left_anti")

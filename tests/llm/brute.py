@@ -110,3 +110,58 @@ def chosen_blocks(b, h):
         head = b.tag[b.node[i]] in ("h1", "h2", "h3", "h4", "h5", "h6") and i + 1 < n and content[i + 1]
         out[i] = along or head
     return out
+
+
+def template(text, d):
+    """(words, word -> token, tokens, values) of an ASCII text, read plainly."""
+    kinds, words, values, place = [], [], [], []
+    for line in (text or "").split("\n"):
+        opens = True
+        for raw in re.findall(r"[^\x20\x09-\x0D]+", line):
+            core = re.search(r"[A-Za-z0-9].*[A-Za-z0-9]|[A-Za-z0-9]", raw)
+            after = raw[core.end() :] if core else raw
+            if core:
+                w = core[0].lower()
+                if any(c.isdigit() for c in w) or w in d._NUMBER_WORDS:
+                    kind = "#number"
+                elif kinds and kinds[-1] == "#number" and w in d._UNITS:
+                    kind = "#unit"
+                elif core[0][0].isupper() and not opens:
+                    kind = "#name"
+                else:
+                    kind = w
+                if kind == "#name" and kinds and kinds[-1] == "#name":
+                    values[-1] = w
+                else:
+                    kinds.append(kind)
+                    values.append(w)
+                words.append(w)
+                place.append(len(kinds) - 1)
+                opens = any(c in ".!?:;" for c in after)
+    return words, place, kinds, values
+
+
+def leaks(docs, items, d):
+    """(doc, item, covered, renamed) of all pairs, by comparing every window."""
+    out = []
+    number = {}
+    code = lambda x: number.setdefault(x, len(number) + 10)
+    marks = {"#number": 1, "#name": 2, "#unit": 3}
+    for item, text in items:
+        words, place, kinds, values = template(text, d)
+        size = min(d.WINDOW, len(kinds))
+        run = min(d.EXACT, len(words))
+        least = d.LITERALS if size == d.WINDOW else d.SHORT_LITERALS
+        for doc, body in docs:
+            w2, _, k2, v2 = template(body, d)
+            hits = [
+                (i, j, [code(v) for v in v2[j : j + size]]) for i in range(len(kinds) - size + 1) for j in range(len(k2) - size + 1)
+                if size and kinds[i : i + size] == k2[j : j + size] and sum(k not in marks for k in kinds[i : i + size]) >= least
+            ]
+            got = d.judge(hits, [marks.get(k, code(k)) for k in kinds], [code(v) for v in values])
+            same = {i for i in range(len(words) - run + 1) for j in range(len(w2) - run + 1) if run and words[i : i + run] == w2[j : j + run]}
+            if got:
+                out.append((doc, item, got[0], got[3]))
+            elif same:
+                out.append((doc, item, len({place[k] for i in same for k in range(i, i + run)}), False))
+    return out

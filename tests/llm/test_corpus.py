@@ -209,7 +209,7 @@ def test_reparameterised_questions(rows):
         ],
     )
     bench = rows([(7, QUESTION, "x"), (8, None, "x"), (9, "too short", "x"), (7, QUESTION, "x"), (None, QUESTION, "x")], "item_id long, text string, h string")
-    for limit in (decontaminate.SENT_WINDOWS, 0):
+    for limit in (decontaminate.SENT_HASHES, 0):
         got = {(r.doc_id, r.item_id): r.renamed for r in decontaminate.matches(docs, bench, limit).collect()}
         assert got[1, 7] and not got[2, 7] and {k[0] for k in got} <= {1, 2, 7}
     assert {r.doc_id for r in decontaminate.without_matches(docs, bench).collect()} >= {3, 4, 5, 6}
@@ -233,7 +233,7 @@ def test_each_occurrence_is_judged_alone(rows):
         (4, f"so 9 apples for 2 dollars and then gave 3 apples {end} to Peter before she went home on Friday"),
     ]
     bench = rows([(7, QUESTION)], "item_id long, text string")
-    for limit in (decontaminate.SENT_WINDOWS, 0):
+    for limit in (decontaminate.SENT_HASHES, 0):
         got = {r.doc_id: r.renamed for r in decontaminate.matches(_docs(rows, docs), bench, limit).collect()}
         assert got == {1: False, 2: True, 3: False}
 
@@ -246,7 +246,7 @@ def test_verbatim_parts_and_short_items_match(rows):
         (4, "what is the Capital of France, asked she"), (5, "what is the capital of Spain"), (6, "x " + " ".join(QUESTION.split()[:13])),
     ]
     bench = rows([(7, long), (8, dense), (9, "Capital of France?"), (10, "..."), (11, "")], "item_id long, text string")
-    for limit in (decontaminate.SENT_WINDOWS, 0):
+    for limit in (decontaminate.SENT_HASHES, 0):
         got = decontaminate.matches(_docs(rows, docs), bench, limit).collect()
         assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 7), (3, 8), (4, 9), (6, 7)] and not any(r.renamed for r in got)
 
@@ -256,7 +256,7 @@ def test_rows_and_items_are_told_apart_by_their_texts(rows):
     docs = _docs(rows, [(1, f"a {QUESTION} b"), (1, f"a {QUESTION} b"), (1, "clean text of the same id"), (1, f"x {other}"), (None, f"c {QUESTION}"), (None, "clean text without an id"), (2, None)])
     bench = rows([(7, QUESTION), (7, other), (7, other), (None, "an item that has no id, called Zanzibar Quokka")], "item_id long, text string")
     more = _docs(rows, [(3, "this is an item that has no id, called Zanzibar Quokka, here")])
-    for limit in (decontaminate.SENT_WINDOWS, 0):
+    for limit in (decontaminate.SENT_HASHES, 0):
         got = [(r.doc_id, r.item_id) for r in decontaminate.matches(docs.union(more), bench, limit).collect()]
         assert sorted(got, key=str) == sorted([(1, 7), (1, 7), (1, 7), (None, 7), (3, None)], key=str)
         left = decontaminate.without_matches(docs.union(more), bench, limit)
@@ -268,5 +268,54 @@ def test_both_joins_find_the_planted_passages(spark):
     d = "/root/testdata/sf0.01"
     docs, bench = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/benchmark.parquet")
     held = [(r.doc_id, b.item_id) for r in docs.select("doc_id", "text").collect() for b in bench.collect() if b.text in r.text]
-    for limit in (decontaminate.SENT_WINDOWS, 0):
+    for limit in (decontaminate.SENT_HASHES, 0):
         assert sorted((r.doc_id, r.item_id) for r in decontaminate.matches(docs, bench, limit).collect()) == sorted(held)
+
+
+def _questions(rng, n):
+    """Question templates with slots, each with two fillings."""
+    vocabulary = [f"{a}{b}" for a in ("ba", "ko", "mi", "ren", "sul", "tor") for b in ("lim", "dar", "ven", "sop", "ket", "nu")]
+    out = []
+    for _ in range(n):
+        parts = [rng.choice(("number", "unit", "name", "word", "word", "word")) for _ in range(rng.randint(9, 24))]
+        said = [rng.choice(vocabulary) for _ in parts]
+        fill = []
+        for _ in range(2):
+            numbers = rng.sample(range(2, 99), len(parts))
+            names = rng.sample(["Anna", "Bela", "Carl", "Dora", "Emil", "Fred", "Gina", "Hans", "Iris", "Jana", "Karl", "Lena", "Mark", "Nora", "Otto", "Paul", "Rosa", "Sven", "Tina", "Udo", "Vera", "Willi", "Xenia", "Yann"], len(parts))
+            words = [str(numbers[i]) if p == "number" else f"{numbers[i]} km" if p == "unit" else names[i] if p == "name" else said[i] for i, p in enumerate(parts)]
+            fill.append("What " + " ".join(words) + "?")
+        out.append(fill)
+    return out
+
+
+def test_decontamination_against_a_plain_reading(rows):
+    rng = random.Random(31)
+    asked = _questions(rng, 25)
+    filler = lambda: " ".join(rng.choice(("stone", "river", "lamp", "Oslo", "7", "green", "and", "km", "went.")) for _ in range(rng.randint(0, 25)))
+    docs = [(i, f"{filler()} {rng.choice(rng.choice(asked))} {filler()} {' '.join(rng.choice(rng.choice(asked)).split()[3:12])}") for i in range(60)]
+    docs += [(7, docs[7][1]), (None, docs[3][1]), (99, None), (98, "")]
+    items = [(i, q[0]) for i, q in enumerate(asked)] + [(40, "How far is it to Rome?"), (41, "What?"), (42, "A train goes 60 km in 2 hours and 90 km in 3 hours"), (43, None)]
+    docs += [(50, "So: A train goes 60 km in 2 hours and 90 km in 3 hours."), (51, "ask. A train goes 50 km in 4 hours and 80 km in 5 hours. yes"), (52, "how far is it to Rome"), (53, "how far is it to Bonn")]
+    want = sorted(brute.leaks(docs, items, decontaminate), key=str)
+    assert {(50, 42), (51, 42), (52, 40)} <= {w[:2] for w in want}
+    bench = rows(items, "item_id long, text string")
+    for limit in (decontaminate.SENT_HASHES, 0):
+        got = [(r.doc_id, r.item_id, r.covered, r.renamed) for r in decontaminate.matches(_docs(rows, docs), bench, limit).collect()]
+        assert sorted(got, key=str) == want
+
+
+def test_recall_of_reparameterised_items(rows):
+    rng = random.Random(5)
+    asked = _questions(rng, 200)
+    docs = _docs(rows, [(i, f"Some text before it. {q[1]} And some after.") for i, q in enumerate(asked)])
+    bench = rows([(i, q[0]) for i, q in enumerate(asked)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, bench).collect()}
+    assert sum((i, i) in got for i in range(200)) >= 0.9 * 200
+    assert sum(a != b for a, b in got) <= 2
+
+
+def test_renaming_is_one_to_one(rows):
+    item = "Anna has 5 coins and Ben has 6 coins then Carl has 7 coins fewer than Dora who has 8 coins"
+    doc = "Anna has 4 coins and Ben has 4 coins then Carl has 4 coins fewer than Dora who has 4 coins"
+    assert decontaminate.matches(_docs(rows, [(1, doc)]), rows([(1, item)], "item_id long, text string")).collect() == []
