@@ -1,51 +1,70 @@
-"""Scoring texts with a backoff model of word bigrams.
+"""Scoring texts with a weighted backoff automaton of word n-grams.
 
-A bigram that training has seen scores as an arc of its context would; any
-other word backs off to the empty context, which knows the words seen and one
-for all words that are not.  Every context is smoothed, so that it shares out a
-probability of one over the known words and the unknown one.  The counts of
-each token's bigram and unigram are looked up and the logarithms summed: this
-lookup stands in for the automaton, no states are built or walked.
+States are contexts of at most ORDER - 1 words that training has seen.  A state
+has an arc for every word that training has seen after it, weighted with the
+smoothed log-probability, and a failure arc to its longest proper suffix that is
+a state, weighted with what the smoothing leaves for other words.  A text is
+scored in one left-to-right pass that carries the state: where a state has no
+arc for the word, failure arcs are taken, at the root at last the arc of all
+words that are not known.  Every state shares out a probability of one.
 
 Counts never meet on one machine: documents are dealt into blocks, each block
-asks for the counts of its own n-grams, and ranges of the n-gram hash answer.
+asks for the counts of its own n-grams and compiles the part of the automaton
+that its texts can reach; ranges of the n-gram hash answer.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import by_crc, keyed_text, release, slices
+from .runtime import block_count, by_crc, dealt, free_name, keyed_text, range_bits, release, slices
 from .shingles import mix, word_hashes
 
-#: Documents of a block, about.
-BLOCK = 2048
+#: Words of an n-gram at most.
+ORDER = 3
 BATCH = 1 << 20
-#: Pseudo-count of the failure arc of a word context, and discount of a word.
-PRIOR, DISCOUNT = 1000.0, 0.75
+#: Pseudo-counts of the failure arcs of contexts of one and of two words, and
+#: discount of a word.
+PRIORS, DISCOUNT = (300.0, 20.0), 0.75
+#: Tokens that a lane of the traversal scores.
+LANE = 256
 #: Hash of the end of a text; the start shares its count, one for each text.
 END = np.uint64(0x8AE5D3A1C4F0B297)
 START = np.uint64(0x3C6EF372FE94F82B)
+_ODD = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 
-def _block_grams(texts: list[str]):
-    """Tokens of a block: their ids, the ids before them, bigram ids, their texts."""
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every token of the texts, ends included, and tokens of each."""
     made = [word_hashes(texts[a:b]) for a, b in slices([len(t) for t in texts], BATCH)]
-    hashes, words = (np.concatenate([m[k] for m in made]) for k in (0, 1))
-    owner = np.repeat(np.arange(len(texts)), words + 1)
+    hashes, words = (np.concatenate([m[k] for m in made]) if made else np.zeros(0, t) for k, t in ((0, np.uint64), (1, np.int64)))
     close = np.cumsum(words + 1) - 1
-    ids = np.empty(len(owner), np.uint64)
-    is_end = np.zeros(len(owner), bool)
+    ids = np.empty(len(hashes) + len(words), np.uint64)
+    is_end = np.zeros(len(ids), bool)
     is_end[close] = True
     ids[~is_end], ids[is_end] = hashes, END
-    before = np.concatenate([[START], ids[:-1]]).astype(np.uint64)
-    before[close - words] = START
-    pairs = mix(before * np.uint64(0x9E3779B97F4A7C15) + ids * np.uint64(0xC2B2AE3D27D4EB4F))
-    return ids, before, pairs, owner
+    return ids, words + 1
+
+
+def _grams(ids: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Hash of the n-gram of each order that ends at each token; START fills up
+    what is before a text."""
+    first = np.cumsum(sizes) - sizes
+    out = [ids]
+    total = mix(ids) * _ODD[0]
+    before = ids
+    for k in range(1, ORDER):
+        before = np.concatenate([[START], before[:-1]]).astype(np.uint64)
+        before[first] = START
+        total = total + mix(before) * _ODD[k]
+        out.append(mix(total + np.uint64(k)))
+    return out
 
 
 def _put(values: np.ndarray) -> bytes:
@@ -59,18 +78,134 @@ def _get(blob: bytes, kind: str) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(data.reshape(size, -1).T).view(kind).ravel(), dtype=kind)
 
 
-def _requests(texts: list[str], learn: np.ndarray, bits: int) -> list[tuple]:
-    """(kind, ids, counts): the block's n-grams with its own training counts.
+class Automaton:
+    """The arcs and failure arcs that some texts can reach.
 
-    Word ids are whole hashes; bigram ids keep the first 34 + bits bits.
+    words: hashes of their tokens, sorted, with training counts; pairs and
+    triples: for each different n-gram its words' numbers and training count.
+    State 0 is the root; the number of a word that isn't there is len(words).
     """
-    ids, _, pairs, owner = _block_grams(texts)
-    teach = learn[owner]
-    out = []
-    for kind, every in ((0, ids), (1, pairs >> np.uint64(30 - bits) << np.uint64(30 - bits))):
-        unique, place = np.unique(every, return_inverse=True)
-        out.append((kind, unique, np.bincount(place, teach, len(unique)).astype(np.int64)))
-    return out
+
+    def __init__(self, words: np.ndarray, count: np.ndarray, pairs: np.ndarray, pair_count: np.ndarray, triples: np.ndarray, triple_count: np.ndarray, total: int, kinds: int):
+        self.width = width = len(words) + 1  # START has the number len(words)
+        count = count.astype(float)
+        ends = int(np.searchsorted(words, END))
+        starts = count[ends] if ends < len(words) and words[ends] == END else 0.0
+        self.unknown = float(np.log(DISCOUNT * kinds / total)) if total else 0.0
+        seen = np.flatnonzero(count > 0)
+        context = np.append(count, starts)
+        known = np.append(count > 0, starts > 0)
+        if ends < len(words) and words[ends] == END:
+            known[ends] = False  # nothing follows an end
+        # states: the root, words, pairs
+        self.state_of = np.zeros(width, np.int64)
+        self.state_of[known] = 1 + np.arange(known.sum())
+        made = 1 + int(known.sum())
+        some = pair_count > 0
+        pairs, pair_count = pairs[some], pair_count[some].astype(float)
+        inner = pairs[:, 1] != (ends if ends < len(words) and words[ends] == END else -1)
+        pair_state = np.where(inner, made + np.cumsum(inner) - 1, 0)
+        some = (triple_count > 0) & (triples[:, 1] < len(words))  # the start is one word of context
+        triples, triple_count = triples[some], triple_count[some].astype(float)
+        # weights, lower orders first
+        low = np.log(np.maximum(count[seen] - DISCOUNT, 1e-300) / max(total, 1))
+        unigram = np.zeros(len(words))
+        unigram[seen] = low
+        of = context[pairs[:, 0]]
+        second = np.log(pair_count + PRIORS[0] * np.exp(unigram[pairs[:, 1]])) - np.log(of + PRIORS[0])
+        key = pairs[:, 0] * width + pairs[:, 1]
+        order = np.argsort(key)
+        find = lambda a, b: order[np.searchsorted(key[order], a * width + b)] if len(key) else np.zeros(0, np.int64)
+        left, right = find(triples[:, 0], triples[:, 1]), find(triples[:, 1], triples[:, 2])
+        third = np.log(triple_count + PRIORS[1] * np.exp(second[right])) - np.log(pair_count[left] + PRIORS[1])
+        # arcs, sorted by state and word
+        arcs = np.concatenate([seen, self.state_of[pairs[:, 0]] * width + pairs[:, 1], pair_state[left] * width + triples[:, 2]])
+        target = np.concatenate([self.state_of[seen], pair_state, pair_state[right]])
+        weight = np.concatenate([low, second, third])
+        order = np.argsort(arcs)
+        self.arc, self.target, self.weight = arcs[order], target[order], weight[order]
+        # failure arcs
+        self.fail = np.zeros(made + int(inner.sum()), np.int64)
+        self.fall = np.zeros(len(self.fail))
+        self.fall[self.state_of[known]] = np.log(PRIORS[0]) - np.log(context[known] + PRIORS[0])
+        self.fail[pair_state[inner]] = self.state_of[pairs[inner, 1]]
+        self.fall[pair_state[inner]] = np.log(PRIORS[1]) - np.log(pair_count[inner] + PRIORS[1])
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States after reading a word in each of ``state``, and log-probabilities."""
+        state, gained = state.copy(), np.zeros(len(state))
+        open_ = np.arange(len(state))
+        while len(open_):
+            now, read = state[open_], word[open_]
+            key = now * self.width + read
+            at = np.minimum(np.searchsorted(self.arc, key), len(self.arc) - 1) if len(self.arc) else np.zeros(len(key), np.int64)
+            hit = self.arc[at] == key if len(self.arc) else np.zeros(len(key), bool)
+            done, at = open_[hit], at[hit]
+            gained[done] += self.weight[at]
+            state[done] = self.target[at]
+            root = open_[~hit & (now == 0)]
+            gained[root] += self.unknown
+            open_ = open_[~hit & (now != 0)]
+            gained[open_] += self.fall[state[open_]]
+            state[open_] = self.fail[state[open_]]
+        return state, gained
+
+    def score(self, code: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Natural log-probability of each text, whose tokens have the numbers
+        ``code``.  Long texts go in lanes: a lane's first state is that which
+        the two tokens before it lead to."""
+        first = np.cumsum(sizes) - sizes
+        lanes = -(-sizes // LANE)
+        owner = np.repeat(np.arange(len(sizes)), lanes)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        begin = first[owner] + nth * LANE
+        length = np.minimum(LANE, first[owner] + sizes[owner] - begin)
+        order = np.argsort(-length, kind="stable")
+        begin, length, owner, nth = begin[order], length[order], owner[order], nth[order]
+        state = np.where(nth == 0, self.state_of[-1], 0)
+        later = np.flatnonzero(nth > 0)
+        for back in range(ORDER - 1, 0, -1):
+            state[later], _ = self.step(state[later], code[begin[later] - back])
+        total = np.zeros(len(begin))
+        for k in range(int(length[0]) if len(length) else 0):
+            live = int(np.searchsorted(-length, -k, "left"))
+            state[:live], gained = self.step(state[:live], code[begin[:live] + k])
+            total[:live] += gained
+        return np.bincount(owner, total, len(sizes))
+
+
+def _score_block(texts: list[str], counts: list[np.ndarray], total: int, kinds: int):
+    """Known flags of each text's tokens, base scores and model scores."""
+    ids, sizes = _tokens(texts)
+    grams = _grams(ids, sizes)
+    words, code = np.unique(ids, return_inverse=True)
+    first = np.cumsum(sizes) - sizes
+    spelled = [code]
+    for k in range(1, ORDER):
+        spelled.insert(0, np.concatenate([[len(words)], spelled[0][:-1]]))
+        spelled[0][first] = len(words)
+    distinct = [np.unique(g, return_index=True)[1] for g in grams[1:]]
+    pairs, triples = (np.stack([s[at] for s in spelled[ORDER - n :]], 1) for n, at in zip((2, 3), distinct, strict=True))
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    c = counts[0].astype(float)[code]
+    base = np.bincount(owner, np.log10((c + 0.1) / (total + 0.1 * (kinds + 1))), len(texts))
+    known = np.bincount(owner, c > 0, len(texts)).astype(np.int64)
+    model = Automaton(words, counts[0], pairs, counts[1], triples, counts[2], total, kinds).score(code, sizes)
+    return sizes, known, base, model / np.log(10)
+
+
+def training_totals(plain: DataFrame) -> tuple[int, int]:
+    """Tokens and different tokens of the rows to learn from: counted by hash,
+    batch by batch before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, n = np.unique(_tokens(batch.column(0).to_pylist())[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), pa.array(n.astype(np.int64))], ["id", "n"])
+
+    words = plain.where("learn").select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    row = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    return int(row["n"]), int(row["v"])
 
 
 def scores(docs: DataFrame, learn, key: str = "doc_id") -> DataFrame:
@@ -80,41 +215,43 @@ def scores(docs: DataFrame, learn, key: str = "doc_id") -> DataFrame:
     Words have A-Z lower-cased; a text's tokens are its words and one end, so a
     null or empty text is the end alone.  base_score is the additive unigram
     score; without anything to learn from V = N = 0, and every word is the
-    unknown one, of probability one.  Repeated rows give repeated rows; other columns are
-    ignored.
+    unknown one, of probability one.  Repeated rows give repeated rows; a null
+    key is a key like others; other columns are ignored.  N-grams are told apart
+    by whole 64-bit hashes.
     """
     plain = keyed_text(docs, key).withColumn("learn", F.coalesce(learn, F.lit(False)))
-    rows = docs.count()
-    bits = min(20, max(3, (rows // BLOCK).bit_length()))
-    blocks = max(1, -(-rows // BLOCK))
-    dealt = plain.withColumn("block", F.pmod(F.xxhash64(key, "text"), F.lit(blocks)))
+    size = plain.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
+    total, kinds = training_totals(plain)
+    blocks, bits = block_count(size), range_bits(size)
+    block = free_name(plain, "block")
+    placed = dealt(plain, block, blocks)
 
     def ask(table: pa.Table) -> pa.Table:
         release()
-        block = table.column("block")[0].as_py()
-        made = _requests(table.column("text").to_pylist(), table.column("learn").to_numpy(), bits)
+        number = table.column(block)[0].as_py()
+        ids, sizes = _tokens(table.column("text").to_pylist())
+        teach = np.repeat(table.column("learn").to_numpy(), sizes)
         parts = []
-        for kind, ids, counts in made:
-            cuts = np.searchsorted(ids, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
-            for part, (i, c) in enumerate(zip(np.split(ids, cuts), np.split(counts, cuts), strict=True)):
-                parts.append((part, block, kind, _put(i), _put(c)))
-        return pa.table(dict(zip(["part", "block", "kind", "ids", "n"], map(pa.array, zip(*parts, strict=True)), strict=True)), schema=asked)
+        for kind, every in enumerate(_grams(ids, sizes)):
+            unique, place = np.unique(every, return_inverse=True)
+            own = np.bincount(place, teach, len(unique)).astype(np.int64)
+            part = unique >> np.uint64(64 - bits)
+            cuts = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))
+            for at, i, c in zip(part[cuts].tolist(), np.split(unique, cuts[1:]), np.split(own, cuts[1:]), strict=True):
+                parts.append((at, number, kind, _put(i), _put(c)))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*parts, strict=True), asked.types, strict=True)], schema=asked)
 
     asked = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()), ("ids", pa.binary()), ("n", pa.binary())])
-    answered = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("kind", pa.int32()), ("n", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())])
+    answered = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("kind", pa.int32()), ("n", pa.binary())])
 
     def answer(table: pa.Table) -> pa.Table:
         release()
-        part, kind = table.column("part")[0].as_py(), table.column("kind")[0].as_py()
         ids = [_get(b, "u8") for b in table.column("ids").to_pylist()]
         own = [_get(b, "i8") for b in table.column("n").to_pylist()]
         every, place = np.unique(np.concatenate(ids), return_inverse=True)
-        total = np.bincount(place, np.concatenate(own), len(every)).astype(np.int64)
-        cuts = np.cumsum([len(i) for i in ids])[:-1]
-        back = [_put(total[p]) for p in np.split(place, cuts)]
-        n = len(ids)
-        tokens, types = int(total.sum()), int((total > 0).sum())
-        return pa.table([table.column("block").combine_chunks(), pa.array([part] * n, pa.int32()), pa.array([kind] * n, pa.int32()), pa.array(back, pa.binary()), pa.array([tokens] * n), pa.array([types] * n)], schema=answered)
+        found = np.bincount(place, np.concatenate(own), len(every)).astype(np.int64)
+        back = [_put(found[p]) for p in np.split(place, np.cumsum([len(i) for i in ids])[:-1])]
+        return pa.table([table.column(c).combine_chunks() for c in ("block", "part", "kind")] + [pa.array(back, pa.binary())], schema=answered)
 
     scored = pa.schema([(key, pa.int64()), ("learnt", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
@@ -123,39 +260,14 @@ def scores(docs: DataFrame, learn, key: str = "doc_id") -> DataFrame:
             return scored.empty_table()
         release()
         held = sorted(zip(right.column("kind").to_pylist(), right.column("part").to_pylist(), range(right.num_rows), strict=True))
-        blobs, tokens, types = (right.column(c).to_pylist() for c in ("n", "tokens", "types"))
-        counts = [np.concatenate([_get(blobs[r], "i8") for k, _, r in held if k == kind]) for kind in (0, 1)]
-        total = sum(tokens[r] for k, _, r in held if k == 0)
-        kinds = sum(types[r] for k, _, r in held if k == 0)
-        texts = left.column("text").to_pylist()
-        known, base, model = _score_block(texts, counts, total, kinds, bits)
-        size = [len(x) for x in known]
-        return pa.table([left.column(key).combine_chunks(), left.column("learn").combine_chunks(), pa.array(size, pa.int64()), pa.array([int(x.sum()) for x in known], pa.int64()), pa.array([total] * len(size), pa.int64()), pa.array(base), pa.array(model)], schema=scored)
-
-    replies = dealt.groupBy("block").applyInArrow(ask, "part int, block long, kind int, ids binary, n binary")
-    replies = replies.groupBy("part", "kind").applyInArrow(answer, "block long, part int, kind int, n binary, tokens long, types long")
-    return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(score, f"`{key}` long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
+        blobs = right.column("n").to_pylist()
+        counts = [np.concatenate([_get(blobs[r], "i8") for k, _, r in held if k == kind]) for kind in range(ORDER)]
+        sizes, known, base, model = _score_block(left.column("text").to_pylist(), counts, total, kinds)
+        return pa.table([left.column(key).combine_chunks(), left.column("learn").combine_chunks(), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array([total] * len(sizes), pa.int64()), pa.array(base), pa.array(model)], schema=scored)
 
-def _score_block(texts: list[str], counts: list[np.ndarray], total: int, kinds: int, bits: int):
-    """Known flags of each text's tokens, base scores and model scores."""
-    ids, before, pairs, owner = _block_grams(texts)
-    words, place = np.unique(ids, return_inverse=True)
-    count = counts[0].astype(float)
-    rest = DISCOUNT * kinds / total if total else 1.0
-    low = np.log(np.where(count > 0, (count - DISCOUNT) / max(total, 1), rest))
-    unigram = low[place]
-    pair_ids, pair_place = np.unique(pairs >> np.uint64(30 - bits), return_inverse=True)
-    seen = counts[1].astype(float)[pair_place]
-    at = np.searchsorted(words, np.where(before == START, END, before))
-    context = count[at]
-    arc = np.logaddexp(np.log(np.maximum(seen, 1e-300)), np.log(PRIOR) + unigram) - np.log(context + PRIOR)
-    fail = np.log(PRIOR) - np.log(context + PRIOR) + unigram
-    model = np.bincount(owner, np.where(seen > 0, arc, fail), len(texts)) / np.log(10)
-    c = count[place]
-    base = np.bincount(owner, np.log10((c + 0.1) / (total + 0.1 * (kinds + 1))), len(texts))
-    known = np.split(c > 0, np.cumsum(np.bincount(owner, minlength=len(texts)))[:-1])
-    return known, base, model
+    replies = placed.groupBy(block).applyInArrow(ask, "part int, block long, kind int, ids binary, n binary")
+    replies = replies.groupBy("part", "kind").applyInArrow(answer, "block long, part int, kind int, n binary")
+    return placed.groupBy(block).cogroup(replies.groupBy("block")).applyInArrow(score, f"`{key}` long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def learnt(modulus: int = 10):

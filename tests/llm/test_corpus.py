@@ -68,18 +68,45 @@ def test_base_scores_and_probabilities(rows):
         assert got[i].n_tokens == len(ws) and got[i].n_known == sum(c[w] > 0 for w in ws) and got[i].train_tokens == n
         assert got[i].base_score == pytest.approx(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws))
     # the model, read plainly
-    pair = Counter((a, b) for i, ws in tokens.items() if zlib.crc32(str(i).encode()) % 10 for a, b in zip(["^", *ws], ws, strict=False))
-    low = {w: (k - language_model.DISCOUNT) / n for w, k in c.items()}
-    unknown = language_model.DISCOUNT * v / n
-    assert sum(low.values()) + unknown == pytest.approx(1)
+    teach = [ws for i, ws in tokens.items() if zlib.crc32(str(i).encode()) % 10]
+    two = Counter(g for ws in teach for g in zip(["^", *ws], ws, strict=False))
+    three = Counter(g for ws in teach for g in zip(["^", "^", *ws], ["^", *ws], ws, strict=False))
+    c["^"] = c["\n"]
 
-    def p(before, w):
-        seen = c["\n"] if before == "^" else c[before]
-        return (pair[before, w] + language_model.PRIOR * low.get(w, unknown)) / (seen + language_model.PRIOR)
+    def p1(w):
+        return (c[w] - language_model.DISCOUNT) / n if c[w] else language_model.DISCOUNT * v / n
 
+    def p2(a, w):
+        mu = language_model.PRIORS[0]
+        return (two[a, w] + mu * p1(w)) / (c[a] + mu)
+
+    def p3(a, b, w):
+        mu = language_model.PRIORS[1]
+        return p2(b, w) if a == b == "^" else (three[a, b, w] + mu * p2(b, w)) / (two[a, b] + mu)
+
+    vocabulary = [w for w in c if w != "^"]
+    for a, b in (("^", "the"), ("the", "of"), ("of", "and")):
+        assert sum(p3(a, b, w) for w in vocabulary) + p3(a, b, "unseen") == pytest.approx(1)
     for i, ws in tokens.items():
-        assert got[i].score == pytest.approx(sum(math.log10(p(a, b)) for a, b in zip(["^", *ws], ws, strict=False)))
+        assert got[i].score == pytest.approx(sum(math.log10(p3(a, b, w)) for a, b, w in zip(["^", "^", *ws], ["^", *ws], ws, strict=False)))
     assert language_model.scores(_docs(rows, []), language_model.learnt()).collect() == []
+    alone = language_model.scores(_docs(rows, [(1, "a b"), (1, "a b"), (None, None)]), F.lit(False)).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens, r.n_known, r.score) for r in alone) == [(0, 1, 0, 0.0), (1, 3, 0, 0.0), (1, 3, 0, 0.0)]
+
+
+def test_lanes_of_the_traversal_join(rows, monkeypatch):
+    rng = random.Random(6)
+    texts = [(i, " ".join(f"w{rng.randint(0, 30)}" for _ in range(rng.randint(0, 200)))) for i in range(60)]
+    docs = _docs(rows, texts)
+    whole = {r.doc_id: r.score for r in language_model.scores(docs, language_model.learnt()).collect()}
+    ids, sizes = language_model._tokens([t for _, t in texts])
+    words, code = np.unique(ids, return_inverse=True)
+    counts = [np.unique(g, return_counts=True)[1] for g in language_model._grams(ids, sizes)]
+    got = []
+    for lane in (3, 256):
+        monkeypatch.setattr(language_model, "LANE", lane)
+        got.append(language_model._score_block([t for _, t in texts], counts, len(ids), len(words))[3])
+    assert got[0] == pytest.approx(got[1]) and len(whole) == 60
 
 
 def test_model_beats_the_base_on_held_out_texts(spark, small):
