@@ -7,10 +7,11 @@ sets share a member among the first n - ceil(percent n / 100) + 1 of each, so
 1. all shingles are counted, and the order puts frequent ones last; those that
    one document alone holds can be shared with nothing and are let go of;
 2. documents of one size and prefix are one group, equal sets one variant;
-3. groups that share a prefix shingle form a list; lists are expanded to the
-   variants of their groups, and pairs of them that no chain of links joins
-   yet are verified on all that they can share;
-4. components of the verified links give the classes.
+3. groups that share a prefix shingle form a list; pairs of groups in a list are
+   filtered by their sizes and by the places of the shingle in both;
+4. the pairs that are left are expanded to the variants of both groups, and
+   those that no chain of links joins yet are verified on all they can share;
+5. components of the verified links give the classes.
 
 Counts never meet on one machine: documents are dealt into blocks, each block
 asks for the counts of its own shingles, and ranges of the hash answer.
@@ -25,13 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .runtime import keyed_text, release, slices, stored
+from .runtime import block_count, dealt, keyed_text, range_bits, release, slices, stored
 from .shingles import mix, narrow, shingle_sets
 
-#: Documents of a block, about.
-BLOCK = 2048
-#: For each round in which a list's members are compared with a few of them
-#: only: how many those are.
+#: For each round in which a list's groups, and a group's variants, are compared
+#: with a few of them only: how many those are.
 CENTRES = (16, 64)
 BATCH = 2 << 20
 
@@ -53,20 +52,20 @@ def with_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     next 32 bits of its shingles, about two bytes each, and gets a byte for
     each back; a text is shuffled to its block and read twice there.
     """
-    rows = docs.count()
-    bits = min(20, max(4, (rows // BLOCK).bit_length()))
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-rows // BLOCK)))))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
+    bits = range_bits(size)
+    placed = dealt(docs, "block", block_count(size))
 
     def ask(table: pa.Table) -> pa.Table:
         release()
         values, _ = _block_sets(table.column("text").to_pylist(), width)
         ids = np.sort(values) >> np.uint64(32 - bits)
-        cuts = np.searchsorted(ids, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(32))
+        part = ids >> np.uint64(32)
+        cuts = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))  # ranges without a shingle get no message
         squeeze = zstd.ZstdCompressor(level=1)
-        low = np.split(ids & np.uint64(0xFFFFFFFF), cuts)
-        blobs = [squeeze.compress(np.diff(part, prepend=np.uint64(0)).astype("<u4").tobytes()) for part in low]
-        n = len(blobs)
-        return pa.table({"part": pa.array(range(n), pa.int32()), "block": pa.array([table.column("block")[0].as_py()] * n, pa.int64()), "blob": pa.array(blobs, pa.binary())})
+        low = np.split(ids & np.uint64(0xFFFFFFFF), cuts[1:]) if len(cuts) else []
+        blobs = [squeeze.compress(np.diff(some, prepend=np.uint64(0)).astype("<u4").tobytes()) for some in low]
+        return pa.table({"part": pa.array(part[cuts].astype(np.int32)), "block": pa.array([table.column("block")[0].as_py()] * len(cuts), pa.int64()), "blob": pa.array(blobs, pa.binary())})
 
     def answer(table: pa.Table) -> pa.Table:
         release()
@@ -79,6 +78,8 @@ def with_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def order(left: pa.Table, right: pa.Table) -> pa.Table:
         release()
+        if not left.num_rows:
+            return empty
         names = ["doc_id", "n", "d1", "d2", "g", "prefix", "spots", "live"]
         texts = left.column("text").to_pylist()
         values, n = _block_sets(texts, width)
@@ -105,9 +106,11 @@ def with_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
             lists.append(pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(what[some])))
         return pa.table([left.column("doc_id").combine_chunks(), pa.array(n, pa.int64()), *(pa.array(x.view(np.int64)) for x in (d1, d2, g)), *lists], names)
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "part int, block long, blob binary")
+    longs = pa.list_(pa.int64())
+    empty = pa.schema([*((x, pa.int64()) for x in ("doc_id", "n", "d1", "d2", "g")), ("prefix", longs), ("spots", pa.list_(pa.int32())), ("live", longs)]).empty_table()
+    asked = placed.groupBy("block").applyInArrow(ask, "part int, block long, blob binary")
     answered = asked.groupBy("part").applyInArrow(answer, "block long, part int, blob binary")
-    return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(order, "doc_id long, n long, d1 long, d2 long, g long, prefix array<long>, spots array<int>, live array<long>")
+    return placed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(order, "doc_id long, n long, d1 long, d2 long, g long, prefix array<long>, spots array<int>, live array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -118,68 +121,96 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(100 * F.col("i") >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b").distinct()
 
 
-def _candidate_lists(variants: DataFrame) -> DataFrame:
-    """(list, vid, n, spot): variants of groups that share a prefix shingle,
-    with its place in their sets, and variants of one group.
+def _group_lists(variants: DataFrame) -> DataFrame:
+    """(list, gid, n, spot): groups that share a prefix shingle, with its place
+    in their sets.
 
     Of lists with the same groups the first in the order stays: it holds the
-    first shingle that any two of its members share.
+    first shingle that any two of its groups share.
     """
-    gid = F.xxhash64("n", "g")
-    named = variants.select(gid.alias("gid"), "vid", "n")
-    groups = variants.groupBy(gid.alias("gid")).agg(F.first(F.arrays_zip("prefix", "spots")).alias("prefix"), F.count("*").alias("c"))
-    shared = groups.select("gid", F.inline("prefix").alias("h", "spot"))
+    groups = variants.groupBy("gid", "n").agg(F.first(F.arrays_zip("prefix", "spots")).alias("prefix"))
+    shared = groups.select("gid", "n", F.inline("prefix").alias("h", "spot"))
     lists = shared.groupBy("h").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("gid")).alias("x"), F.bit_xor(F.xxhash64("gid", F.lit(7))).alias("y"))
     kept = lists.where("c > 1").groupBy("c", "x", "y").agg(F.min("h").alias("h")).select("h")
-    members = shared.join(kept.hint("merge"), "h").select(F.col("h").alias("list"), "gid", "spot")
-    members = members.unionByName(groups.where("c > 1").select(F.xxhash64("gid", F.lit("own")).alias("list"), "gid", F.lit(0).alias("spot")))
-    return members.join(named.hint("merge"), "gid").select("list", "vid", "n", "spot")
+    return shared.join(kept.hint("merge"), "h").select(F.col("h").alias("list"), "gid", "n", "spot")
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
-    """Whether two sets whose first shared shingle has these places can be
-    similar enough: what is left from there on bounds what they share."""
+    """Whether groups can hold sets that are similar enough, by their sizes and
+    by the places of their first shared shingle: what is left from there on
+    bounds what they share."""
     most = F.least(F.col(f"{a}n") - F.col(f"{a}spot"), F.col(f"{b}n") - F.col(f"{b}spot"))
     return (100 + percent) * most >= percent * (F.col(f"{a}n") + F.col(f"{b}n"))
 
 
-def _links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, root) of all variants that have a link.
+def _some_group_pairs(lists: DataFrame, home: DataFrame, step: int, percent: int) -> DataFrame:
+    """(ga, gb): every group with a few groups of its longest list."""
+    rank = F.xxhash64("gid", F.lit(step))
+    member = F.struct("gid", "n", "spot")
+    centres = lists.groupBy("list", F.pmod(rank, F.lit(CENTRES[step])).alias("part")).agg(F.min_by(member, rank).alias("b"))
+    met = home.select("list", member.alias("a")).join(centres.select("list", "b").hint("merge"), "list")
+    return met.where((F.col("a.gid") != F.col("b.gid")) & _may_link("a.", "b.", percent)).select(F.col("a.gid").alias("ga"), F.col("b.gid").alias("gb")).distinct()
+
+
+def _open_group_pairs(lists: DataFrame, spans: DataFrame, percent: int) -> DataFrame:
+    """(ga, gb): all pairs of groups that pass the filter and that aren't wholly
+    in one component.  spans: (gid, low, high), the components of each group.
+
+    Groups of a list meet only with those of the same or the next band of sizes,
+    so sizes that can't be similar enough form no pairs.
+    """
+    known = stored(lists.join(spans.hint("merge"), "gid"), "list-components")
+    still = stored(known.groupBy("list").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("list"), "open-lists")
+    here = known.join(still.hint("merge"), "list", "left_semi")
+    band = F.floor(F.log2("n") / max(1.01 * np.log2(100 / percent), 1e-6))
+    member = F.struct("gid", "n", "spot", "low", "high")
+    one = here.select("list", band.alias("band"), member.alias("a"))
+    two = here.select("list", F.explode(F.array(band, band - 1)).alias("band"), member.alias("b"))
+    ordered = (F.col("a.n") < F.col("b.n")) | (F.col("a.n") == F.col("b.n")) & (F.col("a.gid") < F.col("b.gid"))
+    apart = (F.least("a.low", "b.low") != F.greatest("a.high", "b.high"))
+    met = one.join(two.hint("merge"), ["list", "band"]).where(ordered & apart & _may_link("a.", "b.", percent))
+    return met.select(F.col("a.gid").alias("ga"), F.col("b.gid").alias("gb")).distinct()
+
+
+def _links(lists: DataFrame, variants: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of all variants that have a link.  variants: vid, gid, n, live.
 
     A pair is verified unless its members are known to be in one component
-    already.  The first rounds compare every variant with a few members of its
-    longest list, which joins up large groups of copies at a cost
-    that follows the number of variants; the last takes every pair of every
-    list that is still open, so none is left out.
+    already.  The first rounds pair every group with a few others, and every
+    variant with one of such a group and a few of its own, which joins up large
+    groups of copies at a cost that follows the number of variants; the last
+    takes every pair of groups that passes the filter and of its variants every
+    pair that is still apart, so none is left out.
     """
-    size = lists.groupBy("list").agg(F.count("*").alias("c"))
+    size = stored(lists.groupBy("list").agg(F.count("*").alias("c")), "list-sizes")
     longest = F.max_by(F.struct("list", "n", "spot"), F.struct("c", "list")).alias("m")
-    home = stored(lists.join(size.hint("merge"), "list").groupBy("vid").agg(longest).select("m.*", "vid"), "longest-lists")
+    home = stored(lists.join(size.hint("merge"), "list").groupBy("gid").agg(longest).select("gid", "m.*"), "longest-lists")
+    many = stored(variants.groupBy("gid").agg(F.count("*").alias("c")).where("c > 1").select("gid"), "groups")
+    sets = variants.select("vid", "n", "live")
     roots = tested = None
-
-    def rooted(rows: DataFrame) -> DataFrame:
-        if roots is None:
-            return rows.withColumn("root", F.col("vid"))
-        found = roots.select(F.col("node").alias("vid"), "root").hint("merge")
-        return rows.join(found, "vid", "left").withColumn("root", F.coalesce("root", "vid"))
-
     for step in range(len(CENTRES) + 1):
-        now = rooted(lists)
-        member = F.struct("vid", "n", "spot", "root")
+        named = variants.select("vid", "gid", F.col("vid").alias("root"))
+        if roots is not None:
+            found = roots.select(F.col("node").alias("vid"), "root").hint("merge")
+            named = stored(variants.select("vid", "gid").join(found, "vid", "left").withColumn("root", F.coalesce("root", "vid")), "variant-roots")
+        member = F.struct("vid", "root")
+        one = named.select(F.col("gid").alias("ga"), member.alias("a"))
+        own = named.join(many.hint("merge"), "gid", "left_semi")
         if step < len(CENTRES):
             rank = F.xxhash64("vid", F.lit(step))
-            centres = now.groupBy("list", F.pmod(rank, F.lit(CENTRES[step])).alias("part")).agg(F.min_by(member, rank).alias("b"))
-            one, two = rooted(home).select("list", member.alias("a")), centres.select("list", "b")
+            first = named.groupBy(F.col("gid").alias("gb")).agg(F.min_by(member, rank).alias("b"))
+            cross = _some_group_pairs(lists, home, step, percent).join(one.hint("merge"), "ga").join(first.hint("merge"), "gb")
+            few = own.groupBy("gid", F.pmod(rank, F.lit(CENTRES[step])).alias("part")).agg(F.min_by(member, rank).alias("b"))
+            inside = own.select("gid", member.alias("a")).join(few.hint("merge"), "gid")
         else:
-            spread = now.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-            still = now.join(spread.select("list").hint("merge"), "list", "left_semi")
-            one, two = (still.select("list", member.alias(c)) for c in "ab")
-        apart = F.col("a.root") != F.col("b.root")
-        sizes = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
-        open_pair = apart & sizes if step < len(CENTRES) else apart & _may_link("a.", "b.", percent) & (F.col("a.vid") < F.col("b.vid"))
-        met = one.join(two.hint("merge"), "list").where(open_pair)
-        met = met.select(F.col("a.vid").alias("x"), F.col("b.vid").alias("y"))
-        pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+            spans = stored(named.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high")), "group-components")
+            two = named.select(F.col("gid").alias("gb"), member.alias("b"))
+            apart = stored(_open_group_pairs(lists, spans, percent), "group-pairs")
+            cross = apart.join(one.hint("merge"), "ga").join(two.hint("merge"), "gb")
+            split = own.join(spans.where("low <> high").select("gid").hint("merge"), "gid", "left_semi").select("gid", member.alias("a"))
+            inside = split.join(split.withColumnRenamed("a", "b").hint("merge"), "gid").where("a.vid < b.vid")
+        met = cross.select("a", "b").unionByName(inside.select("a", "b")).where("a.root <> b.root")
+        pairs = met.select(F.least("a.vid", "b.vid").alias("a"), F.greatest("a.vid", "b.vid").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -203,9 +234,9 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     whole = stored(with_prefixes(keyed_text(docs), width, percent), "prefixes")
     sized = whole.where("n > 0")
     alike = sized.groupBy("n", "g", "d1", "d2").agg(F.min("doc_id").alias("vid"), F.first("prefix").alias("prefix"), F.first("spots").alias("spots"), F.first("live").alias("live"))
-    variants = stored(alike.where(F.col("vid").isNotNull()), "variants")
-    lists = stored(_candidate_lists(variants), "lists")
-    roots = _links(lists, variants.select("vid", "n", "live"), percent)
+    variants = stored(alike.where(F.col("vid").isNotNull()).withColumn("gid", F.xxhash64("n", "g")), "variants")
+    lists = stored(_group_lists(variants), "lists")
+    roots = _links(lists, variants.select("vid", "gid", "n", "live"), percent)
     named = variants.join(roots.hint("merge"), F.col("vid") == F.col("node"), "left").select("n", "d1", "d2", F.coalesce("root", "vid").alias("component_id"))
     rows = whole.select("doc_id", "n", "d1", "d2").join(named.hint("merge"), ["n", "d1", "d2"], "left")
     own = F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
