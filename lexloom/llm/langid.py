@@ -1,8 +1,10 @@
 """Language identification by cross-parsing entropy.
 
 A suffix automaton holds the substrings of some text of each language.  A text
-is parsed, for each language, into the longest phrases that occur there; the
-language that needs the fewest phrases for its length wins.
+is parsed, for each language, into the longest phrases that occur there.  A
+longest match grows with the logarithm of the sample that it is looked for in,
+so phrases are normalised: their number times that logarithm, over the length of
+the text, estimates the cross entropy, and the language of the least wins.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ from pyspark.sql import types as T
 from .bpe import LETTER, char_classes
 from .runtime import annotated, by_crc, free_name, slices
 
-#: Documents that a language's text is taken from, and its characters, at most.
-SAMPLE_DOCS, SAMPLE_CHARS = 64, 16384
-#: Characters that a parse goes on for; a longer text is parsed in such segments.
-SEGMENT = 1024
+#: Documents that a language's text is taken from, its characters, and languages
+#: that are learnt, those of most documents, at most.
+SAMPLE_DOCS, SAMPLE_CHARS, LANGUAGES = 64, 16384, 256
+#: Characters that a lane parses; the next one goes on from the state it ends in,
+#: which a run-up of so many characters before mostly finds beforehand.
+LANE, RUN_UP = 1024, 64
 BATCH = 2 << 20
 UNKNOWN = "und"
 _tables: list[tuple[np.ndarray, np.ndarray]] = []
@@ -59,9 +63,13 @@ def normal(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class SuffixAutomaton:
-    """All substrings of a sequence of small numbers, as a dense table."""
+    """All substrings of a sequence of numbers; state 0 is the empty one.
 
-    def __init__(self, codes: list[int], width: int):
+    source, symbol, target: its arcs; their number grows with the sequence, not
+    with its alphabet.
+    """
+
+    def __init__(self, codes: list[int]):
         jumps: list[dict[int, int]] = [{}]
         link, length = [-1], [0]
         last = 0
@@ -88,10 +96,49 @@ class SuffixAutomaton:
                         p = link[p]
                     link[q] = link[now] = copy
             last = now
-        self.table = np.zeros((len(jumps), width), np.int32)  # 0: no such substring
-        for s, out in enumerate(jumps):
-            for c, t in out.items():
-                self.table[s, c] = t
+        self.states = len(jumps)
+        arcs = [(s, c, t) for s, out in enumerate(jumps) for c, t in out.items()]
+        self.source, self.symbol, self.target = (np.array(x, np.int64) for x in zip(*arcs, strict=True)) if arcs else (np.zeros(0, np.int64),) * 3
+
+
+class Arcs:
+    """(state, symbol) -> state for many pairs at once: open addressing with a
+    quarter of the slots filled."""
+
+    def __init__(self, keys: np.ndarray, targets: np.ndarray):
+        self.shift = np.uint64(64 - max(4, (4 * len(keys)).bit_length()))
+        size = 1 << (64 - int(self.shift))
+        self.keys, self.targets = np.full(size, -1, np.int64), np.full(size, -1, np.int32)
+        slot, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            at = slot[left]
+            free = self.keys[at] < 0
+            _, first = np.unique(at[free], return_index=True)
+            won = left[free][first]
+            self.keys[slot[won]], self.targets[slot[won]] = keys[won], targets[won]
+            lost = np.ones(len(keys), bool)
+            lost[won] = False
+            left = left[lost[left]]
+            slot[left] = (slot[left] + 1) & (size - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Target of each key, -1 where there is none."""
+        slot = self._slot(keys)
+        held = self.keys[slot]
+        out = np.where(held == keys, self.targets[slot], -1).astype(np.int64)
+        odd = np.flatnonzero((held != keys) & (held >= 0))
+        at = slot[odd]
+        while len(odd):
+            at = (at + 1) & (len(self.keys) - 1)
+            held = self.keys[at]
+            hit = held == keys[odd]
+            out[odd[hit]] = self.targets[at[hit]]
+            more = ~hit & (held >= 0)
+            odd, at = odd[more], at[more]
+        return out
 
 
 @dataclass
@@ -109,53 +156,75 @@ class LanguageModel:
         return sorted(self.samples)
 
     @cached_property
-    def automata(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Code of each code point (0: in no sample), one table of all
-        languages, and the root of each."""
+    def automata(self) -> tuple[np.ndarray, int, Arcs, np.ndarray, np.ndarray]:
+        """Code of each code point (0: in no sample), number of codes, the arcs of
+        all languages, the root of each, and the logarithm of each sample's size."""
         forms = [normal([self.samples[x]])[0] for x in self.languages]
         alphabet = np.unique(np.concatenate(forms))
         code = np.zeros(0x110000, np.int32)
         code[alphabet] = np.arange(1, len(alphabet) + 1)
-        tables, roots, at = [], [], 0
+        width = len(alphabet) + 1
+        keys, targets, roots, at = [], [], [], 0
         for form in forms:
-            table = SuffixAutomaton(code[form].tolist(), len(alphabet) + 1).table
-            tables.append(np.where(table > 0, table + at, -1).astype(np.int32))
+            made = SuffixAutomaton(code[form].tolist())
+            keys.append((made.source + at) * width + made.symbol)
+            targets.append(made.target + at)
             roots.append(at)
-            at += len(table)
-        return code, np.concatenate(tables), np.array(roots, np.int32)
-
-    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Phrases that each language needs for each text, and the texts' lengths."""
-        code, table, roots = self.automata
-        flat, width = table.ravel(), table.shape[1]
-        points, lengths = normal(texts)
-        codes = code[points].astype(np.int64)
-        begin = np.cumsum(lengths) - lengths
-        pieces = -(-lengths // SEGMENT)
-        owner = np.repeat(np.arange(len(texts)), pieces)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        start = begin[owner] + nth * SEGMENT
-        size = np.minimum(SEGMENT, begin[owner] + lengths[owner] - start)
+            at += made.states
+        weights = np.log2([max(2, len(f)) for f in forms])
+        return code, width, Arcs(np.concatenate(keys), np.concatenate(targets)), np.array(roots, np.int64), weights
+
+    def _parse(self, codes: np.ndarray, begin: np.ndarray, size: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that end in each lane, and the state that it is left in, for
+        every language.  state: that in which each lane is entered."""
+        _, width, arcs, roots, _ = self.automata
         order = np.argsort(-size, kind="stable")
-        start, size, owner = start[order], size[order], owner[order]
-        out = np.zeros((len(texts), len(roots)))
-        state = np.repeat(roots[None, :], len(order), 0).astype(np.int64)
-        count = np.zeros((len(order), len(roots)), np.int64)
-        for step in range(int(size[0]) if len(size) else 0):
-            lanes = int(np.searchsorted(-size, -step, "left"))
+        start, length = begin[order], size[order]
+        state, count = state[order].copy(), np.zeros((len(order), len(roots)), np.int64)
+        for step in range(int(length[0]) if len(length) else 0):
+            lanes = int(np.searchsorted(-length, -step, "left"))
             c = codes[start[:lanes] + step][:, None]
             now = state[:lanes]
-            after = flat[now * width + c].astype(np.int64)
-            broken = after < 0
-            if broken.any():
+            after = arcs.find((now * width + c).ravel()).reshape(now.shape)
+            row, lang = np.nonzero(after < 0)
+            if len(row):
                 # a phrase ends; the next one starts with this character
-                count[:lanes] += broken & (now != roots)
-                fresh = flat[roots[None, :].astype(np.int64) * width + c].astype(np.int64)
-                strange = broken & (fresh < 0)
-                count[:lanes] += strange
-                after = np.where(broken, np.where(fresh < 0, roots[None, :], fresh), after)
+                root = roots[lang]
+                fresh = arcs.find(root * width + c[row, 0])
+                count[row, lang] += (now[row, lang] != root).astype(np.int64) + (fresh < 0)
+                after[row, lang] = np.where(fresh < 0, root, fresh)
             state[:lanes] = after
-        count += state != roots
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        return count[back], state[back]
+
+    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that each language needs for each text, and the texts' lengths.
+
+        A long text goes in lanes that run at once; a lane that the one before
+        leaves in another state than it was entered in runs again.
+        """
+        code, _, _, roots, _ = self.automata
+        points, lengths = normal(texts)
+        codes = code[points].astype(np.int64)
+        first = np.cumsum(lengths) - lengths
+        lanes = -(-lengths // LANE)
+        owner = np.repeat(np.arange(len(texts)), lanes)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        begin = first[owner] + nth * LANE
+        size = np.minimum(LANE, first[owner] + lengths[owner] - begin)
+        entry = np.repeat(roots[None, :], len(owner), 0)
+        later = np.flatnonzero(nth > 0)
+        if len(later):
+            _, entry[later] = self._parse(codes, begin[later] - RUN_UP, np.full(len(later), RUN_UP), entry[later])
+        count, left = self._parse(codes, begin, size, entry)
+        while len(wrong := later[(left[later - 1] != entry[later]).any(1)]):
+            entry[wrong] = left[wrong - 1]
+            count[wrong], left[wrong] = self._parse(codes, begin[wrong], size[wrong], entry[wrong])
+        final = np.ones(len(owner), bool)
+        final[:-1] = owner[1:] != owner[:-1]
+        count += (left != roots) & final[:, None]
+        out = np.zeros((len(texts), len(roots)))
         np.add.at(out, owner, count)
         return out, lengths
 
@@ -166,7 +235,7 @@ class LanguageModel:
         need, lengths = np.zeros((len(texts), len(self.samples))), np.zeros(len(texts), np.int64)
         for a, b in slices([len(t) for t in texts], BATCH):
             need[a:b], lengths[a:b] = self.phrases(texts[a:b])
-        rate = need / np.maximum(lengths, 1)[:, None]
+        rate = need * self.automata[4] / np.maximum(lengths, 1)[:, None]
         best = np.argmin(rate, 1) if len(texts) else np.zeros(0, int)
         rows = np.arange(len(texts))
         least = rate[rows, best]
@@ -181,24 +250,38 @@ class LanguageModel:
 _models: dict[str, LanguageModel] = {}
 
 
+def equal_shares(sizes: list[int], total: int) -> list[int]:
+    """Parts of at most ``sizes`` that sum to ``total`` if they can, as equal as
+    they can be."""
+    out = [0] * len(sizes)
+    for rank, i in enumerate(sorted(range(len(sizes)), key=lambda i: (sizes[i], i))):
+        out[i] = min(sizes[i], total // (len(sizes) - rank))
+        total -= out[i]
+    return out
+
+
 def fit(docs: DataFrame, held_out: Column | None = None) -> LanguageModel:
     """Take sample text of every language from documents with text and lang.
 
-    Bounded: for each language the ``SAMPLE_DOCS`` documents of smallest hash,
-    and of those, in that order, the first ``SAMPLE_CHARS`` characters.
+    Bounded: the ``LANGUAGES`` languages of most documents, of each the
+    ``SAMPLE_DOCS`` documents of smallest hash, and of those equal shares of
+    ``SAMPLE_CHARS`` characters; a shorter document leaves its share to others.
+    Nulls in text, lang or doc_id teach nothing; of rows with one doc_id and
+    lang the smallest text counts.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     if held_out is not None:
         known = known.where(~held_out)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = known.select("doc_id", "lang").withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS)
+    common = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    some = known.select("doc_id", "lang").join(F.broadcast(common), "lang").withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS)
+    picked = some.groupBy("doc_id", "lang").agg(F.min("rank").alias("rank"))
     rows = known.select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).join(F.broadcast(picked), ["doc_id", "lang"])
-    samples: dict[str, str] = {}
-    for r in sorted(rows.select("lang", "rank", "text").collect()):
-        held = samples.get(r["lang"], "")
-        if len(held) < SAMPLE_CHARS:
-            samples[r["lang"]] = f"{held} {r['text']}"[:SAMPLE_CHARS]
-    return LanguageModel(samples)
+    texts: dict[str, list[str]] = {}
+    for r in rows.groupBy("lang", "rank").agg(F.min("text").alias("text")).orderBy("lang", "rank").collect():
+        texts.setdefault(r["lang"], []).append(r["text"])
+    return LanguageModel({lang: " ".join(t[:n] for t, n in zip(each, equal_shares([len(t) for t in each], SAMPLE_CHARS), strict=True)) for lang, each in texts.items()})
 
 
 def held_out() -> Column:
@@ -209,8 +292,9 @@ def held_out() -> Column:
 def with_language(docs: DataFrame, model: LanguageModel, text: str = "text") -> tuple[DataFrame, str]:
     """Every document with a struct (lang_pred, score); the struct's name.
 
-    Null texts and texts without a letter are ``und`` with score 0; languages
-    that need equally few phrases go by their name.
+    Null texts and texts without a letter are ``und`` with score 0; so is every
+    text if no language was learnt.  Languages of equal cross entropy go by
+    their name.  All other columns and repeated rows pass as they are.
     """
     key = model.key
 

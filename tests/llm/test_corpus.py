@@ -171,14 +171,16 @@ def test_trees_obey_their_constraints():
 def test_suffix_automaton_knows_all_substrings():
     rng = random.Random(4)
     s = [rng.randint(1, 3) for _ in range(60)]
-    table = SuffixAutomaton(s, 4).table
+    made = SuffixAutomaton(s)
+    arcs = langid.Arcs(made.source * 4 + made.symbol, made.target)
+    assert len(made.source) <= 3 * len(s)
     parts = {tuple(s[i:j]) for i in range(60) for j in range(i + 1, 61)}
 
     def known(t):
         state = 0
         for c in t:
-            state = table[state, c]
-            if not state:
+            state = int(arcs.find(np.array([state * 4 + c]))[0])
+            if state < 0:
                 return False
         return True
 
@@ -190,6 +192,7 @@ def test_phrases_are_the_greedy_longest_matches():
     model = langid.LanguageModel({"a": "abab cad abra", "b": "xyz zyx xyzzy"})
     rng = random.Random(8)
     texts = ["".join(rng.choice("abcdxyz q1") for _ in range(rng.randint(0, 40))) for _ in range(200)]
+    texts += ["".join(rng.choice(("abab", " cad", "xyz", "zyx", "q", "7")) for _ in range(900)), "abab" * 2000, "q" * 3000]
     got, _ = model.phrases(texts)
 
     def plain(text, sample):
@@ -204,7 +207,36 @@ def test_phrases_are_the_greedy_longest_matches():
             n += 1
         return n
 
-    assert got.tolist() == [[plain(t, model.samples[x]) for x in "ab"] for t in texts]
+    want = [[plain(t, model.samples[x]) for x in "ab"] for t in texts]
+    assert got.tolist() == want
+    # prediction and score, read plainly
+    langs, score = model.predict(texts)
+    for t, need, lang, p in zip(texts, want, langs, score, strict=True):
+        n = len(langid.normal([t])[0])
+        rate = [k * math.log2(len(langid.normal([model.samples[x]])[0])) / n for k, x in zip(need, "ab", strict=True)] if n else []
+        assert lang == ("ab"[rate.index(min(rate))] if n else "und")
+        assert p == pytest.approx(1 - min(rate) / max(rate) if n else 0)
+
+
+def test_many_letters_take_little_memory():
+    rng = random.Random(3)
+    samples = {f"l{k}": "".join(chr(0x4E00 + 4000 * k + rng.randrange(4000)) for _ in range(16384)) for k in range(4)}
+    model = langid.LanguageModel(samples)
+    arcs = model.automata[2]
+    assert arcs.keys.nbytes + arcs.targets.nbytes < 64 << 20
+    assert model.predict([samples[f"l{k}"][99:300] for k in range(4)])[0] == ["l0", "l1", "l2", "l3"]
+
+
+def test_equal_shares():
+    assert langid.equal_shares([5, 100, 100], 65) == [5, 30, 30]
+    assert langid.equal_shares([5, 7], 65) == [5, 7] and langid.equal_shares([], 5) == []
+
+
+def test_language_with_a_column_of_its_name(rows):
+    docs = rows([(1, "hello there", "en", "mine"), (None, None, None, None), (1, "hello there", "en", "mine")], "doc_id long, text string, lang string, language string")
+    scored, name = langid.with_language(docs, langid.fit(docs))
+    assert name != "language" and scored.columns == [*docs.columns, name]
+    assert sorted((r.language or "", r[name].lang_pred) for r in scored.collect()) == [("", "und"), ("mine", "en"), ("mine", "en")]
 
 
 def test_languages(spark):
