@@ -38,9 +38,9 @@ FEATURES = {
     "words": 0, "word_length": 0, "symbol_share": 1, "dup_line_share": 1, "repeat_share": 1, "stutter_share": 1, "letter_share": -1,
     "number_share": 0, "point_share": 0, "line_words": 0, "distinct_share": 0, "top_share": 0, "markers": 1, "marker_share": 1,
 }
-#: The statistic that speaks of toxicity: length and layout don't, and a long
-#: text holds some marker by chance.
-TOXIC_FEATURES = [list(FEATURES).index("marker_share")]
+#: How the chance of toxicity is boosted: shallow and slow, since most texts
+#: differ in one respect, their marker words.
+TOXIC_FIT = {"rounds": 60, "depth": 2, "rate": 0.1, "least": 32}
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _classes: list[np.ndarray] = []
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -115,7 +115,7 @@ class QualityModel:
     toxic: boosting.Trees
 
     def rejects(self, x: np.ndarray) -> np.ndarray:
-        return (self.low.probability(x) > 0.5) | (self.toxic.probability(x[:, TOXIC_FEATURES]) > 0.5)
+        return (self.low.probability(x) > 0.5) | (self.toxic.probability(x) > 0.5)
 
 
 def _markers(rows: DataFrame, label: str) -> Markers:
@@ -157,13 +157,16 @@ def _markers(rows: DataFrame, label: str) -> Markers:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = LABELLED) -> QualityModel:
     """Fit on at most ``sample`` labelled documents, those of smallest hash.
 
-    A document labelled more than once counts as its worst labels.  Without
+    A document labelled more than once counts as its worst labels, one with
+    several texts as the smallest; so the same rows give the same model in any
+    order.  Null labels and labels without a document teach nothing.  Without
     labels nothing but the base rule rejects.
     """
     each = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     chosen = each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     text = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = text.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("text", (1 - F.col("quality")).alias("low"), "toxic").cache()
+    once = text.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality", "toxic").agg(F.min("text").alias("text"))
+    rows = once.select("text", (1 - F.col("quality")).alias("low"), "toxic").cache()
     markers = _markers(rows, "toxic")
 
     def features(batches):
@@ -174,20 +177,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = LABELLED) -> QualityMo
     got = rows.select("text", F.col("low").cast("int"), F.col("toxic").cast("int")).mapInArrow(features, "x array<double>, low int, toxic int").toArrow()
     rows.unpersist()
     x = np.array(got["x"].to_pylist(), float).reshape(-1, len(FEATURES))
-    order = np.lexsort(x.T)
+    ys = [np.array([-1 if v is None else int(v > 0) for v in got[label].to_pylist()], int) for label in ("low", "toxic")]
+    order = np.lexsort((*ys, *x.T))
     signs = np.array(list(FEATURES.values()))
     models = []
-    for label, columns in (("low", list(range(len(FEATURES)))), ("toxic", TOXIC_FEATURES)):
-        y = np.array(got[label].to_pylist(), object)
-        there = np.array([i for i in order if y[i] is not None], int)
-        models.append(boosting.fit(x[there][:, columns], (y[there] > 0).astype(float) if len(there) else np.zeros(0), signs[columns]))
+    for y, how in zip(ys, ({}, TOXIC_FIT), strict=True):
+        there = order[y[order] >= 0]
+        models.append(boosting.fit(x[there], y[there].astype(float), signs, **how))
     return QualityModel(markers, *models)
 
 
 def with_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> tuple[DataFrame, str]:
     """Every document with a struct of its counts and verdict; the struct's name.
 
-    A null or empty text has no words and fails the base rule.
+    A null or empty text has no words and fails the base rule; all other columns
+    and repeated rows pass as they are.
     """
     names = [*COUNTS, "base_failed", "kept"]
     kind = T.StructType([T.StructField(n, T.BooleanType() if n in names[-2:] else T.LongType()) for n in names])

@@ -165,3 +165,30 @@ def leaks(docs, items, d):
             elif same:
                 out.append((doc, item, len({place[k] for i in same for k in range(i, i + run)}), False))
     return out
+
+
+def quality_features(text, markers):
+    """The statistics of a text in the order of the model's features."""
+    import regex
+
+    t = text or ""
+    w = words(t, lower=False)
+    n, chars, symbols, dup, repeat = quality_counts(t)
+    if not n:
+        return [0.0] * 14
+    sizes = {len(b) for b in markers.beginnings}
+    found = Counter(x for x in regex.findall(r"\p{L}[\p{L}\p{M}]*", t.lower()) if x in markers.words or any(x[:k] in markers.beginnings for k in sizes))
+    lines = len(t.split("\n"))
+    stutter = sum(a == b for a, b in zip(w, w[1:], strict=False))
+    share = lambda p: len(regex.findall(p, t)) / chars
+    return [n, chars / n, symbols / chars, dup / lines, min(1, repeat / n), stutter / n, share(r"\p{L}"), share(r"\p{N}"), len(re.findall("[.,;:!?]", t)) / n, n / lines, len(set(w)) / n, max(Counter(w).values()) / n, len(found), sum(found.values()) / n]
+
+
+def tree_chance(trees, x):
+    """The chance that boosted trees give, walked node by node."""
+    total = trees.bias
+    for node in trees.roots:
+        while trees.left[node] != node:
+            node = trees.left[node] if x[trees.feature[node]] <= trees.threshold[node] else trees.right[node]
+        total += trees.value[node]
+    return 1 / (1 + math.exp(-total))
