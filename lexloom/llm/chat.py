@@ -80,11 +80,13 @@ def paths(nodes: DataFrame, best: int = 1) -> DataFrame:
     score.  Each round joins the jump table with itself and doubles its reach,
     until no node has further to go; a path's score is the sum of its nodes'
     scores, ties go to the smallest leaf.  Nodes whose way is known take no part
-    in later rounds.  Nodes on a cycle reach no root and
-    are on no path.  Every join has (tree, node) as its key, so one large tree
-    is still dealt evenly.
+    in later rounds.  Nodes on a cycle reach no root and are on no path, nor are
+    null nodes; the nodes of a null tree are one tree.  Every join has (tree,
+    node) as its key, so one large tree is still dealt evenly.  An empty table
+    gives an empty one.
     """
-    own = nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
+    # inside a struct, nulls are equal to each other
+    own = nodes.where(F.col("node").isNotNull()).select(F.struct("tree").alias("tree"), "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     there = own.select("tree", F.col("node").alias("parent"), F.lit(True).alias("found"))
     start = own.join(there.hint("merge"), ["tree", "parent"], "left").select("tree", "node", F.when(F.col("found"), F.col("parent")).alias("up"), "score", F.lit(1).cast("long").alias("n"))
     levels = [stored(start, "reply-jumps")]
@@ -107,7 +109,7 @@ def paths(nodes: DataFrame, best: int = 1) -> DataFrame:
         own, above = F.struct("node", "depth"), F.struct(F.col("up").alias("node"), (F.col("depth") - F.lit(1 << k)).alias("depth"))
         both = F.when(F.col("up").isNull(), F.array(own)).otherwise(F.array(own, above))
         chosen = chosen.join(jump, ["tree", "node"], "left").select("tree", "leaf", F.inline(both))
-    return chosen
+    return chosen.select("tree.tree", "leaf", "depth", "node")
 
 
 def format_trees(nodes: DataFrame, best: int = 1, learn: str = "assistant") -> DataFrame:
@@ -115,11 +117,13 @@ def format_trees(nodes: DataFrame, best: int = 1, learn: str = "assistant") -> D
 
     nodes: tree, node, parent, score, role, text; (tree, node) is unique.
     loss: the spans of ``formatted`` that are learnt.  Null texts and roles
-    are empty.  A conversation's turns meet in one row, which is its result.
+    are empty, a null tree is a tree like others.  A conversation's turns meet in
+    one row, which is its result.
     """
-    turns = nodes.select("tree", "node", "role", "text").join(paths(nodes, best).hint("merge"), ["tree", "node"])
+    found = paths(nodes, best).withColumn("tree", F.struct("tree"))
+    turns = nodes.select(F.struct("tree").alias("tree"), "node", "role", "text").join(found.hint("merge"), ["tree", "node"])
     turn = F.struct("depth", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = turns.groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    rows = turns.groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(turn)).alias("turns")).select("tree.tree", "leaf", "turns")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -135,7 +139,8 @@ def conversation_nodes(conversations: DataFrame) -> DataFrame:
     """Rows by turn as a tree without branches: each row replies to the one before.
 
     Rows of one conversation with the same turn follow each other by role and
-    text, so repeated rows stay; null turns come first.
+    text, so repeated rows stay; null turns come first, and rows without a
+    conv_id are one conversation.
     """
     order = Window.partitionBy("tree").orderBy("turn", "role", "text")
     rows = conversations.select(F.col("conv_id").cast("long").alias("tree"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -144,7 +149,8 @@ def conversation_nodes(conversations: DataFrame) -> DataFrame:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What the formatted conversations hold, read back from them alone."""
+    """What the formatted conversations hold, read back from them alone: one row
+    a conversation, a null one too."""
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
