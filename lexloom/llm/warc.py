@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import new_path
+from .runtime import new_path, stored
 
 #: Magic number of the skippable frame that holds the dictionary (a fixed value of the format).
 DICTIONARY_FRAME = 0x184D2A5D
@@ -182,17 +182,30 @@ def page_row(headers: dict[str, str], block: bytes) -> tuple | None:
     return _page_number(headers["WARC-Record-ID"]), size, digest, kind, refers
 
 
-def with_revisits(pages: DataFrame, key: str, url: str, page: str, least: int) -> DataFrame:
+#: Repeated digests that are sent to every task, at most (40 MB); more are joined
+#: by a shuffle.
+SENT_DIGESTS = 1 << 19
+
+
+def with_revisits(pages: DataFrame, key: str, url: str, page: str, least: int, sent: int = SENT_DIGESTS) -> DataFrame:
     """Pages with size, digest and, for repeats of a payload of ``least`` bytes
     or more, the page that holds it: the largest key of the equal ones.
 
-    Only digests that occur twice are joined back; adaptive execution splits
-    a digest that many pages share.
+    Repeated digests are found on keys, sizes and digests alone.  Where they are
+    few they are sent to the tasks, and no page is moved; else pages are joined
+    to them by digest, those too small to match by a key of their own, and
+    adaptive execution splits a digest that many pages share.  Without a key a
+    page can hold others' payload only if no equal one has a key.
     """
     base = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(page).cast("string"), F.lit("")).alias("html"))
     base = base.withColumns({"size": F.octet_length("html").cast("long"), "digest": F.sha1(F.col("html").cast("binary"))})
-    held = base.where(F.col("size") >= least).groupBy(F.col("digest").alias("d")).agg(F.max("page_id").alias("holder"), F.count("*").alias("n")).where("n > 1")
-    joined = base.join(held, (base.digest == held.d) & (base["size"] >= least), "left")
+    narrow = base.where(F.col("size") >= least).select("page_id", "digest")
+    held = stored(narrow.groupBy("digest").agg(F.max("page_id").alias("holder"), F.count("*").alias("n")).where("n > 1").select(F.col("digest").alias("d"), "holder"), "repeated-digests")
+    if held.count() <= sent:
+        joined = base.join(F.broadcast(held), (base.digest == held.d) & (base["size"] >= least), "left")
+    else:
+        own = F.when(F.col("size") >= least, F.col("digest")).otherwise(F.concat(F.lit("small "), F.monotonically_increasing_id().cast("string")))
+        joined = base.withColumn("own", own).join(held.hint("merge"), F.col("own") == held.d, "left")
     refers = F.when(F.col("holder") != F.coalesce("page_id", F.lit(-1) + F.col("holder")), F.col("holder"))
     joined = joined.withColumn("refers_to", refers)
     return joined.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).otherwise("").alias("html"), "size", "digest", "refers_to")
@@ -241,7 +254,12 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
 
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Archive all pages in the shared folder and read the archives back."""
+    """Archive all pages in the shared folder and read the archives back.
+
+    One row a page: null and empty payloads are responses of no bytes, each of
+    repeated rows is a record, an empty table gives an empty one, other columns
+    are ignored.
+    """
     folder = new_path(spark, "warc")
     listed = f"{folder}-manifest"
     write_archives(pages, folder).write.parquet(listed)

@@ -21,6 +21,12 @@ def test_warc_round_trip(spark, rows, small):
     assert got == warc_rows([(r.page_id, r.html) for r in pages.select("page_id", "html").collect()])
 
 
+def test_both_joins_of_repeated_payloads(rows):
+    data = [(i, "u", f"{i % 7} " * 600 if i % 3 else "small", "d", "t") for i in range(60)] + [(None, "u", "x" * 1500, "d", "t"), (None, "u", "0 " * 600, "d", "t")]
+    found = [sorted(map(str, warc.with_revisits(rows(data, PAGE), "page_id", "url", "html", 1000, sent).collect())) for sent in (0, 99)]
+    assert found[0] == found[1] and len(found[0]) == 62
+
+
 def test_archive_layout(tmp_path):
     w = warc.ArchiveWriter(f"file://{tmp_path}", "a", "2000-01-01T00:00:00Z")
     rng = random.Random(1)
