@@ -46,7 +46,7 @@ def with_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     n: set size; d1, d2: digest of the set; g: digest of its prefix; prefix and
     live: the members of the prefix, and of the set, that some other document
-    may hold; spots: the places in the ordered set of those in the prefix.  A
+    may hold, both empty if none of the prefix is; spots: the places in the ordered set of those in the prefix.  A
     member of the prefix is a number that sorts as the order does.  The order goes by the power of two of a shingle's count, then by
     its hash.  A block sends each range of the hash one compressed array of the
     next 32 bits of its shingles, about two bytes each, and gets a byte for
@@ -100,6 +100,8 @@ def with_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
         np.add.at(d2, owner, mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
         np.add.at(g, owner[ahead], mix(ordered[ahead] + np.uint64(3)))
         lists = []
+        links = np.bincount(owner[ahead & shared], minlength=len(texts)) > 0  # without a shared shingle in its prefix, a set links with none
+        shared &= links[owner]
         keys = (power[ranked].astype(np.uint64) << np.uint64(57) | ordered >> np.uint64(7)).view(np.int64)
         for some, what in ((ahead & shared, keys), (ahead & shared, spot.astype(np.int32)), (shared, ordered.view(np.int64))):
             upto = np.concatenate([[0], np.cumsum(np.bincount(owner[some], minlength=len(texts)))])
@@ -147,8 +149,8 @@ def _some_group_pairs(lists: DataFrame, home: DataFrame, step: int, percent: int
     """(ga, gb): every group with a few groups of its longest list."""
     rank = F.xxhash64("gid", F.lit(step))
     member = F.struct("gid", "n", "spot")
-    centres = lists.groupBy("list", F.pmod(rank, F.lit(CENTRES[step])).alias("part")).agg(F.min_by(member, rank).alias("b"))
-    met = home.select("list", member.alias("a")).join(centres.select("list", "b").hint("merge"), "list")
+    centres = stored(lists.groupBy("list", F.pmod(rank, F.lit(CENTRES[step])).alias("part")).agg(F.min_by(member, rank).alias("b")).select("list", "b"), "centres")
+    met = home.select("list", member.alias("a")).join(centres.hint("merge"), "list")
     return met.where((F.col("a.gid") != F.col("b.gid")) & _may_link("a.", "b.", percent)).select(F.col("a.gid").alias("ga"), F.col("b.gid").alias("gb")).distinct()
 
 
@@ -198,9 +200,10 @@ def _links(lists: DataFrame, variants: DataFrame, percent: int) -> DataFrame:
         own = named.join(many.hint("merge"), "gid", "left_semi")
         if step < len(CENTRES):
             rank = F.xxhash64("vid", F.lit(step))
-            first = named.groupBy(F.col("gid").alias("gb")).agg(F.min_by(member, rank).alias("b"))
+            # stored, so that a join with them is of two plain shuffles, which can be split where a centre is met often
+            first = stored(named.groupBy(F.col("gid").alias("gb")).agg(F.min_by(member, rank).alias("b")), "first-variants")
             cross = _some_group_pairs(lists, home, step, percent).join(one.hint("merge"), "ga").join(first.hint("merge"), "gb")
-            few = own.groupBy("gid", F.pmod(rank, F.lit(CENTRES[step])).alias("part")).agg(F.min_by(member, rank).alias("b"))
+            few = stored(own.groupBy("gid", F.pmod(rank, F.lit(CENTRES[step])).alias("part")).agg(F.min_by(member, rank).alias("b")).select("gid", "b"), "few-variants")
             inside = own.select("gid", member.alias("a")).join(few.hint("merge"), "gid")
         else:
             spans = stored(named.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high")), "group-components")
@@ -232,7 +235,7 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     that of equal texts.  Sets are compared by 64-bit hashes of the shingles.
     """
     whole = stored(with_prefixes(keyed_text(docs), width, percent), "prefixes")
-    sized = whole.where("n > 0")
+    sized = whole.where(F.size("prefix") > 0)
     alike = sized.groupBy("n", "g", "d1", "d2").agg(F.min("doc_id").alias("vid"), F.first("prefix").alias("prefix"), F.first("spots").alias("spots"), F.first("live").alias("live"))
     variants = stored(alike.where(F.col("vid").isNotNull()).withColumn("gid", F.xxhash64("n", "g")), "variants")
     lists = stored(_group_lists(variants), "lists")
