@@ -8,9 +8,9 @@ scored in one left-to-right pass that carries the state: where a state has no
 arc for the word, failure arcs are taken, at the root at last the arc of all
 words that are not known.  Every state shares out a probability of one.
 
-Counts never meet on one machine: documents are dealt into blocks, each block
-asks for the counts of its own n-grams and compiles the part of the automaton
-that its texts can reach; ranges of the n-gram hash answer.
+Counts never meet on one machine (see ``exchange``): each block of documents asks
+for the counts of its own n-grams and compiles the part of the automaton that
+its texts can reach.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import block_count, by_crc, dealt, free_name, keyed_text, range_bits, release, slices
+from .exchange import text_bytes, with_counts
+from .runtime import by_crc, keyed_text, slices
 from .shingles import mix, word_hashes
 
 #: Words of an n-gram at most.
@@ -67,17 +67,6 @@ def _grams(ids: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _put(values: np.ndarray) -> bytes:
-    """Sorted or small numbers, compressed."""
-    return zstd.ZstdCompressor(level=1).compress(np.diff(values, prepend=values.dtype.type(0)).view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes())
-
-
-def _get(blob: bytes, kind: str) -> np.ndarray:
-    data = np.frombuffer(zstd.ZstdDecompressor().decompress(blob), np.uint8)
-    size = np.dtype(kind).itemsize
-    return np.cumsum(np.ascontiguousarray(data.reshape(size, -1).T).view(kind).ravel(), dtype=kind)
-
-
 class Automaton:
     """The arcs and failure arcs that some texts can reach.
 
@@ -219,55 +208,22 @@ def scores(docs: DataFrame, learn, key: str = "doc_id") -> DataFrame:
     key is a key like others; other columns are ignored.  N-grams are told apart
     by whole 64-bit hashes.
     """
-    plain = keyed_text(docs, key).withColumn("learn", F.coalesce(learn, F.lit(False)))
-    size = plain.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
+    plain = keyed_text(docs, key).select(F.col(key).alias("key"), "text", F.coalesce(learn, F.lit(False)).alias("learn"))
     total, kinds = training_totals(plain)
-    blocks, bits = block_count(size), range_bits(size)
-    block = free_name(plain, "block")
-    placed = dealt(plain, block, blocks)
-
-    def ask(table: pa.Table) -> pa.Table:
-        release()
-        number = table.column(block)[0].as_py()
-        ids, sizes = _tokens(table.column("text").to_pylist())
-        teach = np.repeat(table.column("learn").to_numpy(), sizes)
-        parts = []
-        for kind, every in enumerate(_grams(ids, sizes)):
-            unique, place = np.unique(every, return_inverse=True)
-            own = np.bincount(place, teach, len(unique)).astype(np.int64)
-            part = unique >> np.uint64(64 - bits)
-            cuts = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))
-            for at, i, c in zip(part[cuts].tolist(), np.split(unique, cuts[1:]), np.split(own, cuts[1:]), strict=True):
-                parts.append((at, number, kind, _put(i), _put(c)))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*parts, strict=True), asked.types, strict=True)], schema=asked)
-
-    asked = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()), ("ids", pa.binary()), ("n", pa.binary())])
-    answered = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("kind", pa.int32()), ("n", pa.binary())])
-
-    def answer(table: pa.Table) -> pa.Table:
-        release()
-        ids = [_get(b, "u8") for b in table.column("ids").to_pylist()]
-        own = [_get(b, "i8") for b in table.column("n").to_pylist()]
-        every, place = np.unique(np.concatenate(ids), return_inverse=True)
-        found = np.bincount(place, np.concatenate(own), len(every)).astype(np.int64)
-        back = [_put(found[p]) for p in np.split(place, np.cumsum([len(i) for i in ids])[:-1])]
-        return pa.table([table.column(c).combine_chunks() for c in ("block", "part", "kind")] + [pa.array(back, pa.binary())], schema=answered)
 
-    scored = pa.schema([(key, pa.int64()), ("learnt", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+    def grams(block: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+        ids, sizes = _tokens(block.column("text").to_pylist())
+        teach = np.repeat(block.column("learn").to_numpy(), sizes)
+        made = [np.unique(every, return_inverse=True) for every in _grams(ids, sizes)]
+        return [(unique, np.bincount(place, teach, len(unique)).astype(np.int64)) for unique, place in made]
 
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return scored.empty_table()
-        release()
-        held = sorted(zip(right.column("kind").to_pylist(), right.column("part").to_pylist(), range(right.num_rows), strict=True))
-        blobs = right.column("n").to_pylist()
-        counts = [np.concatenate([_get(blobs[r], "i8") for k, _, r in held if k == kind]) for kind in range(ORDER)]
-        sizes, known, base, model = _score_block(left.column("text").to_pylist(), counts, total, kinds)
-        return pa.table([left.column(key).combine_chunks(), left.column("learn").combine_chunks(), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array([total] * len(sizes), pa.int64()), pa.array(base), pa.array(model)], schema=scored)
+    def finish(block: pa.Table, counts: list[np.ndarray]) -> pa.Table:
+        sizes, known, base, model = _score_block(block.column("text").to_pylist(), counts, total, kinds)
+        learnt_from = block.column("learn").combine_chunks()
+        columns = [block.column("key").combine_chunks(), learnt_from, pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array([total] * len(sizes), pa.int64()), pa.array(base), pa.array(model)]
+        return pa.table(columns, [key, "learnt", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    replies = placed.groupBy(block).applyInArrow(ask, "part int, block long, kind int, ids binary, n binary")
-    replies = replies.groupBy("part", "kind").applyInArrow(answer, "block long, part int, kind int, n binary")
-    return placed.groupBy(block).cogroup(replies.groupBy("block")).applyInArrow(score, f"`{key}` long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return with_counts(plain, "text", grams, lambda n: n, finish, f"`{key}` long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", text_bytes(plain, "text"))
 
 
 def learnt(modulus: int = 10):
