@@ -13,20 +13,20 @@ sets share a member among the first n - ceil(percent n / 100) + 1 of each, so
    those that no chain of links joins yet are verified on all they can share;
 5. components of the verified links give the classes.
 
-Counts never meet on one machine: documents are dealt into blocks, each block
-asks for the counts of its own shingles, and ranges of the hash answer.
+Counts never meet on one machine (see ``exchange``): each block of documents asks
+for the counts of its own shingles.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .runtime import block_count, dealt, keyed_text, range_bits, release, slices, stored
+from .exchange import range_bits, text_bytes, with_counts
+from .runtime import keyed_text, slices, stored
 from .shingles import mix, narrow, shingle_sets
 
 #: For each round in which a list's groups, and a group's variants, are compared
@@ -46,47 +46,27 @@ def with_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     n: set size; d1, d2: digest of the set; g: digest of its prefix; prefix and
     live: the members of the prefix, and of the set, that some other document
-    may hold, both empty if none of the prefix is; spots: the places in the ordered set of those in the prefix.  A
-    member of the prefix is a number that sorts as the order does.  The order goes by the power of two of a shingle's count, then by
-    its hash.  A block sends each range of the hash one compressed array of the
-    next 32 bits of its shingles, about two bytes each, and gets a byte for
-    each back; a text is shuffled to its block and read twice there.
+    may hold, both empty if none of the prefix is; spots: the places in the
+    ordered set of those in the prefix.  A member of the prefix is a number that
+    sorts as the order does, which goes by the power of two of a shingle's count,
+    then by its hash.  A block asks with 32 bits of a hash beside those of its
+    range: two shingles that share them count as one, which can only make a
+    member look shared.
     """
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
-    bits = range_bits(size)
-    placed = dealt(docs, "block", block_count(size))
-
-    def ask(table: pa.Table) -> pa.Table:
-        release()
-        values, _ = _block_sets(table.column("text").to_pylist(), width)
-        ids = np.sort(values) >> np.uint64(32 - bits)
-        part = ids >> np.uint64(32)
-        cuts = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))  # ranges without a shingle get no message
-        squeeze = zstd.ZstdCompressor(level=1)
-        low = np.split(ids & np.uint64(0xFFFFFFFF), cuts[1:]) if len(cuts) else []
-        blobs = [squeeze.compress(np.diff(some, prepend=np.uint64(0)).astype("<u4").tobytes()) for some in low]
-        return pa.table({"part": pa.array(part[cuts].astype(np.int32)), "block": pa.array([table.column("block")[0].as_py()] * len(cuts), pa.int64()), "blob": pa.array(blobs, pa.binary())})
-
-    def answer(table: pa.Table) -> pa.Table:
-        release()
-        expand, squeeze = zstd.ZstdDecompressor(), zstd.ZstdCompressor(level=1)
-        each = [np.cumsum(np.frombuffer(expand.decompress(b), "<u4").astype(np.uint64)) for b in table.column("blob").to_pylist()]
-        _, place, count = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
-        power = np.log2(count).astype(np.uint8)[place]
-        back = [squeeze.compress(p.tobytes()) for p in np.split(power, np.cumsum([len(e) for e in each])[:-1])]
-        return pa.table([table.column("block").combine_chunks(), table.column("part").combine_chunks(), pa.array(back, pa.binary())], ["block", "part", "blob"])
-
-    def order(left: pa.Table, right: pa.Table) -> pa.Table:
-        release()
-        if not left.num_rows:
-            return empty
-        names = ["doc_id", "n", "d1", "d2", "g", "prefix", "spots", "live"]
-        texts = left.column("text").to_pylist()
+    size = text_bytes(docs, "text")
+    drop = np.uint64(32 - range_bits(size))
+    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
+    names = ["doc_id", "n", "d1", "d2", "g", "prefix", "spots", "live"]
+
+    def grams(block: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+        values, _ = _block_sets(block.column("text").to_pylist(), width)
+        ids, n = np.unique(values >> drop << drop, return_counts=True)
+        return [(ids, n.astype(np.int64))]
+
+    def order(block: pa.Table, counts: list[np.ndarray]) -> pa.Table:
+        texts = block.column("text").to_pylist()
         values, n = _block_sets(texts, width)
-        expand = zstd.ZstdDecompressor()
-        blobs = [b for _, b in sorted(zip(right.column("part").to_pylist(), right.column("blob").to_pylist(), strict=True))]
-        power = np.empty(len(values), np.uint8)
-        power[np.argsort(values, kind="stable")] = np.concatenate([np.frombuffer(expand.decompress(b), np.uint8) for b in blobs] or [np.zeros(0, np.uint8)])
+        power = counts[0][np.unique(values >> drop << drop, return_inverse=True)[1]] if len(values) else np.zeros(0, np.uint8)
         owner = np.repeat(np.arange(len(texts)), n)
         ranked = np.argsort(power, kind="stable")  # within a text, values ascend already
         ranked = ranked[np.argsort(narrow(owner, len(texts))[ranked], kind="stable")]
@@ -103,16 +83,12 @@ def with_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
         links = np.bincount(owner[ahead & shared], minlength=len(texts)) > 0  # without a shared shingle in its prefix, a set links with none
         shared &= links[owner]
         keys = (power[ranked].astype(np.uint64) << np.uint64(57) | ordered >> np.uint64(7)).view(np.int64)
-        for some, what in ((ahead & shared, keys), (ahead & shared, spot.astype(np.int32)), (shared, ordered.view(np.int64))):
+        for some, what, kind in ((ahead & shared, keys, longs), (ahead & shared, spot.astype(np.int32), ints), (shared, ordered.view(np.int64), longs)):
             upto = np.concatenate([[0], np.cumsum(np.bincount(owner[some], minlength=len(texts)))])
-            lists.append(pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(what[some])))
-        return pa.table([left.column("doc_id").combine_chunks(), pa.array(n, pa.int64()), *(pa.array(x.view(np.int64)) for x in (d1, d2, g)), *lists], names)
-
-    longs = pa.list_(pa.int64())
-    empty = pa.schema([*((x, pa.int64()) for x in ("doc_id", "n", "d1", "d2", "g")), ("prefix", longs), ("spots", pa.list_(pa.int32())), ("live", longs)]).empty_table()
-    asked = placed.groupBy("block").applyInArrow(ask, "part int, block long, blob binary")
-    answered = asked.groupBy("part").applyInArrow(answer, "block long, part int, blob binary")
-    return placed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(order, "doc_id long, n long, d1 long, d2 long, g long, prefix array<long>, spots array<int>, live array<long>")
+            lists.append(pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(what[some])).cast(kind))
+        return pa.table([block.column("doc_id").combine_chunks(), pa.array(n, pa.int64()), *(pa.array(x.view(np.int64)) for x in (d1, d2, g)), *lists], names)
+
+    return with_counts(docs, "text", grams, lambda n: np.log2(np.maximum(n, 1)).astype(np.uint8), order, "doc_id long, n long, d1 long, d2 long, g long, prefix array<long>, spots array<int>, live array<long>", size)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -112,29 +112,3 @@ def by_crc(key: str, modulus: int) -> Column:
     """crc32 of the key's decimal text, modulo ``modulus``."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % modulus
 
-
-#: Bytes of text in a block, and of a range's share of what all blocks ask, about.
-BLOCK_BYTES, RANGE_BYTES = 4 << 20, 8 << 20
-
-
-def block_count(size: int) -> int:
-    """Blocks for so many bytes of text."""
-    return max(1, -(-size // BLOCK_BYTES))
-
-
-def range_bits(size: int) -> int:
-    """Leading bits of a hash that name its range.
-
-    A block sends a message to those ranges only that some of its hashes lie in,
-    so there are never more messages than hashes, however many ranges.
-    """
-    return min(28, max(3, (size // RANGE_BYTES).bit_length()))
-
-
-def dealt(df: DataFrame, name: str, blocks: int) -> DataFrame:
-    """``df`` with a block number, the same whenever the input is read again.
-
-    Blocks hold random shares of the rows, of about equal size; rows that are
-    alike in every column are dealt apart by where they were read.
-    """
-    return df.withColumn(name, F.pmod(F.xxhash64(*df.columns, F.pmod(F.monotonically_increasing_id(), F.lit(4096))), F.lit(blocks)))
