@@ -14,42 +14,65 @@ from . import let
 _OPEN, _CLOSE = "\x01", "\x02"
 #: Element of a list of matches; offsets are half-open, in code points.
 MATCH = "struct<start:int,end:int,text:string>"
+#: Elements that are summed in one go.
+_BLOCK = 256
 
 
-def _folded(text: Column, pattern: str, rest: bool) -> Column:
+def _summed(sizes: Column, start: Column) -> Column:
+    """``start`` plus the running sums of a short array."""
+    zero = F.array().cast("array<int>")
+    return F.aggregate(sizes, zero, lambda acc, n: F.array_append(acc, F.coalesce(F.element_at(F.when(F.size(acc) > 0, acc), -1), start) + n))
+
+
+def running_sums(sizes: Column) -> Column:
+    """Running sums of an array, block by block, so that the work grows with the
+    array and not with its square."""
+
+    def of(all_sizes: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.greatest(F.size(all_sizes), F.lit(1)) - 1) / _BLOCK).cast("int"))
+        part = lambda b: F.slice(all_sizes, b * _BLOCK + 1, F.lit(_BLOCK))
+        totals = F.transform(blocks, lambda b: F.aggregate(part(b), F.lit(0), lambda acc, n: acc + n))
+        before = lambda t, b: F.coalesce(F.get(t, b - 1), F.lit(0))
+        return let(_summed(totals, F.lit(0)), lambda t: F.flatten(F.transform(blocks, lambda b: _summed(part(b), before(t, b)))))
+
+    return let(sizes, of)
+
+
+def _matches(text: Column, pattern: str, rest: bool) -> Column:
     clean = F.translate(text, _OPEN + _CLOSE, "\ufffd\ufffd")
     marked = F.regexp_replace(clean, pattern, f"{_OPEN}$0{_CLOSE}")
-    kind = MATCH.replace(">", ",rest:string>") if rest else MATCH
 
-    def fold(parts: Column) -> Column:
-        start = F.struct(F.length(parts[0]).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
-
-        def step(acc: Column, part: Column) -> Column:
-            size = F.instr(part, _CLOSE) - 1
-            fields = [acc["at"].alias("start"), (acc["at"] + size).alias("end"), F.substring(part, F.lit(1), size).alias("text")]
+    def read(known: Column) -> Column:
+        def match(part: Column, i: Column) -> Column:
+            start, size = known["sums"][i] - i, F.instr(part, _CLOSE) - 1
+            fields = [start.alias("start"), (start + size).alias("end"), F.substring_index(part, _CLOSE, 1).alias("text")]
             if rest:
                 fields.append(F.substring(part, size + 2, F.length(part)).alias("rest"))
-            return F.struct((acc["at"] + F.length(part) - 1).alias("at"), F.concat(acc["out"], F.array(F.struct(*fields))).alias("out"))
+            return F.struct(*fields)
 
-        return F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), start, step)["out"]
+        parts = known["parts"]
+        return F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), match)
 
-    return F.when(text.isNotNull(), let(F.split(marked, _OPEN), fold))
+    kind = MATCH.replace(">", ",rest:string>") if rest else MATCH
+    some = lambda parts: let(F.struct(parts.alias("parts"), running_sums(F.transform(parts, F.length)).alias("sums")), read)
+    return F.when(text.isNotNull(), let(F.split(marked, _OPEN), lambda parts: F.when(F.size(parts) > 1, some(parts)).otherwise(F.array().cast(f"array<{kind}>"))))
 
 
 def find_all(text: Column, pattern: str) -> Column:
     """array<struct<start, end, text>> of the matches, in order."""
-    return _folded(text, pattern, False)
+    return _matches(text, pattern, False)
 
 
 def find_with_rest(text: Column, pattern: str) -> Column:
     """The same with ``rest``: what follows each match up to the next, which
     costs nothing more than the split that finds them."""
-    return _folded(text, pattern, True)
+    return _matches(text, pattern, True)
 
 
 def first_start(text: Column, pattern: str) -> Column:
     """Offset of the first match, null without one."""
-    return F.try_element_at(find_all(text, pattern), F.lit(1))["start"]
+    at = F.instr(F.regexp_replace(F.translate(text, _OPEN, "\ufffd"), f"{pattern}", f"{_OPEN}$0"), _OPEN)
+    return F.when(at > 0, at - 1)
 
 
 def cut(text: Column, start: Column, end: Column) -> Column:

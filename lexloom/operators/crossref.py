@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import let
-from ..functions.matchers import find_all
+from ..functions.matchers import find_all, find_with_rest, first_start
 from ..functions.numerals import GLYPH_FROM, GLYPH_TO
 from ..functions.text import strip
 
@@ -24,6 +24,10 @@ EXTERNAL = (
     r"lampiran",
 )
 NOTE_CHARS = 60
+ARTICLE = r"(?dm)^[ \t]*Pasal[ \t]+([0-9]+[A-Za-z]?)[ \t]*$"
+BODY_END = r"(?dm)^[ \t]*PENJELASAN[ \t]*$"
+PARAGRAPH = r"(?dm)^[ \t]*\(([0-9]+)\)[ \t]+"
+LETTER = r"(?dm)^[ \t]*([a-z])\.[ \t]+"
 _TARGET = "array<struct<pasal:string,ayat:string,huruf:string>>"
 
 
@@ -97,12 +101,54 @@ def references(pasals: DataFrame) -> DataFrame:
     """(doc_id, pasal, ref_no, phrase, start, end, verb, span, targets): every
     reference phrase of each article.  pasals: doc_id, pasal, text."""
     each = pasals.select("doc_id", "pasal", F.posexplode(find_all(F.col("text"), ANCHOR)).alias("ref_no", "m")).select("doc_id", "pasal", "ref_no", "m.*")
-    verb, span = F.lower(F.regexp_extract("text", ANCHOR_PARTS, 1)), F.regexp_extract("text", ANCHOR_PARTS, 2)
-    read = each.select("doc_id", "pasal", "ref_no", F.col("text").alias("phrase"), "start", "end", verb.alias("verb"), span.alias("span"))
+    parts = F.split(F.regexp_replace("text", ANCHOR_PARTS, "$1\x01$2"), "\x01")
+    read = each.select("doc_id", "pasal", "ref_no", F.col("text").alias("phrase"), "start", "end", parts.alias("parts"))
+    read = read.select("doc_id", "pasal", "ref_no", "phrase", "start", "end", F.lower(F.get("parts", F.lit(0))).alias("verb"), F.get("parts", F.lit(1)).alias("span"))
     nothing = F.array().cast(_TARGET)
     return read.withColumn("targets", F.when(F.col("verb") == "diubah", nothing).otherwise(read_targets(F.col("span"), F.col("pasal"))))
 
 
+def _labelled(text: Column, pattern: str) -> Column:
+    """array<struct<label, from, to, text>>: what follows each marker, up to the
+    next; of markers with one label the last."""
+    found = F.transform(find_with_rest(text, pattern), lambda m: F.struct(F.regexp_extract(m["text"], pattern, 1).alias("label"), m["end"].alias("from"), (m["end"] + F.length(m["rest"])).alias("to"), m["rest"].alias("text")))
+
+    def last(all_: Column) -> Column:
+        return F.filter(all_, lambda x, i: ~F.exists(F.slice(all_, i + 2, F.size(all_)), lambda y: y["label"] == x["label"]))
+
+    return let(found, last)
+
+
+def strict_index(docs: DataFrame) -> DataFrame:
+    """(doc_id, pasal, ayat, huruf, start, end, text): what citations are looked
+    up in: articles, their paragraphs, and letters below a paragraph or, in an
+    article without paragraphs, below the article.  docs: doc_id, text.
+
+    Unlike ``segment.units`` nothing is repaired and no order is asked for: only
+    undamaged markers count, up to the first line that is just PENJELASAN, and
+    of units with one label the last.  Offsets are those of the document.  A
+    null text has no units.
+    """
+    stop = first_start(F.col("text"), BODY_END)
+    body = docs.select("doc_id", F.substring("text", F.lit(1), F.coalesce(stop, F.length("text"))).alias("text"))
+    marks = F.transform(find_with_rest(F.col("text"), ARTICLE), lambda m: F.struct(F.regexp_extract(m["text"], ARTICLE, 1).alias("pasal"), m["end"].alias("start"), m["rest"].alias("text")))
+    each = body.select("doc_id", F.inline(marks)).groupBy("doc_id", "pasal").agg(F.max_by(F.struct("start", "text"), "start").alias("p"))
+    whole = each.select("doc_id", "pasal", "p.start", "p.text", _labelled(F.col("p.text"), PARAGRAPH).alias("ayat"))
+    none = F.lit(None).cast("string")
+
+    def unit(ayat: Column, huruf: Column, start: Column, end: Column, text: Column) -> Column:
+        return F.struct(ayat.alias("ayat"), huruf.alias("huruf"), start.cast("int").alias("start"), end.cast("int").alias("end"), text.alias("text"))
+
+    def letters(ayat: Column, base: Column, text: Column) -> Column:
+        return F.transform(_labelled(text, LETTER), lambda h: unit(ayat, h["label"], base + h["from"], base + h["to"], h["text"]))
+
+    base = F.col("start")
+    own = F.array(unit(none, none, base, base + F.length("text"), F.col("text")))
+    below = F.flatten(F.transform("ayat", lambda a: F.concat(F.array(unit(a["label"], none, base + a["from"], base + a["to"], a["text"])), letters(a["label"], base + a["from"], a["text"]))))
+    direct = F.when(F.size("ayat") == 0, letters(none, base, F.col("text"))).otherwise(F.array().cast("array<struct<ayat:string,huruf:string,start:int,end:int,text:string>>"))
+    return whole.select("doc_id", "pasal", F.inline(F.concat(own, below, direct)))
+
+
 def lookup(targets: DataFrame, units: DataFrame) -> DataFrame:
     """``targets`` (doc_id, pasal, ayat, huruf) with found_text and exact: the
     deepest unit that is there, and whether that is the one asked for.
@@ -146,6 +192,12 @@ def resolve(pasals: DataFrame, units: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("current").alias("pasal"), "ref_no", "phrase", "start", "end", "verb", "status", F.coalesce("resolved", F.array().cast("array<struct<target_no:int,pasal:string,ayat:string,huruf:string,text:string>>")).alias("targets"), review.alias("needs_review"), said.alias("note"))
 
 
+def resolve_documents(docs: DataFrame) -> DataFrame:
+    """``resolve`` of whole documents (doc_id, text), against their own strict index."""
+    units = strict_index(docs)
+    return resolve(units.where("ayat is null and huruf is null").select("doc_id", "pasal", "text"), units)
+
+
 def gold_resolution(norms: DataFrame, units: DataFrame) -> DataFrame:
     """(norm, hits, verdict): whether each cited unit is there just once."""
     n = units.groupBy("doc_id", "citation").agg(F.count("*").alias("hits"))

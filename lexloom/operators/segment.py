@@ -39,14 +39,15 @@ def repaired_number(label: Column) -> Column:
 def _restart_cuts(text: Column) -> Column:
     """struct(cuts, anomalies): where the article numbers start again, moved up
     to the last section heading before, and where they merely go back."""
-    headers = F.transform(find_all(text, PASAL), lambda m: F.struct(m["start"].alias("start"), F.regexp_extract(m["text"], PASAL, 1).alias("label")))
+    label = lambda m: F.regexp_extract(m["text"], PASAL, 1)
+    headers = F.transform(find_all(text, PASAL), lambda m: F.struct(m["start"].alias("start"), pasal_number(label(m)).alias("number"), repaired_number(label(m)).alias("repaired")))
     headings = F.transform(F.concat(find_all(text, PENJELASAN), find_all(text, LAMPIRAN)), lambda m: m["start"])
 
     def fold(known: Column) -> Column:
         zero = F.struct(F.lit(None).cast("int").alias("previous"), F.array(F.lit(0)).cast(_INTS).alias("cuts"), F.array().cast(_ANOMALY).alias("anomalies"))
 
         def step(acc: Column, h: Column) -> Column:
-            number, repaired = pasal_number(h["label"]), repaired_number(h["label"])
+            number, repaired = h["number"], h["repaired"]
             back = F.coalesce(number < acc["previous"], F.lit(False))
             mended = back & F.coalesce(repaired >= acc["previous"], F.lit(False))
             restart = back & ~mended & ((number <= 2) | (acc["previous"] - number >= RESTART_DROP))
@@ -66,23 +67,27 @@ def _restart_cuts(text: Column) -> Column:
 
 def sections(docs: DataFrame) -> DataFrame:
     """(doc_id, section_no, section, start, end, restart, chunk) of (doc_id, text)."""
-    split = docs.select("doc_id", "text", _restart_cuts(F.col("text")).alias("c"))
     plain = F.col("c.headers") == 0
+    whole = F.when(F.col("text").rlike(LAMPIRAN), "lampiran").when(F.col("text").rlike(PENJELASAN), "penjelasan").otherwise("body")
     cuts = F.when(plain, F.array(F.lit(0))).otherwise(F.array_sort(F.array_distinct(F.concat("c.cuts", "c.headings"))))
-    each = split.select("doc_id", "text", "c", F.posexplode(F.filter(cuts, lambda x: (x < F.length("text")) | (x == 0))).alias("section_no", "start"))
-    after = F.lead("start").over(Window.partitionBy("doc_id").orderBy("section_no"))
-    each = each.withColumn("end", F.coalesce(after, F.length("text"))).withColumn("chunk", cut(F.col("text"), F.col("start"), F.col("end")))
+    split = docs.select("doc_id", "text", _restart_cuts(F.col("text")).alias("c"))
+    split = split.withColumn("at", F.filter(cuts, lambda x: (x < F.length("text")) | (x == 0)))
+
+    def part(start: Column, i: Column) -> Column:
+        end = F.coalesce(F.get("at", i + 1), F.length("text"))
+        return F.struct(i.alias("section_no"), start.alias("start"), end.alias("end"), cut(F.col("text"), start, end).alias("chunk"))
+
+    each = split.select("doc_id", plain.alias("plain"), F.when(plain, whole).alias("whole"), F.col("c.cuts").alias("cuts"), F.inline(F.transform("at", part)))
     head = F.substring("chunk", 1, LOOK_AHEAD)
 
     def leads(pattern: str) -> Column:
         at = first_start(head, pattern)
         return F.coalesce(at < F.coalesce(first_start(head, PASAL), F.lit(1 << 30)), F.lit(False))
 
-    whole = F.when(F.col("text").rlike(LAMPIRAN), "lampiran").when(F.col("text").rlike(PENJELASAN), "penjelasan").otherwise("body")
     first = F.when(leads(PENJELASAN), "penjelasan").when(leads(LAMPIRAN), "lampiran").otherwise("body")
     later = F.when(F.coalesce(first_start(head, LAMPIRAN) == 0, F.lit(False)), "lampiran").when(head.rlike(PENJELASAN), "penjelasan").when(head.rlike(LAMPIRAN), "lampiran").otherwise("unlabelled_restart")
-    label = F.when(plain, whole).when(F.col("section_no") == 0, first).otherwise(later)
-    restart = ~plain & (F.col("section_no") > 0) & F.array_contains("c.cuts", F.col("start"))
+    label = F.when(F.col("plain"), F.col("whole")).when(F.col("section_no") == 0, first).otherwise(later)
+    restart = ~F.col("plain") & (F.col("section_no") > 0) & F.array_contains("cuts", F.col("start"))
     return each.select("doc_id", "section_no", label.alias("section"), "start", "end", restart.alias("restart"), "chunk")
 
 

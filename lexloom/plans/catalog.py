@@ -220,6 +220,50 @@ def crossref_targets(spark: SparkSession, d: str) -> DataFrame:
     return refs.select("doc_id", "pasal", status.alias("status"), F.col("t.pasal").alias("target"), F.col("t.ayat").alias("ayat")).groupBy("doc_id", "pasal", "status", "target", "ayat").agg(F.count("*").alias("n"))
 
 
+_CITED = f"""{_R}, t AS (SELECT sup, pasal, ayat, kind, CASE kind WHEN 1 THEN concat('Hal sebagaimana diatur dalam Pasal ', pasal + 1, ' ayal (1).') WHEN 2 THEN concat('Hal sebagaimana dimaksud dalam Pasal ', pasal + 1, '.')
+      WHEN 3 THEN 'Hal sebagaimana diatur dalam Undang-Undang mengenai pajak.' WHEN 4 THEN 'Hal sebagaimana telah diubah dengan yang lain.' WHEN 5 THEN 'Hal sebagaimana dimaksud di atas sana.'
+      WHEN 6 THEN concat('Hal sebagaimana dimaksud dalam Pasal ', pasal + 1, ' ayat (1) huruf b.') ELSE concat('Hal sebagaimana dimaksud pada ayat (', ayat, ').') END AS line FROM r),
+    a AS (SELECT sup, pasal, concat(chr(10), string_agg(concat('(', ayat, ') ', line, chr(10)), '' ORDER BY ayat)) AS whole, max(line) FILTER (ayat = 1) AS one, list(line ORDER BY ayat) AS lines FROM t GROUP BY 1, 2)"""
+
+
+def _cited(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, text): documents whose paragraphs cite in every way there is,
+    with an earlier article of the same number and an explanation after them."""
+    k, nxt = F.col("kind"), (F.col("pasal") + 1).cast("string")
+    line = (
+        F.when(k == 1, F.concat(F.lit("Hal sebagaimana diatur dalam Pasal "), nxt, F.lit(" ayal (1).")))
+        .when(k == 2, F.concat(F.lit("Hal sebagaimana dimaksud dalam Pasal "), nxt, F.lit(".")))
+        .when(k == 3, "Hal sebagaimana diatur dalam Undang-Undang mengenai pajak.")
+        .when(k == 4, "Hal sebagaimana telah diubah dengan yang lain.")
+        .when(k == 5, "Hal sebagaimana dimaksud di atas sana.")
+        .when(k == 6, F.concat(F.lit("Hal sebagaimana dimaksud dalam Pasal "), nxt, F.lit(" ayat (1) huruf b.")))
+        .otherwise(F.concat(F.lit("Hal sebagaimana dimaksud pada ayat ("), "ayat", F.lit(").")))
+    )
+    rows = corpus.truth(spark, d).select(F.concat(F.lit("PERDA_"), "sup").alias("doc_id"), "pasal", "ayat", F.concat(F.lit("("), "ayat", F.lit(") "), line, F.lit("\n")).alias("line"))
+    arts = rows.groupBy("doc_id", "pasal").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ayat", "line"))), lambda x: x["line"]), "").alias("t"))
+    whole = arts.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pasal", F.concat(F.lit("Pasal "), "pasal", F.lit("\n"), "t").alias("t")))).alias("l"))
+    return whole.select("doc_id", F.concat(F.lit("Pasal 1\n(1) Lama.\n(9) Lama.\n"), F.array_join(F.transform("l", lambda x: x["t"]), ""), F.lit("PENJELASAN\nPasal 1\n(1) Cukup jelas.\n")).alias("text"))
+
+
+@query(f"""{_CITED}, p AS (SELECT t.*, CAST(row_number() OVER (PARTITION BY t.sup, t.pasal ORDER BY ayat) - 1 AS INT) AS ref_no, n.whole, n.one FROM t LEFT JOIN a n ON n.sup = t.sup AND n.pasal = t.pasal + 1)
+    SELECT {_DOC} AS doc_id, CAST(pasal AS VARCHAR) AS pasal, ref_no, CASE WHEN kind IN (0, 7) THEN 'same_pasal' WHEN kind IN (1, 2, 6) THEN 'cross_pasal' WHEN kind = 3 THEN 'external' WHEN kind = 4 THEN 'amendment_history' ELSE 'unresolved' END AS status,
+    CASE kind WHEN 5 THEN TRUE WHEN 6 THEN TRUE WHEN 1 THEN whole IS NULL WHEN 2 THEN whole IS NULL ELSE FALSE END AS needs_review, CASE kind WHEN 3 THEN 'Undang-Undang mengenai pajak' WHEN 5 THEN 'di atas sana' END AS note,
+    CASE WHEN kind IN (1, 2, 6) THEN CAST(pasal + 1 AS VARCHAR) WHEN kind IN (0, 7) THEN CAST(pasal AS VARCHAR) END AS target,
+    CASE WHEN kind = 2 THEN md5(whole) WHEN kind IN (1, 6) AND whole IS NOT NULL THEN md5(concat(one, chr(10))) END AS found FROM p""")
+def crossref_resolved(spark: SparkSession, d: str) -> DataFrame:
+    """Every citation resolved against its document's strict index, with what was found."""
+    got = crossref.resolve_documents(_cited(spark, d))
+    target = F.get("targets", F.lit(0))
+    return got.select("doc_id", "pasal", "ref_no", "status", "needs_review", "note", target["pasal"].alias("target"), F.md5(target["text"].cast("binary")).alias("found"))
+
+
+@query(f"""{_CITED} SELECT {_DOC} AS doc_id, CAST(pasal AS VARCHAR) AS pasal, CAST(NULL AS VARCHAR) AS ayat, md5(whole) AS text FROM a
+    UNION ALL SELECT {_DOC}, CAST(pasal AS VARCHAR), CAST(i AS VARCHAR), md5(concat(lines[i], chr(10))) FROM (SELECT sup, pasal, lines, unnest(range(1, len(lines) + 1)) AS i FROM a)""")
+def crossref_index(spark: SparkSession, d: str) -> DataFrame:
+    """The strict index: of two articles with one number the last, nothing of the explanation."""
+    return crossref.strict_index(_cited(spark, d)).select("doc_id", "pasal", "ayat", F.md5(F.col("text").cast("binary")).alias("text"))
+
+
 @query("""WITH t AS (SELECT DISTINCT p_brand AS b, p_type AS c FROM part), c AS (SELECT concat('b:', b) AS id, CAST(NULL AS VARCHAR) AS parent FROM t UNION SELECT concat('c:', c, '@', b), concat('b:', b) FROM t
     UNION SELECT concat('p:', p_partkey), concat('c:', p_type, '@', p_brand) FROM part)
     SELECT id, id AS ancestor, CAST(0 AS INT) AS depth FROM c UNION ALL SELECT id, parent, CAST(1 AS INT) FROM c WHERE parent IS NOT NULL
