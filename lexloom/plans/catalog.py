@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numerals, text
 from ..operators import conflict, crossref, layout, ontology, prefilter, reconcile, segment, slots
+from ..sources import sinks
 from . import corpus
 from .storage import kept
 
@@ -73,6 +74,68 @@ def unit_citations(spark: SparkSession, d: str) -> DataFrame:
     return _units(spark, d).select("doc_id", "citation", "parent")
 
 
+#: Every unit of ``corpus.structured``: citation, level, parent, leaf, how often, and when it is there.
+_STRUCTURE = """u(citation, level, parent, leaf, n, w) AS (VALUES
+    ('Pasal 1', 'pasal', NULL, FALSE, 1, 0), ('Pasal 1 ayat (1)', 'ayat', 'Pasal 1', TRUE, 1, 0), ('Pasal 1 ayat (2)', 'ayat', 'Pasal 1', TRUE, 1, 0), ('Pasal 1 ayat (3)', 'ayat', 'Pasal 1', TRUE, 1, 0),
+    ('Pasal 2', 'pasal', NULL, FALSE, 1, 0), ('Pasal 2 huruf a', 'huruf', 'Pasal 2', TRUE, 1, 0), ('Pasal 2 huruf b', 'huruf', 'Pasal 2', TRUE, 1, 0), ('Pasal 2 huruf c', 'huruf', 'Pasal 2', TRUE, 1, 0),
+    ('Pasal 3', 'pasal', NULL, FALSE, 1, 0), ('Pasal 3 ayat (1)', 'ayat', 'Pasal 3', FALSE, 1, 0), ('Pasal 3 ayat (1) huruf a', 'huruf', 'Pasal 3 ayat (1)', TRUE, 1, 0), ('Pasal 3 ayat (1) huruf b', 'huruf', 'Pasal 3 ayat (1)', FALSE, 1, 0),
+    ('Pasal 3 ayat (1) huruf b angka 1', 'angka', 'Pasal 3 ayat (1) huruf b', TRUE, 1, 0), ('Pasal 3 ayat (1) huruf b angka 2', 'angka', 'Pasal 3 ayat (1) huruf b', TRUE, 1, 0), ('Pasal 3 ayat (2)', 'ayat', 'Pasal 3', TRUE, 1, 0),
+    ('Pasal 4', 'pasal', NULL, FALSE, 1, 0), ('Pasal 4 angka 1', 'angka', 'Pasal 4', TRUE, 1, 0), ('Pasal 4 angka 2', 'angka', 'Pasal 4', TRUE, 1, 0), ('Pasal 4 angka 3', 'angka', 'Pasal 4', TRUE, 1, 0),
+    ('Pasal 5', 'pasal', NULL, TRUE, 1, 0), ('Pasal 5 #2', 'pasal', NULL, TRUE, 1, 1), ('Pasal 6', 'pasal', NULL, TRUE, 1, 0), ('Pasal 7', 'pasal', NULL, TRUE, 1, 0), ('Pasal 7 #2', 'pasal', NULL, TRUE, 1, 2),
+    ('Pasal 8', 'pasal', NULL, FALSE, 1, 0), ('Pasal 8 ayat (1)', 'ayat', 'Pasal 8', FALSE, 1, 0), ('Pasal 8 ayat (1) huruf a', 'huruf', 'Pasal 8 ayat (1)', TRUE, 2, 0), ('Pasal 8 ayat (1) huruf b', 'huruf', 'Pasal 8 ayat (1)', TRUE, 2, 0),
+    ('Pasal 8 ayat (2)', 'ayat', 'Pasal 8', TRUE, 1, 0), ('Pasal 9', 'pasal', NULL, TRUE, 1, 0), ('Penjelasan Pasal 1', 'pasal', NULL, TRUE, 1, 3), ('Penjelasan Pasal 2', 'pasal', NULL, TRUE, 1, 3), ('[bagian tak berlabel] Pasal 1', 'pasal', NULL, TRUE, 1, 4)),
+    d AS (SELECT concat('PERDA_', s_suppkey) AS doc_id, CAST(s_suppkey AS INT) AS s FROM supplier),
+    e AS (SELECT * FROM d, u WHERE CASE w WHEN 1 THEN s % 2 = 0 WHEN 2 THEN s % 4 = 1 WHEN 3 THEN s % 7 <> 0 WHEN 4 THEN s % 7 = 0 ELSE TRUE END)"""
+
+
+@query(f"WITH {_STRUCTURE} SELECT doc_id, citation, level, parent, leaf, CAST(n AS BIGINT) AS n FROM e")
+def structure_units(spark: SparkSession, d: str) -> DataFrame:
+    """Units of all levels and sections, under damaged markers, repeats and restarts."""
+    return segment.units(corpus.structured(spark, d)).groupBy("doc_id", "citation", "level", "parent", "leaf").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_STRUCTURE} SELECT doc_id, count(*) FILTER (level = 'pasal') AS pasal, sum(n) FILTER (level = 'ayat')::BIGINT AS ayat, sum(n) FILTER (level = 'huruf')::BIGINT AS huruf, sum(n) FILTER (level = 'angka')::BIGINT AS angka, sum(n) FILTER (leaf)::BIGINT AS units FROM e GROUP BY 1")
+def structure_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Units of each level and leaves, with letters and numbers."""
+    return segment.level_counts(segment.units(corpus.structured(spark, d)))
+
+
+@query(f"WITH {_STRUCTURE} SELECT doc_id, citation FROM e")
+def structure_index(spark: SparkSession, d: str) -> DataFrame:
+    """One unit for each citation: of those that collide, the last."""
+    return segment.unit_index(segment.units(corpus.structured(spark, d))).select("doc_id", "citation")
+
+
+@query("""WITH d AS (SELECT concat('PERDA_', s_suppkey) AS doc_id, CAST(s_suppkey AS INT) AS s FROM supplier)
+    SELECT doc_id, 0 AS section_no, 'body' AS section, FALSE AS restart FROM d
+    UNION ALL SELECT doc_id, 1, CASE WHEN s % 7 <> 0 THEN 'penjelasan' ELSE 'unlabelled_restart' END, TRUE FROM d
+    UNION ALL SELECT doc_id, 2, 'lampiran', FALSE FROM d WHERE s % 5 = 0""")
+def structure_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Sections by heading and by restart."""
+    return segment.sections(corpus.structured(spark, d)).select("doc_id", "section_no", "section", "restart")
+
+
+@query("""WITH d AS (SELECT concat('PERDA_', s_suppkey) AS doc_id, CAST(s_suppkey AS INT) AS s FROM supplier)
+    SELECT doc_id, 'duplicate_pasal_in_section' AS warning, CAST(NULL AS VARCHAR) AS citation, '5' AS pasal, CAST(NULL AS INT) AS from_num FROM d WHERE s % 2 = 0
+    UNION ALL SELECT doc_id, 'duplicate_pasal_in_section', NULL, '7', NULL FROM d WHERE s % 4 = 1
+    UNION ALL SELECT doc_id, 'multiple_huruf_runs_in_ayat', 'Pasal 8 ayat (1)', NULL, NULL FROM d
+    UNION ALL SELECT doc_id, 'pasal_numbering_goes_backwards', NULL, NULL, 9 FROM d WHERE s % 4 = 1""")
+def structure_warnings(spark: SparkSession, d: str) -> DataFrame:
+    """Articles that come again, lists that open twice, numbers that go back."""
+    docs = corpus.structured(spark, d)
+    own = segment.unit_warnings(segment.units(docs)).select("doc_id", "warning", "citation", "pasal", F.lit(None).cast("int").alias("from_num"))
+    return own.unionByName(segment.section_anomalies(docs).select("doc_id", "warning", F.lit(None).cast("string").alias("citation"), F.lit(None).cast("string").alias("pasal"), "from_num"))
+
+
+@query("""WITH d AS (SELECT concat('PERDA_', s_suppkey) AS doc_id, CAST(s_suppkey AS INT) AS s FROM supplier)
+    SELECT count(*) AS documents, CAST(sum(9 + CAST(s % 2 = 0 AS INT) + CAST(s % 4 = 1 AS INT) + CASE WHEN s % 7 <> 0 THEN 2 ELSE 1 END) AS BIGINT) AS pasal, count(*) * 7 AS ayat, count(*) * 9 AS huruf, count(*) * 5 AS angka,
+    CAST(sum(22 + CAST(s % 2 = 0 AS INT) + CAST(s % 4 = 1 AS INT) + CASE WHEN s % 7 <> 0 THEN 2 ELSE 1 END) AS BIGINT) AS units, CAST(sum(1 + CAST(s % 2 = 0 AS INT) + CAST(s % 4 = 1 AS INT)) AS BIGINT) AS warnings, count(*) AS warned_documents FROM d""")
+def structure_totals(spark: SparkSession, d: str) -> DataFrame:
+    """The report line of a structure run."""
+    units = segment.units(corpus.structured(spark, d))
+    return sinks.structure_totals(segment.level_counts(units), segment.unit_warnings(units))
+
+
 @query(f"""{_R}, a AS (SELECT sup, pasal, list_sort(list(DISTINCT CASE WHEN kind <= 5 THEN ['paling_tinggi', 'paling_rendah', 'paling_lama', 'paling_sedikit', 'paling_banyak', 'ditetapkan_sebesar', 'ditetapkan_dengan'][mk + 1] END) FILTER (kind <= 5)) AS m,
     CAST(count(*) FILTER (kind <= 6) AS INT) AS n_slots, CAST(count(*) FILTER (kind = 6) AS INT) AS w FROM r GROUP BY 1, 2)
     SELECT {_DOC} AS doc_id, concat('Pasal ', pasal) AS citation, coalesce(array_to_string(m, ','), '') AS bound_markers, n_slots, w AS n_modal_wajib,

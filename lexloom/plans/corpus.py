@@ -65,3 +65,21 @@ def documents(spark: SparkSession, sf_dir: str, damaged: bool = True) -> DataFra
     whole = F.concat(F.lit("Pasal "), "pasal", F.lit("\n"), "text")
     rows = articles(spark, sf_dir, damaged).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pasal", whole.alias("t")))).alias("a"))
     return rows.select("doc_id", F.concat(F.array_join(F.transform("a", lambda x: x["t"]), "\n"), F.lit("\n")).alias("text"))
+
+
+def structured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text): for each supplier a document with every kind of structure.
+
+    By the supplier's number: damaged paragraph markers (remainders of 3), an
+    article twice (2), numbers that go back (4), an explanation or else a restart
+    without a heading (7), an appendix (5).
+    """
+    s = F.col("s_suppkey")
+    some = lambda test, text: F.when(test, text).otherwise("")
+    first = F.when(s % 3 == 0, "(1) Satu.\n(2) Dua.\n(3) Tiga.\n").when(s % 3 == 1, "(1) Satu.\n(2] Dua.\n(3) Tiga.\n").otherwise("(l) Satu.\n(2) Dua.\n(3 Tiga.\n")
+    parts = [
+        F.lit("Pasal 1\n"), first, F.lit("Pasal 2\na. x;\nb. y;\nc. z.\nPasal 3\n(1) Hal:\na. satu;\nb. dua:\n1. ini;\n2. itu.\n(2) Lain.\nPasal 4\n1. ini;\n2. itu;\n3. sana.\nPasal 5\nIsi lima.\n"),
+        some(s % 2 == 0, "Pasal 5\nLagi.\n"), F.lit("Pasal 6\nIsi.\nPasal 7\nIsi.\nPasal 8\n(1) Dua:\na. p;\nb. q.\na. r;\nb. s.\n(2) Tutup.\nPasal 9\nIsi.\n"),
+        some(s % 4 == 1, "Pasal 7\nMundur.\n"), F.when(s % 7 != 0, "PENJELASAN\nPasal 1\nCukup jelas.\nPasal 2\nCukup jelas.\n").otherwise("Pasal 1\nUlang.\n"), some(s % 5 == 0, "LAMPIRAN\nTabel satu.\n"),
+    ]
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.concat(F.lit("PERDA_"), "s_suppkey").alias("doc_id"), F.concat(*parts).alias("text"))
