@@ -10,13 +10,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import stored
+from .runtime import stored, write
 
 #: Opening and closing control strings of a role's turn.
 TURNS = {"user": ("[INST] ", " [/INST]"), "assistant": ("<s>", "</s>"), "system": ("<<SYS>>", "<</SYS>>")}
@@ -89,17 +88,18 @@ def paths(nodes: DataFrame, best: int = 1) -> DataFrame:
     own = nodes.where(F.col("node").isNotNull()).select(F.struct("tree").alias("tree"), "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     there = own.select("tree", F.col("node").alias("parent"), F.lit(True).alias("found"))
     start = own.join(there.hint("merge"), ["tree", "parent"], "left").select("tree", "node", F.when(F.col("found"), F.col("parent")).alias("up"), "score", F.lit(1).cast("long").alias("n"))
-    levels = [stored(start, "reply-jumps")]
-    ended = [levels[0].where(F.col("up").isNull())]
+    spark, tables = nodes.sparkSession, [write(start, "reply-jumps")]
+    read = lambda *which: spark.read.schema(start.schema).parquet(*which)
+    levels = [read(tables[0])]
     rounds = max(1, levels[0].count()).bit_length() + 1
     while len(levels) <= rounds and not levels[-1].where(F.col("up").isNotNull()).isEmpty():
-        low = levels[-1].where(F.col("up").isNotNull())
-        known = reduce(DataFrame.unionByName, ended, low)
+        # nodes whose way is known are read from all tables in one scan
+        known = levels[-1] if len(tables) == 1 else levels[-1].unionByName(read(*tables[:-1]).where(F.col("up").isNull()))
         high = known.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"), F.col("n").alias("n2"))
-        joined = low.join(high.hint("merge"), ["tree", "up"])
-        levels.append(stored(joined.select("tree", "node", F.col("up2").alias("up"), (F.col("score") + F.col("score2")).alias("score"), (F.col("n") + F.col("n2")).alias("n")), "reply-jumps"))
-        ended.append(levels[-1].where(F.col("up").isNull()))
-    whole = reduce(DataFrame.unionByName, ended)
+        joined = levels[-1].where(F.col("up").isNotNull()).join(high.hint("merge"), ["tree", "up"])
+        tables.append(write(joined.select("tree", "node", F.col("up2").alias("up"), (F.col("score") + F.col("score2")).alias("score"), (F.col("n") + F.col("n2")).alias("n")), "reply-jumps"))
+        levels.append(read(tables[-1]))
+    whole = read(*tables).where(F.col("up").isNull())
     parents = levels[0].where(F.col("up").isNotNull()).select("tree", F.col("up").alias("node")).distinct()
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.col("score").desc(), "node"))
     leaves = whole.join(parents.hint("merge"), ["tree", "node"], "left_anti").withColumn("rank", rank).where(F.col("rank") <= best)
@@ -109,6 +109,8 @@ def paths(nodes: DataFrame, best: int = 1) -> DataFrame:
         own, above = F.struct("node", "depth"), F.struct(F.col("up").alias("node"), (F.col("depth") - F.lit(1 << k)).alias("depth"))
         both = F.when(F.col("up").isNull(), F.array(own)).otherwise(F.array(own, above))
         chosen = chosen.join(jump, ["tree", "node"], "left").select("tree", "leaf", F.inline(both))
+        if k % 3 == 1:
+            chosen = stored(chosen, "reply-ways")  # keeps the plans of long ways small
     return chosen.select("tree.tree", "leaf", "depth", "node")
 
 

@@ -21,16 +21,23 @@ WORD_RE = re.compile(WORD)
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+_local: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is what the session names in ``spark.checkpoint.dir``; only where that
-    is unset (a local test session) a temporary folder is chosen and set.
+    It is what the session names in ``spark.checkpoint.dir``.  Where that is
+    unset a session whose executors are threads of the driver, as in tests, gets
+    a temporary folder; any other is told to name one.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="lexloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if not _local:
+            _local.append("file://" + tempfile.mkdtemp(prefix="lexloom-"))
+        found = _local[0]
     return found.rstrip("/")
 
 
@@ -39,17 +46,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def write(df: DataFrame, name: str, *partition_by: str) -> str:
+    """Write ``df`` as Parquet to a fresh path in the shared folder."""
+    path = new_path(df.sparkSession, name)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.option("compression", "zstd").parquet(path)
+    return path
+
+
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     The written table ends the lineage: it survives the loss of any executor
     and is never computed twice.
     """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write(df, name, *partition_by))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
