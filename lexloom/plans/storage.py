@@ -8,9 +8,17 @@ from pyspark.sql import DataFrame
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """``df``, checkpointed in the folder that the session names, or in one of
-    its own where none is named (a local session)."""
-    sc = df.sparkSession.sparkContext
+    """``df``, checkpointed in the folder that the session names in
+    ``spark.checkpoint.dir``.
+
+    Where that is unset a session whose executors are threads of the driver gets
+    a temporary folder; any other is told to name one.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lexloom-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="lexloom-"))
     return df.checkpoint()
