@@ -17,35 +17,43 @@ def closure(categories: DataFrame) -> DataFrame:
     """(id, ancestor, depth): every category with itself and what it is under.
 
     Parents that aren't categories end a chain; a cycle ends where it closes.
-    Iterative joins, as many as the deepest chain has levels.
+    Each round doubles the reach, so there are as many as the logarithm of the
+    deepest chain.
     """
-    parent = categories.select(F.col("id").alias("ancestor"), "parent").where(F.col("parent").isNotNull())
-    known = categories.select(F.col("id").alias("parent"))
-    steps = parent.join(known, "parent", "left_semi")
-    level = categories.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth"))
-    out = level
+    parent = categories.select("id", F.col("parent").alias("ancestor")).where(F.col("parent").isNotNull())
+    step = kept(parent.join(categories.select(F.col("id").alias("ancestor")).distinct(), "ancestor", "left_semi").select("id", "ancestor").distinct())
+    out = kept(categories.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth")).distinct())
+    n, reach = out.count(), 1
     while True:
-        level = level.join(steps, "ancestor").select("id", F.col("parent").alias("ancestor"), (F.col("depth") + 1).alias("depth")).join(out.select("id", "ancestor"), ["id", "ancestor"], "left_anti")
-        level = kept(level)
-        if level.isEmpty():
+        # what lies beyond the ancestor that is ``reach`` steps up
+        beyond = step.withColumnRenamed("ancestor", "via").join(out.withColumnRenamed("id", "via"), "via").select("id", "ancestor", (F.col("depth") + reach).alias("depth"))
+        out = kept(out.unionByName(beyond).groupBy("id", "ancestor").agg(F.min("depth").alias("depth")))
+        more = out.count()
+        if more == n:
             return out
-        out = kept(out.unionByName(level))
+        step = kept(step.withColumnRenamed("ancestor", "via").join(step.withColumnRenamed("id", "via"), "via").select("id", "ancestor").distinct())
+        n, reach = more, 2 * reach
 
 
-def applicable(wanted: DataFrame, norms: DataFrame, ancestors: DataFrame) -> DataFrame:
+#: Parts that the categories which an instrument's residual rules reach are dealt into.
+_SALTS = 32
+
+
+def applicable(wanted: DataFrame, norms: DataFrame, ancestors: DataFrame, instruments: list[str]) -> DataFrame:
     """(category, instrument, norm, via_residual): the rate rules that hold.
 
     wanted: category; norms: instrument, norm, norm_type, applies_to (array),
-    is_residual.  Residual rules hold only where no rule names the category or
-    one of its ancestors.
+    is_residual; instruments: those that are asked for.  Residual rules hold
+    only where no rule names the category or one of its ancestors; they are
+    joined to the categories of an instrument part by part.
     """
-    rates = norms.where(F.col("norm_type") == "rate_constraint")
+    rates = norms.where((F.col("norm_type") == "rate_constraint") & F.col("instrument").isin(*instruments))
     named = rates.where(~((F.size("applies_to") == 1) & (F.col("applies_to")[0] == "*"))).select("instrument", "norm", F.explode("applies_to").alias("ancestor")).distinct()
     direct = wanted.join(ancestors.withColumnRenamed("id", "category"), "category").join(named, "ancestor").select("category", "instrument", "norm").distinct()
-    instruments = rates.agg(F.collect_set("instrument").alias("all"))
-    asked = wanted.join(F.broadcast(instruments)).select("category", F.explode("all").alias("instrument"))
-    open_ = asked.join(direct.select("category", "instrument").distinct(), ["category", "instrument"], "left_anti")
-    residual = open_.join(rates.where(F.coalesce("is_residual", F.lit(False))).select("instrument", "norm"), "instrument").select("category", "instrument", "norm")
+    asked = wanted.select("category", F.explode(F.array(*map(F.lit, instruments))).alias("instrument"))
+    open_ = asked.join(direct.select("category", "instrument").distinct(), ["category", "instrument"], "left_anti").withColumn("salt", F.pmod(F.hash("category"), F.lit(_SALTS)))
+    rest = rates.where(F.coalesce("is_residual", F.lit(False))).select("instrument", "norm", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    residual = open_.join(rest, ["instrument", "salt"]).select("category", "instrument", "norm")
     return direct.withColumn("via_residual", F.lit(False)).unionByName(residual.withColumn("via_residual", F.lit(True)))
 
 
@@ -82,7 +90,7 @@ def verdicts(norms: DataFrame, bounds: DataFrame, categories: DataFrame, open_te
     """
     own = norms.where(F.col("instrument") == lower)
     wanted = own.where(F.col("norm_type") == "rate_constraint").select(F.explode("applies_to").alias("category")).where("category <> '*'").distinct()
-    rules = applicable(wanted, norms, closure(categories)).where(F.col("instrument").isin(higher, lower))
+    rules = applicable(wanted, norms, closure(categories), [higher, lower])
     sides = wanted.join(rules, "category", "left").groupBy("category").agg(
         F.count_if(F.col("instrument") == higher).alias("n_high"), F.count_if(F.col("instrument") == lower).alias("n_low"),
         F.bool_or((F.col("instrument") == higher) & F.col("via_residual")).alias("national_via_residual"),
