@@ -60,6 +60,16 @@ def per_document(buckets: DataFrame) -> DataFrame:
     return buckets.groupBy("doc_id").agg(F.count("*").alias("body_pasal"), F.count_if(F.col("bucket") == "extract").alias("extract"), F.count_if(F.col("bucket") == "skip").alias("skip"))
 
 
+def per_document_maps(buckets: DataFrame) -> DataFrame:
+    """``per_document`` with skip_reasons and selected_by: maps of how many
+    articles each reason skips or selects; one article may count for several."""
+    said = F.concat(F.transform("selected_by", lambda r: F.struct(F.lit("selected_by").alias("kind"), r.alias("reason"))), F.transform(F.array_compact(F.array("skip_reason")), lambda r: F.struct(F.lit("skip_reasons").alias("kind"), r.alias("reason"))))
+    each = buckets.select("doc_id", F.inline(said)).groupBy("doc_id", "kind", "reason").agg(F.count("*").alias("n"))
+    as_map = lambda kind: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("reason", "n"))))).alias(kind)
+    maps = each.groupBy("doc_id").agg(as_map("skip_reasons"), as_map("selected_by"))
+    return per_document(buckets).join(maps, "doc_id", "left")
+
+
 def reasons(buckets: DataFrame, sole: bool = False) -> DataFrame:
     """(reason, n), most frequent first; with ``sole``, only articles that one
     reason alone selects."""

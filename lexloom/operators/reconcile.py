@@ -64,6 +64,18 @@ def reconcile(layer: DataFrame, ocr: DataFrame, key: list[str]) -> DataFrame:
     return out.withColumn("value", picked)
 
 
+def reconcile_pages(pages: DataFrame, second: DataFrame, limit: int | None = None) -> DataFrame:
+    """Every figure of the pages that are worth a second reading against it.
+
+    pages: doc_id, page, method, text; second: doc_id, page, text, such as
+    ``tools.ocr_pages`` gives; pages without a second reading are left out.
+    """
+    key = ["doc_id", "page"]
+    wanted = candidate_pages(pages, limit).join(second.where(F.col("text").isNotNull()).select(*key), key, "left_semi")
+    again = second.join(wanted.select(*key), key, "left_semi")
+    return reconcile(readings(wanted, key), readings(again, key), key)
+
+
 def summary(verdicts: DataFrame) -> DataFrame:
     """(status, n)."""
     return verdicts.groupBy("status").agg(F.count("*").alias("n"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import let
 from ..functions.matchers import cut, find_all, find_with_rest, first_start
 from ..functions.numerals import GLYPH_FROM, GLYPH_TO
+from . import layout
 
 # Headers, markers and limits of the source format.
 PASAL = r"(?dm)^[ \t]*Pasal[ \t]+([0-9]+[A-Za-z]?)[ \t]*$"
@@ -238,3 +239,15 @@ def unit_index(all_units: DataFrame) -> DataFrame:
     """One row for each citation of an article: of those that collide, the last."""
     last = Window.partitionBy("doc_id", "section", "pasal", "occurrence", "citation").orderBy(F.col("start").desc())
     return all_units.withColumn("rn", F.row_number().over(last)).where("rn = 1").drop("rn")
+
+
+def segment_pages(pages: DataFrame) -> DataFrame:
+    """The units of documents given as pages, each with the pages that it lies
+    on and the methods these were read by.  pages: doc_id, page, method, text."""
+    clean = layout.strip_furniture(pages).select("doc_id", "page", "text")
+    whole = units(layout.join_pages(clean))
+    numbered = whole.withColumn("unit_no", F.row_number().over(Window.partitionBy("doc_id").orderBy("start", F.length("citation"), "citation")))
+    placed = layout.pages_of(numbered, layout.page_spans(clean), ["doc_id", "unit_no"])
+    read = placed.select("doc_id", "unit_no", F.explode("pages").alias("page")).join(pages.select("doc_id", "page", "method"), ["doc_id", "page"])
+    methods = read.groupBy("doc_id", "unit_no").agg(F.array_sort(F.collect_set("method")).alias("methods"))
+    return placed.join(methods, ["doc_id", "unit_no"], "left")

@@ -157,6 +157,15 @@ def prefilter_rollup(spark: SparkSession, d: str) -> DataFrame:
     return prefilter.per_document(prefilter.prefilter(segment.pasals(corpus.documents(spark, d))))
 
 
+@query(f"""{_PER_PASAL} SELECT {_DOC} AS doc_id, count(*) AS body_pasal, nullif(count(*) FILTER (rates + days = 0), 0) AS no_normative_marker, nullif(count(*) FILTER (rates > 0), 0) AS bound_marker,
+    nullif(count(*) FILTER (rates + days > 0), 0) AS numeral_pair, nullif(count(*) FILTER (days > 0), 0) AS modal_wajib FROM a GROUP BY 1""")
+def prefilter_maps(spark: SparkSession, d: str) -> DataFrame:
+    """How many articles of each document every reason skips or selects."""
+    got = prefilter.per_document_maps(prefilter.prefilter(segment.pasals(corpus.documents(spark, d))))
+    skips, picks = (lambda k: F.try_element_at("skip_reasons", F.lit(k))), (lambda k: F.try_element_at("selected_by", F.lit(k)))
+    return got.select("doc_id", "body_pasal", skips("no_normative_marker").alias("no_normative_marker"), *(picks(k).alias(k) for k in ("bound_marker", "numeral_pair", "modal_wajib")))
+
+
 @query(f"""{_PER_PASAL} SELECT 'numeral_pair' AS reason, count(*) AS n FROM a WHERE rates + days > 0 UNION ALL SELECT 'bound_marker', count(*) FROM a WHERE rates > 0 UNION ALL SELECT 'modal_wajib', count(*) FROM a WHERE days > 0""")
 def prefilter_reasons(spark: SparkSession, d: str) -> DataFrame:
     """How often each reason selects an article."""
@@ -186,6 +195,24 @@ def reconcile_summary(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.summary(reconcile.reconcile(page(True), page(False), ["doc_id", "pasal", "ayat"]))
 
 
+@query(f"""{_R} SELECT {_DOC} AS doc_id, CAST(pasal AS INT) AS page, CAST(ayat AS INT) AS ayat,
+    CASE ln % 5 WHEN 0 THEN 'sources_agree' WHEN 1 THEN 'text_layer_yields' WHEN 2 THEN 'single_source' WHEN 3 THEN 'sources_disagree' ELSE 'reocr_yields' END AS status,
+    CASE ln % 5 WHEN 0 THEN 'text_layer' WHEN 1 THEN 'reocr' WHEN 2 THEN 'text_layer' WHEN 3 THEN NULL ELSE 'text_layer' END AS chosen, CAST(CASE WHEN ln % 5 <> 3 THEN p * 100 END AS INT) AS value FROM r""")
+def reconcile_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    """Readings that agree, yield, disagree or stand alone, by the line's number."""
+    word = F.element_at(F.array(*map(F.lit, corpus.WORDS)), F.col("p") + 1)
+    case = F.col("ln") % 5
+
+    def reading(wrong: list[int], by: int, lost: list[int]) -> DataFrame:
+        digits = F.when(case.isin(*wrong), F.col("p") + by).otherwise(F.col("p"))
+        said = F.concat(F.lit("Tarif "), digits, F.lit("% ("), word, F.lit(" persen)."))
+        rows = corpus.truth(spark, d).select(F.concat(F.lit("PERDA_"), "sup").alias("doc_id"), F.col("pasal").alias("page"), "ayat", F.when(case.isin(*lost), corpus.NEUTRAL).otherwise(said).alias("text"))
+        return reconcile.readings(rows, ["doc_id", "page", "ayat"])
+
+    found = reconcile.reconcile(reading([1, 3], 20, [-1]), reading([3, 4], 30, [2]), ["doc_id", "page", "ayat"])
+    return found.select("doc_id", "page", "ayat", "status", "chosen", F.round(F.col("value") * 10000).cast("int").alias("value"))
+
+
 def _slots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Slots, and records whose citations and slots are wrong in known ways."""
     arts = corpus.articles(spark, d).select("doc_id", F.concat_ws("#", "doc_id", "pasal").alias("pasal_key"), "pasal", "text")
@@ -390,9 +417,8 @@ _VOCABULARY = ", ".join(f"('{w}', {(numerals.UNITS | numerals.SPECIAL).get(w, -1
     SELECT t.tok AS token, CASE WHEN t.tok IN (SELECT w FROM v) THEN t.tok WHEN g.k = 1 THEN g.w END AS word FROM t LEFT JOIN g USING (tok)""")
 def levenshtein_snap(spark: SparkSession, d: str) -> DataFrame:
     """Number words with one damaged letter, and the word that each is repaired to."""
-    words = spark.createDataFrame([(w,) for w in numerals.VOCABULARY], "w string")
     k, s = F.col("k"), F.col("s_suppkey")
-    both = words.join(_read(spark, d, "supplier").select("s_suppkey"), F.lit(True)).withColumn("k", (s % F.length("w")).cast("int"))
+    both = _read(spark, d, "supplier").select("s_suppkey", F.explode(F.array(*map(F.lit, numerals.VOCABULARY))).alias("w")).withColumn("k", (s % F.length("w")).cast("int"))
     token = F.concat(F.substring(F.col("w"), F.lit(1), k), F.char(97 + s % 26), F.substring(F.col("w"), k + 2, F.length("w")))
     tokens = both.select(token.alias("token")).distinct()
     known = F.array_contains(F.array(*map(F.lit, numerals.VOCABULARY)), F.col("token"))

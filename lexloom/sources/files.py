@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +25,13 @@ def pdf_files(spark: SparkSession, folder: str, containing: str | None = None) -
     A file of no bytes is a row with an error, not a failure; marks that a
     download leaves beside files are passed over.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{pdf,PDF,Pdf}").load(folder)
-    found = found.select("path", "length", "content")
-    empty = [(p, 0) for p in _empty_files(spark, folder) if p.lower().endswith(".pdf")]
-    if empty:
-        found = found.unionByName(spark.createDataFrame(empty, "path string, length long").withColumn("content", F.lit(b"")))
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[pP][dD][fF]").load(folder)
+    found = scan.select("path", "length", "content")
+    # a scan leaves files of no bytes out, its listing doesn't
+    listed = [(re.sub("^file:/+", "file:/", unquote(p)),) for p in scan.inputFiles()]
+    if listed:
+        empty = spark.createDataFrame(listed, "path string").join(scan.select("path"), "path", "left_anti")
+        found = found.unionByName(empty.select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content")))
     found = found.where(~F.col("path").contains("Zone.Identifier"))
     if containing:
         found = found.where(F.lower("path").contains(containing.lower()))
@@ -35,16 +39,9 @@ def pdf_files(spark: SparkSession, folder: str, containing: str | None = None) -
     return found.select("path", file_slug(stem).alias("doc_id"), "length", "content", F.when(F.col("length") == 0, "zero-byte file").alias("error"))
 
 
-def _empty_files(spark: SparkSession, folder: str) -> list[str]:
-    """Files without a byte, which scans leave out; from the listing alone."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    each = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
-    out = []
-    while each.hasNext():
-        status = each.next()
-        if not status.getLen():
-            out.append(status.getPath().toString())
-    return out
+def listing(found: DataFrame) -> DataFrame:
+    """``pdf_files`` without the contents, in order of their paths."""
+    return found.drop("content").orderBy("path")
 
 
 def layer_pages(texts: DataFrame) -> DataFrame:
@@ -86,13 +83,22 @@ def record_pages(found: DataFrame) -> DataFrame:
     return found.select("doc_id", F.inline("pages"))
 
 
-def write_records(pages: DataFrame, tallies: DataFrame, folder: str) -> DataFrame:
+def manifest(tallies: DataFrame, *failures: DataFrame) -> DataFrame:
+    """(doc_id, n_pages, methods, classifications, error), in order of doc_id:
+    one row a document, and one for each failure.  failures: doc_id, error."""
+    rows = tallies.withColumn("error", F.lit(None).cast("string"))
+    for f in failures:
+        rows = rows.unionByName(f.where("error is not null").select("doc_id", "error"), allowMissingColumns=True)
+    return rows.orderBy("doc_id", "error")
+
+
+def write_records(pages: DataFrame, tallies: DataFrame, folder: str, *failures: DataFrame) -> DataFrame:
     """Write a document's pages as one JSON record below ``folder``, a folder
-    for each document; returns the manifest."""
+    for each document; returns the manifest, with what failed."""
     fields = [c for c in pages.columns if c != "doc_id"]
     whole = pages.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page", *(c for c in fields if c != "page")))).alias("pages")).join(tallies, "doc_id")
-    whole.withColumn("part", F.col("doc_id")).write.partitionBy("part").json(folder)
-    return tallies.orderBy("doc_id")
+    whole.withColumn("part", F.col("doc_id")).repartition("part").write.partitionBy("part").json(folder)
+    return manifest(tallies, *failures)
 
 
 def gold_norms(spark: SparkSession, path: str) -> DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import percent
+
 
 def write(df: DataFrame, folder: str, by: str | None = "doc_id") -> None:
-    """Rows as JSON, a folder for each document."""
+    """Rows as JSON, a folder for each document, which one task writes."""
     if by:
-        df.withColumn("part", F.col(by)).write.mode("overwrite").partitionBy("part").json(folder)
+        df.withColumn("part", F.col(by)).repartition("part").write.mode("overwrite").partitionBy("part").json(folder)
     else:
         df.write.mode("overwrite").json(folder)
 
@@ -60,3 +62,21 @@ def write_reconciled(verdicts: DataFrame, summary: DataFrame, folder: str) -> No
     """Verdicts of all figures, and how many of each."""
     write(verdicts, f"{folder}/pages", None)
     write(summary, f"{folder}/summary", None)
+
+
+def prefilter_report(share: DataFrame, reasons: DataFrame, sole: DataFrame) -> DataFrame:
+    """(ord, line): what a prefilter run says: articles kept, and how often each
+    reason selects one, and selects it alone."""
+    head = share.select(F.lit(0).alias("ord"), F.lit("").alias("reason"), F.format_string("%d of %d articles to extract (%s)", "extract", "body_pasal", percent(F.coalesce("share", F.lit(0.0)))).alias("line"))
+    each = reasons.join(sole.select("reason", F.col("n").alias("alone")), "reason", "left")
+    lines = each.select(F.lit(1).alias("ord"), "reason", F.format_string("%s: %d, alone %d", "reason", "n", F.coalesce("alone", F.lit(0))).alias("line"))
+    return head.unionByName(lines).orderBy("ord", "reason").select("ord", "line")
+
+
+def reconcile_report(verdicts: DataFrame, status: str | None = None) -> DataFrame:
+    """(doc_id, page, line): every figure of two readings that don't simply
+    agree, or those of one ``status``, side by side."""
+    some = verdicts.where(F.col("status") == status) if status else verdicts.where("status <> 'sources_agree'")
+    side = lambda c: F.coalesce(F.concat(F.col(f"{c}.source_numeral"), F.lit(" ("), F.col(f"{c}.source_words"), F.lit(")")), F.lit("-"))
+    line = F.concat_ws(" | ", "status", "unit", side("text_layer"), side("reocr"), F.coalesce(F.col("value").cast("string"), F.lit("?")))
+    return some.select("doc_id", "page", line.alias("line")).orderBy("doc_id", "page", "line")

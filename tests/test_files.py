@@ -1,6 +1,10 @@
 import json
+import sys
 
-from lexloom.sources import files
+import pytest
+
+from lexloom.operators import reconcile, segment
+from lexloom.sources import files, sinks, tools
 from lexloom.streaming import numerals as streaming
 
 
@@ -40,3 +44,73 @@ def test_stream_finds_the_same_figures(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [r.value for r in spark.table("figures").collect()] == [0.1]
+
+
+def test_listing_is_ordered_and_any_case(spark, tmp_path):
+    for name in ("b.Pdf", "a.pDf", "sub/c.pdf"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if name.startswith("b") else b"x")
+    got = [(r.doc_id, r.error) for r in files.listing(files.pdf_files(spark, str(tmp_path))).collect()]
+    assert got == [("a", None), ("b", "zero-byte file"), ("c", None)]
+
+
+def test_tools_have_a_time_limit():
+    python = sys.executable
+    assert tools.run([python, "-c", "print('hi')"]).strip() == b"hi"
+    with pytest.raises(tools.ToolError, match="took more"):
+        tools.run([python, "-c", "import time; time.sleep(30)"], seconds=0.5)
+    with pytest.raises(tools.ToolError, match="failed: bad"):
+        tools.run([python, "-c", "import sys; sys.exit('bad')"])
+    with pytest.raises(tools.ToolError, match="not installed"):
+        tools.run(["no-such-tool-here"])
+    said = tools.versions({"here": [python, "--version"], "gone": ["no-such-tool-here"]})
+    assert said["here"].startswith("Python 3") and said["gone"] == "unknown"
+
+
+def test_layer_and_ocr_by_any_command(spark, rows):
+    layer = (sys.executable, "-c", "import sys; sys.stdout.write(open(sys.argv[1]).read())")
+    assert tools.text_layer(b"one\ftwo\f \n", layer) == ["one", "two"]
+    render = (sys.executable, "-c", "import sys; open(sys.argv[-1] + '-1.png', 'w').write('page ' + sys.argv[2])")
+    read = (sys.executable, "-c", "import sys; sys.stdout.write(open(sys.argv[1]).read())")
+    assert tools.ocr_page(b"x", 7, render, read) == "page 7"
+    with pytest.raises(tools.ToolError, match="not rendered"):
+        tools.ocr_page(b"x", 7, (sys.executable, "-c", ""), read)
+
+    def reader(content, page):
+        if page == 2:
+            raise ValueError("broken")
+        return f"{content.decode()} {page}"
+
+    got = tools.ocr_pages(rows([("a", 1, bytearray(b"p")), ("a", 2, bytearray(b"p"))], "doc_id string, page int, content binary"), reader).collect()
+    assert {(r.page, r.text, r.error) for r in got} == {(1, "p 1", None), (2, None, "ValueError: broken")}
+
+
+def test_manifest_names_failures(spark, rows, tmp_path):
+    pages = rows([("a", 1, "clean", "t"), ("b", 1, "clean", "u")], "doc_id string, page int, classification string, text string")
+    tallies = rows([("b", 1), ("a", 1)], "doc_id string, n_pages int")
+    failed = rows([("c", "zero-byte file"), ("d", None)], "doc_id string, error string")
+    got = files.write_records(pages, tallies, str(tmp_path / "r"), failed).collect()
+    assert [(r.doc_id, r.n_pages, r.error) for r in got] == [("a", 1, None), ("b", 1, None), ("c", None, "zero-byte file")]
+    assert len(list((tmp_path / "r").glob("part=*/*.json"))) == 2
+
+
+def test_documents_from_pages(rows):
+    pages = rows([("D", 1, "text_layer", "HEAD\nPasal 1\n(1) Satu dan\n- 1 -"), ("D", 2, "ocr", "HEAD\nlagi satu.\n(2) Dua.\n- 2 -")], "doc_id string, page int, method string, text string")
+    got = {r.citation: (r.pages, r.methods) for r in segment.segment_pages(pages).collect()}
+    assert got == {"Pasal 1": ([1, 2], ["ocr", "text_layer"]), "Pasal 1 ayat (1)": ([1, 2], ["ocr", "text_layer"]), "Pasal 1 ayat (2)": ([2], ["ocr"])}
+
+
+def test_pages_against_a_second_reading(rows):
+    pages = rows([("D", 1, "text_layer", "Tarif l0% (sepuluh persen)"), ("D", 2, "text_layer", "Tarif 10% (sepuluh persen)"), ("D", 3, "ocr", "Tarif l0% (sepuluh persen)"), ("D", 4, "text_layer", "Tarif 20% (lima persen)")], "doc_id string, page int, method string, text string")
+    second = rows([("D", 1, "Tarif 10% (sepuluh persen)"), ("D", 2, "Tarif 10% (sepuluh persen)"), ("D", 4, None)], "doc_id string, page int, text string")
+    found = reconcile.reconcile_pages(pages, second)
+    assert [(r.page, r.status, r.value) for r in found.collect()] == [(1, "sources_agree_after_repair", 0.1)]
+    assert [r.line for r in sinks.reconcile_report(found).collect()] == ["sources_agree_after_repair | fraction | l0% (sepuluh persen) | 10% (sepuluh persen) | 0.1"]
+    assert sinks.reconcile_report(found, "sources_disagree").collect() == []
+
+
+def test_prefilter_report(rows):
+    share = rows([(4, 1, 0.25)], "body_pasal long, extract long, share double")
+    reasons = rows([("numeral_pair", 3), ("bound_marker", 2)], "reason string, n long")
+    sole = rows([("numeral_pair", 1)], "reason string, n long")
+    assert [r.line for r in sinks.prefilter_report(share, reasons, sole).collect()] == ["1 of 4 articles to extract (25%)", "bound_marker: 2, alone 0", "numeral_pair: 3, alone 1"]
