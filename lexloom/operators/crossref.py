@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import let
+from ..functions import let, rows_of
 from ..functions.matchers import find_all, find_with_rest, first_start
 from ..functions.numerals import GLYPH_FROM, GLYPH_TO
 from ..functions.text import strip
@@ -100,7 +100,7 @@ def external_note(span: Column) -> Column:
 def references(pasals: DataFrame) -> DataFrame:
     """(doc_id, pasal, ref_no, phrase, start, end, verb, span, targets): every
     reference phrase of each article.  pasals: doc_id, pasal, text."""
-    each = pasals.select("doc_id", "pasal", F.posexplode(find_all(F.col("text"), ANCHOR)).alias("ref_no", "m")).select("doc_id", "pasal", "ref_no", "m.*")
+    each = rows_of(pasals, find_all(F.col("text"), ANCHOR), "doc_id", "pasal").select("doc_id", "pasal", F.col("i").alias("ref_no"), "m.*")
     parts = F.split(F.regexp_replace("text", ANCHOR_PARTS, "$1\x01$2"), "\x01")
     read = each.select("doc_id", "pasal", "ref_no", F.col("text").alias("phrase"), "start", "end", parts.alias("parts"))
     read = read.select("doc_id", "pasal", "ref_no", "phrase", "start", "end", F.lower(F.get("parts", F.lit(0))).alias("verb"), F.get("parts", F.lit(1)).alias("span"))
@@ -132,7 +132,7 @@ def strict_index(docs: DataFrame) -> DataFrame:
     stop = first_start(F.col("text"), BODY_END)
     body = docs.select("doc_id", F.substring("text", F.lit(1), F.coalesce(stop, F.length("text"))).alias("text"))
     marks = F.transform(find_with_rest(F.col("text"), ARTICLE), lambda m: F.struct(F.regexp_extract(m["text"], ARTICLE, 1).alias("pasal"), m["end"].alias("start"), m["rest"].alias("text")))
-    each = body.select("doc_id", F.inline(marks)).groupBy("doc_id", "pasal").agg(F.max_by(F.struct("start", "text"), "start").alias("p"))
+    each = rows_of(body, marks, "doc_id").select("doc_id", "m.*").groupBy("doc_id", "pasal").agg(F.max_by(F.struct("start", "text"), "start").alias("p"))
     whole = each.select("doc_id", "pasal", "p.start", "p.text", _labelled(F.col("p.text"), PARAGRAPH).alias("ayat"))
     none = F.lit(None).cast("string")
 
@@ -146,7 +146,7 @@ def strict_index(docs: DataFrame) -> DataFrame:
     own = F.array(unit(none, none, base, base + F.length("text"), F.col("text")))
     below = F.flatten(F.transform("ayat", lambda a: F.concat(F.array(unit(a["label"], none, base + a["from"], base + a["to"], a["text"])), letters(a["label"], base + a["from"], a["text"]))))
     direct = F.when(F.size("ayat") == 0, letters(none, base, F.col("text"))).otherwise(F.array().cast("array<struct<ayat:string,huruf:string,start:int,end:int,text:string>>"))
-    return whole.select("doc_id", "pasal", F.inline(F.concat(own, below, direct)))
+    return rows_of(whole, F.concat(own, below, direct), "doc_id", "pasal").select("doc_id", "pasal", "m.*")
 
 
 def lookup(targets: DataFrame, units: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def resolve(pasals: DataFrame, units: DataFrame) -> DataFrame:
     """Every reference with its status, targets with texts, review flag and note."""
     key = ["doc_id", "current", "ref_no"]
     refs = references(pasals).withColumnRenamed("pasal", "current")
-    each = refs.select(*key, F.posexplode("targets").alias("target_no", "t")).select(*key, "target_no", "t.*")
+    each = rows_of(refs, F.col("targets"), *key).select(*key, F.col("i").alias("target_no"), "m.*")
     cross = each.where(F.col("pasal") != F.col("current"))
     found = lookup(cross, units).unionByName(each.where(F.col("pasal") == F.col("current")).withColumns({"found_text": F.lit(None).cast("string"), "exact": F.lit(None).cast("boolean")}))
     target = F.struct("target_no", "pasal", "ayat", "huruf", F.col("found_text").alias("text"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import let
+from ..functions import let, rows_of
 from ..functions.matchers import cut, find_all, find_with_rest, first_start
 from ..functions.numerals import GLYPH_FROM, GLYPH_TO
 from . import layout
@@ -78,7 +78,8 @@ def sections(docs: DataFrame) -> DataFrame:
         end = F.coalesce(F.get("at", i + 1), F.length("text"))
         return F.struct(i.alias("section_no"), start.alias("start"), end.alias("end"), cut(F.col("text"), start, end).alias("chunk"))
 
-    each = split.select("doc_id", plain.alias("plain"), F.when(plain, whole).alias("whole"), F.col("c.cuts").alias("cuts"), F.inline(F.transform("at", part)))
+    named = split.select("doc_id", plain.alias("plain"), F.when(plain, whole).alias("whole"), F.col("c.cuts").alias("cuts"), F.transform("at", part).alias("parts"))
+    each = rows_of(named, F.col("parts"), "doc_id", "plain", "whole", "cuts").select("doc_id", "plain", "whole", "cuts", "m.*")
     head = F.substring("chunk", 1, LOOK_AHEAD)
 
     def leads(pattern: str) -> Column:
@@ -94,7 +95,7 @@ def sections(docs: DataFrame) -> DataFrame:
 
 def section_anomalies(docs: DataFrame) -> DataFrame:
     """(doc_id, warning, from_num, to_num, offset): article numbers that go back."""
-    found = docs.select("doc_id", F.inline(_restart_cuts(F.col("text"))["anomalies"]))
+    found = rows_of(docs, _restart_cuts(F.col("text"))["anomalies"], "doc_id").select("doc_id", "m.*")
     return found.select("doc_id", F.lit("pasal_numbering_goes_backwards").alias("warning"), "from_num", "to_num", "offset")
 
 
@@ -109,7 +110,7 @@ def pasals(docs: DataFrame) -> DataFrame:
     articles of every section, numbered where a label comes again."""
     found = find_with_rest(F.col("chunk"), PASAL)
     bodies = F.transform(found, lambda m: F.struct(F.regexp_extract(m["text"], PASAL, 1).alias("pasal"), m["end"].alias("from"), (m["end"] + F.length(m["rest"])).alias("to"), m["rest"].alias("text")))
-    each = sections(docs).select("doc_id", "section", F.col("start").alias("base"), F.inline(bodies))
+    each = rows_of(sections(docs), bodies, "doc_id", "section", "start").select("doc_id", "section", F.col("start").alias("base"), "m.*")
     rows = each.select("doc_id", "section", "pasal", (F.col("base") + F.col("from")).alias("start"), (F.col("base") + F.col("to")).alias("end"), "text")
     again = F.row_number().over(Window.partitionBy("doc_id", "section", "pasal").orderBy("start"))
     cite = F.concat(section_prefix(F.col("section")), F.lit("Pasal "), F.col("pasal"), F.when(F.col("occurrence") > 1, F.concat(F.lit(" #"), F.col("occurrence"))).otherwise(""))
@@ -195,7 +196,8 @@ def _descend(rows: DataFrame, level: str, form: str, marks) -> DataFrame:
         fields = (F.lit(level), m["label"], F.concat("citation", F.format_string(form, m["label"])), F.col("citation"), F.col("start"), F.col("start") + m["from"], F.col("start") + end, cut(F.col("text"), m["from"], end), F.lit(True), F.lit(True))
         return F.struct(*(v.alias(k) for k, v in zip(_UNIT, fields, strict=True)))
 
-    return rows.select("doc_id", "section", "pasal", "occurrence", F.inline(F.concat(F.array(own), F.transform("found", item))))
+    key = ("doc_id", "section", "pasal", "occurrence")
+    return rows_of(rows, F.concat(F.array(own), F.transform("found", item)), *key).select(*key, "m.*")
 
 
 def units(docs: DataFrame) -> DataFrame:

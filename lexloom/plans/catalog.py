@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import numerals, text
+from ..functions import numerals, rows_of, text
 from ..operators import conflict, crossref, layout, ontology, prefilter, reconcile, segment, slots
 from ..sources import sinks
 from . import corpus
@@ -48,7 +48,7 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     CASE WHEN kind <= 5 THEN 'fraction' ELSE 'hari_kerja' END AS unit FROM r WHERE kind <= 6""")
 def numeral_scan(spark: SparkSession, d: str) -> DataFrame:
     """Every figure of every paragraph; rates in basis points."""
-    rows = _units(spark, d).where("level = 'ayat'").select("doc_id", "pasal", F.col("label").alias("ayat"), F.explode(numerals.scan(F.col("text"))).alias("m"))
+    rows = rows_of(_units(spark, d).where("level = 'ayat'").withColumnRenamed("label", "ayat"), numerals.scan(F.col("text")), "doc_id", "pasal", "ayat")
     value = F.when(F.col("m.unit") == "fraction", F.round(F.col("m.value") * 10000)).otherwise(F.col("m.value"))
     return rows.select("doc_id", "pasal", "ayat", value.cast("int").alias("value"), F.col("m.status").alias("status"), F.col("m.unit").alias("unit"))
 
@@ -57,7 +57,7 @@ def numeral_scan(spark: SparkSession, d: str) -> DataFrame:
     CASE WHEN kind <= 5 THEN 'fraction' ELSE 'hari_kerja' END AS unit, count(*) AS n FROM r WHERE kind <= 6 GROUP BY 1, 2""")
 def numeral_status_tally(spark: SparkSession, d: str) -> DataFrame:
     """Figures by status and unit, scanned paragraph by paragraph."""
-    rows = corpus.paragraphs(spark, d).select(F.explode(numerals.scan(F.col("text"))).alias("m"))
+    rows = rows_of(corpus.paragraphs(spark, d), numerals.scan(F.col("text")))
     return rows.groupBy("m.status", "m.unit").agg(F.count("*").alias("n"))
 
 
@@ -217,7 +217,7 @@ def _slots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
     """Slots, and records whose citations and slots are wrong in known ways."""
     arts = corpus.articles(spark, d).select("doc_id", F.concat_ws("#", "doc_id", "pasal").alias("pasal_key"), "pasal", "text")
     table = slots.slot_table(arts).select(F.col("pasal_key").alias("call"), "slot_no", "slot", "start", "end", "value", "unit", "source_numeral", "source_words", "ocr_recovered", "needs_review")
-    marks = arts.select("pasal_key", "text", segment.ayat_marks(F.col("text")).alias("m")).select("pasal_key", "text", F.posexplode("m").alias("i", "x"), F.transform("m", lambda x: x["at"]).alias("ats"))
+    marks = arts.select("pasal_key", "text", segment.ayat_marks(F.col("text")).alias("m")).select("pasal_key", "text", F.posexplode_outer("m").alias("i", "x"), F.transform("m", lambda x: x["at"]).alias("ats")).where("x is not null")
     unit = marks.select(F.col("pasal_key").alias("call"), F.concat(F.lit("ayat "), "x.label").alias("citation"), F.col("x.from").alias("start"), F.coalesce(F.get("ats", F.col("i") + 1), F.length("text")).alias("end"))
     return kept(table), kept(unit), arts
 
@@ -305,7 +305,7 @@ def crossref_targets(spark: SparkSession, d: str) -> DataFrame:
         .otherwise(F.concat(F.lit("sebagaimana dimaksud dalam Pasal "), F.col("pasal") + 1, F.lit(".")))
     )
     rows = truth.select(F.concat(F.lit("PERDA_"), "sup").alias("doc_id"), F.col("pasal").cast("string").alias("pasal"), F.concat(F.lit("Hal "), phrase).alias("text"))
-    refs = crossref.references(rows).select("doc_id", "pasal", F.explode("targets").alias("t"))
+    refs = rows_of(crossref.references(rows), F.col("targets"), "doc_id", "pasal").withColumnRenamed("m", "t")
     status = F.when(F.col("t.pasal") == F.col("pasal"), "same_pasal").otherwise("cross_pasal")
     return refs.select("doc_id", "pasal", status.alias("status"), F.col("t.pasal").alias("target"), F.col("t.ayat").alias("ayat")).groupBy("doc_id", "pasal", "status", "target", "ayat").agg(F.count("*").alias("n"))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import rows_of
 from ..functions.numerals import scan
 from ..operators.prefilter import bucket
 
@@ -20,7 +21,7 @@ def arriving(spark: SparkSession, folder: str, schema: str = "doc_id string, tex
 
 def figures(docs: DataFrame) -> DataFrame:
     """One row for each figure of each document."""
-    return docs.select("doc_id", F.explode(scan(F.col("text"))).alias("m")).select("doc_id", "m.*")
+    return rows_of(docs, scan(F.col("text")), "doc_id").select("doc_id", "m.*")
 
 
 def buckets(docs: DataFrame) -> DataFrame:
