@@ -32,16 +32,24 @@ _ROWS = -1
 Grams = list[tuple[np.ndarray, np.ndarray]]
 
 
-def put(values: np.ndarray) -> bytes:
-    """Sorted or small numbers, compressed: their differences byte by byte."""
-    return zstd.ZstdCompressor(level=1).compress(np.diff(values, prepend=values.dtype.type(0)).view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes())
+def _put(values: np.ndarray) -> bytes:
+    """Numbers, compressed byte by byte of their width."""
+    return zstd.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes())
 
 
-def get(blob: bytes, kind: str) -> np.ndarray:
-    """Undo ``put``."""
+def _get(blob: bytes, kind: str) -> np.ndarray:
+    """Undo ``_put``."""
     data = np.frombuffer(zstd.ZstdDecompressor().decompress(blob), np.uint8)
-    size = np.dtype(kind).itemsize
-    return np.cumsum(np.ascontiguousarray(data.reshape(size, -1).T).view(kind).ravel(), dtype=kind)
+    return np.ascontiguousarray(data.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _put_ids(ids: np.ndarray) -> bytes:
+    """Sorted hashes, as differences."""
+    return _put(np.diff(ids, prepend=np.uint64(0)))
+
+
+def _get_ids(blob: bytes) -> np.ndarray:
+    return np.cumsum(_get(blob, "u8"), dtype=np.uint64)
 
 
 def _packed(rows: pa.Table) -> bytes:
@@ -82,6 +90,41 @@ def _blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+_NAMES, _KINDS = ["part", "block", "kind", "ids", "n"], [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+_MESSAGE = "part int, block long, kind int, ids binary, n binary"
+
+
+def _messages(number: int, grams: Grams, bits: int) -> Iterator[pa.RecordBatch]:
+    """One row for each kind and range that some of a block's hashes lie in."""
+    for kind, (ids, own) in enumerate(grams):
+        part = ids >> np.uint64(64 - bits)
+        cuts = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))
+        if len(cuts):
+            blobs = [[code(x) for x in np.split(values, cuts[1:])] for code, values in ((_put_ids, ids), (_put, own))]
+            n = len(cuts)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((part[cuts].astype(np.int32), [number] * n, [kind] * n, *blobs), _KINDS, strict=True)], _NAMES)
+
+
+def totals(rows: DataFrame, text: str, grams: Callable[[pa.Table], Grams], size: int) -> tuple[int, int]:
+    """The sum of all corpus counts, and how many different hashes have one."""
+    bits, at = range_bits(size), rows.columns.index(text)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, at):
+            yield from _messages(0, grams(block), bits)
+            release()
+
+    def add(asked: pa.Table) -> pa.Table:
+        ids = [_get_ids(b) for b in asked.column("ids").to_pylist()]
+        own = np.concatenate([_get(b, "i8") for b in asked.column("n").to_pylist()])
+        seen = np.unique(np.concatenate(ids)[own > 0])
+        return pa.table({"n": pa.array([int(own.sum())]), "v": pa.array([len(seen)], pa.int64())})
+
+    found = rows.mapInArrow(ask, _MESSAGE).groupBy("part").applyInArrow(add, "n long, v long")
+    row = found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
+    return int(row["n"]), int(row["v"])
+
+
 def with_counts(rows: DataFrame, text: str, grams: Callable[[pa.Table], Grams], reply: Callable[[np.ndarray], np.ndarray], finish: Callable[[pa.Table, list[np.ndarray]], pa.Table], schema: str, size: int) -> DataFrame:
     """``finish(block, counts)`` of every block of ``rows``.
 
@@ -91,30 +134,23 @@ def with_counts(rows: DataFrame, text: str, grams: Callable[[pa.Table], Grams],
     nulls; ``size`` are its bytes, about.
     """
     bits, at = range_bits(size), rows.columns.index(text)
-    names, kinds = ["part", "block", "kind", "ids", "n"], [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 32
         for k, block in enumerate(_blocks(batches, at)):
             number = task + k
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((number % (1 << bits), number, _ROWS, _packed(block), None), kinds, strict=True)], names)
-            for kind, (ids, own) in enumerate(grams(block)):
-                part = ids >> np.uint64(64 - bits)
-                cuts = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))
-                if len(cuts):
-                    blobs = [[put(x) for x in np.split(values, cuts[1:])] for values in (ids, own)]
-                    n = len(cuts)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((part[cuts].astype(np.int32), [number] * n, [kind] * n, *blobs), kinds, strict=True)], names)
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((number % (1 << bits), number, _ROWS, _packed(block), None), _KINDS, strict=True)], _NAMES)
+            yield from _messages(number, grams(block), bits)
             release()
 
     def answer(asked: pa.Table) -> pa.Table:
         if asked.column("kind")[0].as_py() == _ROWS:
             return asked.select(["block", "part", "kind", "ids"])
-        ids = [get(b, "u8") for b in asked.column("ids").to_pylist()]
-        own = [get(b, "i8") for b in asked.column("n").to_pylist()]
+        ids = [_get_ids(b) for b in asked.column("ids").to_pylist()]
+        own = [_get(b, "i8") for b in asked.column("n").to_pylist()]
         every, place = np.unique(np.concatenate(ids), return_inverse=True)
         found = np.bincount(place, np.concatenate(own), len(every)).astype(np.int64)
-        back = [put(reply(found[p])) for p in np.split(place, np.cumsum([len(i) for i in ids])[:-1])]
+        back = [_put(reply(found[p])) for p in np.split(place, np.cumsum([len(i) for i in ids])[:-1])]
         release()
         return pa.table([*(asked.column(c) for c in ("block", "part", "kind")), pa.array(back, pa.binary())], ["block", "part", "kind", "ids"])
 
@@ -123,10 +159,10 @@ def with_counts(rows: DataFrame, text: str, grams: Callable[[pa.Table], Grams],
         block = _unpacked(held[0][2])
         blobs: dict[int, list[np.ndarray]] = {}
         for kind, _, blob in held[1:]:
-            blobs.setdefault(kind, []).append(get(blob, reply(np.zeros(0, np.int64)).dtype.str))
+            blobs.setdefault(kind, []).append(_get(blob, reply(np.zeros(0, np.int64)).dtype.str))
         release()
         return finish(block, [np.concatenate(blobs[k]) if k in blobs else reply(np.zeros(0, np.int64)) for k in range(1 + max(blobs, default=-1))])
 
-    asked = rows.mapInArrow(ask, "part int, block long, kind int, ids binary, n binary")
+    asked = rows.mapInArrow(ask, _MESSAGE)
     answered = asked.groupBy("part", "kind").applyInArrow(answer, "block long, part int, kind int, ids binary")
     return answered.groupBy("block").applyInArrow(meet, schema)

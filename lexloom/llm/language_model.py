@@ -15,14 +15,12 @@ its texts can reach.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .exchange import text_bytes, with_counts
+from .exchange import text_bytes, totals, with_counts
 from .runtime import by_crc, keyed_text, slices
 from .shingles import mix, word_hashes
 
@@ -52,9 +50,9 @@ def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return ids, words + 1
 
 
-def _grams(ids: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """Hash of the n-gram of each order that ends at each token; START fills up
-    what is before a text."""
+def _grams(ids: np.ndarray, sizes: np.ndarray, bits: int = 64) -> list[np.ndarray]:
+    """Hash of the n-gram of each order that ends at each token, of ``bits`` bits
+    where it has several words; START fills up what is before a text."""
     first = np.cumsum(sizes) - sizes
     out = [ids]
     total = mix(ids) * _ODD[0]
@@ -63,7 +61,7 @@ def _grams(ids: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
         before = np.concatenate([[START], before[:-1]]).astype(np.uint64)
         before[first] = START
         total = total + mix(before) * _ODD[k]
-        out.append(mix(total + np.uint64(k)))
+        out.append(mix(total + np.uint64(k)) >> np.uint64(64 - bits) << np.uint64(64 - bits))
     return out
 
 
@@ -163,10 +161,10 @@ class Automaton:
         return np.bincount(owner, total, len(sizes))
 
 
-def _score_block(texts: list[str], counts: list[np.ndarray], total: int, kinds: int):
+def _score_block(texts: list[str], counts: list[np.ndarray], total: int, kinds: int, bits: int = 64):
     """Known flags of each text's tokens, base scores and model scores."""
     ids, sizes = _tokens(texts)
-    grams = _grams(ids, sizes)
+    grams = _grams(ids, sizes, bits)
     words, code = np.unique(ids, return_inverse=True)
     first = np.cumsum(sizes) - sizes
     spelled = [code]
@@ -183,18 +181,11 @@ def _score_block(texts: list[str], counts: list[np.ndarray], total: int, kinds:
     return sizes, known, base, model / np.log(10)
 
 
-def training_totals(plain: DataFrame) -> tuple[int, int]:
-    """Tokens and different tokens of the rows to learn from: counted by hash,
-    batch by batch before the shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, n = np.unique(_tokens(batch.column(0).to_pylist())[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), pa.array(n.astype(np.int64))], ["id", "n"])
-
-    words = plain.where("learn").select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    row = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    return int(row["n"]), int(row["v"])
+def _hash_bits(size: int) -> int:
+    """Bits by which n-grams of several words are told apart, for so many bytes
+    of text: an n-gram that training has not seen is taken for one that it has
+    with a chance below 2**-20."""
+    return min(64, max(32, size.bit_length() + 20))
 
 
 def scores(docs: DataFrame, learn, key: str = "doc_id") -> DataFrame:
@@ -205,25 +196,28 @@ def scores(docs: DataFrame, learn, key: str = "doc_id") -> DataFrame:
     null or empty text is the end alone.  base_score is the additive unigram
     score; without anything to learn from V = N = 0, and every word is the
     unknown one, of probability one.  Repeated rows give repeated rows; a null
-    key is a key like others; other columns are ignored.  N-grams are told apart
-    by whole 64-bit hashes.
+    key is a key like others; other columns are ignored.  Words are told apart by
+    whole 64-bit hashes, n-grams as ``_hash_bits`` says.
     """
     plain = keyed_text(docs, key).select(F.col(key).alias("key"), "text", F.coalesce(learn, F.lit(False)).alias("learn"))
-    total, kinds = training_totals(plain)
+    size = text_bytes(plain, "text")
+    bits = _hash_bits(size)
 
-    def grams(block: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    def counted(block: pa.Table, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
         ids, sizes = _tokens(block.column("text").to_pylist())
         teach = np.repeat(block.column("learn").to_numpy(), sizes)
-        made = [np.unique(every, return_inverse=True) for every in _grams(ids, sizes)]
+        made = [np.unique(every, return_inverse=True) for every in _grams(ids, sizes, bits)[:most]]
         return [(unique, np.bincount(place, teach, len(unique)).astype(np.int64)) for unique, place in made]
 
+    total, kinds = totals(plain.where("learn"), "text", lambda block: counted(block, 1), size)
+
     def finish(block: pa.Table, counts: list[np.ndarray]) -> pa.Table:
-        sizes, known, base, model = _score_block(block.column("text").to_pylist(), counts, total, kinds)
+        sizes, known, base, model = _score_block(block.column("text").to_pylist(), counts, total, kinds, bits)
         learnt_from = block.column("learn").combine_chunks()
         columns = [block.column("key").combine_chunks(), learnt_from, pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array([total] * len(sizes), pa.int64()), pa.array(base), pa.array(model)]
         return pa.table(columns, [key, "learnt", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return with_counts(plain, "text", grams, lambda n: n, finish, f"`{key}` long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", text_bytes(plain, "text"))
+    return with_counts(plain, "text", lambda block: counted(block, ORDER), lambda n: n, finish, f"`{key}` long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", size)
 
 
 def learnt(modulus: int = 10):
