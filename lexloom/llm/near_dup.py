@@ -92,11 +92,15 @@ def with_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+    """The pairs (a, b), each given once, whose whole sets are similar enough.
+
+    Nothing after the joins needs its rows together, so adaptive execution can
+    split a set that many pairs name.
+    """
     one = sets.select(F.col("vid").alias("a"), F.col("n").alias("na"), F.col("live").alias("sa")).hint("merge")
     two = sets.select(F.col("vid").alias("b"), F.col("n").alias("nb"), F.col("live").alias("sb")).hint("merge")
     joined = pairs.join(one, "a").join(two, "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
-    return joined.where(100 * F.col("i") >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b").distinct()
+    return joined.where(100 * F.col("i") >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
 
 
 def _group_lists(variants: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import brute
 import corpus_pipeline
 from lexloom.llm import registry
@@ -36,6 +38,14 @@ def test_stages_take_an_empty_table(spark, small):
         assert stage(spark, docs, small).count() == 0
 
 
+def test_language_stage_names_what_it_found(spark, rows, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    some = docs.where("text is not null and lang is not null").limit(40)
+    odd = some.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.col("lang"))).unionByName(rows([(-1, "12 34", None, "s", 5), (-2, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = corpus_pipeline.language_id(spark, odd, small)
+    assert kept.columns == docs.columns and kept.where("lang is null or doc_id < 0").count() == 0 and kept.count() == 40
+
+
 def test_every_operator_is_registered():
     names = registry.queries()
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
