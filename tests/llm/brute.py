@@ -192,3 +192,26 @@ def tree_chance(trees, x):
             node = trees.left[node] if x[trees.feature[node]] <= trees.threshold[node] else trees.right[node]
         total += trees.value[node]
     return 1 / (1 + math.exp(-total))
+
+
+def language(text, samples):
+    """The language of least normalised phrases, by searching the samples."""
+    import regex
+
+    form = lambda t: regex.sub(r"[^\p{L}]+", " ", t)
+    lower = lambda t: "".join(c.lower() if len(c.lower()) == 1 and regex.match(r"\p{L}", c) else c for c in t)
+    t = lower(form(text or "")).lstrip(" ")
+    if not regex.search(r"\p{L}", t):
+        return "und"
+    rates = []
+    for lang in sorted(samples):
+        s = lower(form(samples[lang])).lstrip(" ")
+        n = i = 0
+        while i < len(t):
+            k = 1
+            while i + k <= len(t) and t[i : i + k] in s:
+                k += 1
+            i += max(1, k - 1)
+            n += 1
+        rates.append((n * math.log2(max(2, len(s))), lang))
+    return min(rates)[1]
