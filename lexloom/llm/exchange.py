@@ -2,12 +2,12 @@
 
 Rows are taken in blocks as they are read.  A block sends each range of the hash
 that some of its n-grams lie in one compressed array of them with its own
-counts, and itself, compressed, to where the answers will meet it; ranges add
-up and answer; the block goes on with its texts and the corpus counts of its
-n-grams.  So no count table is collected, broadcast or joined row by row, rows
-that are alike never share a key, and there are never more messages than
-n-grams.  Every step is a shuffle of bounded groups, which a lost executor's
-work is repeated from.
+counts, and leaves its rows, compressed, in a file of its task in the shared
+folder; ranges add up and answer; where the answers meet, the block's rows are
+read back.  So no count table is collected, broadcast or joined row by row, texts
+are moved once, rows that are alike never share a key, and there are never more
+messages than n-grams.  Every step is a shuffle of bounded groups; an attempt
+that is lost leaves a file that no message names.
 """
 
 from __future__ import annotations
@@ -18,15 +18,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import zstandard as zstd
+from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import release
+from .runtime import new_path, release
 
 #: Bytes of text in a block, and of text for each range of the hash, about.
 BLOCK_BYTES, RANGE_BYTES = 4 << 20, 8 << 20
-#: The kind of the message that is the block itself.
+#: The kind of the message that says where the block is.
 _ROWS = -1
 
 Grams = list[tuple[np.ndarray, np.ndarray]]
@@ -65,7 +66,7 @@ def _unpacked(blob: bytes) -> pa.Table:
 
 def range_bits(size: int) -> int:
     """Leading bits of a hash that name its range, for so many bytes of text."""
-    return min(28, max(3, (size // RANGE_BYTES).bit_length()))
+    return min(28, max(5, (size // RANGE_BYTES).bit_length()))
 
 
 def text_bytes(rows: DataFrame, text: str) -> int:
@@ -135,13 +136,25 @@ def with_counts(rows: DataFrame, text: str, grams: Callable[[pa.Table], Grams],
     """
     bits, at = range_bits(size), rows.columns.index(text)
 
+    folder = new_path(rows.sparkSession, "blocks")
+    made, path = pafs.FileSystem.from_uri(folder)
+    made.create_dir(path)
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId() << 32
-        for k, block in enumerate(_blocks(batches, at)):
-            number = task + k
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((number % (1 << bits), number, _ROWS, _packed(block), None), _KINDS, strict=True)], _NAMES)
-            yield from _messages(number, grams(block), bits)
-            release()
+        task = TaskContext.get()
+        first = task.partitionId() << 32
+        files, path = pafs.FileSystem.from_uri(folder)
+        name, offset = f"{path}/{task.partitionId():05d}-{task.taskAttemptId()}", 0
+        with files.open_output_stream(name) as out:
+            for k, block in enumerate(_blocks(batches, at)):
+                blob = _packed(block)
+                out.write(blob)
+                where = f"{name}\n{offset}\n{len(blob)}".encode()
+                offset += len(blob)
+                number = first + k
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((number % (1 << bits), number, _ROWS, where, None), _KINDS, strict=True)], _NAMES)
+                yield from _messages(number, grams(block), bits)
+                release()
 
     def answer(asked: pa.Table) -> pa.Table:
         if asked.column("kind")[0].as_py() == _ROWS:
@@ -156,7 +169,11 @@ def with_counts(rows: DataFrame, text: str, grams: Callable[[pa.Table], Grams],
 
     def meet(answered: pa.Table) -> pa.Table:
         held = sorted(zip(answered.column("kind").to_pylist(), answered.column("part").to_pylist(), answered.column("ids").to_pylist(), strict=True), key=lambda x: x[:2])
-        block = _unpacked(held[0][2])
+        name, offset, length = held[0][2].decode().split("\n")
+        files, _ = pafs.FileSystem.from_uri(folder)
+        with files.open_input_file(name) as f:
+            f.seek(int(offset))
+            block = _unpacked(f.read(int(length)))
         blobs: dict[int, list[np.ndarray]] = {}
         for kind, _, blob in held[1:]:
             blobs.setdefault(kind, []).append(_get(blob, reply(np.zeros(0, np.int64)).dtype.str))
