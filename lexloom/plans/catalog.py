@@ -457,12 +457,9 @@ def ontology_compare(spark: SparkSession, d: str) -> DataFrame:
     return ontology.compare(found, gold.unionByName(spark.createDataFrame([("none", "none")], "id string, label string")))
 
 
-@query("""WITH k AS (SELECT p_type AS t, p_brand AS b, count(*) AS n FROM part GROUP BY 1, 2), c AS (SELECT t, CASE WHEN length(t) % 2 = 0 THEN sum(n) % 11 END AS cap FROM k GROUP BY 1)
-    SELECT concat(b, '@', t) AS category, CASE WHEN n % 11 <= coalesce(cap, 5) THEN 'COMPLIANT' ELSE 'CONFLICT' END AS verdict, CAST(CASE WHEN n % 11 <= coalesce(cap, 5) THEN n % 11 END AS INT) AS witness, cap IS NULL AS national_via_residual
-    FROM k JOIN c USING (t)""")
-def rate_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    """Rates of a local instrument for brands under types, against the caps of a
-    national one for some types and its residual rule for the rest."""
+def _rates(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Categories (brands under types), and the rules of a national and a local
+    instrument with their bounds."""
     k = _read(spark, d, "part").groupBy(F.col("p_type").alias("t"), F.col("p_brand").alias("b")).agg(F.count("*").alias("n"))
     own = F.concat_ws("@", "b", "t")
     cats = k.select(own.alias("id"), own.alias("label"), F.col("t").alias("parent")).unionByName(k.select(F.col("t").alias("id"), F.col("t").alias("label"), F.lit(None).cast("string").alias("parent")).distinct())
@@ -474,7 +471,37 @@ def rate_conflicts(spark: SparkSession, d: str) -> DataFrame:
     rules = norm(caps, F.concat(F.lit("U-"), "t"), "U", 3, F.col("t"), False, "<=", F.col("v"))
     rules = rules.unionByName(norm(spark.range(1), F.lit("U-rest"), "U", 3, F.lit("*"), True, "<=", F.lit(5)))
     rules = rules.unionByName(norm(k, F.concat(F.lit("L-"), own), "L", 7, own, False, "==", F.col("n") % 11))
+    return cats, rules
+
+
+@query("""WITH k AS (SELECT p_type AS t, p_brand AS b, count(*) AS n FROM part GROUP BY 1, 2), c AS (SELECT t, CASE WHEN length(t) % 2 = 0 THEN sum(n) % 11 END AS cap FROM k GROUP BY 1)
+    SELECT concat(b, '@', t) AS category, CASE WHEN n % 11 <= coalesce(cap, 5) THEN 'COMPLIANT' ELSE 'CONFLICT' END AS verdict, CAST(CASE WHEN n % 11 <= coalesce(cap, 5) THEN n % 11 END AS INT) AS witness, cap IS NULL AS national_via_residual
+    FROM k JOIN c USING (t)""")
+def rate_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    """Rates of a local instrument for brands under types, against the caps of a
+    national one for some types and its residual rule for the rest."""
+    cats, rules = _rates(spark, d)
     norms = rules.select("norm", "ord", "instrument", "rank", "norm_type", "applies_to", "is_residual", F.array().cast("array<string>").alias("delegated_scope"), F.array().cast("array<string>").alias("open_textured_terms"))
     none = spark.createDataFrame([], "id string, label string")
     got = conflict.verdicts(norms, rules.select("norm", "ord", "op", "value"), cats, none, "U", "L")
     return got.select("category", "verdict", F.round(F.col("witness") * 100).cast("int").alias("witness"), "national_via_residual")
+
+
+@query("""WITH k AS (SELECT p_type AS t, p_brand AS b, count(*) AS n FROM part GROUP BY 1, 2), c AS (SELECT t, CASE WHEN length(t) % 2 = 0 THEN sum(n) % 11 END AS cap FROM k GROUP BY 1)
+    SELECT concat(b, '@', t) AS category, CASE WHEN length(t) % 5 = 0 THEN 'ABSTAIN' WHEN n % 11 <= coalesce(cap, 5) THEN 'COMPLIANT' ELSE 'CONFLICT' END AS verdict,
+    CASE WHEN cap IS NOT NULL AND n % 11 <= cap THEN 'U-gives' END AS authorised_by, CASE WHEN length(t) % 5 = 0 THEN 'vague' END AS abstained_on, CASE WHEN length(t) % 5 <> 0 AND length(b) % 2 = 0 THEN 'vague' END AS caveat FROM k JOIN c USING (t)
+    UNION ALL SELECT t, 'COMPLIANT', CASE WHEN cap IS NOT NULL THEN 'U-gives' END, NULL, 'vague' FROM c WHERE length(t) % 5 = 0""")
+def delegated_rates(spark: SparkSession, d: str) -> DataFrame:
+    """The same rates where the national instrument delegates its caps, some local
+    rules have an open term, and others with one reach brands from their type."""
+    cats, rules = _rates(spark, d)
+    none = F.array().cast("array<string>")
+    vague = F.array(F.lit("vague"))
+    own = rules.withColumn("delegated_scope", none).withColumn("open_textured_terms", F.when((F.col("instrument") == "L") & (F.length(F.substring_index("norm", "@", 1)) % 2 == 0), vague).otherwise(none))
+    types = cats.where("parent is null and length(id) % 5 = 0")
+    reach = types.select(F.concat(F.lit("L-all-"), "id").alias("norm"), F.lit(1).alias("ord"), F.lit("L").alias("instrument"), F.lit(7).alias("rank"), F.lit("rate_constraint").alias("norm_type"), F.array("id").alias("applies_to"), F.lit(False).alias("is_residual"), F.lit(">=").alias("op"), F.lit(0.0).alias("value"), none.alias("delegated_scope"), vague.alias("open_textured_terms"))
+    gives = rules.where("instrument = 'U' and not is_residual").agg(F.collect_set("norm").alias("delegated_scope")).select(F.lit("U-gives").alias("norm"), F.lit(2).alias("ord"), F.lit("U").alias("instrument"), F.lit(3).alias("rank"), F.lit("delegation").alias("norm_type"), none.alias("applies_to"), F.lit(False).alias("is_residual"), "delegated_scope", none.alias("open_textured_terms"))
+    norms = own.unionByName(reach)
+    terms = spark.createDataFrame([("vague", "v")], "id string, label string")
+    got = conflict.verdicts(norms.drop("op", "value").unionByName(gives), norms.select("norm", "ord", "op", "value"), cats, terms, "U", "L")
+    return got.select("category", "verdict", "authorised_by", F.array_join("abstained_on", ",").alias("abstained_on"), F.array_join("caveat", ",").alias("caveat"))
