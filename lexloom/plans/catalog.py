@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numerals, rows_of, text
-from ..operators import conflict, crossref, layout, ontology, prefilter, reconcile, segment, slots
+from ..operators import calibrate, conflict, crossref, layout, ontology, prefilter, reconcile, segment, slots
 from ..sources import sinks
 from . import corpus
 from .storage import kept
@@ -505,3 +505,118 @@ def delegated_rates(spark: SparkSession, d: str) -> DataFrame:
     terms = spark.createDataFrame([("vague", "v")], "id string, label string")
     got = conflict.verdicts(norms.drop("op", "value").unionByName(gives), norms.select("norm", "ord", "op", "value"), cats, terms, "U", "L")
     return got.select("category", "verdict", "authorised_by", F.array_join("abstained_on", ",").alias("abstained_on"), F.array_join("caveat", ",").alias("caveat"))
+
+
+_ARTICLE_HIT = f"""{_R}, h AS (SELECT sup, pasal, bool_or((kind <= 5 AND {_HIT}) OR (kind = 6 AND {_COUNT_HIT})) AS hit FROM r GROUP BY 1, 2)"""
+
+
+@query(f"{_ARTICLE_HIT} SELECT {_DOC} AS doc_id, CAST(pasal AS INT) AS page FROM h WHERE hit AND pasal % 4 <> 0")
+def candidate_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Text-layer pages with a figure that a second reading should confirm."""
+    pages = corpus.articles(spark, d).select("doc_id", F.col("pasal").alias("page"), F.when(F.col("pasal") % 4 == 0, "ocr").otherwise("text_layer").alias("method"), "text")
+    return reconcile.candidate_pages(pages).select("doc_id", "page")
+
+
+@query(f"""{_ARTICLE_HIT}, n AS (SELECT *, row_number() OVER (PARTITION BY sup ORDER BY pasal) AS k FROM h WHERE hit AND pasal % 4 <> 0) SELECT {_DOC} AS doc_id, CAST(pasal AS INT) AS page FROM n WHERE k <= 3""")
+def candidate_pages_limited(spark: SparkSession, d: str) -> DataFrame:
+    """The first three such pages of each document."""
+    pages = corpus.articles(spark, d).select("doc_id", F.col("pasal").alias("page"), F.when(F.col("pasal") % 4 == 0, "ocr").otherwise("text_layer").alias("method"), "text")
+    return reconcile.candidate_pages(pages, 3).select("doc_id", "page")
+
+
+@query(f"{_PER_PASAL} SELECT count(*) AS body_pasal, count(*) FILTER (rates + days > 0) AS extract, count(*) FILTER (rates + days > 0) / count(*) AS share FROM a")
+def prefilter_share(spark: SparkSession, d: str) -> DataFrame:
+    """How much of the corpus goes to extraction."""
+    return prefilter.corpus_share(prefilter.prefilter(segment.pasals(corpus.documents(spark, d))))
+
+
+_LAYER = "CASE s % 5 WHEN 0 THEN 'ocr' WHEN 1 THEN 'ocr' WHEN 2 THEN 'ocr_failed' ELSE 'text_layer' END"
+
+
+@query(f"""WITH p AS (SELECT CAST(s_suppkey AS INT) AS s FROM supplier)
+    SELECT concat('D_', s % 3) AS doc_id, s AS page, {_LAYER} AS method, CASE WHEN s % 5 = 2 THEN 'empty' ELSE 'clean' END AS classification, CASE s % 5 WHEN 0 THEN 'empty' WHEN 1 THEN 'corrupted' END AS replaced_classification, s % 5 = 1 AS kept_layer FROM p""")
+def extracted_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages whose layer is empty, garbage or clean, with and without an OCR reading."""
+    found = _extracted(spark, d)
+    return found.select("doc_id", "page", "method", "classification", "replaced_classification", F.col("replaced_text_layer").isNotNull().alias("kept_layer"))
+
+
+def _extracted(spark: SparkSession, d: str) -> DataFrame:
+    s = F.col("s_suppkey").cast("int")
+    prose = F.lit("Ketentuan ini berlaku bagi setiap orang dan badan.")
+    layer = F.when(s % 5 == 0, " ").when(s % 5 == 1, F.concat(prose, F.repeat(F.lit("一"), 9))).when(s % 5 == 2, F.lit(None).cast("string")).otherwise(prose)
+    rows = _read(spark, d, "supplier").select(F.concat(F.lit("D_"), s % 3).alias("doc_id"), s.alias("page"), layer.alias("text"))
+    return layout.extracted_pages(rows, rows.where(F.col("page") % 5 < 2).select("doc_id", "page", prose.alias("text")))
+
+
+@query(f"""WITH p AS (SELECT s % 3 AS k, {_LAYER} AS method FROM (SELECT CAST(s_suppkey AS INT) AS s FROM supplier))
+    SELECT concat('D_', k) AS doc_id, count(*) AS n_pages, count(*) FILTER (method = 'ocr') AS ocr, count(*) FILTER (method = 'ocr_failed') AS ocr_failed, count(*) FILTER (method = 'text_layer') AS text_layer FROM p GROUP BY 1""")
+def page_tallies(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of each document by how they were read."""
+    got = layout.page_tallies(_extracted(spark, d))
+    return got.select("doc_id", "n_pages", *(F.coalesce(F.try_element_at("methods", F.lit(m)), F.lit(0)).cast("bigint").alias(m) for m in ("ocr", "ocr_failed", "text_layer")))
+
+
+@query("""WITH p AS (SELECT concat(CASE p_partkey % 3 WHEN 0 THEN 'UU_' WHEN 1 THEN 'Perwal ' ELSE 'Perda ' END, p_name, '#', p_size) AS n FROM part)
+    SELECT n AS name, regexp_replace(n, '[^A-Za-z0-9]', '_', 'g') AS slug, CASE WHEN starts_with(n, 'UU_') THEN 'national' WHEN starts_with(n, 'Perwal') THEN 'perwal' ELSE 'perda' END AS rank,
+    concat(trim(substr(regexp_replace(lower(n), '[^a-z0-9]+', '_', 'g'), 1, 24), '_'), '__pasal_5_ayat_2') AS place FROM p""")
+def document_names(spark: SparkSession, d: str) -> DataFrame:
+    """Identifiers and ranks by documents' names."""
+    k = F.col("p_partkey") % 3
+    name = F.concat(F.when(k == 0, "UU_").when(k == 1, "Perwal ").otherwise("Perda "), "p_name", F.lit("#"), "p_size")
+    rows = _read(spark, d, "part").select(name.alias("name"))
+    n = F.col("name")
+    return rows.select("name", text.file_slug(n).alias("slug"), text.instrument_rank(n).alias("rank"), text.citation_slug(n, F.lit("Pasal 5 ayat (2)")).alias("place"))
+
+
+_CLEAN = "CASE WHEN kind <= 5 THEN concat('Tarif ', ['paling tinggi', 'paling rendah', 'paling lama', 'paling sedikit', 'paling banyak', 'ditetapkan sebesar', 'ditetapkan dengan'][mk + 1], ' ', p, '% (', w, ' persen)'"
+_WORD = "['nol', 'satu', 'dua', 'tiga', 'empat', 'lima', 'enam', 'tujuh', 'delapan', 'sembilan', 'sepuluh']"
+
+
+@query(f"""{_R}, s AS (SELECT *, {_WORD}[p + 1] AS w FROM r) SELECT {_DOC} AS doc_id, CAST(pasal AS INT) AS pasal, CAST(ayat AS INT) AS ayat,
+    {_CLEAN}, ' [N1].') WHEN kind = 6 THEN concat('Laporan wajib dikirim dalam ', greatest(p, 1), ' (', {_WORD}[greatest(p, 1) + 1], ') hari kerja [N1].') ELSE 'Ketentuan ini berlaku.' END AS annotated,
+    CASE WHEN kind <= 5 AND mk IN (0, 2, 4) THEN '<=' WHEN kind <= 5 AND mk IN (1, 3) THEN '>=' WHEN kind <= 5 AND mk = 5 THEN '==' END AS op FROM s""")
+def annotated_slots(spark: SparkSession, d: str) -> DataFrame:
+    """Paragraphs with their figures numbered, and the comparison that each states."""
+    rows = corpus.paragraphs(spark, d, False)
+    at = F.get(numerals.scan(F.col("text")), F.lit(0))["start"]
+    return rows.select("doc_id", "pasal", "ayat", slots.annotate(F.col("text")).alias("annotated"), slots.operator_before(F.col("text"), at).alias("op"))
+
+
+@query(f"""{_R} SELECT concat({_DOC}, '#', pasal, '#', ayat) AS case_id, CASE WHEN kind > 5 THEN 'NOT_FOUND' WHEN ln % 3 = 0 AND p <> 7 THEN 'FAIL' WHEN ln % 3 = 1 THEN 'SMOOTHED' ELSE 'PASS' END AS verdict FROM r""")
+def reading_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Cases that a reading passes, fails, smooths over or lacks."""
+    word = F.element_at(F.array(*map(F.lit, corpus.WORDS)), F.col("p") + 1)
+    rate = F.col("kind") <= 5
+    rows = corpus.truth(spark, d).select(
+        F.concat_ws("#", F.concat(F.lit("PERDA_"), "sup"), "pasal", "ayat").alias("case_id"), F.concat(word, F.lit(" persen")).alias("match_words"), F.lit(None).cast("string").alias("expect_status"),
+        F.when(F.col("ln") % 3 == 0, 0.07).otherwise(F.col("p") / 100).alias("expect_value"), F.when(F.col("ln") % 3 == 1, F.col("p") / 100).alias("wrong_value"),
+        F.when(rate, F.concat(F.lit("Tarif "), "p", F.lit("% ("), word, F.lit(" persen)."))).otherwise(corpus.NEUTRAL).alias("text"),
+    )
+    return calibrate.gate(rows).select("case_id", "verdict")
+
+
+@query(f"""{_R}, a AS (SELECT sup, pasal, string_agg(concat('(', ayat, ') x'), chr(10) ORDER BY ayat) AS t FROM r GROUP BY 1, 2),
+    s AS (SELECT sup, pasal, coalesce(sum(length(t) + 1) OVER (PARTITION BY sup ORDER BY pasal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b, length(t) AS n FROM a),
+    p AS (SELECT sup, pasal AS page, b, b + n AS e FROM s), u AS (SELECT sup, pasal AS unit_no, b + n - 3 AS f, b + n + 4 AS t FROM s)
+    SELECT concat('PERDA_', u.sup) AS doc_id, CAST(unit_no AS INT) AS unit_no, string_agg(page, ',' ORDER BY page) AS pages FROM u JOIN p ON p.sup = u.sup AND p.b < u.t AND u.f < p.e GROUP BY 1, 2""")
+def unit_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The pages that a unit across a page break lies on."""
+    spans = page_spans(spark, d)
+    units = spans.select("doc_id", F.col("page").alias("unit_no"), (F.col("end") - 3).alias("start"), (F.col("end") + 4).alias("end"))
+    return layout.pages_of(units, spans, ["doc_id", "unit_no"]).select("doc_id", "unit_no", F.array_join(F.transform("pages", lambda p: p.cast("string")), ",").alias("pages"))
+
+
+@query("""WITH k AS (SELECT p_type AS t, p_brand AS b, count(*) AS n FROM part GROUP BY 1, 2), c AS (SELECT t, CASE WHEN length(t) % 2 = 0 THEN sum(n) % 11 END AS cap FROM k GROUP BY 1),
+    v AS (SELECT CASE WHEN n % 11 <= coalesce(cap, 5) THEN 'COMPLIANT' ELSE 'CONFLICT' END AS verdict FROM k JOIN c USING (t) UNION ALL SELECT 'ABSTAIN' FROM nation)
+    SELECT verdict, count(*) AS n FROM v GROUP BY 1""")
+def verdict_tally(spark: SparkSession, d: str) -> DataFrame:
+    """Verdicts by kind; every open-textured term is one more abstention."""
+    return conflict.tally(rate_conflicts(spark, d), _read(spark, d, "nation"))
+
+
+@query("""SELECT p_partkey AS norm, concat('c', p_size) AS category FROM part WHERE p_size NOT IN (SELECT s_suppkey FROM supplier) AND p_size % 10 <> 0""")
+def outside_vocabulary(spark: SparkSession, d: str) -> DataFrame:
+    """Categories of rules that no vocabulary holds; the star is always in."""
+    applies = _read(spark, d, "part").select(F.col("p_partkey").alias("norm"), F.when(F.col("p_size") % 10 == 0, "*").otherwise(F.concat(F.lit("c"), "p_size")).alias("category"))
+    return slots.outside_vocabulary(applies, _read(spark, d, "supplier").select(F.concat(F.lit("c"), "s_suppkey").alias("id")))
