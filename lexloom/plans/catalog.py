@@ -615,8 +615,8 @@ def verdict_tally(spark: SparkSession, d: str) -> DataFrame:
     return conflict.tally(rate_conflicts(spark, d), _read(spark, d, "nation"))
 
 
-@query("""SELECT p_partkey AS norm, concat('c', p_size) AS category FROM part WHERE p_size NOT IN (SELECT s_suppkey FROM supplier) AND p_size % 10 <> 0""")
+@query("""SELECT p_partkey AS norm, concat('c', p_size) AS category FROM part WHERE p_size NOT IN (SELECT n_nationkey FROM nation) AND p_size % 10 <> 0""")
 def outside_vocabulary(spark: SparkSession, d: str) -> DataFrame:
     """Categories of rules that no vocabulary holds; the star is always in."""
     applies = _read(spark, d, "part").select(F.col("p_partkey").alias("norm"), F.when(F.col("p_size") % 10 == 0, "*").otherwise(F.concat(F.lit("c"), "p_size")).alias("category"))
-    return slots.outside_vocabulary(applies, _read(spark, d, "supplier").select(F.concat(F.lit("c"), "s_suppkey").alias("id")))
+    return slots.outside_vocabulary(applies, _read(spark, d, "nation").select(F.concat(F.lit("c"), "n_nationkey").alias("id")))
