@@ -152,6 +152,16 @@ def test_packing_odd_rows(rows, vocabulary):
     assert packing.pack(rows([], SCHEMA), vocabulary).collect() == []
 
 
+def test_packing_replaces_columns_of_its_names_and_deals_equal_rows(rows):
+    items = rows([(1, 0, 600, "x", 5)] * 400 + [(None, 0, 400, "y", 6)] * 400, "doc_id long, piece int, length long, sequence_id string, offset int")
+    got = packing.best_fit(items).collect()
+    assert len(got) == 800 and got[0].__fields__ == ["doc_id", "piece", "length", "sequence_id", "offset"]
+    used = {}
+    for r in got:
+        used.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all([o for o, _ in sorted(x)] == [sum(n for _, n in sorted(x)[:k]) for k in range(len(x))] and sum(n for _, n in x) <= 1024 for x in used.values())
+
+
 def test_bins_take_the_best_fit_and_close_the_fullest():
     bins = packing.OpenBins(10, 2)
     assert bins.place(6) == (0, 0) and bins.place(7) == (1, 0)
