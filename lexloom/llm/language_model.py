@@ -68,9 +68,9 @@ def _grams(ids: np.ndarray, sizes: np.ndarray, bits: int = 64) -> list[np.ndarra
 class Automaton:
     """The arcs and failure arcs that some texts can reach.
 
-    words: hashes of their tokens, sorted, with training counts; pairs and
-    triples: for each different n-gram its words' numbers and training count.
-    State 0 is the root; the number of a word that isn't there is len(words).
+    words: hashes of their tokens, sorted, with training counts; pairs: for each
+    different one its words' numbers, triples: for each the numbers of the pairs
+    that it starts and ends with, both with training counts.  State 0 is the root; the number of a word that isn't there is len(words).
     """
 
     def __init__(self, words: np.ndarray, count: np.ndarray, pairs: np.ndarray, pair_count: np.ndarray, triples: np.ndarray, triple_count: np.ndarray, total: int, kinds: int):
@@ -89,24 +89,22 @@ class Automaton:
         self.state_of[known] = 1 + np.arange(known.sum())
         made = 1 + int(known.sum())
         some = pair_count > 0
+        renumbered = np.cumsum(some) - 1
+        last_pair = pairs[triples[:, 1]]
         pairs, pair_count = pairs[some], pair_count[some].astype(float)
         inner = pairs[:, 1] != (ends if ends < len(words) and words[ends] == END else -1)
         pair_state = np.where(inner, made + np.cumsum(inner) - 1, 0)
-        some = (triple_count > 0) & (triples[:, 1] < len(words))  # the start is one word of context
-        triples, triple_count = triples[some], triple_count[some].astype(float)
+        some = (triple_count > 0) & (last_pair[:, 0] < len(words))  # the start is one word of context
+        (left, right), triple_count = renumbered[triples[some]].T, triple_count[some].astype(float)
         # weights, lower orders first
         low = np.log(np.maximum(count[seen] - DISCOUNT, 1e-300) / max(total, 1))
         unigram = np.zeros(len(words))
         unigram[seen] = low
         of = context[pairs[:, 0]]
         second = np.log(pair_count + PRIORS[0] * np.exp(unigram[pairs[:, 1]])) - np.log(of + PRIORS[0])
-        key = pairs[:, 0] * width + pairs[:, 1]
-        order = np.argsort(key)
-        find = lambda a, b: order[np.searchsorted(key[order], a * width + b)] if len(key) else np.zeros(0, np.int64)
-        left, right = find(triples[:, 0], triples[:, 1]), find(triples[:, 1], triples[:, 2])
         third = np.log(triple_count + PRIORS[1] * np.exp(second[right])) - np.log(pair_count[left] + PRIORS[1])
         # arcs, sorted by state and word
-        arcs = np.concatenate([seen, self.state_of[pairs[:, 0]] * width + pairs[:, 1], pair_state[left] * width + triples[:, 2]])
+        arcs = np.concatenate([seen, self.state_of[pairs[:, 0]] * width + pairs[:, 1], pair_state[left] * width + pairs[right, 1]])
         target = np.concatenate([self.state_of[seen], pair_state, pair_state[right]])
         weight = np.concatenate([low, second, third])
         order = np.argsort(arcs)
@@ -166,13 +164,12 @@ def _score_block(texts: list[str], counts: list[np.ndarray], total: int, kinds:
     ids, sizes = _tokens(texts)
     grams = _grams(ids, sizes, bits)
     words, code = np.unique(ids, return_inverse=True)
-    first = np.cumsum(sizes) - sizes
-    spelled = [code]
-    for k in range(1, ORDER):
-        spelled.insert(0, np.concatenate([[len(words)], spelled[0][:-1]]))
-        spelled[0][first] = len(words)
-    distinct = [np.unique(g, return_index=True)[1] for g in grams[1:]]
-    pairs, triples = (np.stack([s[at] for s in spelled[ORDER - n :]], 1) for n, at in zip((2, 3), distinct, strict=True))
+    before = np.concatenate([[len(words)], code[:-1]])
+    before[np.cumsum(sizes) - sizes] = len(words)
+    _, at, pair = np.unique(grams[1], return_index=True, return_inverse=True)
+    pairs = np.stack([before[at], code[at]], 1)
+    at = np.unique(grams[2], return_index=True)[1]
+    triples = np.stack([pair[at - 1], pair[at]], 1)  # where two starts come first, nothing is asked of the former
     owner = np.repeat(np.arange(len(texts)), sizes)
     c = counts[0].astype(float)[code]
     base = np.bincount(owner, np.log10((c + 0.1) / (total + 0.1 * (kinds + 1))), len(texts))
