@@ -25,9 +25,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     mark = _print(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        # minima are stored, so that the joins with them are of plain shuffles, in which a hot node can be split
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "minima")
+        large = stored(both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-stars")
+        lowest = stored(large.groupBy("u").agg(F.min("v").alias("m")), "minima")
         small = large.join(lowest.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(lowest.select("u", F.col("m").alias("v"))).distinct()
         now = stored(small, "edges")
         after = _print(now)
