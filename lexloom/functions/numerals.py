@@ -194,9 +194,15 @@ def scan(text: Column) -> Column:
     start, end and matched_text.  A duration that overlaps a percentage is none."""
 
     def read(m: Column, pattern: str, duration: bool) -> Column:
-        part = lambda k: strip(F.regexp_extract(m["text"], pattern, k))
-        rec = recover_duration(part(1), part(2), part(3)) if duration else recover(part(1), part(2))
-        return let(rec, lambda r: F.struct(m["start"].alias("start"), m["end"].alias("end"), *(r[k].alias(k) for k in RECORD), m["text"].alias("matched_text")))
+        groups = 3 if duration else 2
+        parts = F.split(F.regexp_replace(m["text"], pattern, "\x01".join(f"${k + 1}" for k in range(groups))), "\x01")  # one run of the pattern for all groups
+
+        def of(p: Column) -> Column:
+            part = [strip(p[k]) for k in range(groups)]
+            rec = recover_duration(*part) if duration else recover(*part)
+            return let(rec, lambda r: F.struct(m["start"].alias("start"), m["end"].alias("end"), *(r[k].alias(k) for k in RECORD), m["text"].alias("matched_text")))
+
+        return let(parts, of)
 
     def both(percents: Column) -> Column:
         durations = F.filter(find_all(text, PAIR_DURATION), lambda d: ~F.exists(percents, lambda p: (p["start"] < d["end"]) & (d["start"] < p["end"])))
