@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import free_name, keyed_text, release, slices, stored
+from .runtime import free_name, keyed_text, portions, release, stored
 from .shingles import mix, span_hashes, word_spans
 
 #: Template tokens of a window; an item of fewer is one window.  Literal tokens
@@ -258,10 +258,10 @@ def _hits(docs: DataFrame, shapes: list[int], held) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            keyed, keys, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
-            for a, b in slices([len(t) for t in texts], BATCH):
-                t = templates(texts[a:b])
+        for whole in batches:
+            for batch in portions(whole, 2, BATCH):
+                keyed, keys, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
+                t = templates(texts)
                 begin = np.cumsum(t.sizes) - t.sizes
                 found = [(n, *windows(t, -n), t.owner) for n in shapes if n < 0] + [(n, at, h, t.word_owner) for n, at, h in runs(t, {n for n in shapes if n > 0})]
                 for size, at, h, owner in found:
@@ -276,9 +276,9 @@ def _hits(docs: DataFrame, shapes: list[int], held) -> DataFrame:
                     values = t.value[at[:, None] + np.arange(wide)].view(np.int64).ravel() if wide else np.zeros(0, np.int64)
                     spans = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * wide, pa.int32()), pa.array(values))
                     place = at - begin[doc] if wide else np.zeros(len(at), np.int64)
-                    take = pa.array(doc + a)
-                    yield pa.RecordBatch.from_arrays([pa.array(doc + a + at_row), keyed.take(take), keys.take(take), pa.array(h.view(np.int64)), pa.array(np.full(len(at), size)), pa.array(place, pa.int64()), spans], names)
-            at_row += len(texts)
+                    take = pa.array(doc)
+                    yield pa.RecordBatch.from_arrays([pa.array(doc + at_row), keyed.take(take), keys.take(take), pa.array(h.view(np.int64)), pa.array(np.full(len(at), size)), pa.array(place, pa.int64()), spans], names)
+                at_row += len(texts)
             release()
 
     return docs.mapInArrow(run, "uid long, row string, doc_id long, h long, size long, place long, found array<long>")

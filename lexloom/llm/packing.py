@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Vocabulary, found
-from .runtime import free_name, keyed_text, release
+from .runtime import free_name, keyed_text, portions, release
 
 #: Bins that are open at once in a task, and pieces of its look-ahead, of which
 #: the longest go first.  On the given documents this makes 0.3 % more sequences
@@ -109,20 +109,21 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
-        for batch in batches:
-            out: list[tuple] = []
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.array([*encode(body), end_id], "<u4")
-                cut = len(ids) % capacity or capacity
-                start = 0
-                number = 0
-                while start < len(ids):
-                    part = ids[start : start + cut]
-                    out.append((doc, number, start, len(part), zlib.crc32(part.tobytes())))
-                    start, cut, number = start + len(part), capacity, number + 1
-            if out:
-                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, [key, "piece", "start", "length", "ids_crc32"])
+        for whole in batches:
+            for batch in portions(whole, 1):
+                out: list[tuple] = []
+                for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    ids = np.array([*encode(body), end_id], "<u4")
+                    cut = len(ids) % capacity or capacity
+                    start = 0
+                    number = 0
+                    while start < len(ids):
+                        part = ids[start : start + cut]
+                        out.append((doc, number, start, len(part), zlib.crc32(part.tobytes())))
+                        start, cut, number = start + len(part), capacity, number + 1
+                if out:
+                    columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, [key, "piece", "start", "length", "ids_crc32"])
             release()
 
     return keyed_text(docs, key, text).mapInArrow(run, f"`{key}` long, piece int, start long, length long, ids_crc32 long")

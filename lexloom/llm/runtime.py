@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,6 +86,14 @@ def slices(lengths: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
+def portions(batch: pa.RecordBatch, text: int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``limit`` bytes of its text column, so that no
+    more than that is turned into Python strings at a time."""
+    sizes = [n or 0 for n in pc.binary_length(batch.column(text)).to_pylist()]
+    for a, b in slices(sizes, limit):
+        yield batch.slice(a, b - a)
+
+
 def release() -> None:
     """Give memory that a finished batch has left back to the host, so that a
     worker that is used again doesn't hold on to its largest batch."""
@@ -112,8 +121,9 @@ def annotated(df: DataFrame, column: str, fn, name: str, kind: T.DataType) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, fn(texts)], [*batch.schema.names, name])
+            for part in portions(batch, at):
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, fn(texts)], [*part.schema.names, name])
             release()
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
