@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, language_model, near_dup, quality
+from . import alignment, decontaminate, importance, langid, language_model, near_dup, quality
 from .chat import conversation_nodes, digests, format_trees
 from .html_text import extract
 from .packing import pack
@@ -17,6 +17,7 @@ from .warc import round_trip
 
 #: A public vocabulary by name; each machine finds its own file of it.
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +79,18 @@ def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document towards the benchmark."""
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), buckets=10_000, percent=5, least_words=20, seed=42)
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' tokens of every document line up."""
+    return alignment.summary(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op4_benchmark_decontamination, op5_chat_reply_trees, op6_ngram_jaccard_join, op7_lm_scoring, op8_quality_rules, op9_language_id, op10_html_main_text)}
+    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op4_benchmark_decontamination, op5_chat_reply_trees, op6_ngram_jaccard_join, op7_lm_scoring, op8_quality_rules, op9_language_id, op10_html_main_text, op11_importance_resampling, op13_tokenizer_alignment)}
 
 
 #: Every page's payload, and for repeats of a large one the page that holds it.
@@ -119,7 +130,28 @@ SELECT c.doc_id, any_value(n.n) AS n_shingles, min(r) AS component_id FROM c JOI
 """
 
 
+#: Runs of words with their crc32 from its definition, gains of buckets, ranks.
+IMPORTANCE_SQL = r"""
+WITH tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+w AS (SELECT doc_id, text, 0 AS kind FROM documents UNION ALL SELECT NULL, text, 1 FROM benchmark),
+ws AS (SELECT doc_id, kind, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM w),
+f AS (SELECT doc_id, kind, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]),
+             list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) AS f FROM ws),
+h AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM f)),
+b AS (SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(x), 2), lambda i: CAST('0x' || x[i + 1:i + 2] AS BIGINT))),
+             lambda c, y: xor(t[(xor(c, y) & 255) + 1], c >> 8)), 4294967295) % 10000 AS b FROM h, tab),
+n AS (SELECT b, count(*) FILTER (kind = 1) AS t, count(*) FILTER (kind = 0) AS s FROM f JOIN b USING (f) GROUP BY 1),
+g AS (SELECT b, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * ((SELECT sum(s) FROM n) + 10000) / ((s + 1.0::DOUBLE) * ((SELECT sum(t) FROM n) + 10000)))) AS BIGINT) AS g FROM n),
+d AS (SELECT doc_id, count(*) AS n_features, sum(g) AS weight FROM f JOIN b USING (f) JOIN g USING (b) WHERE kind = 0 GROUP BY 1),
+z AS (SELECT ws.doc_id, len(ws) AS n, coalesce(n_features, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+             CAST('0x' || sha256('42:' || ws.doc_id)[1:8] AS BIGINT) AS h FROM ws LEFT JOIN d ON ws.doc_id = d.doc_id WHERE kind = 0),
+s AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM z),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM s WHERE n >= 20)
+SELECT s.doc_id, n_features, weight, score, rank FROM s LEFT JOIN (SELECT * FROM r WHERE rank <= (SELECT 5 * count(*) // 100 FROM r)) r ON s.doc_id = r.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express; the others need a tokenizer,
     trees, automata or markup, and are tested against brute force."""
-    return {"op3_warc_dictionary": WARC_SQL, "op5_chat_reply_trees": CHAT_SQL, "op6_ngram_jaccard_join": NEAR_SQL}
+    return {"op3_warc_dictionary": WARC_SQL, "op5_chat_reply_trees": CHAT_SQL, "op6_ngram_jaccard_join": NEAR_SQL, "op11_importance_resampling": IMPORTANCE_SQL}
