@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, decontaminate, importance, langid, language_model, near_dup, quality
+from . import alignment, decontaminate, importance, langid, language_model, near_dup, quality, recompression
 from .chat import conversation_nodes, digests, format_trees
 from .html_text import extract
 from .packing import pack
@@ -84,13 +84,19 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), buckets=10_000, percent=5, least_words=20, seed=42)
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that came before."""
+    found = recompression.repeats(table(spark, sf_dir, "documents"), window=20)
+    return found.select("doc_id", "n_words", recompression.removed(F.col("spans")).alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How two tokenizers' tokens of every document line up."""
     return alignment.summary(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op4_benchmark_decontamination, op5_chat_reply_trees, op6_ngram_jaccard_join, op7_lm_scoring, op8_quality_rules, op9_language_id, op10_html_main_text, op11_importance_resampling, op13_tokenizer_alignment)}
+    return {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_warc_dictionary, op4_benchmark_decontamination, op5_chat_reply_trees, op6_ngram_jaccard_join, op7_lm_scoring, op8_quality_rules, op9_language_id, op10_html_main_text, op11_importance_resampling, op12_substring_dedup, op13_tokenizer_alignment)}
 
 
 #: Every page's payload, and for repeats of a large one the page that holds it.
@@ -151,7 +157,20 @@ SELECT s.doc_id, n_features, weight, score, rank FROM s LEFT JOIN (SELECT * FROM
 """
 
 
+#: Every window with the first place of its words, and the words that others cover.
+REPEATS_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS i, unnest(list_transform(range(1, len(ws) - 18), lambda i: md5(array_to_string(ws[i:i + 19], ' ')))) AS h FROM w),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS k FROM x),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM r WHERE k > 1),
+a AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS v FROM w),
+s AS (SELECT a.doc_id, count(*) FILTER (g.i IS NOT NULL) AS n, string_agg(v, ' ' ORDER BY a.i) FILTER (g.i IS NULL) AS kept
+      FROM a LEFT JOIN g ON a.doc_id = g.doc_id AND a.i = g.i GROUP BY 1)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN s ON w.doc_id = s.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express; the others need a tokenizer,
     trees, automata or markup, and are tested against brute force."""
-    return {"op3_warc_dictionary": WARC_SQL, "op5_chat_reply_trees": CHAT_SQL, "op6_ngram_jaccard_join": NEAR_SQL, "op11_importance_resampling": IMPORTANCE_SQL}
+    return {"op3_warc_dictionary": WARC_SQL, "op5_chat_reply_trees": CHAT_SQL, "op6_ngram_jaccard_join": NEAR_SQL, "op11_importance_resampling": IMPORTANCE_SQL, "op12_substring_dedup": REPEATS_SQL}
