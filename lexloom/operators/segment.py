@@ -53,7 +53,7 @@ def _restart_cuts(text: Column) -> Column:
             mended = back & F.coalesce(repaired >= acc["previous"], F.lit(False))
             restart = back & ~mended & ((number <= 2) | (acc["previous"] - number >= RESTART_DROP))
             odd = back & ~mended & ~restart
-            above = F.array_max(F.filter(known["headings"], lambda x: (x >= F.element_at(acc["cuts"], -1)) & (x < h["start"])))
+            above = F.array_max(F.filter(known["headings"], lambda x: x < h["start"]))
             return F.struct(
                 F.when(mended, repaired).otherwise(number).alias("previous"),
                 F.when(restart, F.concat(acc["cuts"], F.array(F.coalesce(above, h["start"])))).otherwise(acc["cuts"]).alias("cuts"),
@@ -66,6 +66,19 @@ def _restart_cuts(text: Column) -> Column:
     return let(F.struct(headers.alias("headers"), headings.alias("headings")), fold)
 
 
+def section_label(head: Column, opening: Column) -> Column:
+    """The kind of a section by its first ``LOOK_AHEAD`` characters; opening:
+    whether it is a document's first."""
+
+    def leads(pattern: str) -> Column:
+        at = first_start(head, pattern)
+        return F.coalesce(at < F.coalesce(first_start(head, PASAL), F.lit(1 << 30)), F.lit(False))
+
+    first = F.when(leads(PENJELASAN), "penjelasan").when(leads(LAMPIRAN), "lampiran").otherwise("body")
+    later = F.when(F.coalesce(first_start(head, LAMPIRAN) == 0, F.lit(False)), "lampiran").when(head.rlike(PENJELASAN), "penjelasan").when(head.rlike(LAMPIRAN), "lampiran").otherwise("unlabelled_restart")
+    return F.when(opening, first).otherwise(later)
+
+
 def sections(docs: DataFrame) -> DataFrame:
     """(doc_id, section_no, section, start, end, restart, chunk) of (doc_id, text)."""
     plain = F.col("c.headers") == 0
@@ -80,15 +93,7 @@ def sections(docs: DataFrame) -> DataFrame:
 
     named = split.select("doc_id", plain.alias("plain"), F.when(plain, whole).alias("whole"), F.col("c.cuts").alias("cuts"), F.transform("at", part).alias("parts"))
     each = rows_of(named, F.col("parts"), "doc_id", "plain", "whole", "cuts").select("doc_id", "plain", "whole", "cuts", "m.*")
-    head = F.substring("chunk", 1, LOOK_AHEAD)
-
-    def leads(pattern: str) -> Column:
-        at = first_start(head, pattern)
-        return F.coalesce(at < F.coalesce(first_start(head, PASAL), F.lit(1 << 30)), F.lit(False))
-
-    first = F.when(leads(PENJELASAN), "penjelasan").when(leads(LAMPIRAN), "lampiran").otherwise("body")
-    later = F.when(F.coalesce(first_start(head, LAMPIRAN) == 0, F.lit(False)), "lampiran").when(head.rlike(PENJELASAN), "penjelasan").when(head.rlike(LAMPIRAN), "lampiran").otherwise("unlabelled_restart")
-    label = F.when(F.col("plain"), F.col("whole")).when(F.col("section_no") == 0, first).otherwise(later)
+    label = F.when(F.col("plain"), F.col("whole")).otherwise(section_label(F.substring("chunk", 1, LOOK_AHEAD), F.col("section_no") == 0))
     restart = ~F.col("plain") & (F.col("section_no") > 0) & F.array_contains("cuts", F.col("start"))
     return each.select("doc_id", "section_no", label.alias("section"), "start", "end", restart.alias("restart"), "chunk")
 
@@ -112,6 +117,12 @@ def pasals(docs: DataFrame) -> DataFrame:
     bodies = F.transform(found, lambda m: F.struct(F.regexp_extract(m["text"], PASAL, 1).alias("pasal"), m["end"].alias("from"), (m["end"] + F.length(m["rest"])).alias("to"), m["rest"].alias("text")))
     each = rows_of(sections(docs), bodies, "doc_id", "section", "start").select("doc_id", "section", F.col("start").alias("base"), "m.*")
     rows = each.select("doc_id", "section", "pasal", (F.col("base") + F.col("from")).alias("start"), (F.col("base") + F.col("to")).alias("end"), "text")
+    return cited(rows)
+
+
+def cited(rows: DataFrame) -> DataFrame:
+    """Articles (doc_id, section, pasal, start, end, text) with what they are
+    cited by: occurrence and citation."""
     again = F.row_number().over(Window.partitionBy("doc_id", "section", "pasal").orderBy("start"))
     cite = F.concat(section_prefix(F.col("section")), F.lit("Pasal "), F.col("pasal"), F.when(F.col("occurrence") > 1, F.concat(F.lit(" #"), F.col("occurrence"))).otherwise(""))
     return rows.withColumn("occurrence", again).withColumn("citation", cite).select("doc_id", "section", "pasal", "occurrence", "citation", "start", "end", "text")
@@ -120,16 +131,32 @@ def pasals(docs: DataFrame) -> DataFrame:
 _MARK = "array<struct<at:int,from:int,label:string>>"
 
 
+def _chains(places: Column, breaks) -> Column:
+    """array<struct<at,size>>: stretches of ``0 .. n-1`` that begin where
+    ``breaks`` says so; the whole is walked once."""
+    starts = F.filter(places, breaks)
+    return let(starts, lambda b: F.transform(b, lambda x, k: F.struct(x.alias("at"), (F.coalesce(F.get(b, k + 1), F.size(places)) - x).alias("size"))))
+
+
+def _places(marks: Column) -> Column:
+    return F.when(F.size(marks) > 0, F.sequence(F.lit(0), F.size(marks) - 1)).otherwise(F.array().cast(_INTS))
+
+
 def _runs(marks: Column, first: str, following) -> Column:
     """Marks in runs that open at ``first`` and go on by one; a mark that does
-    neither ends a run.  Labels are compared as text."""
-    zero = F.struct(F.lit(None).cast("string").alias("label"), F.array().cast(_MARK).alias("out"))
+    neither ends a run.  Labels are compared as text.
 
-    def step(acc: Column, m: Column) -> Column:
-        on = F.coalesce(m["label"] == following(acc["label"]), F.lit(False)) | (m["label"] == first)
-        return F.struct(F.when(on, m["label"]).alias("label"), F.when(on, F.concat(acc["out"], F.array(m))).otherwise(acc["out"]).alias("out"))
+    Runs are islands between the marks that don't follow the one before them; an
+    island counts if it opens at ``first``.
+    """
+
+    def of(known: Column) -> Column:
+        label = lambda i: F.get(known, i)["label"]
+        opens = lambda i: (label(i) == first) | ~F.coalesce(label(i) == following(label(i - 1)), F.lit(False))
+        islands = F.filter(_chains(_places(known), opens), lambda c: label(c["at"]) == first)
+        return F.flatten(F.transform(islands, lambda c: F.slice(known, c["at"] + 1, c["size"])))
 
-    return F.aggregate(marks, zero, step)["out"]
+    return let(marks, of)
 
 
 def _plain_marks(text: Column, pattern: str) -> Column:
@@ -159,23 +186,33 @@ def ayat_marks(text: Column) -> Column:
         less = F.when((closer == "") & (F.length(digits) > 1), F.substring(digits, F.lit(1), F.length(digits) - 1)).try_cast("int")
         return F.struct(m["start"].alias("at"), m["end"].alias("from"), digits.try_cast("int").alias("one"), less.alias("two"), (digits == body).alias("literal"))
 
-    run = "array<struct<at:int,from:int,value:int,literal:boolean>>"
-    zero = F.struct(F.array().cast(run).alias("run"), F.array().cast(run).alias("out"))
-
-    def flushed(acc: Column) -> Column:
-        good = (F.size(acc["run"]) > 1) | F.coalesce(F.get(acc["run"], F.lit(0))["literal"], F.lit(False))
-        return F.when(good, F.concat(acc["out"], acc["run"])).otherwise(acc["out"])
-
-    def step(acc: Column, m: Column) -> Column:
-        expected = F.get(acc["run"], F.size(acc["run"]) - 1)["value"] + 1
-        goes_on = F.coalesce((m["one"] == expected), F.lit(False)) | F.coalesce((m["two"] == expected), F.lit(False))
-        opens = (m["one"] == 1) | F.coalesce(m["two"] == 1, F.lit(False))
-        entry = lambda v: F.array(F.struct(m["at"].alias("at"), m["from"].alias("from"), v.cast("int").alias("value"), m["literal"].alias("literal")))
-        alone = F.when(opens, entry(F.lit(1))).otherwise(F.array().cast(run))
-        return F.struct(F.when(goes_on, F.concat(acc["run"], entry(expected))).otherwise(alone).alias("run"), F.when(goes_on, acc["out"]).otherwise(flushed(acc)).alias("out"))
-
-    kept = F.aggregate(F.transform(find_all(text, AYAT), reading), zero, step, flushed)
-    return F.transform(kept, lambda m: F.struct(m["at"].alias("at"), m["from"].alias("from"), m["value"].cast("string").alias("label")))
+    def of(known: Column) -> Column:
+        # Where the run would have opened in which a mark has one of its readings:
+        # marks of one run are islands of successive places with the same opening.
+        opening = lambda i, v: F.when(v >= 1, (i - v.cast("long") + 1) * (1 << 32) + i)
+        read = lambda i: F.array(opening(i, F.get(known, i)["one"]), opening(i, F.get(known, i)["two"]))
+        return let(F.sort_array(F.array_distinct(F.array_compact(F.flatten(F.transform(_places(known), read))))), lambda p: chains(known, p))
+
+    def chains(known: Column, pairs: Column) -> Column:
+        start, place = lambda p: F.shiftright(p, 32), lambda p: p.bitwiseAND(F.lit((1 << 32) - 1))
+        breaks = lambda i: F.coalesce(F.get(pairs, i) - F.get(pairs, i - 1) != 1, F.lit(True))
+        islands = F.filter(_chains(_places(pairs), breaks), lambda c: start(F.get(pairs, c["at"])) == place(F.get(pairs, c["at"])))
+        runs = F.transform(islands, lambda c: F.struct(start(F.get(pairs, c["at"])).cast("int").alias("at"), c["size"].alias("size")))
+        return let(runs, lambda r: kept(known, r))
+
+    def kept(known: Column, runs: Column) -> Column:
+        # a mark that could open a run but goes on in an earlier one opens none: at most every tenth can
+        code = lambda r: r["at"].cast("long") * (1 << 32) + r["size"]
+        zero = F.struct(F.lit(0).alias("until"), F.array().cast("array<long>").alias("inside"))
+        within = lambda acc, r: F.struct(acc["until"].alias("until"), F.array_append(acc["inside"], code(r)).alias("inside"))
+        after = lambda acc, r: F.struct((r["at"] + r["size"]).alias("until"), acc["inside"].alias("inside"))
+        inside = F.aggregate(runs, zero, lambda acc, r: F.when(r["at"] < acc["until"], within(acc, r)).otherwise(after(acc, r)))["inside"]
+        good = F.filter(runs, lambda r: (r["size"] > 1) | F.get(known, r["at"])["literal"])
+        at, size = lambda r: F.shiftright(r, 32).cast("int"), lambda r: r.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+        marks = lambda r: F.transform(F.slice(known, at(r) + 1, size(r)), lambda m, k: F.struct(m["at"].alias("at"), m["from"].alias("from"), (k + 1).cast("string").alias("label")))
+        return F.flatten(F.transform(F.array_except(F.transform(good, code), inside), marks))
+
+    return let(F.transform(find_all(text, AYAT), reading), of)
 
 
 _UNIT = ("level", "label", "citation", "parent", "parent_start", "start", "end", "text", "leaf", "scan")
@@ -208,8 +245,13 @@ def units(docs: DataFrame) -> DataFrame:
     paragraphs, numbers only where there are neither.  One pass over each
     article's text, level by level.
     """
+    return units_of(pasals(docs))
+
+
+def units_of(articles: DataFrame) -> DataFrame:
+    """``units`` of articles that are found already."""
     null = F.lit(None)
-    top = pasals(docs).select("doc_id", "section", "pasal", "occurrence", F.lit("pasal").alias("level"), F.col("pasal").alias("label"), "citation", null.cast("string").alias("parent"), null.cast("int").alias("parent_start"), F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "text", F.lit(True).alias("leaf"), F.lit(True).alias("scan"))
+    top = articles.select("doc_id", "section", "pasal", "occurrence", F.lit("pasal").alias("level"), F.col("pasal").alias("label"), "citation", null.cast("string").alias("parent"), null.cast("int").alias("parent_start"), F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "text", F.lit(True).alias("leaf"), F.lit(True).alias("scan"))
     out = _descend(top, "ayat", " ayat (%s)", ayat_marks)
     out = _descend(out, "huruf", " huruf %s", huruf_marks)
     return _descend(out, "angka", " angka %s", angka_marks).drop("scan")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numerals, rows_of, text
-from ..operators import calibrate, conflict, crossref, layout, ontology, prefilter, reconcile, segment, slots
+from ..operators import calibrate, conflict, crossref, interval, layout, ontology, prefilter, reconcile, segment, slots
 from ..sources import sinks
 from . import corpus
 from .storage import kept
@@ -219,7 +219,7 @@ def _slots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
     table = slots.slot_table(arts).select(F.col("pasal_key").alias("call"), "slot_no", "slot", "start", "end", "value", "unit", "source_numeral", "source_words", "ocr_recovered", "needs_review")
     marks = arts.select("pasal_key", "text", segment.ayat_marks(F.col("text")).alias("m")).select("pasal_key", "text", F.posexplode_outer("m").alias("i", "x"), F.transform("m", lambda x: x["at"]).alias("ats")).where("x is not null")
     unit = marks.select(F.col("pasal_key").alias("call"), F.concat(F.lit("ayat "), "x.label").alias("citation"), F.col("x.from").alias("start"), F.coalesce(F.get("ats", F.col("i") + 1), F.length("text")).alias("end"))
-    return kept(table), kept(unit), arts
+    return table, unit, arts
 
 
 @query(f"""{_R}, s AS (SELECT *, row_number() OVER (PARTITION BY sup, pasal ORDER BY ayat) AS k FROM r WHERE kind <= 6),
@@ -232,7 +232,7 @@ def slot_errors(spark: SparkSession, d: str) -> DataFrame:
     """Validation errors of records that cite the next paragraph (every fifth)
     or a slot that isn't there (every seventh)."""
     table, unit, _ = _slots(spark, d)
-    at = table.join(unit, (table["call"] == unit["call"]) & (unit["start"] <= table["start"]) & (table["end"] <= unit["end"])).select(table["call"], "slot_no", "slot", F.regexp_extract("citation", "([0-9]+)", 1).cast("int").alias("ayat"))
+    at = interval.within(table, unit, ["call"]).select("call", "l.slot_no", "l.slot", F.regexp_extract("r.citation", "([0-9]+)", 1).cast("int").alias("ayat"))
     cited = F.when(F.col("slot_no") % 5 == 1, F.col("ayat") + 1).otherwise(F.col("ayat"))
     norms = at.select("call", F.concat_ws("-", "call", "slot").alias("norm"), F.col("slot_no").alias("norm_ord"), F.concat(F.lit("ayat "), cited).alias("citation"), "slot_no", "slot")
     bounds = norms.select("call", "norm", "norm_ord", F.lit(0).alias("bound_ord"), F.lit("<=").alias("op"), F.when(F.col("slot_no") % 7 == 0, "N0").otherwise(F.col("slot")).alias("slot"))
