@@ -1,8 +1,9 @@
 """Alignment of two tokenizers' tokens of the same text.
 
-Python only tokenises: a row then has the ids and the byte offsets of token ends
-of either side.  Groups, links and their counts over the corpus come from
-Spark's array functions and aggregates.
+Python only tokenises: a row then has, for a portion of the documents, the ids
+and the byte offsets of token ends of either side for each different piece of
+text once, and the pieces that each document is made of.  Groups, links and their
+counts over the corpus come from Spark's array functions and aggregates.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ _GAP = re.compile(r"(?<=\S) (?=\S)")
 PIECES, PIECE_TOKENS = 1 << 18, 1 << 23
 #: Counted pairs that are sent to every task, at most; more are joined by a shuffle.
 SENT_PAIRS = 1 << 18
+#: Bytes of text in a portion, and the id that closes a piece in it on either side.
+PORTION, MARK = 4 << 20, -1
 #: A link is one number: the first side's id times this, plus the second's.
 SIDE = 1 << 24
 
@@ -112,26 +115,27 @@ class Pieces:
                 same &= [p == w for p, w in zip(parts, whole, strict=True)]
         return same
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each side: number of tokens of each text, ids, and end offsets in
-        the bytes of its blank and text; texts that some side doesn't give back
-        byte by byte have no tokens."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """Number of pieces of each text, the pieces' numbers, and for each side:
+        tokens of each text, ids and end offsets of the different pieces, one after
+        the other, each closed by a mark of one byte.  Texts that some side doesn't
+        give back byte by byte have no pieces."""
         cut = [_GAP.split(t) if t else [] for t in texts]
         slots = self.slots([p for c in cut for p in c])
         owner = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
         good = np.bincount(owner[~self.same[slots]], minlength=len(texts)) == 0
-        kept = good[owner]
-        slots, owner = slots[kept], owner[kept]
+        slots, owner = slots[good[owner]], owner[good[owner]]
+        used, number = np.unique(slots, return_inverse=True)
         out = []
         for k in range(2):
-            n = self.count[k][slots]
-            place = np.arange(int(n.sum())) + np.repeat(self.begin[k][slots] - (np.cumsum(n) - n), n)
-            ids = self.held[k][place]
-            tokens = np.bincount(owner, n, len(texts)).astype(np.int64)
-            ends = np.cumsum(self.width[k][ids], dtype=np.int64)
-            before = np.concatenate([[0], ends])[np.cumsum(tokens) - tokens]
-            out.append((tokens, ids, (ends - np.repeat(before, tokens)).astype(np.int32)))
-        return out
+            n = self.count[k][used]
+            stop = np.cumsum(n + 1)
+            ids = np.full(int(stop[-1]) if len(stop) else 0, MARK, np.int32)
+            at = np.arange(int(n.sum())) + np.repeat(np.arange(len(n)), n)  # a mark for each piece before
+            ids[at] = self.held[k][at + np.repeat(self.begin[k][used] - (stop - n - 1), n)]
+            ends = np.cumsum(np.where(ids == MARK, 1, self.width[k][np.maximum(ids, 0)]), dtype=np.int64)
+            out.append((np.bincount(owner, self.count[k][slots], len(texts)).astype(np.int64), ids, ends.astype(np.int32)))
+        return np.bincount(owner, minlength=len(texts)), number.astype(np.int32), out
 
 
 def _room(array: np.ndarray, size: int) -> np.ndarray:
@@ -144,14 +148,19 @@ def _room(array: np.ndarray, size: int) -> np.ndarray:
 _known: dict[tuple[str, str], Pieces] = {}
 
 
+_DOCS = pa.struct([("key", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("pieces", pa.list_(pa.int32()))])
+
+
 def tokenised(docs: DataFrame, first: str, second: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, a_ids, a_ends, b_ids, b_ends) of every row, in one narrow pass.
+    """(a_ids, a_ends, b_ids, b_ends, docs): about 4 MB of documents a row.
 
     ``first`` is a byte-level BPE file, ``second`` a sentencepiece model that adds
     a blank; both encode the blank and the text, special strings as plain text.
-    Ends are offsets in bytes.  A null or empty text, or one that either side
-    doesn't give back byte by byte, has empty arrays; repeated rows stay; other
-    columns are ignored.
+    The arrays hold the tokens of the row's different pieces, each closed by a
+    ``MARK`` of one byte, with ends as offsets in bytes; docs has key, n_a, n_b
+    and the numbers of its pieces for each document.  A null or empty text, or one
+    that either side doesn't give back byte by byte, has none; repeated rows stay;
+    other columns are ignored.  One narrow pass.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,15 +168,31 @@ def tokenised(docs: DataFrame, first: str, second: str, key: str = "doc_id", tex
             _known[first, second] = Pieces(first, second)
         known = _known[first, second]
         for whole in batches:
-            for batch in portions(whole, 1):
-                columns = [batch.column(0)]
-                for tokens, ids, ends in known.encode(batch.column(1).to_pylist()):
-                    offsets = pa.array(np.concatenate([[0], np.cumsum(tokens)]), pa.int32())
-                    columns += [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (ids, ends)]
-                yield pa.RecordBatch.from_arrays(columns, [key, "a_ids", "a_ends", "b_ids", "b_ends"])
+            for batch in portions(whole, 1, PORTION):
+                counts, numbers, sides = known.encode(batch.column(1).to_pylist())
+                pieces = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(numbers))
+                held = pa.StructArray.from_arrays([batch.column(0), pa.array(sides[0][0]), pa.array(sides[1][0]), pieces], fields=list(_DOCS))
+                arrays = [pa.array(x) for _, ids, ends in sides for x in (ids, ends)]
+                columns = [*arrays, held]
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns], ["a_ids", "a_ends", "b_ids", "b_ends", "docs"])
             release()
 
-    return keyed_text(docs, key, text).mapInArrow(run, f"`{key}` long, a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>")
+    return keyed_text(docs, key, text).mapInArrow(run, "a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>, docs array<struct<key:long,n_a:long,n_b:long,pieces:array<int>>>")
+
+
+def documents(tokens: DataFrame) -> DataFrame:
+    """(key, n_a, n_b, groups, links) of every document of ``tokenised`` rows.
+
+    groups are joined by ``;``; links as in ``aligned``.  What the marks part is
+    stored by piece, so that no step of it is done once for each document.
+    """
+    both = aligned(tokens)
+    end = str(MARK * SIDE + MARK)
+    parted = lambda items, joint, mark: F.split(F.replace(F.concat(F.array_join(items, joint), F.lit(joint)), F.lit(f"{joint}{mark}{joint}"), F.lit("\n")), "\n")
+    links = F.transform(parted(F.col("links").cast("array<string>"), ",", end), lambda t: F.split(F.nullif(t, F.lit("")), ",").cast("array<long>"))
+    pieces = stored(both.select("docs", parted("groups", ";", f"{MARK}|{MARK}").alias("groups"), links.alias("links")), "pieces")
+    whole = F.transform("docs", lambda d: F.struct(d["key"].alias("key"), d["n_a"].alias("n_a"), d["n_b"].alias("n_b"), F.array_join(F.transform(d["pieces"], lambda k: F.col("groups")[k]), ";").alias("groups"), F.flatten(F.transform(d["pieces"], lambda k: F.col("links")[k])).alias("links")))
+    return pieces.select(F.inline(whole))
 
 
 def aligned(tokens: DataFrame) -> DataFrame:
@@ -246,11 +271,13 @@ def summary(docs: DataFrame, first: str, second: str, key: str = "doc_id", text:
     ('' without tokens).  Repeated rows and rows without a key stay; other
     columns are ignored; an empty table gives an empty one.
     """
-    rows = aligned(tokenised(docs, first, second, key, text))
-    size = lambda c: F.size(c).cast("long")
-    digest = F.when(F.size("a_ids") > 0, F.sha2(F.array_join("groups", ";"), 256)).otherwise("")
+    rows = documents(tokenised(docs, first, second, key, text))
+    some = F.col("groups") != ""
+    joints = F.length("groups") - F.length(F.replace("groups", F.lit(";"), F.lit("")))
+    n_groups = F.when(some, joints + 1).otherwise(0).cast("long")
+    digest = F.when(some, F.sha2("groups", 256)).otherwise("")
     # links in order, which stores well
-    sizes = rows.select(key, size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), size("groups").alias("n_groups"), size("links").alias("n_links"), digest.alias("groups_sha256"), F.sort_array("links").alias("links"))
+    sizes = rows.select(F.col("key").alias(key), "n_a", "n_b", n_groups.alias("n_groups"), F.size("links").cast("long").alias("n_links"), digest.alias("groups_sha256"), F.sort_array("links").alias("links"))
     kept = stored(sizes.withColumn("row", F.monotonically_increasing_id()), "alignments")
     pairs = pair_counts(kept)
     if pairs.count() <= SENT_PAIRS:
