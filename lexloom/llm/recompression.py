@@ -9,8 +9,8 @@ is around it: each symbol keeps the extent of words that it follows from.
 Three rounds of Spark, each a count or minimum that is combined before it is
 shuffled, and an answer to the block of texts that asked:
 
-1. Symbols of a low level.  One that is there once rules out every window that
-   holds its extent.
+1. Stretches of low symbols.  A window's own is that of the smallest name among
+   those whose extents it holds; if it is there once, so is the window.
 2. Neighbouring symbols of a high level in what is left.  Where such a stretch
    has been before, all its windows have.
 3. The windows that are still open, with 128 bits of their words.
@@ -35,13 +35,18 @@ from .exchange import _blocks, _packed, _unpacked
 from .runtime import keyed_text, new_path, release, stored
 from .shingles import mix, span_hashes, word_spans
 
-#: Steps of the first round's symbols, of four words about, and of the second's,
-#: of two dozen: a step leaves about three of four symbols.
-LOW_STEPS, HIGH_STEPS = 5, 11
+#: Steps of the first round's symbols, which a step makes a quarter fewer, and how
+#: many make a stretch: seven words about, that follow from two more.  More steps
+#: give extents that few windows hold.  Steps of the second round's: two dozen words.
+LOW_STEPS, LOW_STRETCH, HIGH_STEPS = 1, 5, 11
 #: Constants of the hashes; any odd numbers do.
 _FIRST, _SECOND, _LENGTH, _LEVEL = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
 _RADIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _FAR = 1 << 40
+#: The place of the row that stands for a block, so that none goes without answer.
+_WHOLE = (1 << 62) - 1
+#: Blocks that a task answers, about, where there are many.
+TASK_BLOCKS = 32
 
 
 def _level(n: int) -> np.uint64:
@@ -164,22 +169,52 @@ def stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def low_symbols(block: Block, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the low symbols that some window can hold, each once, and where:
-    its extent in one number, or -1 for several."""
-    s = parsed(block.words, block.owner, LOW_STEPS)
-    held = np.flatnonzero(s.hi - s.lo <= window)
-    lo, size = s.lo[held], s.hi[held] - s.lo[held]
-    names = mix(s.names[held] * _FIRST + ((s.begin[held] - lo).astype(np.uint64) << np.uint64(32)) + size.astype(np.uint64) * _LENGTH)
-    names, first, n = np.unique(names, return_index=True, return_counts=True)
-    return names, np.where(n == 1, (lo << 16 | size)[first], -1)
+def low_stretches(block: Block, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the block's stretches of low symbols that some window holds, and
+    for each word the stretch of the window that starts there: that of smallest
+    name, -1 without one."""
+    s, m = parsed(block.words, block.owner, LOW_STEPS), LOW_STRETCH
+    n = max(len(s.names) - m + 1, 0)
+    begin, lo, hi = s.begin[:n], s.lo[:n], s.hi[len(s.hi) - n :]
+    held = np.flatnonzero((s.owner[:n] == s.owner[len(s.owner) - n :]) & (hi - lo <= window))
+    names = np.zeros(n, np.uint64)
+    for k in range(m):
+        names = names * _FIRST + s.names[k : k + n]
+    begin, lo, hi = begin[held], lo[held], hi[held]
+    names = mix(names[held] * _SECOND + ((begin - lo).astype(np.uint64) << np.uint64(32)) + (hi - lo).astype(np.uint64) * _LENGTH)
+    # the stretches of a window are neighbours: extents are in order of both ends
+    words = len(block.words)
+    first = np.concatenate([[0], np.cumsum(np.bincount(lo, minlength=words + 1))])[:words]
+    last = np.cumsum(np.bincount(hi, minlength=words + window + 1))[window : words + window] - 1
+    size = np.where(block.windows(window), last - first + 1, 0)
+    chosen = np.full(words, -1)
+    smallest, reach = np.arange(len(names)), 1
+    while reach <= size.max(initial=0):
+        at = np.flatnonzero((size >= reach) & (size < 2 * reach))
+        a, b = smallest[first[at]], smallest[last[at] - reach + 1]
+        chosen[at] = np.where(names[b] < names[a], b, a)
+        a, b = smallest[:-reach], smallest[reach:]
+        smallest, reach = np.where(names[b] < names[a], b, a), 2 * reach
+    return names, chosen
+
+
+def asked_once(block: Block, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each name that some window has for its own, and its stretch, -1 for several."""
+    names, chosen = low_stretches(block, window)
+    used = np.zeros(len(names), bool)
+    used[chosen[chosen >= 0]] = True
+    used = np.flatnonzero(used)
+    own, first, n = np.unique(names[used], return_index=True, return_counts=True)
+    return own, np.where(n == 1, used[first], -1)
 
 
 def still_open(block: Block, window: int, unique: np.ndarray) -> np.ndarray:
-    """Flags of the windows that hold no extent of a symbol that is there once."""
-    lo, size = unique >> 16, unique & 0xFFFF
-    lo, size = lo[size > 0], size[size > 0]
-    return block.windows(window) & ~flagged(len(block.words), np.maximum(lo + size - window, 0), lo + 1)
+    """Flags of the windows whose own stretch isn't one that is there once."""
+    names, chosen = low_stretches(block, window)
+    once = np.zeros(len(names) + 1, bool)
+    once[unique] = True
+    once[-1] = False  # what -1 finds
+    return block.windows(window) & ~once[chosen]
 
 
 def high_stretches(block: Block, window: int, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
@@ -300,9 +335,9 @@ def repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text: str =
         writer, number = _Writer(folder, task.partitionId(), task.taskAttemptId()), task.partitionId() << 32
         for block in _blocks(batches, 1):
             writer.put(block)
-            names, where = low_symbols(Block(block), window)
+            names, where = asked_once(Block(block), window)
             own = mix(np.array([number], np.uint64) + _LEVEL)
-            columns = np.append(names, own).view(np.int64), np.full(len(names) + 1, number), np.append(where, 0)
+            columns = np.append(names, own).view(np.int64), np.full(len(names) + 1, number), np.append(where, _WHOLE)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["name", "block", "at"])
             number += 1
             release()
@@ -311,7 +346,8 @@ def repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text: str =
     def extend(answered: pa.Table) -> pa.Table:
         number = answered.column("block")[0].as_py()
         block = _read(folder, number)
-        live = still_open(block, window, answered.column("at").to_numpy())
+        at = answered.column("at").to_numpy()
+        live = still_open(block, window, at[at != _WHOLE])
         begin, _, keys = high_stretches(block, window, live)
         release()
         return _asked(block, number, begin, keys, np.arange(len(begin)), live)
@@ -339,7 +375,10 @@ def repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text: str =
 
     low = rows.mapInArrow(name, "name long, block long, at long").groupBy("name").agg(F.count("*").alias("n"), F.min("block").alias("block"), F.min("at").alias("at"))
     once = stored(low.where("n = 1 and at >= 0").select("block", "at"), "once")
-    by_block = lambda df, fn, schema: df.groupBy("block").applyInArrow(fn, schema)
+    # answers are few bytes but make whole blocks be read again: tasks follow from the number of blocks
+    blocks = once.where(F.col("at") == _WHOLE).count()
+    tasks = max(1, min(blocks, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), blocks // TASK_BLOCKS)
+    by_block = lambda df, fn, schema: df.repartition(tasks, "block").groupBy("block").applyInArrow(fn, schema)
     open_ = _firsts(by_block(once, extend, _ASKED_SQL))
     last = _firsts(by_block(open_, verify, _ASKED_SQL))
     return by_block(last, finish, f"`{key}` long, n_words long, spans array<struct<start:long,stop:long>>, kept string")
