@@ -38,7 +38,7 @@ def tokens(span: Column) -> Column:
 
 def snap_keyword(token: Column) -> Column:
     """A word one edit from a keyword is that keyword, the first in order."""
-    near = F.filter(F.array(*map(F.lit, KEYWORDS)), lambda k: F.levenshtein(token, k) <= 1)
+    near = F.filter(F.array(*map(F.lit, KEYWORDS)), lambda k: (F.abs(F.length(k) - F.length(token)) <= 1) & (F.levenshtein(token, k, 1) >= 0))
     word = token.rlike("^[a-z]+$") & ~token.isin(*KEYWORDS)
     return F.when(word, F.coalesce(F.try_element_at(near, F.lit(1)), token)).otherwise(token)
 
@@ -114,7 +114,10 @@ def _labelled(text: Column, pattern: str) -> Column:
     found = F.transform(find_with_rest(text, pattern), lambda m: F.struct(F.regexp_extract(m["text"], pattern, 1).alias("label"), m["end"].alias("from"), (m["end"] + F.length(m["rest"])).alias("to"), m["rest"].alias("text")))
 
     def last(all_: Column) -> Column:
-        return F.filter(all_, lambda x, i: ~F.exists(F.slice(all_, i + 2, F.size(all_)), lambda y: y["label"] == x["label"]))
+        # the highest place of each label: of label and place sorted, those before another label
+        order = F.array_sort(F.transform(all_, lambda x, i: F.struct(x["label"].alias("label"), i.alias("i"))))
+        ends = let(order, lambda o: F.filter(o, lambda x, i: F.coalesce(F.get(o, i + 1)["label"] != x["label"], F.lit(True))))
+        return F.transform(F.array_sort(F.transform(ends, lambda x: x["i"])), lambda i: F.get(all_, i))
 
     return let(found, last)
 
@@ -149,28 +152,54 @@ def strict_index(docs: DataFrame) -> DataFrame:
     return rows_of(whole, F.concat(own, below, direct), "doc_id", "pasal").select("doc_id", "pasal", "m.*")
 
 
+_KEY = ("doc_id", "pasal", "ayat", "huruf")
+
+
+def _same(*pairs: tuple[str, str]) -> Column:
+    """Equal names; a part that neither side names counts as equal."""
+    on = F.lit(True)
+    for i, (a, b) in enumerate(pairs):
+        on = on & (F.col(a) == F.col(b) if i < 2 else F.col(a).eqNullSafe(F.col(b)))
+    return on
+
+
+def deepest(targets: DataFrame, units: DataFrame) -> DataFrame:
+    """(doc_id, pasal, ayat, huruf, found_ayat, found_huruf, exact): for each
+    different target that names an article there is, the deepest unit that is
+    there, and whether it is the one asked for.
+
+    Keys alone: each target is looked up as an article, a paragraph and a letter
+    in one equi-join with the units' keys.
+    """
+    asked = targets.select(*_KEY).distinct()
+    no_ayat, no_huruf = F.col("ayat").isNull(), F.col("huruf").isNull()
+    level = lambda n, ayat, huruf: F.struct(F.lit(n).alias("level"), ayat.alias("at_ayat"), huruf.alias("at_huruf"))
+    none = F.lit(None).cast("string")
+    ways = F.array(level(0, none, none), F.when(~no_ayat, level(1, F.col("ayat"), none)), F.when(~no_huruf, level(2, F.col("ayat"), F.col("huruf"))))
+    tried = asked.select(*_KEY, F.inline(F.array_compact(ways)))
+    there = units.select(*(F.col(k).alias(f"u_{k}") for k in _KEY)).distinct()
+    hits = tried.join(there, _same(("doc_id", "u_doc_id"), ("pasal", "u_pasal"), ("at_ayat", "u_ayat"), ("at_huruf", "u_huruf")), "left_semi")
+    known = hits.groupBy(*_KEY).agg(*(F.bool_or(F.col("level") == n).alias(k) for n, k in enumerate(("p", "a", "h")))).where("p")
+    below = no_ayat | F.col("a")
+    found_huruf = F.when(F.col("h") & below, F.col("huruf"))
+    return known.select(*_KEY, F.when(F.col("a"), F.col("ayat")).alias("found_ayat"), found_huruf.alias("found_huruf"), (below & (no_huruf | F.col("h"))).alias("exact"))
+
+
 def lookup(targets: DataFrame, units: DataFrame) -> DataFrame:
     """``targets`` (doc_id, pasal, ayat, huruf) with found_text and exact: the
     deepest unit that is there, and whether that is the one asked for.
 
-    units: doc_id, pasal, ayat, huruf, text; one row for each unit.
+    units: doc_id, pasal, ayat, huruf, text; one row for each unit.  Keys decide
+    first; the last join fetches the texts of the units that were found, and no
+    earlier step moves any.  A target whose article isn't there has no text and
+    isn't exact.
     """
-    def at(name: str, test: str) -> DataFrame:
-        return units.where(test).select(*(F.col(k).alias(f"{name}_{k}") for k in ("doc_id", "pasal", "ayat", "huruf", "text")))
-
-    def same(name: str, *more: Column) -> Column:
-        on = (F.col("doc_id") == F.col(f"{name}_doc_id")) & (F.col("pasal") == F.col(f"{name}_pasal"))
-        for m in more:
-            on = on & m
-        return on
-
-    out = targets.join(at("p", "ayat is null and huruf is null"), same("p"), "left")
-    out = out.join(at("a", "ayat is not null and huruf is null"), same("a", F.col("ayat") == F.col("a_ayat")), "left")
-    out = out.join(at("h", "huruf is not null"), same("h", F.col("ayat").eqNullSafe(F.col("h_ayat")), F.col("huruf") == F.col("h_huruf")), "left")
-    known, no_ayat, no_huruf = F.col("p_text").isNotNull(), F.col("ayat").isNull(), F.col("huruf").isNull()
-    text = F.when(~known, F.lit(None)).when(no_ayat & no_huruf, F.col("p_text")).when(no_ayat, F.coalesce("h_text", "p_text")).when(F.col("a_text").isNull(), F.col("p_text")).when(no_huruf, F.col("a_text")).otherwise(F.coalesce("h_text", "a_text"))
-    exact = known & F.when(no_huruf, no_ayat | F.col("a_text").isNotNull()).otherwise(F.col("h_text").isNotNull() & (no_ayat | F.col("a_text").isNotNull()))
-    return out.select(*targets.columns, text.alias("found_text"), exact.alias("exact"))
+    found = deepest(targets, units).select(*(F.col(k).alias(f"k_{k}") for k in _KEY), "found_ayat", "found_huruf", F.col("exact").alias("known_exact"))
+    placed = targets.join(found, _same(*((k, f"k_{k}") for k in _KEY)), "left").drop(*(f"k_{k}" for k in _KEY))
+    texts = units.select(*(F.col(k).alias(f"u_{k}") for k in _KEY), F.col("text").alias("found_text"))
+    known = F.col("known_exact").isNotNull()
+    out = placed.join(texts, known & _same(("doc_id", "u_doc_id"), ("pasal", "u_pasal"), ("found_ayat", "u_ayat"), ("found_huruf", "u_huruf")), "left")
+    return out.select(*targets.columns, "found_text", F.coalesce("known_exact", F.lit(False)).alias("exact"))
 
 
 def resolve(pasals: DataFrame, units: DataFrame) -> DataFrame:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import file_slug
+from . import recordio
 
 #: A page of a document record, and the record itself.
 PAGE = "struct<page:int,method:string,classification:string,garbage_ratio:double,text:string,replaced_text_layer:string,replaced_classification:string,char_count:int>"
@@ -23,16 +22,10 @@ def pdf_files(spark: SparkSession, folder: str, containing: str | None = None) -
     """(path, doc_id, length, content, error): PDF files below ``folder``.
 
     A file of no bytes is a row with an error, not a failure; marks that a
-    download leaves beside files are passed over.
+    download leaves beside files are passed over.  Subtrees are listed in tasks;
+    no path goes through the driver.
     """
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[pP][dD][fF]").load(folder)
-    found = scan.select("path", "length", "content")
-    # a scan leaves files of no bytes out, its listing doesn't
-    listed = [(re.sub("^file:/+", "file:/", unquote(p)),) for p in scan.inputFiles()]
-    if listed:
-        empty = spark.createDataFrame(listed, "path string").join(scan.select("path"), "path", "left_anti")
-        found = found.unionByName(empty.select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content")))
-    found = found.where(~F.col("path").contains("Zone.Identifier"))
+    found = recordio.registered(spark).read.format("pdf_folder").load(folder)
     if containing:
         found = found.where(F.lower("path").contains(containing.lower()))
     stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"(?i)\.pdf$", "")
@@ -93,11 +86,18 @@ def manifest(tallies: DataFrame, *failures: DataFrame) -> DataFrame:
 
 
 def write_records(pages: DataFrame, tallies: DataFrame, folder: str, *failures: DataFrame) -> DataFrame:
-    """Write a document's pages as one JSON record below ``folder``, a folder
-    for each document; returns the manifest, with what failed."""
+    """Write a document's pages as one JSON record, ``<doc_id>.json`` in
+    ``folder``, and the manifest beside them, all or nothing; returns the manifest.
+
+    failures: doc_id, error; they are in the manifest alone.
+    """
     fields = [c for c in pages.columns if c != "doc_id"]
     whole = pages.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page", *(c for c in fields if c != "page")))).alias("pages")).join(tallies, "doc_id")
-    whole.withColumn("part", F.col("doc_id")).repartition("part").write.partitionBy("part").json(folder)
+    rows = whole.withColumn("error", F.lit(None).cast("string"))
+    for f in failures:
+        rows = rows.unionByName(f.where("error is not null").select("doc_id", "error"), allowMissingColumns=True)
+    recordio.registered(pages.sparkSession)
+    rows.write.format("document_records").mode("append").save(folder)
     return manifest(tallies, *failures)
 
 
