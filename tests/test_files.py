@@ -2,9 +2,10 @@ import json
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexloom.operators import reconcile, segment
-from lexloom.sources import files, sinks, tools
+from lexloom.sources import files, recordio, sinks, tools
 from lexloom.streaming import numerals as streaming
 
 
@@ -91,7 +92,7 @@ def test_manifest_names_failures(spark, rows, tmp_path):
     failed = rows([("c", "zero-byte file"), ("d", None)], "doc_id string, error string")
     got = files.write_records(pages, tallies, str(tmp_path / "r"), failed).collect()
     assert [(r.doc_id, r.n_pages, r.error) for r in got] == [("a", 1, None), ("b", 1, None), ("c", None, "zero-byte file")]
-    assert len(list((tmp_path / "r").glob("part=*/*.json"))) == 2
+    assert sorted(p.name for p in (tmp_path / "r").iterdir()) == ["a.json", "b.json", "manifest.json"]
 
 
 def test_documents_from_pages(rows):
@@ -114,3 +115,45 @@ def test_prefilter_report(rows):
     reasons = rows([("numeral_pair", 3), ("bound_marker", 2)], "reason string, n long")
     sole = rows([("numeral_pair", 1)], "reason string, n long")
     assert [r.line for r in sinks.prefilter_report(share, reasons, sole).collect()] == ["1 of 4 articles to extract (25%)", "bound_marker: 2, alone 0", "numeral_pair: 3, alone 1"]
+
+
+def _record_rows(rows, ids):
+    pages = rows([(d, n, "clean", f"text {d} {n}") for d in ids for n in (2, 1)], "doc_id string, page int, classification string, text string")
+    return pages, rows([(d, 2, {"ocr": 2}) for d in ids], "doc_id string, n_pages int, methods map<string,int>")
+
+
+def test_records_are_read_back(spark, rows, tmp_path):
+    folder, ids = str(tmp_path / "r"), [f"d{i}" for i in range(20)]
+    pages, tallies = _record_rows(rows, ids)
+    files.write_records(pages, tallies, folder, rows([("z", "zero-byte file")], "doc_id string, error string"))
+    back = files.records(spark, folder)
+    assert {(r.doc_id, r.page, r.text) for r in files.record_pages(back).select("doc_id", "page", "text").collect()} == {tuple(r) for r in pages.select("doc_id", "page", "text").collect()}
+    assert {(r.doc_id, r.n_pages, r.methods["ocr"]) for r in back.collect()} == {(d, 2, 2) for d in ids}
+    said = json.loads((tmp_path / "r" / "manifest.json").read_text())["documents"]
+    assert said == [*({"doc_id": d, "n_pages": 2, "methods": {"ocr": 2}} for d in sorted(ids)), {"doc_id": "z", "error": "zero-byte file"}]
+    pages, tallies = _record_rows(rows, ["d1"])
+    files.write_records(pages.withColumn("text", F.lit("again")), tallies, folder)
+    assert {r.text for r in files.record_pages(files.records(spark, folder, "d1")).where("doc_id = 'd1'").collect()} == {"again"}
+
+
+def test_a_failed_write_leaves_nothing(rows, tmp_path):
+    folder = tmp_path / "r"
+    files.write_records(*_record_rows(rows, ["old"]), str(folder))
+    before = {p.name: p.read_bytes() for p in folder.iterdir()}
+    pages, tallies = _record_rows(rows, [*(f"d{i}" for i in range(20)), "no/such/folder"])
+    with pytest.raises(Exception, match="no/such/folder"):
+        files.write_records(pages, tallies, str(folder))
+    assert {p.name: p.read_bytes() for p in folder.iterdir()} == before
+
+
+def test_subtrees_are_listed_in_tasks(spark, tmp_path):
+    for name in ("x.pdf", "a/y.PDF", "a/b/z.pdf", "a/b/z.pdf:Zone.Identifier.pdf", "c/w.txt", "c d/ü.pdf"):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(name.encode() if "z" not in name else b"")
+    found = files.pdf_files(spark, f"file://{tmp_path}")
+    assert {(r.doc_id, bytes(r.content), r.error) for r in found.collect()} == {("x", b"x.pdf", None), ("y", b"a/y.PDF", None), ("z", b"", "zero-byte file"), ("ü", "c d/ü.pdf".encode(), None)}
+    names = recordio.PdfReader(str(tmp_path), True).partitions()
+    assert {(p.path, p.deep) for p in names} == {(str(tmp_path), False), *((str(tmp_path / d), True) for d in ("a", "c", "c d"))}
+    bare = recordio.registered(spark).read.format("pdf_folder").option("content", "false").load(str(tmp_path))
+    assert bare.where("content is not null").count() == 0 and bare.count() == 4

@@ -121,3 +121,40 @@ def test_single_character_damage_never_makes_another_word(rows):
     got = rows(data, "w string, t string").select("w", N.snap(F.col("t")).alias("s")).collect()
     wrong = [r for r in got if r.s.words and r.s.words[0] != r.w]
     assert not [r for r in wrong if N.UNITS.get(r.s.words[0], -1) != N.UNITS.get(r.w, -1)]
+
+
+def _matches(rng, top):
+    out, at = [], 0
+    while True:
+        at += rng.randint(0, 6)
+        end = at + rng.randint(1, 8)
+        if end > top:
+            return out
+        out.append((at, end, ""))
+        at = end
+
+
+def test_matches_that_overlap_none_of_another_list(rows):
+    rng = random.Random(6)
+    cases = [(_matches(rng, rng.randint(0, 80)), _matches(rng, rng.randint(0, 80))) for _ in range(150)]
+    kind = "array<struct<start:int,end:int,text:string>>"
+    got = rows([(i, *c) for i, c in enumerate(cases)], f"i int, a {kind}, b {kind}").select("i", N.apart(F.col("a"), F.col("b")).alias("x")).sort("i").collect()
+    expected = [[m for m in a if not any(m[0] < o[1] and o[0] < m[1] for o in b)] for a, b in cases]
+    assert [[tuple(m) for m in r["x"]] for r in got] == expected
+
+
+def test_ten_thousand_overlaps_in_one_text(rows):
+    text = "Tarif 5 7o (lima persen) hari kerja dalam 3 (tiga) bulan. " * 5000
+    found = rows([(text,)], "text string").select(F.explode(N.scan(F.col("text"))).alias("m")).groupBy("m.unit").count().collect()
+    assert {tuple(r) for r in found} == {("fraction", 5000), ("bulan", 5000)}
+
+
+def test_snap_equals_distances_to_all_words(rows):
+    rng = random.Random(9)
+    letters = "abdegihklmnoprstuy"
+    tokens = {t for w in N.VOCABULARY for i in range(len(w)) for t in (w[:i] + w[i + 1 :], w[:i] + rng.choice(letters) + w[i + 1 :], w[:i] + rng.choice(letters) + w[i:])} | {"", "x", "kata"}
+    plain = F.filter(F.array(*map(F.lit, N.VOCABULARY)), lambda w: F.levenshtein(F.col("t"), w) == 1)
+    got = rows([(t,) for t in sorted(tokens)], "t string").select("t", plain.alias("near"), N.snap(F.col("t"))["words"].alias("words")).collect()
+    values = {**N.UNITS, **N.SPECIAL}
+    for r in got:
+        assert r["words"] == (r["near"][:1] if len({values.get(w, -1) for w in r["near"]}) == 1 else []), r

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,11 +53,15 @@ def test_lists(rows):
     def split(t):
         return rows([(t,)], "t string").select(ontology.split_services(F.col("t")).alias("s")).first().s
 
-    assert split("diskotek, karaoke, kelab malam, bar, dan mandi uap/spa;").members == ["diskotek", "karaoke", "kelab malam", "bar", "mandi uap/spa"]
-    assert split("tontonan yang dipertontonkan").reason == "qualified_by_subordinate_clause"
-    assert split("bar").reason == "single_member" and split(" ; ").reason == "empty"
-    heads = rows([(["pergelaran kesenian", "musik", "tari"],), (["bar", "spa", "tari"],), (["a b", "c"],)], "m array<string>").select(ontology.distributive_head(F.col("m")).alias("h")).collect()
-    assert [h.h for h in heads] == ["pergelaran", None, None]
+    invented = [f"jasa{i} x{i}" if i % 2 else f"jasa{i}" for i in range(6)]
+    for n in range(2, 7):
+        for last in (" dan ", ", dan ", ", serta ", ", "):
+            found = split(", ".join(invented[: n - 1]) + last + invented[n - 1] + ";")
+            assert found.members == invented[:n] or last == ", serta ", (n, last)
+    assert split("jasa1 yang dijual").reason == "qualified_by_subordinate_clause"
+    assert split("jasa1").reason == "single_member" and split(" ; ").reason == "empty"
+    heads = rows([(["p1 p2", "q", "r"],), (["p", "q", "r"],), (["p1 p2", "q"],)], "m array<string>").select(ontology.distributive_head(F.col("m")).alias("h")).collect()
+    assert [h.h for h in heads] == ["p1", None, None]
 
 
 def test_harvest(rows):
@@ -76,22 +82,56 @@ def test_alignments(rows):
     assert {(r.local_id, r.proposed_relation, r.statutory_id) for r in ontology.alignments(live, local).collect()} == {("a", "subclass_of", "karaoke"), ("b", "same_as", "bar")}
 
 
-@pytest.mark.parametrize(
-    "span,targets",
-    [
-        ("pada ayat (1), ayat (2), dan ayat (3)", [("9", "1", None), ("9", "2", None), ("9", "3", None)]),
-        ("dalam Pasal 6 ayat (1) atau ayat (2)", [("6", "1", None), ("6", "2", None)]),
-        ("pada ayal (l) huruf b", [("9", "1", "b")]),
-        ("dalam Pasal Pasal 44", [("44", None, None)]),
-        ("dalam Pasal 112 sampai dengan Pasal 120", [("112", None, None)]),
-        ("pada huruf c", [("9", None, "c")]),
-        ("angka 3", []),
-        ("", []),
-    ],
-)
-def test_citation_targets(rows, span, targets):
-    got = rows([(span, "9")], "s string, c string").select(crossref.read_targets(F.col("s"), F.col("c")).alias("t")).first().t
-    assert [(t.pasal, t.ayat, t.huruf) for t in got] == targets
+def test_citation_targets(rows):
+    """Targets said in words read as the triples that they were made of."""
+    rng = random.Random(5)
+    cases = [("", []), ("angka 3", [])]
+    for _ in range(150):
+        wanted, parts, home = [], [], "9"
+        for k in range(rng.randint(1, 4)):
+            article, paragraph, letter = rng.random() < 0.4, rng.random() < 0.7, rng.random() < 0.3
+            said = []
+            if article:
+                home = str(rng.randint(1, 99))
+                said.append(f"{rng.choice(['Pasal', 'Pasal Pasal', 'Pasai'])} {home}")
+            number, item = str(rng.randint(1, 30)), rng.choice("bcdefg")
+            if paragraph or not article:
+                said.append(f"{rng.choice(['ayat', 'ayal', 'ayat ayat'])} ({number.replace('1', 'l') if rng.random() < 0.3 else number})")
+                if letter:
+                    said.append(f"huruf {item}")
+                wanted.append((home, number, item if letter else None))
+            parts.append(" ".join(said))
+            if article and not paragraph:
+                wanted.append((home, None, None))
+                break  # an article alone is one only where the chain ends
+        cases.append(("dalam " + rng.choice([" dan ", " atau "]).join(parts), wanted))
+    got = rows([(i, s, "9") for i, (s, _) in enumerate(cases)], "i int, s string, c string").select("i", crossref.read_targets(F.col("s"), F.col("c")).alias("t")).sort("i").collect()
+    for r, (span, wanted) in zip(got, cases, strict=True):
+        assert [(t.pasal, t.ayat, t.huruf) for t in r["t"]] == wanted, span
+
+
+def _plain_lookup(units, key):
+    """The text of the deepest unit that is there, and whether it is the one asked for."""
+    doc, pasal, ayat, huruf = key
+    own, para = units.get((doc, pasal, None, None)), units.get((doc, pasal, ayat, None)) if ayat else None
+    if own is None:
+        return None, False
+    letter = units.get((doc, pasal, ayat, huruf)) if huruf and (ayat is None or para is not None) else None
+    text = letter or para or own
+    return text, (ayat is None or para is not None) and (huruf is None or letter is not None)
+
+
+def test_lookup_fetches_texts_last(spark, rows):
+    rng = random.Random(2)
+    key = lambda: (rng.choice("de"), str(rng.randint(1, 4)), rng.choice([None, "1", "2", "3"]), rng.choice([None, "a", "b"]))
+    units = {k: f"text of {k}" for k in (key() for _ in range(60))}
+    asked = [key() for _ in range(200)] + [(None, "1", None, None), ("d", None, None, None)]
+    schema = "doc_id string, pasal string, ayat string, huruf string"
+    targets = rows([(*k, i) for i, k in enumerate(asked)], f"{schema}, found_ayat int").withColumnRenamed("found_ayat", "n")
+    found = crossref.lookup(targets, rows([(*k, t) for k, t in units.items()], f"{schema}, text string"))
+    assert {r["n"]: (r["found_text"], r["exact"]) for r in found.collect()} == {i: _plain_lookup(units, k) for i, k in enumerate(asked)}
+    plan = crossref.deepest(targets, rows([(*k, t) for k, t in units.items()], f"{schema}, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan.replace("[doc_id", "").split("LogicalRDD")[0]
 
 
 def test_references_resolve(rows):
