@@ -78,36 +78,16 @@ def test_equals_pairs_one_by_one(spark, rows, libraries, monkeypatch, sent):
     assert got == plain(docs, libraries)
 
 
-def _pieces(ids, ends):
-    """Ids of each piece of a row's arrays, and their widths."""
-    out, held, before = [], [], 0
-    for i, e in zip(ids.tolist(), ends.tolist(), strict=True):
-        if i == alignment.MARK:
-            assert e == before + 1
-            out.append(held)
-            held = []
-        else:
-            held.append((i, e - before))
-        before = e
-    assert not held
-    return out
-
-
 def test_pieces_are_forgotten(libraries, monkeypatch):
     monkeypatch.setattr(alignment, "PIECES", 40)
     known = alignment.Pieces(BYTES, PIECES)
     for text in _texts():
         sides = libraries(text) if text else ([], [])
         same = bool(text) and all(b"".join(b for _, b in s) == (" " + text).encode() for s in sides)
-        counts, numbers, found = known.encode(["x x", text or "", "x"])
-        assert counts[0] == 2 and counts[2] == 1
-        own = numbers[2 : 2 + counts[1]]
-        for (n, ids, ends), side in zip(found, sides, strict=True):
-            pieces = _pieces(ids, ends)
-            expected = [(i, len(b)) for i, b in side] if same else []
-            assert [t for k in own for t in pieces[k]] == expected
-            assert n[1] == len(expected)
-            assert len(pieces) == len(set(numbers.tolist()))
+        for (n, ids, ends), side in zip(known.encode([text or "", "x"]), sides, strict=True):
+            expected = _spans(side) if same else []
+            assert n.tolist()[0] == len(expected)
+            assert list(zip(ids.tolist(), ends.tolist(), strict=True))[: len(expected)] == [(i, e) for i, _, e in expected]
 
 
 def test_repeated_rows_null_keys_and_no_rows(rows):
