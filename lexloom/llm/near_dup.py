@@ -228,7 +228,8 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those that link, directly or not, to one of
-    smaller doc_id; of repeated rows with one doc_id, one.
+    smaller doc_id; of repeated rows with one doc_id and text, one.  Different
+    texts of one doc_id that link to no smaller one all stay.
 
     All columns pass as they are.  Rows without a doc_id stay.
     """
@@ -239,4 +240,4 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     if again.isEmpty():
         return kept
     single = kept.join(again, kept["doc_id"] == again["again"], "left_anti")
-    return single.unionByName(kept.join(again, kept["doc_id"] == again["again"], "left_semi").dropDuplicates(["doc_id"]))
+    return single.unionByName(kept.join(again, kept["doc_id"] == again["again"], "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -112,7 +112,7 @@ def chosen_blocks(b, h):
     return out
 
 
-def template(text, d):
+def template(text, d, initial=False):
     """(words, word -> token, tokens, values) of an ASCII text, read plainly."""
     kinds, words, values, place = [], [], [], []
     for line in (text or "").split("\n"):
@@ -126,7 +126,7 @@ def template(text, d):
                     kind = "#number"
                 elif kinds and kinds[-1] == "#number" and w in d._UNITS:
                     kind = "#unit"
-                elif core[0][0].isupper() and not opens:
+                elif core[0][0].isupper() and (initial or not opens):
                     kind = "#name"
                 else:
                     kind = w
@@ -148,22 +148,28 @@ def leaks(docs, items, d):
     code = lambda x: number.setdefault(x, len(number) + 10)
     marks = {"#number": 1, "#name": 2, "#unit": 3}
     for item, text in items:
-        words, place, kinds, values = template(text, d)
-        size = min(d.WINDOW, len(kinds))
-        run = min(d.EXACT, len(words))
-        least = d.LITERALS if size == d.WINDOW else d.SHORT_LITERALS
         for doc, body in docs:
-            w2, _, k2, v2 = template(body, d)
-            hits = [
-                (i, j, [code(v) for v in v2[j : j + size]]) for i in range(len(kinds) - size + 1) for j in range(len(k2) - size + 1)
-                if size and kinds[i : i + size] == k2[j : j + size] and sum(k not in marks for k in kinds[i : i + size]) >= least
-            ]
-            got = d.judge(hits, [marks.get(k, code(k)) for k in kinds], [code(v) for v in values])
-            same = {i for i in range(len(words) - run + 1) for j in range(len(w2) - run + 1) if run and words[i : i + run] == w2[j : j + run]}
-            if got:
-                out.append((doc, item, got[0], got[3]))
+            best, same = [], []
+            for initial in (False, True):
+                words, place, kinds, values = template(text, d, initial)
+                size = min(d.WINDOW, len(kinds))
+                least = d.LITERALS if size == d.WINDOW else d.SHORT_LITERALS
+                w2, _, k2, v2 = template(body, d, initial)
+                hits = [
+                    (i, j, [code(v) for v in v2[j : j + size]]) for i in range(len(kinds) - size + 1) for j in range(len(k2) - size + 1)
+                    if size and kinds[i : i + size] == k2[j : j + size] and sum(k not in marks for k in kinds[i : i + size]) >= least
+                ]
+                got = d.judge(hits, [marks.get(k, code(k)) for k in kinds], [code(v) for v in values])
+                if got:
+                    best.append((not got[3], got[2], got[0]))
+                if not initial:
+                    run = min(d.EXACT, len(words))
+                    same = {i for i in range(len(words) - run + 1) for j in range(len(w2) - run + 1) if run and words[i : i + run] == w2[j : j + run]}
+                    own = len({place[k] for i in same for k in range(i, i + run)})
+            if best:
+                out.append((doc, item, max(best)[2], not max(best)[0]))
             elif same:
-                out.append((doc, item, len({place[k] for i in same for k in range(i, i + run)}), False))
+                out.append((doc, item, own, False))
     return out
 
 

@@ -94,7 +94,7 @@ def test_symbols_follow_from_their_extent(letters):
     there = {(int(n), int(b) - 50, int(x) - 50, int(y) - 50) for n, b, x, y in zip(whole.names, whole.begin, whole.lo, whole.hi, strict=True)}
     own = [(int(n), int(b), int(x), int(y)) for n, b, x, y in zip(alone.names, alone.begin, alone.lo, alone.hi, strict=True) if x >= 0 and y <= 400]
     assert set(own) <= there
-    assert letters == 1 or len(own) > 50
+    assert letters == 1 or len(own) > 20
 
 
 def test_removed_counts_words(spark):
