@@ -52,6 +52,11 @@ _UNITS = (
     "sekunde sekunden minuten stunde stunden tag tage tagen woche wochen monat monate monaten jahr jahre jahren prozent grad pfund "
     "kil\u00f3metro kil\u00f3metros metro metros segundo segundos minuto minutos hora horas d\u00eda d\u00edas semana semanas mes meses a\u00f1o a\u00f1os gramo gramos kilo kilos litro litros grado grados"
 ).split()
+# First byte and range of the second of capital letters beyond ASCII: Latin-1, Greek, Cyrillic.
+_CAPITALS = ((0xC3, 0x80, 0x9E), (0xCE, 0x91, 0xA9), (0xD0, 0x80, 0xAF))
+#: The ways to read a text, by whether a capitalised word that opens a sentence is
+#: a name, and what tells their windows apart.
+READINGS = ((False, np.uint64(0)), (True, np.uint64(0x2545F4914F6CDD1D)))
 _ODD = np.random.default_rng(0x7E3A).integers(1, 1 << 63, WINDOW, dtype=np.uint64) | np.uint64(1)
 
 _EXACT_ODD = np.random.default_rng(0x7E3B).integers(1, 1 << 63, EXACT, dtype=np.uint64) | np.uint64(1)
@@ -79,11 +84,12 @@ class Templates:
     place: np.ndarray  # the template token that holds the word
 
 
-def templates(texts: list[str]) -> Templates:
+def templates(texts: list[str], initial: bool = False) -> Templates:
     """Words without the punctuation around them, A-Z lower-cased; a word with
     a digit or a number word is a number; a known unit right after a number is
-    a unit; a capitalised word that starts neither a line nor a sentence is a
-    name, and adjacent names are one, known by the last.  Words of punctuation alone vanish.
+    a unit; a capitalised word (Latin, Greek or Cyrillic) that starts neither a
+    line nor a sentence is a name, with ``initial`` one that does, too, and adjacent
+    names are one, known by the last.  Words of punctuation alone vanish.
     """
     raw, begin, end, words = word_spans(texts, lower=False)
     digit = (raw >= 0x30) & (raw <= 0x39)
@@ -109,8 +115,10 @@ def templates(texts: list[str]) -> Templates:
     is_number = (digits[end] > digits[begin]) | np.isin(value, _NUMBER_HASH)
     first = raw[begin] if n else np.zeros(0, np.uint8)
     second = raw[np.minimum(begin + 1, len(raw) - 1)] if n else first
-    capital = ((first >= 0x41) & (first <= 0x5A)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
-    is_name = capital & ~opens & ~is_number
+    capital = (first >= 0x41) & (first <= 0x5A)
+    for lead, low, high in _CAPITALS:
+        capital |= (first == lead) & (second >= low) & (second <= high)
+    is_name = capital & ~is_number & (initial | ~opens)
     is_unit = np.zeros(n, bool)
     is_unit[1:] = is_number[:-1] & ~is_number[1:] & np.isin(value[1:], _UNIT_HASH) & (owner[1:] == owner[:-1])
     is_name &= ~is_unit
@@ -125,7 +133,7 @@ def templates(texts: list[str]) -> Templates:
     return Templates(token, value, owner, np.bincount(owner, minlength=len(texts)), word, word_owner, np.bincount(word_owner, minlength=len(texts)), place)
 
 
-def windows(t: Templates, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+def windows(t: Templates, size: int = WINDOW, salt: np.uint64 = READINGS[0][1]) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of every window of ``size`` tokens with enough literal ones."""
     n = len(t.token) - size + 1
     if n <= 0:
@@ -137,7 +145,7 @@ def windows(t: Templates, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     plain = np.concatenate([[0], np.cumsum(t.token > UNIT)])
     good = (t.owner[:n] == t.owner[size - 1 :]) & (plain[size:] - plain[:n] >= (LITERALS if size == WINDOW else SHORT_LITERALS))
     at = np.flatnonzero(good)
-    return at, mix(total[at] + np.uint64(size))
+    return at, mix(total[at] + np.uint64(size) + salt)
 
 
 def runs(t: Templates, sizes: set[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -224,79 +232,90 @@ def _row(key: str) -> Column:
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """(item, item_id, tokens, vals, places, h, size, at): every different item
-    with its template and the hashes of its windows (size < 0) and verbatim runs."""
+    """(item, reading, item_id, tokens, vals, places, h, size, at): every different
+    item in each reading that differs, with its template and the hashes of its
+    windows (size < 0) and, in the first, verbatim runs."""
     once = keyed_text(benchmark, "item_id").select(_row("item_id").alias("item"), "item_id", "text").dropDuplicates(["item"])
-    names = ["item", "item_id", "tokens", "vals", "places", "h", "size", "at"]
+    names = ["item", "reading", "item_id", "tokens", "vals", "places", "h", "size", "at"]
     longs = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for item, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                t = templates([text])
-                size = min(WINDOW, len(t.token))
-                at, hashes = windows(t, size) if size else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
-                found = [(h, -size, i) for h, i in zip(hashes.view(np.int64).tolist(), at.tolist(), strict=True)]
-                for n, start, h in runs(t, {min(EXACT, len(t.word))} - {0}):
-                    found += [(x, n, i) for x, i in zip(h.view(np.int64).tolist(), start.tolist(), strict=True)]
-                if found:
-                    out.append((item, key, *(x.astype(np.int64, copy=False).tolist() if x.dtype != np.uint64 else x.view(np.int64).tolist() for x in (t.token, t.value, t.place)), *map(list, zip(*found, strict=True))))
-            columns = zip(*out, strict=True) if out else [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), *[longs] * 6), strict=True)], names)
+                before = None
+                for reading, (initial, salt) in enumerate(READINGS):
+                    t = templates([text], initial)
+                    if before is not None and np.array_equal(before, t.token):
+                        continue
+                    before = t.token
+                    size = min(WINDOW, len(t.token))
+                    at, hashes = windows(t, size, salt) if size else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+                    found = [(h, -size, i) for h, i in zip(hashes.view(np.int64).tolist(), at.tolist(), strict=True)]
+                    for n, start, h in runs(t, {min(EXACT, len(t.word))} - {0}) if not reading else ():
+                        found += [(x, n, i) for x, i in zip(h.view(np.int64).tolist(), start.tolist(), strict=True)]
+                    if found:
+                        out.append((item, reading, key, *(x.astype(np.int64, copy=False).tolist() if x.dtype != np.uint64 else x.view(np.int64).tolist() for x in (t.token, t.value, t.place)), *map(list, zip(*found, strict=True))))
+            columns = zip(*out, strict=True) if out else [[]] * 9
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64(), *[longs] * 6), strict=True)], names)
 
-    return once.mapInArrow(run, "item string, item_id long, " + ", ".join(f"{n} array<long>" for n in names[2:]))
+    return once.mapInArrow(run, "item string, reading long, item_id long, " + ", ".join(f"{n} array<long>" for n in names[3:]))
 
 
 def _hits(docs: DataFrame, shapes: list[int], held) -> DataFrame:
-    """(uid, row, doc_id, h, size, place, found): the windows and runs of every
-    document that may be some item's, with the values in a window.
+    """(uid, row, doc_id, reading, h, size, place, found): the windows of every
+    document, in each reading, and runs that may be some item's, with the values
+    in a window.
 
     uid numbers the rows of a task, so that equal rows are told apart.
     """
-    names = ["uid", "row", "doc_id", "h", "size", "place", "found"]
+    names = ["uid", "row", "doc_id", "reading", "h", "size", "place", "found"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_row = TaskContext.get().partitionId() << 40
         for whole in batches:
             for batch in portions(whole, 2, BATCH):
                 keyed, keys, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
-                t = templates(texts)
-                begin = np.cumsum(t.sizes) - t.sizes
-                found = [(n, *windows(t, -n), t.owner) for n in shapes if n < 0] + [(n, at, h, t.word_owner) for n, at, h in runs(t, {n for n in shapes if n > 0})]
-                for size, at, h, owner in found:
-                    if held is not None:
-                        known = held.value
-                        good = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
-                        at, h = at[good], h[good]
-                    if not len(at):
-                        continue
-                    doc = owner[at]
-                    wide = max(-size, 0)
-                    values = t.value[at[:, None] + np.arange(wide)].view(np.int64).ravel() if wide else np.zeros(0, np.int64)
-                    spans = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * wide, pa.int32()), pa.array(values))
-                    place = at - begin[doc] if wide else np.zeros(len(at), np.int64)
-                    take = pa.array(doc)
-                    yield pa.RecordBatch.from_arrays([pa.array(doc + at_row), keyed.take(take), keys.take(take), pa.array(h.view(np.int64)), pa.array(np.full(len(at), size)), pa.array(place, pa.int64()), spans], names)
+                for reading, (initial, salt) in enumerate(READINGS):
+                    t = templates(texts, initial)
+                    begin = np.cumsum(t.sizes) - t.sizes
+                    found = [(n, *windows(t, -n, salt), t.owner) for n in shapes if n < 0]
+                    if not reading:
+                        found += [(n, at, h, t.word_owner) for n, at, h in runs(t, {n for n in shapes if n > 0})]
+                    for size, at, h, owner in found:
+                        if held is not None:
+                            known = held.value
+                            good = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+                            at, h = at[good], h[good]
+                        if not len(at):
+                            continue
+                        doc = owner[at]
+                        wide = max(-size, 0)
+                        values = t.value[at[:, None] + np.arange(wide)].view(np.int64).ravel() if wide else np.zeros(0, np.int64)
+                        spans = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * wide, pa.int32()), pa.array(values))
+                        place = at - begin[doc] if wide else np.zeros(len(at), np.int64)
+                        take = pa.array(doc)
+                        yield pa.RecordBatch.from_arrays([pa.array(doc + at_row), keyed.take(take), keys.take(take), pa.array(np.full(len(at), reading)), pa.array(h.view(np.int64)), pa.array(np.full(len(at), size)), pa.array(place, pa.int64()), spans], names)
                 at_row += len(texts)
             release()
 
-    return docs.mapInArrow(run, "uid long, row string, doc_id long, h long, size long, place long, found array<long>")
+    return docs.mapInArrow(run, "uid long, row string, doc_id long, reading long, h long, size long, place long, found array<long>")
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.string(), *[pa.int64()] * 5, pa.float64(), pa.bool_()]
-    names = ["row", "doc_id", "item_id", "covered", "item_tokens", "slots", "agreement", "renamed"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.bool_(), *[pa.int64()] * 4, pa.float64(), pa.bool_()]
+    names = ["uid", "row", "doc_id", "item", "judged", "item_id", "covered", "item_tokens", "slots", "agreement", "renamed"]
     for batch in batches:
         rows = []
-        for row, key, hits, item, tokens, vals, places in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "hits", "item_id", "tokens", "vals", "places")), strict=True):
+        for uid, row, key, item, hits, number, tokens, vals, places in zip(*(batch.column(c).to_pylist() for c in ("uid", "row", "doc_id", "item", "hits", "item_id", "tokens", "vals", "places")), strict=True):
             tokens, vals = (np.array(x, np.int64).view(np.uint64) for x in (tokens, vals))
             spans = [(h["at"], h["place"], np.array(h["found"], np.int64).view(np.uint64).tolist()) for h in hits if h["size"] < 0]
             verbatim = [(h["at"], h["size"]) for h in hits if h["size"] > 0]
-            verdict = judge(spans, tokens, vals) or (covered_by(verbatim, tokens, np.array(places, np.int64)) if verbatim else None)
+            judged = judge(spans, tokens, vals)
+            verdict = judged or (covered_by(verbatim, tokens, np.array(places, np.int64)) if verbatim else None)
             if verdict:
-                rows.append((row, key, item, verdict[0], len(tokens), *verdict[1:]))
-        columns = zip(*rows, strict=True) if rows else [[]] * 8
+                rows.append((uid, row, key, item, judged is not None, number, verdict[0], len(tokens), *verdict[1:]))
+        columns = zip(*rows, strict=True) if rows else [[]] * 11
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
@@ -304,7 +323,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, sent: int) -> DataFrame:
     """``matches`` with the hash ``row`` of the document's key and text."""
     spark = docs.sparkSession
     items = stored(_items(benchmark), "benchmark-items")
-    hashes = items.select("item", F.inline(F.arrays_zip("h", "size", "at")))
+    hashes = items.select("item", "reading", F.inline(F.arrays_zip("h", "size", "at")))
     shapes = [r["size"] for r in hashes.select("size").distinct().collect()]  # 20 at most
     once = hashes.select("h").distinct()
     held = None
@@ -314,9 +333,13 @@ def _found(docs: DataFrame, benchmark: DataFrame, sent: int) -> DataFrame:
             shapes, known = [], np.zeros(1, np.uint64)
         held = spark.sparkContext.broadcast(known)
     hits = _hits(keyed_text(docs).select(_row("doc_id").alias("row"), "doc_id", "text"), shapes, held)
-    met = hits.join(hashes, ["h", "size"])
-    each = met.groupBy("uid", "item").agg(F.first("row").alias("row"), F.first("doc_id").alias("doc_id"), F.collect_list(F.struct("size", "at", "place", "found")).alias("hits"))
-    return each.join(items.select("item", "item_id", "tokens", "vals", "places"), "item").mapInArrow(_judged, f"row string, doc_id long, {FIELDS}")
+    met = hits.join(hashes, ["h", "size", "reading"])
+    each = met.groupBy("uid", "item", "reading").agg(F.first("row").alias("row"), F.first("doc_id").alias("doc_id"), F.collect_list(F.struct("size", "at", "place", "found")).alias("hits"))
+    read = each.join(items.select("item", "reading", "item_id", "tokens", "vals", "places"), ["item", "reading"]).mapInArrow(_judged, f"uid long, row string, doc_id long, item string, judged boolean, {FIELDS}")
+    # of the readings the best: whole windows, verbatim, the same renaming all over, most of the item
+    best = F.max(F.struct("judged", (~F.col("renamed")).alias("same"), "agreement", "covered", *(c for c in ("item_tokens", "slots", "renamed", "row", "doc_id", "item_id")))).alias("m")
+    found = read.groupBy("uid", "item").agg(best)
+    return found.select("m.row", "m.doc_id", *(f"m.{f.split()[0]}" for f in FIELDS.split(", ")))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, sent: int = SENT_HASHES) -> DataFrame:
@@ -327,7 +350,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, sent: int = SENT_HASHES) -> D
     that one renaming explains; renamed: whether any was renamed.  Null and
     empty texts match nothing, nor do items without a word.  Every row is judged
     by its own text: repeated rows match alike, rows or items of one key and
-    different texts stay apart, and a null key is a key like others.  An item of
+    different texts stay apart, and a null key is a key like others.  Items are
+    looked for in two readings, with and without the capitalised words that open
+    sentences as names.  An item of
     fewer than WINDOW tokens is found re-parameterised if SHORT_LITERALS of them
     are plain words; any is found verbatim.  ``sent`` decides only where hashes
     that match nothing are dropped, in the scan or in the join.
