@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import LETTER, char_classes
-from .runtime import annotated, by_crc, free_name, slices
+from .runtime import annotated, by_crc, free_name, slices, stored
 
 #: Documents that a language's text is taken from, its characters, and languages
 #: that are learnt, those of most documents, at most.
@@ -28,6 +28,8 @@ SAMPLE_DOCS, SAMPLE_CHARS, LANGUAGES = 64, 16384, 256
 #: Characters that a lane parses; the next one goes on from the state it ends in,
 #: which a run-up of so many characters before mostly finds beforehand.
 LANE, RUN_UP = 1024, 64
+#: Times that lanes run again before all states are tried.
+REPAIRS = 2
 BATCH = 2 << 20
 UNKNOWN = "und"
 _tables: list[tuple[np.ndarray, np.ndarray]] = []
@@ -198,11 +200,49 @@ class LanguageModel:
         back[order] = np.arange(len(order))
         return count[back], state[back]
 
+    def _maps(self, codes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """States in which each lane may be entered, and from each its phrases and
+        the state that it is left in: (lanes, states, languages), padded.
+
+        A lane is entered in the state of a phrase that began up to ``RUN_UP``
+        characters before it, or else earlier.
+        """
+        lanes, roots = len(begin), self.automata[3]
+        back = np.tile(np.arange(1, RUN_UP + 1), lanes)
+        _, states = self._parse(codes, np.repeat(begin, RUN_UP) - back, back, np.repeat(roots[None, :], lanes * RUN_UP, 0))
+        states = np.sort(states.reshape(lanes, RUN_UP, -1), 1)
+        new = np.ones(states.shape, bool)
+        new[:, 1:] = states[:, 1:] != states[:, :-1]
+        rank = np.cumsum(new, 1) - 1
+        entry = np.repeat(states[:, :1], int(rank.max()) + 1, 1)
+        lane, _, lang = np.indices(states.shape, sparse=True)
+        entry[lane, rank, lang] = states
+        width = entry.shape[1]
+        count, left = self._parse(codes, np.repeat(begin, width), np.repeat(size, width), entry.reshape(lanes * width, -1))
+        return entry, count.reshape(entry.shape), left.reshape(entry.shape)
+
+    def _settle(self, codes: np.ndarray, begin: np.ndarray, size: np.ndarray, lanes: np.ndarray, nth: np.ndarray, count: np.ndarray, left: np.ndarray) -> None:
+        """Put right ``count`` and ``left`` of all lanes of some texts: the lanes'
+        maps, composed from each text's first lane on."""
+        langs = np.arange(left.shape[1])
+        later = lanes[nth[lanes] > 0]
+        for part in np.array_split(later, -(-len(later) * RUN_UP * len(langs) >> 22) or 1):
+            entry, counts, exits = self._maps(codes, begin[part], size[part])
+            for k, lane in enumerate(part.tolist()):
+                same = entry[k] == left[lane - 1]
+                if same.any(0).all():
+                    at = same.argmax(0)
+                    count[lane], left[lane] = counts[k, at, langs], exits[k, at, langs]
+                else:
+                    (count[lane],), (left[lane],) = self._parse(codes, begin[lane : lane + 1], size[lane : lane + 1], left[lane - 1][None])
+
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases that each language needs for each text, and the texts' lengths.
 
         A long text goes in lanes that run at once; a lane that the one before
-        leaves in another state than it was entered in runs again.
+        leaves in another state than it was entered in runs again.  Where that
+        doesn't settle, as in repetitive text, lanes run from all states that
+        they may be entered in.
         """
         code, _, _, roots, _ = self.automata
         points, lengths = normal(texts)
@@ -218,9 +258,13 @@ class LanguageModel:
         if len(later):
             _, entry[later] = self._parse(codes, begin[later] - RUN_UP, np.full(len(later), RUN_UP), entry[later])
         count, left = self._parse(codes, begin, size, entry)
-        while len(wrong := later[(left[later - 1] != entry[later]).any(1)]):
+        for _ in range(REPAIRS):
+            wrong = later[(left[later - 1] != entry[later]).any(1)]
             entry[wrong] = left[wrong - 1]
             count[wrong], left[wrong] = self._parse(codes, begin[wrong], size[wrong], entry[wrong])
+        wrong = later[(left[later - 1] != entry[later]).any(1)]
+        if len(wrong):
+            self._settle(codes, begin, size, np.flatnonzero(np.isin(owner, owner[wrong])), nth, count, left)
         final = np.ones(len(owner), bool)
         final[:-1] = owner[1:] != owner[:-1]
         count += (left != roots) & final[:, None]
@@ -266,6 +310,7 @@ def fit(docs: DataFrame, held_out: Column | None = None) -> LanguageModel:
     Bounded: the ``LANGUAGES`` languages of most documents, of each the
     ``SAMPLE_DOCS`` documents of smallest hash, and of those equal shares of
     ``SAMPLE_CHARS`` characters; a shorter document leaves its share to others.
+    Shares follow from lengths, so that no more than them reaches the driver.
     Nulls in text, lang or doc_id teach nothing; of rows with one doc_id and
     lang the smallest text counts.
     """
@@ -278,10 +323,18 @@ def fit(docs: DataFrame, held_out: Column | None = None) -> LanguageModel:
     some = known.select("doc_id", "lang").join(F.broadcast(common), "lang").withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS)
     picked = some.groupBy("doc_id", "lang").agg(F.min("rank").alias("rank"))
     rows = known.select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).join(F.broadcast(picked), ["doc_id", "lang"])
+    chosen = stored(rows.groupBy("lang", "rank").agg(F.min("text").alias("text")), "samples")
+    lengths: dict[str, list[tuple[int, int]]] = {}
+    for r in chosen.select("lang", "rank", F.length("text").alias("n")).orderBy("lang", "rank").collect():
+        lengths.setdefault(r["lang"], []).append((r["rank"], r["n"]))
+    shares = [(lang, rank, share) for lang, each in lengths.items() for (rank, _), share in zip(each, equal_shares([n for _, n in each], SAMPLE_CHARS), strict=True)]
+    if not shares:
+        return LanguageModel({})
+    cut = chosen.join(F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, rank int, share int")), ["lang", "rank"])
     texts: dict[str, list[str]] = {}
-    for r in rows.groupBy("lang", "rank").agg(F.min("text").alias("text")).orderBy("lang", "rank").collect():
+    for r in cut.select("lang", "rank", F.expr("substring(text, 1, share)").alias("text")).orderBy("lang", "rank").collect():
         texts.setdefault(r["lang"], []).append(r["text"])
-    return LanguageModel({lang: " ".join(t[:n] for t, n in zip(each, equal_shares([len(t) for t in each], SAMPLE_CHARS), strict=True)) for lang, each in texts.items()})
+    return LanguageModel({lang: " ".join(each) for lang, each in texts.items()})
 
 
 def held_out() -> Column:

@@ -1,5 +1,6 @@
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -363,6 +364,23 @@ def _questions(rng, n):
     return out
 
 
+@pytest.mark.parametrize("text", ["the " * 3000, "abab" * 4000 + " x", "ab cad " * 2500, "xyzzy" * 3000 + "the a" * 900, "a" * 9000])
+def test_repetitive_texts_in_lanes(monkeypatch, text):
+    """A text in lanes needs the phrases of one lane."""
+    samples = {"a": "abab cad abra the other the then", "b": "xyz zyx xyzzy", "c": "the the the the a a a"}
+    in_lanes = langid.LanguageModel(samples).phrases([text, "the cad", text[5:]])
+    monkeypatch.setattr(langid, "LANE", 1 << 20)
+    whole = langid.LanguageModel(samples).phrases([text, "the cad", text[5:]])
+    assert in_lanes[0].tolist() == whole[0].tolist()
+
+
+def test_megabytes_of_one_word_take_seconds():
+    model = langid.LanguageModel({"a": "the other then this and that " * 500, "b": "le la les et que " * 500})
+    began = time.time()
+    assert model.predict(["the " * 1_250_000])[0] == ["a"]
+    assert time.time() - began < 60
+
+
 def test_decontamination_against_a_plain_reading(rows):
     rng = random.Random(31)
     asked = _questions(rng, 25)
