@@ -1,24 +1,28 @@
-"""Cutting the lineage of iterative plans."""
+"""The shared folder, and cutting the lineage of plans."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """``df``, checkpointed in the folder that the session names in
+def shared(spark: SparkSession) -> str:
+    """The folder that driver and executors share: what the session names in
     ``spark.checkpoint.dir``.
 
     Where that is unset a session whose executors are threads of the driver gets
     a temporary folder; any other is told to name one.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return named.rstrip("/") if named else "file://" + tempfile.mkdtemp(prefix="lexloom-")
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df``, checkpointed in the shared folder."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        sc.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="lexloom-"))
+        sc.setCheckpointDir(shared(df.sparkSession))
     return df.checkpoint()
