@@ -36,6 +36,8 @@ EXACT = 13
 #: Different hashes of the benchmark's windows and runs, at most, by which every
 #: task drops what can't match before the join (8 MB); beyond, the join does it.
 SENT_HASHES = 1 << 20
+#: Leading bits of a hash by which most are told to be unknown.
+LEADING = 22
 BATCH = 1 << 20
 NUMBER, NAME, UNIT = np.uint64(1), np.uint64(2), np.uint64(3)
 # Number words and units in English, French, German and Spanish.
@@ -85,11 +87,18 @@ class Templates:
 
 
 def templates(texts: list[str], initial: bool = False) -> Templates:
-    """Words without the punctuation around them, A-Z lower-cased; a word with
+    """One reading of the texts."""
+    return readings(texts)[initial]
+
+
+def readings(texts: list[str]) -> list[Templates]:
+    """The texts in each of ``READINGS``.
+
+    Words without the punctuation around them, A-Z lower-cased; a word with
     a digit or a number word is a number; a known unit right after a number is
     a unit; a capitalised word (Latin, Greek or Cyrillic) that starts neither a
-    line nor a sentence is a name, with ``initial`` one that does, too, and adjacent
-    names are one, known by the last.  Words of punctuation alone vanish.
+    line nor a sentence is a name, in the second reading one that does, too, and
+    adjacent names are one, known by the last.  Words of punctuation alone vanish.
     """
     raw, begin, end, words = word_spans(texts, lower=False)
     digit = (raw >= 0x30) & (raw <= 0x39)
@@ -118,19 +127,24 @@ def templates(texts: list[str], initial: bool = False) -> Templates:
     capital = (first >= 0x41) & (first <= 0x5A)
     for lead, low, high in _CAPITALS:
         capital |= (first == lead) & (second >= low) & (second <= high)
-    is_name = capital & ~is_number & (initial | ~opens)
     is_unit = np.zeros(n, bool)
     is_unit[1:] = is_number[:-1] & ~is_number[1:] & np.isin(value[1:], _UNIT_HASH) & (owner[1:] == owner[:-1])
-    is_name &= ~is_unit
+    other = is_number | is_unit
+    counts = np.bincount(owner, minlength=len(texts))
+    return [_template(value, owner, counts, is_number, is_unit, capital & ~other & (initial | ~opens)) for initial, _ in READINGS]
+
+
+def _template(value: np.ndarray, owner: np.ndarray, counts: np.ndarray, is_number: np.ndarray, is_unit: np.ndarray, is_name: np.ndarray) -> Templates:
+    """Words with their kinds as template tokens."""
     token = np.where(is_number, NUMBER, np.where(is_unit, UNIT, np.where(is_name, NAME, value | np.uint64(4))))
-    word, word_owner, place = value, owner, np.arange(n)
-    joined = np.zeros(n, bool)
+    word, word_owner, place = value, owner, np.arange(len(value))
+    joined = np.zeros(len(value), bool)
     joined[1:] = is_name[1:] & is_name[:-1] & (owner[1:] == owner[:-1])
     if joined.any():
         place = np.cumsum(~joined) - 1
         value = value[np.append(~joined[1:], True)]
         token, owner = token[~joined], owner[~joined]
-    return Templates(token, value, owner, np.bincount(owner, minlength=len(texts)), word, word_owner, np.bincount(word_owner, minlength=len(texts)), place)
+    return Templates(token, value, owner, np.bincount(owner, minlength=len(counts)), word, word_owner, counts, place)
 
 
 def windows(t: Templates, size: int = WINDOW, salt: np.uint64 = READINGS[0][1]) -> tuple[np.ndarray, np.ndarray]:
@@ -244,8 +258,7 @@ def _items(benchmark: DataFrame) -> DataFrame:
             out = []
             for item, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 before = None
-                for reading, (initial, salt) in enumerate(READINGS):
-                    t = templates([text], initial)
+                for reading, (t, (_, salt)) in enumerate(zip(readings([text]), READINGS, strict=True)):
                     if before is not None and np.array_equal(before, t.token):
                         continue
                     before = t.token
@@ -262,6 +275,20 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return once.mapInArrow(run, "item string, reading long, item_id long, " + ", ".join(f"{n} array<long>" for n in names[3:]))
 
 
+def leading(known: np.ndarray) -> np.ndarray:
+    """Flags of the leading bits that known hashes have."""
+    out = np.zeros(1 << LEADING, bool)
+    out[known >> np.uint64(64 - LEADING)] = True
+    return out
+
+
+def among(h: np.ndarray, known: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    """Indices of the hashes that are known: most fail by their leading bits."""
+    maybe = np.flatnonzero(flags[h >> np.uint64(64 - LEADING)])
+    some = h[maybe]
+    return maybe[known[np.minimum(np.searchsorted(known, some), len(known) - 1)] == some]
+
+
 def _hits(docs: DataFrame, shapes: list[int], held) -> DataFrame:
     """(uid, row, doc_id, reading, h, size, place, found): the windows of every
     document, in each reading, and runs that may be some item's, with the values
@@ -273,19 +300,18 @@ def _hits(docs: DataFrame, shapes: list[int], held) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_row = TaskContext.get().partitionId() << 40
+        flags = None if held is None else leading(held.value)
         for whole in batches:
             for batch in portions(whole, 2, BATCH):
                 keyed, keys, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
-                for reading, (initial, salt) in enumerate(READINGS):
-                    t = templates(texts, initial)
+                for reading, (t, (_, salt)) in enumerate(zip(readings(texts), READINGS, strict=True)):
                     begin = np.cumsum(t.sizes) - t.sizes
                     found = [(n, *windows(t, -n, salt), t.owner) for n in shapes if n < 0]
                     if not reading:
                         found += [(n, at, h, t.word_owner) for n, at, h in runs(t, {n for n in shapes if n > 0})]
                     for size, at, h, owner in found:
                         if held is not None:
-                            known = held.value
-                            good = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+                            good = among(h, held.value, flags)
                             at, h = at[good], h[good]
                         if not len(at):
                             continue
