@@ -25,7 +25,7 @@ SHARES = 4
 #: Marks that a download leaves beside files.
 MARK = "Zone.Identifier"
 #: What a manifest says of a document.
-ENTRY = ("doc_id", "source_pdf", "batch", "n_pages", "methods", "classifications", "error")
+ENTRY = ("doc_id", "source_pdf", "batch", "n_pages", "methods", "classifications", "counts", "error")
 
 
 def _opened(folder: str) -> tuple[fs.FileSystem, str, str]:

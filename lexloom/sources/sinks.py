@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import percent
+from . import recordio
 
 
-def write(df: DataFrame, folder: str, by: str | None = "doc_id") -> None:
-    """Rows as JSON, a folder for each document, which one task writes."""
-    if by:
-        df.withColumn("part", F.col(by)).repartition("part").write.mode("overwrite").partitionBy("part").json(folder)
-    else:
-        df.write.mode("overwrite").json(folder)
+def write(df: DataFrame, folder: str) -> None:
+    """Rows as JSON lines, in place of what was there."""
+    df.write.mode("overwrite").json(folder)
+
+
+#: A document's record: its units and warnings, and how many units of each level.
+_UNIT = "struct<section:string,pasal:string,occurrence:int,level:string,label:string,citation:string,parent:string,parent_start:int,start:long,end:long,text:string,leaf:boolean>"
+_WARNING = "struct<warning:string,citation:string,section:string,pasal:string,occurrence:int>"
+STRUCTURE = f"doc_id string, units array<{_UNIT}>, warnings array<{_WARNING}>, counts map<string,long>"
 
 
 def structure_totals(counts: DataFrame, warnings: DataFrame) -> DataFrame:
@@ -23,13 +27,27 @@ def structure_totals(counts: DataFrame, warnings: DataFrame) -> DataFrame:
 
 
 def write_structure(units: DataFrame, counts: DataFrame, warnings: DataFrame, folder: str) -> DataFrame:
-    """Units, warnings and the manifest; returns the totals."""
-    write(units, f"{folder}/units")
-    write(warnings, f"{folder}/warnings", None)
-    write(counts, f"{folder}/manifest", None)
+    """One JSON for each document with its units and warnings, and the manifest
+    of all with their counts, in one transaction; returns the totals."""
+
+    def listed(rows: DataFrame, name: str, first: str) -> DataFrame:
+        rest = [c for c in rows.columns if c not in ("doc_id", first)]
+        parts = F.transform(F.array_sort(F.collect_list(F.struct(first, F.struct(*(F.col(c) for c in (first, *rest))).alias("row")))), lambda x: x["row"])
+        return rows.groupBy("doc_id").agg(parts.alias(name))
+
+    named = F.map_from_arrays(F.array(*(F.lit(c) for c in counts.columns if c != "doc_id")), F.array(*(F.col(c).cast("long") for c in counts.columns if c != "doc_id")))
+    rows = counts.select("doc_id", named.alias("counts")).join(listed(units, "units", "start"), "doc_id", "left").join(listed(warnings, "warnings", "warning"), "doc_id", "left")
+    rows = rows.withColumns({"units": F.coalesce("units", F.array()), "warnings": F.coalesce("warnings", F.array())})
+    recordio.registered(units.sparkSession)
+    rows.write.format("document_records").mode("append").save(folder)
     return structure_totals(counts, warnings)
 
 
+def structure_records(spark: SparkSession, folder: str) -> DataFrame:
+    """What ``write_structure`` has written: doc_id, units, warnings, counts."""
+    return spark.read.schema(STRUCTURE).json(folder).where(F.col("_metadata.file_name") != "manifest.json")
+
+
 def live_and_local(categories: DataFrame) -> tuple[DataFrame, DataFrame]:
     """National categories, and those of every other rank."""
     return categories.where("rank = 'national'"), categories.where("rank <> 'national'")
@@ -46,22 +64,22 @@ def ontology_totals(categories: DataFrame, notes: DataFrame) -> DataFrame:
 
 def write_ontology(categories: DataFrame, alignments: DataFrame, notes: DataFrame, folder: str) -> DataFrame:
     """Categories, proposals for review and the coverage log; returns the totals."""
-    write(categories, f"{folder}/categories", None)
-    write(alignments, f"{folder}/pending_review", None)
-    write(notes, f"{folder}/coverage_log", None)
+    write(categories, f"{folder}/categories")
+    write(alignments, f"{folder}/pending_review")
+    write(notes, f"{folder}/coverage_log")
     return ontology_totals(categories, notes)
 
 
 def write_prefilter(buckets: DataFrame, per_document: DataFrame, folder: str) -> None:
     """Buckets of articles and their counts by document."""
-    write(buckets, f"{folder}/pasal", None)
-    write(per_document, f"{folder}/per_document", None)
+    write(buckets, f"{folder}/pasal")
+    write(per_document, f"{folder}/per_document")
 
 
 def write_reconciled(verdicts: DataFrame, summary: DataFrame, folder: str) -> None:
     """Verdicts of all figures, and how many of each."""
-    write(verdicts, f"{folder}/pages", None)
-    write(summary, f"{folder}/summary", None)
+    write(verdicts, f"{folder}/pages")
+    write(summary, f"{folder}/summary")
 
 
 def prefilter_report(share: DataFrame, reasons: DataFrame, sole: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from lexloom.operators import conflict, ontology, prefilter, segment, slots
 from lexloom.sources import sinks
 
@@ -9,7 +11,9 @@ def test_stage_outputs(spark, rows, tmp_path):
     units = segment.units(docs).cache()
     totals = sinks.write_structure(units, segment.level_counts(units), segment.unit_warnings(units), str(tmp_path / "s")).first()
     assert (totals.documents, totals.pasal, totals.ayat, totals.warnings) == (2, 4, 6, 0)
-    assert spark.read.json(str(tmp_path / "s" / "units")).count() == units.count()
+    back = sinks.structure_records(spark, str(tmp_path / "s")).collect()
+    assert {r.doc_id: [(u.citation, u.text) for u in r.units] for r in back} == {d: [tuple(u) for u in units.where(F.col("doc_id") == d).sort("start").select("citation", "text").collect()] for d in ("UU_1", "PERDA_2")}
+    assert {p.name for p in (tmp_path / "s").iterdir()} == {"UU_1.json", "PERDA_2.json", "manifest.json"} and back[0].counts["ayat"] == 3
     cats, notes = ontology.harvest(units)
     got = {r.scope: (r.categories, r.ids) for r in sinks.ontology_totals(cats, notes).collect()}
     assert got["national"] == got["local"] == (5, 5)
