@@ -97,8 +97,9 @@ def readings(texts: list[str]) -> list[Templates]:
     Words without the punctuation around them, A-Z lower-cased; a word with
     a digit or a number word is a number; a known unit right after a number is
     a unit; a capitalised word (Latin, Greek or Cyrillic) that starts neither a
-    line nor a sentence is a name, in the second reading one that does, too, and
-    adjacent names are one, known by the last.  Words of punctuation alone vanish.
+    line nor a sentence is a name, in the second reading one that does, too;
+    adjacent names inside a sentence are one, known by the last.  Words of
+    punctuation alone vanish.
     """
     raw, begin, end, words = word_spans(texts, lower=False)
     digit = (raw >= 0x30) & (raw <= 0x39)
@@ -131,15 +132,17 @@ def readings(texts: list[str]) -> list[Templates]:
     is_unit[1:] = is_number[:-1] & ~is_number[1:] & np.isin(value[1:], _UNIT_HASH) & (owner[1:] == owner[:-1])
     other = is_number | is_unit
     counts = np.bincount(owner, minlength=len(texts))
-    return [_template(value, owner, counts, is_number, is_unit, capital & ~other & (initial | ~opens)) for initial, _ in READINGS]
+    inner = capital & ~other & ~opens
+    return [_template(value, owner, counts, is_number, is_unit, capital & ~other if initial else inner, inner) for initial, _ in READINGS]
 
 
-def _template(value: np.ndarray, owner: np.ndarray, counts: np.ndarray, is_number: np.ndarray, is_unit: np.ndarray, is_name: np.ndarray) -> Templates:
-    """Words with their kinds as template tokens."""
+def _template(value: np.ndarray, owner: np.ndarray, counts: np.ndarray, is_number: np.ndarray, is_unit: np.ndarray, is_name: np.ndarray, inner: np.ndarray) -> Templates:
+    """Words with their kinds as template tokens; names inside sentences join, so
+    that every reading has as many tokens."""
     token = np.where(is_number, NUMBER, np.where(is_unit, UNIT, np.where(is_name, NAME, value | np.uint64(4))))
     word, word_owner, place = value, owner, np.arange(len(value))
     joined = np.zeros(len(value), bool)
-    joined[1:] = is_name[1:] & is_name[:-1] & (owner[1:] == owner[:-1])
+    joined[1:] = inner[1:] & inner[:-1] & (owner[1:] == owner[:-1])
     if joined.any():
         place = np.cumsum(~joined) - 1
         value = value[np.append(~joined[1:], True)]

@@ -114,7 +114,7 @@ def chosen_blocks(b, h):
 
 def template(text, d, initial=False):
     """(words, word -> token, tokens, values) of an ASCII text, read plainly."""
-    kinds, words, values, place = [], [], [], []
+    kinds, words, values, place, inner = [], [], [], [], False
     for line in (text or "").split("\n"):
         opens = True
         for raw in re.findall(r"[^\x20\x09-\x0D]+", line):
@@ -130,7 +130,8 @@ def template(text, d, initial=False):
                     kind = "#name"
                 else:
                     kind = w
-                if kind == "#name" and kinds and kinds[-1] == "#name":
+                before, inner = inner, kind == "#name" and not opens
+                if before and inner:
                     values[-1] = w
                 else:
                     kinds.append(kind)
