@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import let
-from ..functions.numerals import scan
+from ..functions.numerals import figures
 from ..functions.text import canonical
 
 # Markers, modal rules and numeral look-alikes of the source language.
@@ -37,7 +37,7 @@ def bucket(raw: Column) -> Column:
     Figures are looked for in the raw text, everything else in the canonical."""
 
     def of(t: Column) -> Column:
-        facts = F.struct(bound_markers(t["c"]).alias("bound_markers"), F.size(scan(t["r"])).alias("n_slots"), modal_wajib(t["c"]).alias("n_modal_wajib"), F.regexp_count(t["c"], F.lit(DILARANG)).alias("n_dilarang"))
+        facts = F.struct(bound_markers(t["c"]).alias("bound_markers"), F.size(figures(t["r"])).alias("n_slots"), modal_wajib(t["c"]).alias("n_modal_wajib"), F.regexp_count(t["c"], F.lit(DILARANG)).alias("n_dilarang"))
 
         def verdict(f: Column) -> Column:
             why = F.array_compact(F.array(F.when(F.size(f["bound_markers"]) > 0, "bound_marker"), F.when(f["n_slots"] > 0, "numeral_pair"), F.when(f["n_modal_wajib"] > 0, "modal_wajib"), F.when(f["n_dilarang"] > 0, "modal_dilarang")))
