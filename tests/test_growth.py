@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.functions import numerals
-from lexloom.operators import prefilter, slots
+from lexloom.operators import prefilter, segment, slots
 from lexloom.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -36,3 +36,15 @@ def test_figures_are_those_of_a_scan(rows, text):
     assert [(f.start, f.end, f.text) for f in got.f] == [(s.start, s.end, s.matched_text) for s in got.s]
     assert [text.replace("\x01", "�").replace("\x02", "�")[f.start : f.end] for f in got.f] == [f.text for f in got.f]
     assert got.a.count("[N") == len(got.f)
+
+
+@pytest.mark.parametrize("name,step", [("page_segments", "regexp_replace"), ("slots_reused", "levenshtein"), ("crossref_resolved", "levenshtein")])
+def test_shared_steps_are_worked_out_once(spark, name, step):
+    """What several branches need is read back, not found again in each."""
+    assert step not in plan(catalog.QUERIES[name](spark, SF)).lower()
+
+
+@pytest.mark.parametrize("text,labels", [("(1) a\n(2) b\n", ["1", "2"]), ("(l) a\n(2) b\n", ["1", "2"]), ("(l) a\n", []), ("(1) a\n", ["1"]), ("(1) a\n(3) b\n", ["1"]), ("x", []), ("(2) a\n", [])])
+def test_short_runs_of_paragraphs(rows, text, labels):
+    got = rows([(text,)], "text string").select(segment.ayat_marks(F.col("text")).alias("m")).first().m
+    assert [m.label for m in got] == labels and [text[m["at"]] for m in got] == ["("] * len(got)
