@@ -9,6 +9,7 @@ from ..functions import let, rows_of
 from ..functions.matchers import find_all, find_with_rest, first_start
 from ..functions.numerals import GLYPH_FROM, GLYPH_TO
 from ..functions.text import strip
+from ..plans.storage import kept
 
 # Keywords and patterns of the source language, in order.
 KEYWORDS = ("pasal", "ayat", "huruf", "angka", "dan", "atau", "pada", "dalam")
@@ -205,7 +206,7 @@ def lookup(targets: DataFrame, units: DataFrame) -> DataFrame:
 def resolve(pasals: DataFrame, units: DataFrame) -> DataFrame:
     """Every reference with its status, targets with texts, review flag and note."""
     key = ["doc_id", "current", "ref_no"]
-    refs = references(pasals).withColumnRenamed("pasal", "current")
+    refs = kept(references(pasals).withColumnRenamed("pasal", "current"))
     each = rows_of(refs, F.col("targets"), *key).select(*key, F.col("i").alias("target_no"), "m.*")
     cross = each.where(F.col("pasal") != F.col("current"))
     found = lookup(cross, units).unionByName(each.where(F.col("pasal") == F.col("current")).withColumns({"found_text": F.lit(None).cast("string"), "exact": F.lit(None).cast("boolean")}))
@@ -223,7 +224,7 @@ def resolve(pasals: DataFrame, units: DataFrame) -> DataFrame:
 
 def resolve_documents(docs: DataFrame) -> DataFrame:
     """``resolve`` of whole documents (doc_id, text), against their own strict index."""
-    units = strict_index(docs)
+    units = kept(strict_index(docs))
     return resolve(units.where("ayat is null and huruf is null").select("doc_id", "pasal", "text"), units)
 
 
