@@ -46,6 +46,19 @@ def _glyphs(c: Column) -> Column:
     return F.translate(c, GLYPH_FROM, GLYPH_TO)
 
 
+#: Phrases of one number word, which most figures are: value, and whether it needed repair.
+_ONE_WORD = {w: n for w, n in (UNITS | SPECIAL).items() if w != "seribu"}
+_RATES = {f"{w}{gap}persen": (n / 100.0, not gap) for gap in (" ", "") for w, n in _ONE_WORD.items()}
+_COUNTS = {w: (float(n), False) for w, n in _ONE_WORD.items() if n > 0}
+
+
+def _known(phrases: dict[str, tuple[float, bool]], raw: Column, otherwise: Column) -> Column:
+    """What a phrase is known to spell, else what its words do."""
+    place = F.array_position(_words_array(list(phrases)), F.lower(raw)).cast("int")
+    values = F.array(*(_parsed(F.lit(v), F.lit(fixed)) for v, fixed in phrases.values()))
+    return let(place, lambda k: F.when(k > 0, F.get(values, k - 1)).otherwise(otherwise))
+
+
 def parse_digits(raw: Column) -> Column:
     """struct(value, repaired) of a percentage's digits, as a fraction."""
 
@@ -58,7 +71,12 @@ def parse_digits(raw: Column) -> Column:
 
         return let(F.regexp_replace(s, PERCENT_TAIL, ""), of)
 
-    return let(F.regexp_replace(strip(raw), r"(?U)^[a-zA-Z]\.?\s+", ""), tail)
+    def plain_or(digits: Column) -> Column:
+        number = F.when(digits != "", digits).try_cast("double")
+        plain = _parsed(F.when(number <= PERCENT_CEILING, number / F.lit(100.0)), number > PERCENT_CEILING)
+        return F.when(number.isNotNull(), plain).otherwise(let(F.regexp_replace(strip(raw), r"(?U)^[a-zA-Z]\.?\s+", ""), tail))
+
+    return let(F.regexp_extract(raw, r"^([0-9]{1,3})(?:%|o/o)\z", 1), plain_or)
 
 
 def parse_digits_count(raw: Column) -> Column:
@@ -69,7 +87,8 @@ def parse_digits_count(raw: Column) -> Column:
         value = F.when(number <= COUNT_CEILING, number)
         return _parsed(value, number.isNotNull() & ((number > COUNT_CEILING) | (_glyphs(body) != body)))
 
-    return let(F.replace(strip(raw), F.lit(" "), F.lit("")), of)
+    number = raw.try_cast("double")
+    return F.when(raw.rlike(r"^[0-9]{1,3}\z"), _parsed(number, F.lit(False))).otherwise(let(F.replace(strip(raw), F.lit(" "), F.lit("")), of))
 
 
 def snap(token: Column) -> Column:
@@ -142,7 +161,7 @@ def parse_words(raw: Column) -> Column:
         head = F.slice(w["tokens"], F.lit(1), F.greatest(until - 1, F.lit(0)))
         return _parsed(F.when(usable, let(head, value)), w["repaired"])
 
-    return let(word_tokens(raw), of)
+    return _known(_RATES, raw, let(word_tokens(raw), of))
 
 
 def parse_words_count(raw: Column) -> Column:
@@ -153,7 +172,7 @@ def parse_words_count(raw: Column) -> Column:
         usable = ~w["unresolved"] & (F.size(tokens) > 0) & ~F.arrays_overlap(tokens, _words_array(["koma", "persen"]))
         return let(int_from(tokens), lambda n: _parsed(F.when(usable & (n > 0) & (n <= COUNT_CEILING), n), w["repaired"]))
 
-    return let(word_tokens(raw), of)
+    return _known(_COUNTS, raw, let(word_tokens(raw), of))
 
 
 def reconcile(numeral: Column, words: Column, digits: Column, spelled: Column, unit: Column) -> Column:
@@ -235,7 +254,8 @@ def scan(text: Column) -> Column:
         parts = F.split(F.regexp_replace(m["text"], pattern, "\x01".join(f"${k + 1}" for k in range(groups))), "\x01")  # one run of the pattern for all groups
 
         def of(p: Column) -> Column:
-            part = [strip(p[k]) for k in range(groups)]
+            # of all groups only a count's digits may end in a space
+            part = [strip(p[k]) if duration and k == 0 else p[k] for k in range(groups)]
             rec = recover_duration(*part) if duration else recover(*part)
             return let(rec, lambda r: F.struct(m["start"].alias("start"), m["end"].alias("end"), *(r[k].alias(k) for k in RECORD), m["text"].alias("matched_text")))
 

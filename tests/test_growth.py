@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import numerals
 from lexloom.operators import prefilter, segment, slots
-from lexloom.plans import catalog
+from lexloom.plans import catalog, derived  # noqa: F401  # registers more queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,3 +48,18 @@ def test_shared_steps_are_worked_out_once(spark, name, step):
 def test_short_runs_of_paragraphs(rows, text, labels):
     got = rows([(text,)], "text string").select(segment.ayat_marks(F.col("text")).alias("m")).first().m
     assert [m.label for m in got] == labels and [text[m["at"]] for m in got] == ["("] * len(got)
+
+
+def test_known_phrases_spell_what_their_words_do(spark, rows, monkeypatch):
+    """Phrases of one word are looked up; the lookup agrees with the long way."""
+    text = F.col("t")
+    phrases = sorted({*numerals._RATES, *numerals._COUNTS, "LIMA persen", "lima  persen", "seribu persen", "lmia persen", "nol"})
+    texts = [*phrases, "5%", "301%", "300o/o", "07%", "S%", "5 %", "999%", "a. 5%", "7", "1000", "07", "l5", ""]
+    df = rows([(t,) for t in texts], "t string")
+    read = lambda: df.select("t", numerals.parse_words(text).alias("w"), numerals.parse_words_count(text).alias("c"), numerals.parse_digits(text).alias("d"), numerals.parse_digits_count(text).alias("n"))
+    quick = read().collect()
+    monkeypatch.setattr(numerals, "_known", lambda phrases, raw, otherwise: otherwise)
+    assert [(r.t, r.w, r.c) for r in quick] == [(r.t, r.w, r.c) for r in read().collect()]
+    by = {r.t: r for r in quick}
+    assert [tuple(by[t].d) for t in ("5%", "301%", "300o/o", "07%", "S%", "999%", "a. 5%", "")] == [(0.05, False), (None, True), (3.0, False), (0.07, False), (0.05, True), (None, True), (0.05, False), (None, False)]
+    assert [tuple(by[t].n) for t in ("7", "07", "l5", "1000")] == [(7.0, False), (7.0, False), (15.0, True), (1000.0, False)]
