@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rows_of
 from ..functions.numerals import scan
+from ..plans.storage import kept
 
 # How far a status is trusted.
 TRUST = {"disagree": 0, "unparsed": 0, "single_channel": 1, "recovered": 2, "agree": 3}
@@ -72,7 +73,7 @@ def reconcile_pages(pages: DataFrame, second: DataFrame, limit: int | None = Non
     ``tools.ocr_pages`` gives; pages without a second reading are left out.
     """
     key = ["doc_id", "page"]
-    wanted = candidate_pages(pages, limit).join(second.where(F.col("text").isNotNull()).select(*key), key, "left_semi")
+    wanted = kept(candidate_pages(pages, limit).join(second.where(F.col("text").isNotNull()).select(*key), key, "left_semi"))
     again = second.join(wanted.select(*key), key, "left_semi")
     return reconcile(readings(wanted, key), readings(again, key), key)
 

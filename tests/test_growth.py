@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import numerals
 from lexloom.operators import prefilter, segment, slots
-from lexloom.plans import catalog, derived  # noqa: F401  # registers more queries
+from lexloom.plans import catalog, derived, storage  # noqa: F401  # derived registers more queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -63,3 +63,16 @@ def test_known_phrases_spell_what_their_words_do(spark, rows, monkeypatch):
     by = {r.t: r for r in quick}
     assert [tuple(by[t].d) for t in ("5%", "301%", "300o/o", "07%", "S%", "999%", "a. 5%", "")] == [(0.05, False), (None, True), (3.0, False), (0.07, False), (0.05, True), (None, True), (0.05, False), (None, False)]
     assert [tuple(by[t].n) for t in ("7", "07", "l5", "1000")] == [(7.0, False), (7.0, False), (15.0, True), (1000.0, False)]
+
+
+def test_kept_tables_are_columns(spark, rows):
+    """What is kept comes back as it was, nested and null values included, from files of columns."""
+    df = rows([("a", [(1, "x"), (2, None)]), (None, [])], "k string, l array<struct<i:int,s:string>>")
+    again = storage.kept(df)
+    assert sorted(map(str, again.collect())) == sorted(map(str, df.collect())) and again.columns == df.columns
+    assert "FileScan parquet" in plan(again)
+
+
+def test_pages_to_read_again_are_chosen_once(spark):
+    """The choice parses every figure; both readings take its rows from where they are kept."""
+    assert "THEN ocr" not in plan(catalog.QUERIES["reconciled_pages"](spark, SF))
