@@ -13,9 +13,11 @@ def rows_of(df: DataFrame, array: Column, *columns: str) -> DataFrame:
     ``i`` and itself, ``m``.
 
     An outer generator with its empty row left out: for an inner one Catalyst
-    puts a filter below it that computes the array a second time.
+    puts a filter below it that computes the array a second time.  The array is
+    a column first: a projection compiles what a generator would interpret.
     """
-    return df.select(*columns, F.posexplode_outer(array).alias("i", "m")).where(F.col("m").isNotNull())
+    rows = df.select(*columns, array.alias("__rows"))
+    return rows.select(*columns, F.posexplode_outer("__rows").alias("i", "m")).where(F.col("m").isNotNull())
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -14,8 +14,8 @@ from . import let
 _OPEN, _CLOSE = "\x01", "\x02"
 #: Element of a list of matches; offsets are half-open, in code points.
 MATCH = "struct<start:int,end:int,text:string>"
-#: Elements that are summed in one go.
-_BLOCK = 256
+#: Elements that are summed in one go, at least: each appends to a copy of the sums before it.
+_BLOCK = 16
 
 
 def _summed(sizes: Column, start: Column) -> Column:
@@ -25,54 +25,68 @@ def _summed(sizes: Column, start: Column) -> Column:
 
 
 def running_sums(sizes: Column) -> Column:
-    """Running sums of an array, block by block, so that the work grows with the
-    array and not with its square."""
+    """Running sums of an array, in blocks of the square root of its size, so
+    that the work does not grow with its square."""
 
     def of(all_sizes: Column) -> Column:
-        blocks = F.sequence(F.lit(0), F.floor((F.greatest(F.size(all_sizes), F.lit(1)) - 1) / _BLOCK).cast("int"))
-        part = lambda b: F.slice(all_sizes, b * _BLOCK + 1, F.lit(_BLOCK))
+        width = F.greatest(F.lit(_BLOCK), F.ceil(F.sqrt(F.size(all_sizes))).cast("int"))
+        return F.when(F.size(all_sizes) <= _BLOCK, _summed(all_sizes, F.lit(0))).otherwise(let(width, lambda w: blockwise(all_sizes, w)))
+
+    def blockwise(all_sizes: Column, width: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.greatest(F.size(all_sizes), F.lit(1)) - 1) / width).cast("int"))
+        part = lambda b: F.slice(all_sizes, b * width + 1, width)
         totals = F.transform(blocks, lambda b: F.aggregate(part(b), F.lit(0), lambda acc, n: acc + n))
         before = lambda t, b: F.coalesce(F.get(t, b - 1), F.lit(0))
-        long = let(_summed(totals, F.lit(0)), lambda t: F.flatten(F.transform(blocks, lambda b: _summed(part(b), before(t, b)))))
-        return F.when(F.size(all_sizes) <= _BLOCK, _summed(all_sizes, F.lit(0))).otherwise(long)
+        return let(_summed(totals, F.lit(0)), lambda t: F.flatten(F.transform(blocks, lambda b: _summed(part(b), before(t, b)))))
 
     return let(sizes, of)
 
 
-def _matches(text: Column, pattern: str, rest: bool) -> Column:
-    clean = F.replace(F.replace(text, F.lit(_OPEN), F.lit("\ufffd")), F.lit(_CLOSE), F.lit("\ufffd"))  # as it is without them; translate goes letter by letter
-    marked = F.regexp_replace(clean, pattern, f"{_OPEN}$0{_CLOSE}")
+def _without_sentinels(text: Column) -> Column:
+    # replace compares at every byte and translate goes letter by letter; hardly any text has one
+    return F.when(text.contains(_OPEN) | text.contains(_CLOSE), F.replace(F.replace(text, F.lit(_OPEN), F.lit("\ufffd")), F.lit(_CLOSE), F.lit("\ufffd"))).otherwise(text)
 
-    def read(known: Column) -> Column:
-        def match(part: Column, i: Column) -> Column:
-            start, size = known["sums"][i] - i, F.instr(part, _CLOSE) - 1
-            fields = [start.alias("start"), (start + size).alias("end"), F.substring_index(part, _CLOSE, 1).alias("text")]
-            if rest:
-                fields.append(F.substring(part, size + 2, F.length(part)).alias("rest"))
-            return F.struct(*fields)
 
-        parts = known["parts"]
-        return F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), match)
+def _matches(text: Column, pattern: str, rest: bool, groups: tuple[str, ...] = ()) -> Column:
+    clean = _without_sentinels(text)
+    names = ("text", *groups, *(("rest",) if rest else ()))
+    marked = F.regexp_replace(clean, pattern, _OPEN + _CLOSE.join(["$0", *(f"${k + 1}" for k in range(len(groups))), ""]))
+
+    def match(fields: Column, start: Column) -> Column:
+        return F.struct(start.alias("start"), (start + F.length(fields[0])).alias("end"), *(fields[k].alias(name) for k, name in enumerate(names)))
+
+    def of(parts: Column) -> Column:
+        fields = F.transform(F.slice(parts, F.lit(2), F.size(parts) - 1), lambda part: F.split(part, _CLOSE))
+        return let(F.struct(F.length(parts[0]).alias("first"), fields.alias("fields")), read)
+
+    def read(known: Column) -> Column:
+        # of most texts there is one match, whose start needs no sums
+        size = lambda f: F.length(f[0]) + F.length(f[len(groups) + 1])
+        sums = running_sums(F.concat(F.array(known["first"]), F.transform(known["fields"], size)))
+        several = let(sums, lambda ends: F.transform(known["fields"], lambda f, i: match(f, ends[i])))
+        return F.when(F.size(known["fields"]) == 1, F.transform(known["fields"], lambda f: match(f, known["first"]))).otherwise(several)
 
-    kind = MATCH.replace(">", ",rest:string>") if rest else MATCH
-    some = lambda parts: let(F.struct(parts.alias("parts"), running_sums(F.transform(parts, F.length)).alias("sums")), read)
-    return F.when(text.isNotNull(), let(F.split(marked, _OPEN), lambda parts: F.when(F.size(parts) > 1, some(parts)).otherwise(F.array().cast(f"array<{kind}>"))))
+    none = F.array().cast(f"array<{MATCH[:-1]}{''.join(f',{name}:string' for name in names[1:])}>>")
+    found = let(F.split(marked, _OPEN), of)
+    return F.when(clean.rlike(pattern), found).when(text.isNotNull(), none)
 
 
-def find_all(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, text>> of the matches, in order."""
-    return _matches(text, pattern, False)
+def find_all(text: Column, pattern: str, *groups: str) -> Column:
+    """array<struct<start, end, text>> of the matches, in order; the pattern's
+    groups, empty where they take no part, come along by the names given."""
+    return _matches(text, pattern, False, groups)
 
 
-def find_with_rest(text: Column, pattern: str) -> Column:
+def find_with_rest(text: Column, pattern: str, *groups: str) -> Column:
     """The same with ``rest``: what follows each match up to the next, which
     costs nothing more than the split that finds them."""
-    return _matches(text, pattern, True)
+    return _matches(text, pattern, True, groups)
 
 
 def first_start(text: Column, pattern: str) -> Column:
     """Offset of the first match, null without one."""
-    at = F.instr(F.regexp_replace(F.replace(text, F.lit(_OPEN), F.lit("\ufffd")), f"{pattern}", f"{_OPEN}$0"), _OPEN)
+    clean = _without_sentinels(text)
+    at = F.when(clean.rlike(pattern), F.instr(F.regexp_replace(clean, pattern, f"{_OPEN}$0"), _OPEN))
     return F.when(at > 0, at - 1)
 
 

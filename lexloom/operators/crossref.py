@@ -112,7 +112,7 @@ def references(pasals: DataFrame) -> DataFrame:
 def _labelled(text: Column, pattern: str) -> Column:
     """array<struct<label, from, to, text>>: what follows each marker, up to the
     next; of markers with one label the last."""
-    found = F.transform(find_with_rest(text, pattern), lambda m: F.struct(F.regexp_extract(m["text"], pattern, 1).alias("label"), m["end"].alias("from"), (m["end"] + F.length(m["rest"])).alias("to"), m["rest"].alias("text")))
+    found = F.transform(find_with_rest(text, pattern, "label"), lambda m: F.struct(m["label"].alias("label"), m["end"].alias("from"), (m["end"] + F.length(m["rest"])).alias("to"), m["rest"].alias("text")))
 
     def last(all_: Column) -> Column:
         # the highest place of each label: of label and place sorted, those before another label
@@ -135,7 +135,7 @@ def strict_index(docs: DataFrame) -> DataFrame:
     """
     stop = first_start(F.col("text"), BODY_END)
     body = docs.select("doc_id", F.substring("text", F.lit(1), F.coalesce(stop, F.length("text"))).alias("text"))
-    marks = F.transform(find_with_rest(F.col("text"), ARTICLE), lambda m: F.struct(F.regexp_extract(m["text"], ARTICLE, 1).alias("pasal"), m["end"].alias("start"), m["rest"].alias("text")))
+    marks = F.transform(find_with_rest(F.col("text"), ARTICLE, "pasal"), lambda m: F.struct(m["pasal"].alias("pasal"), m["end"].alias("start"), m["rest"].alias("text")))
     each = rows_of(body, marks, "doc_id").select("doc_id", "m.*").groupBy("doc_id", "pasal").agg(F.max_by(F.struct("start", "text"), "start").alias("p"))
     whole = each.select("doc_id", "pasal", "p.start", "p.text", _labelled(F.col("p.text"), PARAGRAPH).alias("ayat"))
     none = F.lit(None).cast("string")

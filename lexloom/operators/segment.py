@@ -41,8 +41,7 @@ def repaired_number(label: Column) -> Column:
 def _restart_cuts(text: Column) -> Column:
     """struct(cuts, anomalies): where the article numbers start again, moved up
     to the last section heading before, and where they merely go back."""
-    label = lambda m: F.regexp_extract(m["text"], PASAL, 1)
-    headers = F.transform(find_all(text, PASAL), lambda m: F.struct(m["start"].alias("start"), pasal_number(label(m)).alias("number"), repaired_number(label(m)).alias("repaired")))
+    headers = F.transform(find_all(text, PASAL, "label"), lambda m: F.struct(m["start"].alias("start"), pasal_number(m["label"]).alias("number"), repaired_number(m["label"]).alias("repaired")))
     headings = F.transform(F.concat(find_all(text, PENJELASAN), find_all(text, LAMPIRAN)), lambda m: m["start"])
 
     def fold(known: Column) -> Column:
@@ -64,7 +63,12 @@ def _restart_cuts(text: Column) -> Column:
         folded = F.aggregate(known["headers"], zero, step)
         return F.struct(folded["cuts"].alias("cuts"), folded["anomalies"].alias("anomalies"), known["headings"].alias("headings"), F.size(known["headers"]).alias("headers"))
 
-    return let(F.struct(headers.alias("headers"), headings.alias("headings")), fold)
+    # numbers that never go back need no fold, and no offsets
+    labels = F.regexp_extract_all(text, F.lit(PASAL), F.lit(1))
+    numbers = labels.try_cast(_INTS)
+    onward = ~F.coalesce(F.array_contains(numbers, -1), F.lit(True)) & (F.sort_array(numbers) == numbers)
+    simple = F.struct(F.array(F.lit(0)).cast(_INTS).alias("cuts"), F.array().cast(_ANOMALY).alias("anomalies"), headings.alias("headings"), F.size(labels).alias("headers"))
+    return F.when(onward, simple).otherwise(let(F.struct(headers.alias("headers"), headings.alias("headings")), fold))
 
 
 def section_label(head: Column, opening: Column) -> Column:
@@ -114,8 +118,8 @@ def section_prefix(section: Column) -> Column:
 def pasals(docs: DataFrame) -> DataFrame:
     """(doc_id, section, pasal, occurrence, citation, start, end, text): the
     articles of every section, numbered where a label comes again."""
-    found = find_with_rest(F.col("chunk"), PASAL)
-    bodies = F.transform(found, lambda m: F.struct(F.regexp_extract(m["text"], PASAL, 1).alias("pasal"), m["end"].alias("from"), (m["end"] + F.length(m["rest"])).alias("to"), m["rest"].alias("text")))
+    found = find_with_rest(F.col("chunk"), PASAL, "pasal")
+    bodies = F.transform(found, lambda m: F.struct(m["pasal"].alias("pasal"), m["end"].alias("from"), (m["end"] + F.length(m["rest"])).alias("to"), m["rest"].alias("text")))
     each = rows_of(sections(docs), bodies, "doc_id", "section", "start").select("doc_id", "section", F.col("start").alias("base"), "m.*")
     rows = each.select("doc_id", "section", "pasal", (F.col("base") + F.col("from")).alias("start"), (F.col("base") + F.col("to")).alias("end"), "text")
     return cited(rows)
@@ -165,17 +169,22 @@ def _runs(marks: Column, first: str, following) -> Column:
 
 
 def _plain_marks(text: Column, pattern: str) -> Column:
-    return F.transform(find_all(text, pattern), lambda m: F.struct(m["start"].alias("at"), m["end"].alias("from"), F.regexp_extract(m["text"], pattern, 1).alias("label")))
+    return F.transform(find_all(text, pattern, "label"), lambda m: F.struct(m["start"].alias("at"), m["end"].alias("from"), m["label"].alias("label")))
+
+
+def _where_any(text: Column, pattern: str, marks: Column) -> Column:
+    # lambdas are interpreted: a text without a mark gets to none
+    return F.when(text.rlike(pattern), marks).when(text.isNotNull(), F.array().cast(_MARK))
 
 
 def huruf_marks(text: Column) -> Column:
     """Letter items a, b, c ... of a text."""
-    return _runs(_plain_marks(text, HURUF), "a", lambda x: F.char(F.ascii(x) + 1))
+    return _where_any(text, HURUF, _runs(_plain_marks(text, HURUF), "a", lambda x: F.char(F.ascii(x) + 1)))
 
 
 def angka_marks(text: Column) -> Column:
     """Number items 1, 2, 3 ... of a text."""
-    return _runs(_plain_marks(text, ANGKA), "1", lambda x: (x.try_cast("bigint") + 1).cast("string"))
+    return _where_any(text, ANGKA, _runs(_plain_marks(text, ANGKA), "1", lambda x: (x.try_cast("bigint") + 1).cast("string")))
 
 
 def ayat_marks(text: Column) -> Column:
@@ -186,7 +195,7 @@ def ayat_marks(text: Column) -> Column:
     """
 
     def reading(m: Column) -> Column:
-        body, closer = F.regexp_extract(m["text"], AYAT, 1), F.regexp_extract(m["text"], AYAT, 2)
+        body, closer = m["body"], m["closer"]
         digits = F.translate(body, GLYPH_FROM, GLYPH_TO)
         less = F.when((closer == "") & (F.length(digits) > 1), F.substring(digits, F.lit(1), F.length(digits) - 1)).try_cast("int")
         return F.struct(m["start"].alias("at"), m["end"].alias("from"), digits.try_cast("int").alias("one"), less.alias("two"), (digits == body).alias("literal"))
@@ -224,7 +233,12 @@ def ayat_marks(text: Column) -> Column:
         marks = lambda r: F.transform(F.slice(known, at(r) + 1, size(r)), lambda m, k: F.struct(m["at"].alias("at"), m["from"].alias("from"), (k + 1).cast("string").alias("label")))
         return F.flatten(F.transform(F.array_except(F.transform(good, code), inside), marks))
 
-    return let(F.transform(find_all(text, AYAT), reading), of)
+    # most articles have one paragraph, whose number needs no repair: no lambda for these
+    at = F.length(F.split(text, AYAT, 2)[0])
+    marks = F.regexp_extract_all(text, F.lit(AYAT), F.lit(0))
+    one = (F.size(marks) == 1) & (F.regexp_extract(text, AYAT, 1) == "1")
+    single = F.array(F.struct(at.alias("at"), (at + F.length(marks[0])).alias("from"), F.lit("1").alias("label")))
+    return _where_any(text, AYAT, F.when(one, single).otherwise(let(F.transform(find_all(text, AYAT, "body", "closer"), reading), of)))
 
 
 _UNIT = ("level", "label", "citation", "parent", "parent_start", "start", "end", "text", "leaf", "scan")
@@ -237,16 +251,18 @@ def _descend(rows: DataFrame, level: str, form: str, marks) -> DataFrame:
     hands the mark on to the items.
     """
     rows = rows.withColumn("found", F.when(F.col("scan"), marks(F.col("text"))).otherwise(F.array().cast(_MARK)))
-    none = F.size("found") == 0
+    none, (before, after) = F.size("found") == 0, form.split("%s")
     own = F.struct(*((F.col(c) & none).alias(c) if c in ("leaf", "scan") else F.col(c) for c in _UNIT))
 
-    def item(m: Column, i: Column) -> Column:
-        end = F.coalesce(F.get("found", i + 1)["at"], F.length("text"))
-        fields = (F.lit(level), m["label"], F.concat("citation", F.format_string(form, m["label"])), F.col("citation"), F.col("start"), F.col("start") + m["from"], F.col("start") + end, cut(F.col("text"), m["from"], end), F.lit(True), F.lit(True))
+    def item(m: Column, end: Column) -> Column:
+        fields = (F.lit(level), m["label"], F.concat("citation", F.lit(before), m["label"], F.lit(after)), F.col("citation"), F.col("start"), F.col("start") + m["from"], F.col("start") + end, cut(F.col("text"), m["from"], end), F.lit(True), F.lit(True))
         return F.struct(*(v.alias(k) for k, v in zip(_UNIT, fields, strict=True)))
 
     key = ("doc_id", "section", "pasal", "occurrence")
-    return rows_of(rows, F.concat(F.array(own), F.transform("found", item)), *key).select(*key, "m.*")
+    first = item(F.get("found", F.lit(0)), F.length("text"))
+    several = F.concat(F.array(own), F.transform("found", lambda m, i: item(m, F.coalesce(F.get("found", i + 1)["at"], F.length("text")))))
+    every = F.when(none, F.array(own)).when(F.size("found") == 1, F.array(own, first)).otherwise(several)
+    return rows_of(rows, every, *key).select(*key, "m.*")
 
 
 def units(docs: DataFrame) -> DataFrame:
