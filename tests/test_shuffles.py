@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import rows_of
 from lexloom.functions.matchers import find_all
-from lexloom.operators import segment
+from lexloom.operators import layout, segment
 from lexloom.plans import catalog, corpus
 
 DATA = "/root/testdata/sf0.001"
@@ -46,3 +46,10 @@ def test_a_single_mark_is_read_as_before(spark):
     texts = ["(1) x", "  (1)  x", "y (1) z\n(1) w", "(l) x", "(2) x", "(1 x", "(1] x", "x", ""]
     got = [[tuple(m) for m in r[0]] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(segment.ayat_marks(F.col("t"))).collect()]
     assert got == [[(0, 4, "1")], [(0, 7, "1")], [(8, 12, "1")], [], [], [(0, 3, "1")], [(0, 4, "1")], [], []]
+
+
+def test_lines_are_found_once(spark):
+    pages = spark.createDataFrame([("d", k, f"Kop\nisi {k}\nKop") for k in range(4)], "doc_id string, page int, text string")
+    got = layout.strip_furniture(pages)
+    assert "posexplode" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.page, r.text, r.removed) for r in got.collect()} == {(k, f"   \nisi {k}\n   ", 2) for k in range(4)}
