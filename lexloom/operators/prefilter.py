@@ -27,9 +27,15 @@ def modal_wajib(text: Column) -> Column:
     return F.regexp_count(text, F.lit(MODAL_WAJIB))
 
 
+#: Any marker; none can begin inside another, so that one pass finds every one that is there.
+ANY_MARKER = f"(?iuU){'|'.join(BOUND_MARKERS.values())}"
+
+
 def bound_markers(text: Column) -> Column:
     """Sorted names of the bound markers in a canonical text."""
-    return F.array_compact(F.array(*(F.when(text.rlike(f"(?iuU){p}"), k) for k, p in sorted(BOUND_MARKERS.items()))))
+    # what case folding takes for a letter of a marker but lower() leaves
+    said = F.lower(F.translate(F.array_join(F.regexp_extract_all(text, F.lit(ANY_MARKER), F.lit(0)), "\x01"), "ſKıİ", "skii"))
+    return F.when(text.rlike(ANY_MARKER), F.sort_array(F.array_distinct(F.split(F.regexp_replace(said, r"(?U)\s+", "_"), "\x01")))).otherwise(F.array().cast("array<string>"))
 
 
 def bucket(raw: Column) -> Column:
