@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import rows_of
-from ..functions.numerals import scan
+from ..functions.numerals import scan, scanned
 from ..plans.storage import kept
 
 # How far a status is trusted.
@@ -15,7 +14,7 @@ TRUST = {"disagree": 0, "unparsed": 0, "single_channel": 1, "recovered": 2, "agr
 
 def readings(pages: DataFrame, key: list[str]) -> DataFrame:
     """One row for each figure of each page's text."""
-    return rows_of(pages, scan(F.col("text")), *key).select(*key, F.col("i").alias("ord"), "m.*")
+    return scanned(pages, *key).select(*key, F.col("i").alias("ord"), "m.*")
 
 
 def candidate_pages(pages: DataFrame, limit: int | None = None) -> DataFrame:
