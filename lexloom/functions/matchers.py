@@ -6,10 +6,10 @@ between the first sentinels then give text and offsets of each match.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import let
+from . import let, rows_of
 
 _OPEN, _CLOSE = "\x01", "\x02"
 #: Element of a list of matches; offsets are half-open, in code points.
@@ -83,6 +83,20 @@ def find_with_rest(text: Column, pattern: str, *groups: str) -> Column:
     return _matches(text, pattern, True, groups)
 
 
+def rows_of_all(df: DataFrame, text: Column, pattern: str, *columns: str) -> DataFrame:
+    """``rows_of`` the matches of ``find_all``, by one run of the pattern.
+
+    In columns, which Spark compiles: a text with one match, or none, gets to no lambda.
+    """
+    clean = df.select(*columns, _without_sentinels(text).alias("__text"))
+    split = clean.select(*columns, "__text", F.split(F.regexp_replace("__text", pattern, f"{_OPEN}$0{_CLOSE}"), _OPEN).alias("__parts"))
+    parts = F.col("__parts")
+    start, only = F.length(parts[0]), F.substring_index(F.get(parts, F.lit(1)), _CLOSE, 1)
+    one = F.array(F.struct(start.alias("start"), (start + F.length(only)).alias("end"), only.alias("text")))
+    none = F.array().cast(f"array<{MATCH}>")
+    return rows_of(split, F.when(F.size(parts) == 2, one).when(F.size(parts) > 2, find_all(F.col("__text"), pattern)).otherwise(none), *columns)
+
+
 def first_start(text: Column, pattern: str) -> Column:
     """Offset of the first match, null without one."""
     clean = _without_sentinels(text)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import let, rows_of
-from ..functions.matchers import find_all, find_with_rest, first_start
+from ..functions.matchers import find_with_rest, first_start, rows_of_all
 from ..functions.numerals import GLYPH_FROM, GLYPH_TO
 from ..functions.text import strip
 from ..plans.storage import kept
@@ -92,6 +92,48 @@ def read_targets(span: Column, current: Column) -> Column:
     return let(tokens(span), lambda raw: let(F.struct(raw.alias("raw"), F.transform(raw, snap_keyword).alias("word")), of))
 
 
+def _spellings() -> dict[str, str]:
+    """For each keyword a pattern of the words that ``snap_keyword`` reads as it."""
+
+    def near(word: str) -> str:
+        swapped = [word[:i] + "[a-z]" + word[i + 1 :] for i in range(len(word))]
+        longer = [word[:i] + "[a-z]" + word[i:] for i in range(len(word) + 1)]
+        shorter = [word[:i] + word[i + 1 :] for i in range(len(word))]
+        return "|".join(dict.fromkeys(swapped + longer + shorter))
+
+    taken, out = ["|".join(KEYWORDS)], {}
+    for word in KEYWORDS:
+        out[word] = rf"(?:{word}|(?!(?:{'|'.join(taken)})\|)(?:{near(word)}))\|"
+        taken.append(near(word))
+    return out
+
+
+_WORD = _spellings()
+_JOINTS = "(?:" + "|".join(_WORD[w] for w in ("dan", "atau", "pada", "dalam")) + ")"
+#: Tokens, each with a bar behind it, that name one place at most, with its parts.
+ONE_PLACE = rf"^{_JOINTS}*(?:{_WORD['pasal']}([0-9]+)\|)?{_JOINTS}*(?:{_WORD['ayat']}\(([0-9]+)\)?\|(?:{_WORD['huruf']}([a-z])\|)?)?\z"
+#: Tokens of which the first that joins none leads to no place either.
+NO_PLACE = rf"^{_JOINTS}*+(?!{'|'.join(_WORD[w] for w in ('pasal', 'ayat', 'huruf'))})[^|]"
+
+
+def with_targets(refs: DataFrame) -> DataFrame:
+    """``refs`` (pasal, verb, span, ...) with ``read_targets`` of the spans.
+
+    The fold is interpreted; a citation of one place, or of none, is read by two
+    patterns in columns of their own, which Spark compiles.
+    """
+    columns = refs.columns
+    said = F.lower(F.array_join(F.regexp_extract_all("span", F.lit(f"({TOKEN})"), F.lit(1)), "|"))
+    each = refs.select(*columns, F.when(said == "", said).otherwise(F.concat(said, F.lit("|"))).alias("__said"))
+    each = each.select(*columns, "__said", F.split(F.regexp_replace("__said", ONE_PLACE, "$1\x01$2\x01$3"), "\x01").alias("__part"))
+    pasal, ayat, huruf = (F.nullif(F.get("__part", F.lit(k)), F.lit("")) for k in range(3))
+    nothing = F.array().cast(_TARGET)
+    place = F.array(F.struct(F.coalesce(pasal, F.col("pasal")).alias("pasal"), ayat.alias("ayat"), huruf.alias("huruf"))).cast(_TARGET)
+    one = F.when(pasal.isNull() & ayat.isNull(), nothing).otherwise(place)
+    read = F.when(F.size("__part") == 3, one).when(F.col("__said").rlike(NO_PLACE), nothing).otherwise(read_targets(F.col("span"), F.col("pasal")))
+    return each.select(*columns, F.when(F.col("verb") == "diubah", nothing).otherwise(read).alias("targets"))
+
+
 def external_note(span: Column) -> Column:
     """What names something outside the document, by the first pattern that occurs."""
     found = [F.nullif(F.regexp_extract(span, f"(?ius)({p}.*)", 1), F.lit("")) for p in EXTERNAL]
@@ -101,12 +143,11 @@ def external_note(span: Column) -> Column:
 def references(pasals: DataFrame) -> DataFrame:
     """(doc_id, pasal, ref_no, phrase, start, end, verb, span, targets): every
     reference phrase of each article.  pasals: doc_id, pasal, text."""
-    each = rows_of(pasals, find_all(F.col("text"), ANCHOR), "doc_id", "pasal").select("doc_id", "pasal", F.col("i").alias("ref_no"), "m.*")
+    each = rows_of_all(pasals, F.col("text"), ANCHOR, "doc_id", "pasal").select("doc_id", "pasal", F.col("i").alias("ref_no"), "m.*")
     parts = F.split(F.regexp_replace("text", ANCHOR_PARTS, "$1\x01$2"), "\x01")
     read = each.select("doc_id", "pasal", "ref_no", F.col("text").alias("phrase"), "start", "end", parts.alias("parts"))
     read = read.select("doc_id", "pasal", "ref_no", "phrase", "start", "end", F.lower(F.get("parts", F.lit(0))).alias("verb"), F.get("parts", F.lit(1)).alias("span"))
-    nothing = F.array().cast(_TARGET)
-    return read.withColumn("targets", F.when(F.col("verb") == "diubah", nothing).otherwise(read_targets(F.col("span"), F.col("pasal"))))
+    return with_targets(read)
 
 
 def _labelled(text: Column, pattern: str) -> Column:

@@ -298,13 +298,13 @@ def page_spans(spark: SparkSession, d: str) -> DataFrame:
     FROM r GROUP BY 1, 2, 3, 4, 5""")
 def crossref_targets(spark: SparkSession, d: str) -> DataFrame:
     """Targets of injected citations: this article, a paragraph of the next, or all of it."""
-    truth = corpus.truth(spark, d)
+    truth = corpus.named(spark, d)
     phrase = (
         F.when(F.col("ayat") % 3 == 1, F.concat(F.lit("sebagaimana dimaksud pada ayat ("), "ayat", F.lit(").")))
         .when(F.col("ayat") % 3 == 2, F.concat(F.lit("sebagaimana diatur dalam Pasal "), F.col("pasal") + 1, F.lit(" ayal ("), "ayat", F.lit(").")))
         .otherwise(F.concat(F.lit("sebagaimana dimaksud dalam Pasal "), F.col("pasal") + 1, F.lit(".")))
     )
-    rows = truth.select(F.concat(F.lit("PERDA_"), "sup").alias("doc_id"), F.col("pasal").cast("string").alias("pasal"), F.concat(F.lit("Hal "), phrase).alias("text"))
+    rows = truth.select("doc_id", F.col("pasal").cast("string").alias("pasal"), F.concat(F.lit("Hal "), phrase).alias("text"))
     refs = rows_of(crossref.references(rows), F.col("targets"), "doc_id", "pasal").withColumnRenamed("m", "t")
     status = F.when(F.col("t.pasal") == F.col("pasal"), "same_pasal").otherwise("cross_pasal")
     return refs.select("doc_id", "pasal", status.alias("status"), F.col("t.pasal").alias("target"), F.col("t.ayat").alias("ayat")).groupBy("doc_id", "pasal", "status", "target", "ayat").agg(F.count("*").alias("n"))
