@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import let, rows_of
 from ..functions.matchers import find_with_rest, first_start, rows_of_all
 from ..functions.numerals import GLYPH_FROM, GLYPH_TO
 from ..functions.text import strip
-from ..plans.storage import kept
+from ..plans.storage import kept, portioned
 
 # Keywords and patterns of the source language, in order.
 KEYWORDS = ("pasal", "ayat", "huruf", "angka", "dan", "atau", "pada", "dalam")
@@ -211,16 +211,19 @@ def deepest(targets: DataFrame, units: DataFrame) -> DataFrame:
     there, and whether it is the one asked for.
 
     Keys alone: each target is looked up as an article, a paragraph and a letter
-    in one equi-join with the units' keys.
+    among the units' keys.  Both sides are shuffled once, by article, in portions
+    that grow in number with the input; a window says which keys a unit has.
     """
-    asked = targets.select(*_KEY).distinct()
     no_ayat, no_huruf = F.col("ayat").isNull(), F.col("huruf").isNull()
     level = lambda n, ayat, huruf: F.struct(F.lit(n).alias("level"), ayat.alias("at_ayat"), huruf.alias("at_huruf"))
     none = F.lit(None).cast("string")
     ways = F.array(level(0, none, none), F.when(~no_ayat, level(1, F.col("ayat"), none)), F.when(~no_huruf, level(2, F.col("ayat"), F.col("huruf"))))
-    tried = asked.select(*_KEY, F.inline(F.array_compact(ways)))
-    there = units.select(*(F.col(k).alias(f"u_{k}") for k in _KEY)).distinct()
-    hits = tried.join(there, _same(("doc_id", "u_doc_id"), ("pasal", "u_pasal"), ("at_ayat", "u_ayat"), ("at_huruf", "u_huruf")), "left_semi")
+    side = lambda df, unit: df.select(*_KEY, F.lit(unit).alias("unit"))
+    both = portioned(side(targets, False).unionByName(side(units, True)).where("doc_id is not null and pasal is not null"), "doc_id", "pasal")
+    own = F.array(level(-1, F.col("ayat"), F.col("huruf")))
+    tried = both.select(*_KEY, "unit", F.inline(F.when(F.col("unit"), own).otherwise(F.array_compact(ways))))
+    there = F.bool_or("unit").over(Window.partitionBy("doc_id", "pasal", "at_ayat", "at_huruf"))
+    hits = tried.withColumn("there", there).where("there and not unit")
     known = hits.groupBy(*_KEY).agg(*(F.bool_or(F.col("level") == n).alias(k) for n, k in enumerate(("p", "a", "h")))).where("p")
     below = no_ayat | F.col("a")
     found_huruf = F.when(F.col("h") & below, F.col("huruf"))

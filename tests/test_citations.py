@@ -1,6 +1,7 @@
 """Citations that are read without the fold agree with it."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from lexloom.functions import rows_of
 from lexloom.functions.matchers import find_all, rows_of_all
 from lexloom.operators import crossref
+from lexloom.plans import storage
 
 WORDS = ("pasal", "ayat", "huruf", "dan", "atau", "pada", "dalam", "angka", "3", "12", "(1)", "(2", "( 1 )", "(1 )", "(l)", "(a)", "a", "b", "ayal", "pasl", "hurut", "dn", "pda", "atat", "dam", "di", "atas", "Undang-Undang", "K", ",", "dalan", "apasal")
 
@@ -37,3 +39,16 @@ def test_rows_of_all_matches(rows, text):
     df = rows([(1, text), (2, "b")], "k int, text string")
     want = rows_of(df, find_all(F.col("text"), "(?<=a?)b"), "k").orderBy("k", "i").collect()
     assert rows_of_all(df, F.col("text"), "(?<=a?)b", "k").orderBy("k", "i").collect() == want
+
+
+def test_lookups_move_keys_once_and_in_portions(spark, rows, monkeypatch, tmp_path):
+    """One shuffle, by article, whose portions grow in number with the input."""
+    keys = rows([("d", "1", "1", None), ("d", "1", None, None), ("d", "2", None, None)], "doc_id string, pasal string, ayat string, huruf string")
+    keys.write.parquet(f"{tmp_path}/keys")
+    read = spark.read.parquet(f"{tmp_path}/keys")
+    targets = read.selectExpr("doc_id", "pasal", "coalesce(ayat, '1') AS ayat", "huruf")
+    plan = crossref.deepest(targets, read)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert len(re.findall(r"\bExchange ", plan)) == 1 and "Join" not in plan
+    size = sum(f.stat().st_size for f in (tmp_path / "keys").glob("*.parquet"))
+    few, many = (storage.portioned(read, "doc_id", size=max(1, size // n)).rdd.getNumPartitions() for n in (1, 50))
+    assert few <= int(spark.conf.get("spark.sql.shuffle.partitions")) < 50 <= many
