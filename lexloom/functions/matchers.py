@@ -42,9 +42,14 @@ def running_sums(sizes: Column) -> Column:
     return let(sizes, of)
 
 
+def sentinels(text: Column) -> Column:
+    """Whether a text holds what matches are wrapped in."""
+    return text.contains(_OPEN) | text.contains(_CLOSE)
+
+
 def _without_sentinels(text: Column) -> Column:
     # replace compares at every byte and translate goes letter by letter; hardly any text has one
-    return F.when(text.contains(_OPEN) | text.contains(_CLOSE), F.replace(F.replace(text, F.lit(_OPEN), F.lit("\ufffd")), F.lit(_CLOSE), F.lit("\ufffd"))).otherwise(text)
+    return F.when(sentinels(text), F.replace(F.replace(text, F.lit(_OPEN), F.lit("\ufffd")), F.lit(_CLOSE), F.lit("\ufffd"))).otherwise(text)
 
 
 def _matches(text: Column, pattern: str, rest: bool, groups: tuple[str, ...] = ()) -> Column:

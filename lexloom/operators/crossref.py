@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import let, rows_of
-from ..functions.matchers import find_with_rest, first_start, rows_of_all
+from ..functions.matchers import cut, find_with_rest, first_start, rows_of_all, sentinels
 from ..functions.numerals import GLYPH_FROM, GLYPH_TO
 from ..functions.text import strip
 from ..plans.storage import kept, portioned
@@ -29,6 +29,8 @@ ARTICLE = r"(?dm)^[ \t]*Pasal[ \t]+([0-9]+[A-Za-z]?)[ \t]*$"
 BODY_END = r"(?dm)^[ \t]*PENJELASAN[ \t]*$"
 PARAGRAPH = r"(?dm)^[ \t]*\(([0-9]+)\)[ \t]+"
 LETTER = r"(?dm)^[ \t]*([a-z])\.[ \t]+"
+#: What every letter holds, wherever the text around it is cut.
+SOME_LETTER = r"[a-z]\.[ \t]"
 _TARGET = "array<struct<pasal:string,ayat:string,huruf:string>>"
 
 
@@ -178,7 +180,14 @@ def strict_index(docs: DataFrame) -> DataFrame:
     body = docs.select("doc_id", F.substring("text", F.lit(1), F.coalesce(stop, F.length("text"))).alias("text"))
     marks = F.transform(find_with_rest(F.col("text"), ARTICLE, "pasal"), lambda m: F.struct(m["pasal"].alias("pasal"), m["end"].alias("start"), m["rest"].alias("text")))
     each = rows_of(body, marks, "doc_id").select("doc_id", "m.*").groupBy("doc_id", "pasal").agg(F.max_by(F.struct("start", "text"), "start").alias("p"))
-    whole = each.select("doc_id", "pasal", "p.start", "p.text", _labelled(F.col("p.text"), PARAGRAPH).alias("ayat"))
+    # lambdas are interpreted: an article with one paragraph or none, and nothing like a letter, gets to none
+    marks = F.regexp_extract_all("text", F.lit(PARAGRAPH), F.lit(0))
+    whole = each.select("doc_id", "pasal", "p.start", "p.text").withColumn("marks", marks)
+    plain = (F.size("marks") <= 1) & ~F.col("text").rlike(SOME_LETTER) & ~sentinels(F.col("text"))
+    whole = whole.withColumn("plain", plain).withColumn("ayat", F.when(~F.col("plain"), _labelled(F.col("text"), PARAGRAPH)))
+    mark = F.get("marks", F.lit(0))
+    at = F.when(F.col("text").startswith(F.concat(F.lit("\n"), mark)), 1).otherwise(F.length(F.split("text", PARAGRAPH, 2)[0]))
+    whole = whole.withColumn("from", F.when(F.col("plain") & mark.isNotNull(), at + F.length(mark)))
     none = F.lit(None).cast("string")
 
     def unit(ayat: Column, huruf: Column, start: Column, end: Column, text: Column) -> Column:
@@ -191,7 +200,9 @@ def strict_index(docs: DataFrame) -> DataFrame:
     own = F.array(unit(none, none, base, base + F.length("text"), F.col("text")))
     below = F.flatten(F.transform("ayat", lambda a: F.concat(F.array(unit(a["label"], none, base + a["from"], base + a["to"], a["text"])), letters(a["label"], base + a["from"], a["text"]))))
     direct = F.when(F.size("ayat") == 0, letters(none, base, F.col("text"))).otherwise(F.array().cast("array<struct<ayat:string,huruf:string,start:int,end:int,text:string>>"))
-    return rows_of(whole, F.concat(own, below, direct), "doc_id", "pasal").select("doc_id", "pasal", "m.*")
+    only = unit(F.regexp_extract(mark, PARAGRAPH, 1), none, base + F.col("from"), base + F.length("text"), cut(F.col("text"), F.col("from"), F.length("text")))
+    every = F.when(~F.col("plain"), F.concat(own, below, direct)).when(F.col("from").isNull(), own).otherwise(F.concat(own, F.array(only)))
+    return rows_of(whole, every, "doc_id", "pasal").select("doc_id", "pasal", "m.*")
 
 
 _KEY = ("doc_id", "pasal", "ayat", "huruf")

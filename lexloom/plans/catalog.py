@@ -329,7 +329,7 @@ def _cited(spark: SparkSession, d: str) -> DataFrame:
         .when(k == 6, F.concat(F.lit("Hal sebagaimana dimaksud dalam Pasal "), nxt, F.lit(" ayat (1) huruf b.")))
         .otherwise(F.concat(F.lit("Hal sebagaimana dimaksud pada ayat ("), "ayat", F.lit(").")))
     )
-    rows = corpus.truth(spark, d).select(F.concat(F.lit("PERDA_"), "sup").alias("doc_id"), "pasal", "ayat", F.concat(F.lit("("), "ayat", F.lit(") "), line, F.lit("\n")).alias("line"))
+    rows = corpus.named(spark, d).select("doc_id", "pasal", "ayat", F.concat(F.lit("("), "ayat", F.lit(") "), line, F.lit("\n")).alias("line"))
     arts = rows.groupBy("doc_id", "pasal").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ayat", "line"))), lambda x: x["line"]), "").alias("t"))
     whole = arts.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pasal", F.concat(F.lit("Pasal "), "pasal", F.lit("\n"), "t").alias("t")))).alias("l"))
     return whole.select("doc_id", F.concat(F.lit("Pasal 1\n(1) Lama.\n(9) Lama.\n"), F.array_join(F.transform("l", lambda x: x["t"]), ""), F.lit("PENJELASAN\nPasal 1\n(1) Cukup jelas.\n")).alias("text"))

@@ -52,3 +52,29 @@ def test_lookups_move_keys_once_and_in_portions(spark, rows, monkeypatch, tmp_pa
     size = sum(f.stat().st_size for f in (tmp_path / "keys").glob("*.parquet"))
     few, many = (storage.portioned(read, "doc_id", size=max(1, size // n)).rdd.getNumPartitions() for n in (1, 50))
     assert few <= int(spark.conf.get("spark.sql.shuffle.partitions")) < 50 <= many
+
+
+def _index(rows, text):
+    got = crossref.strict_index(rows([("d", text)], "doc_id string, text string")).collect()
+    assert all(text[r.start : r.end] == r.text for r in got)
+    return {(r.pasal, r.ayat, r.huruf): r.text for r in got}
+
+
+def test_articles_of_one_paragraph_need_no_lambda(rows, monkeypatch):
+    monkeypatch.setattr(crossref, "_labelled", lambda text, _: F.when(F.raise_error(F.lit("interpreted")).isNull(), F.array(F.struct(*(F.lit(x).alias(n) for x, n in (("1", "label"), (1, "from"), (1, "to"), ("x", "text")))))))
+    got = _index(rows, "Pasal 1\n(1) Satu €\U0001f600.\nPasal 2\nTanpa (1) ayat.\nPasal 3\nKata (1) dan\n  (1)  Isi.\n")
+    assert got == {("1", None, None): "\n(1) Satu €\U0001f600.\n", ("1", "1", None): "Satu €\U0001f600.\n", ("2", None, None): "\nTanpa (1) ayat.\n", ("3", None, None): "\nKata (1) dan\n  (1)  Isi.\n", ("3", "1", None): "Isi.\n"}
+
+
+def test_letters_behind_a_paragraph_are_found(rows):
+    """A letter right after its paragraph's number stands at no line's start."""
+    got = _index(rows, "Pasal 1\n(1) a. x;\nPasal 2\n(1) Dua:\na. p;\nb. q.\nPasal 3\na. y.\nPasal 4\n(1) A\n(2) B\n")
+    assert {k[1:]: v for k, v in got.items() if k[0] == "1"} == {(None, None): "\n(1) a. x;\n", ("1", None): "a. x;\n", ("1", "a"): "x;\n"}
+    assert {k for k in got if k[0] != "1"} == {("2", None, None), ("2", "1", None), ("2", "1", "a"), ("2", "1", "b"), ("3", None, None), ("3", None, "a"), ("4", None, None), ("4", "1", None), ("4", "2", None)}
+
+
+def test_the_strict_index_moves_lines_once(spark):
+    from lexloom.plans import catalog
+
+    plan = catalog.QUERIES["crossref_index"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert len(re.findall(r"\bExchange ", plan)) == 1
