@@ -284,7 +284,14 @@ def resolve_documents(docs: DataFrame) -> DataFrame:
 
 
 def gold_resolution(norms: DataFrame, units: DataFrame) -> DataFrame:
-    """(norm, hits, verdict): whether each cited unit is there just once."""
-    n = units.groupBy("doc_id", "citation").agg(F.count("*").alias("hits"))
-    out = norms.join(n, ["doc_id", "citation"], "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
+    """(norm, hits, verdict): whether each cited unit is there just once.
+
+    One shuffle by citation, in portions that grow in number with the input.
+    """
+    none = F.lit(None)
+    there = units.select("doc_id", "citation", none.cast(norms.schema["norm"].dataType).alias("norm"), F.lit(True).alias("unit"))
+    both = portioned(norms.select("doc_id", "citation", "norm", F.lit(False).alias("unit")).unionByName(there), "doc_id", "citation")
+    n = F.count_if("unit").over(Window.partitionBy("doc_id", "citation"))
+    cites = F.col("doc_id").isNotNull() & F.col("citation").isNotNull()
+    out = both.withColumn("hits", F.when(cites, n).otherwise(F.lit(0))).where(~F.col("unit"))
     return out.select("norm", "hits", F.when(F.col("hits") == 0, "MISSING").when(F.col("hits") == 1, "ok").otherwise("AMBIG").alias("verdict"))

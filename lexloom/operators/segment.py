@@ -187,11 +187,12 @@ def angka_marks(text: Column) -> Column:
     return _where_any(text, ANGKA, _runs(_plain_marks(text, ANGKA), "1", lambda x: (x.try_cast("bigint") + 1).cast("string")))
 
 
-def ayat_marks(text: Column) -> Column:
+def ayat_marks(text: Column, found: Column | None = None) -> Column:
     """Paragraphs (1), (2), (3) ... of a text, damaged numbers included.
 
     A number whose closing bracket is lost may end in that bracket.  A run of
-    one counts only if it needed no repair.
+    one counts only if it needed no repair.  found: all that ``AYAT`` matches, if
+    a column has it.
     """
 
     def reading(m: Column) -> Column:
@@ -234,11 +235,14 @@ def ayat_marks(text: Column) -> Column:
         return F.flatten(F.transform(F.array_except(F.transform(good, code), inside), marks))
 
     # most articles have one paragraph, whose number needs no repair: no lambda for these
-    at = F.length(F.split(text, AYAT, 2)[0])
-    marks = F.regexp_extract_all(text, F.lit(AYAT), F.lit(0))
-    one = (F.size(marks) == 1) & (F.regexp_extract(text, AYAT, 1) == "1")
-    single = F.array(F.struct(at.alias("at"), (at + F.length(marks[0])).alias("from"), F.lit("1").alias("label")))
-    return _where_any(text, AYAT, F.when(one, single).otherwise(let(F.transform(find_all(text, AYAT, "body", "closer"), reading), of)))
+    all_marks = F.regexp_extract_all(text, F.lit(AYAT), F.lit(0)) if found is None else found
+    mark = F.get(all_marks, F.lit(0))
+    one = (F.size(all_marks) == 1) & (F.regexp_extract(mark, AYAT, 1) == "1")
+    # it mostly is the first line, which saves a split by a pattern that is compiled for every text
+    at = F.when(text.startswith(F.concat(F.lit("\n"), mark)), 1).otherwise(F.length(F.split(text, AYAT, 2)[0]))
+    single = F.array(F.struct(at.alias("at"), (at + F.length(mark)).alias("from"), F.lit("1").alias("label")))
+    several = let(F.transform(find_all(text, AYAT, "body", "closer"), reading), of)
+    return F.when(F.size(all_marks) == 0, F.array().cast(_MARK)).when(one, single).when(text.isNotNull(), several)
 
 
 _UNIT = ("level", "label", "citation", "parent", "parent_start", "start", "end", "text", "leaf", "scan")
@@ -280,7 +284,8 @@ def units_of(articles: DataFrame) -> DataFrame:
     """``units`` of articles that are found already."""
     null = F.lit(None)
     top = articles.select("doc_id", "section", "pasal", "occurrence", F.lit("pasal").alias("level"), F.col("pasal").alias("label"), "citation", null.cast("string").alias("parent"), null.cast("int").alias("parent_start"), F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "text", F.lit(True).alias("leaf"), F.lit(True).alias("scan"))
-    out = _descend(top, "ayat", " ayat (%s)", ayat_marks)
+    top = top.withColumn("ayat_found", F.regexp_extract_all("text", F.lit(AYAT), F.lit(0)))
+    out = _descend(top, "ayat", " ayat (%s)", lambda text: ayat_marks(text, F.col("ayat_found")))
     out = _descend(out, "huruf", " huruf %s", huruf_marks)
     return _descend(out, "angka", " angka %s", angka_marks).drop("scan")
 

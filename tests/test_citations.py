@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import rows_of
 from lexloom.functions.matchers import find_all, rows_of_all
-from lexloom.operators import crossref
+from lexloom.operators import crossref, segment
 from lexloom.plans import storage
 
 WORDS = ("pasal", "ayat", "huruf", "dan", "atau", "pada", "dalam", "angka", "3", "12", "(1)", "(2", "( 1 )", "(1 )", "(l)", "(a)", "a", "b", "ayal", "pasl", "hurut", "dn", "pda", "atat", "dam", "di", "atas", "Undang-Undang", "K", ",", "dalan", "apasal")
@@ -78,3 +78,19 @@ def test_the_strict_index_moves_lines_once(spark):
 
     plan = catalog.QUERIES["crossref_index"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert len(re.findall(r"\bExchange ", plan)) == 1
+
+
+def test_gold_is_counted_in_one_shuffle(rows):
+    units = rows([("d", "Pasal 1"), ("d", "Pasal 2"), ("d", "Pasal 2"), ("e", "Pasal 1"), ("d", None), (None, "Pasal 1")], "doc_id string, citation string")
+    norms = rows([("a", "d", "Pasal 1"), ("a", "d", "Pasal 1"), ("b", "d", "Pasal 2"), ("c", "e", "Pasal 2"), ("n", "d", None), ("m", None, "Pasal 1"), (None, "d", "Pasal 1")], "norm string, doc_id string, citation string")
+    got = crossref.gold_resolution(norms, units)
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [("a", 1, "ok"), ("a", 1, "ok"), ("b", 2, "AMBIG"), ("c", 0, "MISSING"), ("n", 0, "MISSING"), ("m", 0, "MISSING"), (None, 1, "ok")]))
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert len(re.findall(r"\bExchange ", plan)) == 1 and "Join" not in plan
+
+
+def test_one_mark_at_the_first_line_is_not_split_off(rows):
+    """Splitting compiles its pattern for every text."""
+    text = ["\n(1) x", "\n (1) x", "y (1) z\n(1) w", "\n\n(1) x"]
+    got = rows([(t,) for t in text], "t string").select("t", segment.ayat_marks(F.col("t")).alias("m")).collect()
+    assert [[r.t[m["at"] : m["from"]] for m in r.m] for r in got] == [["(1) "], [" (1) "], ["(1) "], ["(1) "]]
