@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.operators import paged, segment
+from lexloom.plans import catalog, derived  # noqa: F401  # derived registers more queries
 
 GLYPHS = str.maketrans("lIOoSB", "110058")
 
@@ -139,3 +140,15 @@ def test_a_long_document_is_dealt_over_tasks(spark):
     assert found.groupBy("level").count().sort("level").collect() == [("ayat", 40_000), ("pasal", 20_000)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "join_pages" not in plan and "NestedLoop" not in plan
+
+
+def test_pages_are_read_once(spark):
+    """Markers, pieces and lengths of pages come from one kept table, not from the corpus again."""
+    assert "lineitem" not in catalog.QUERIES["paged_citations"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_states_are_not_worked_out_for_each_element(rows):
+    """A list that only a lambda reads is put into it, which makes the work quadratic."""
+    headers = "array<struct<start:int,end:int,label:string,number:int,repaired:int>>"
+    plan = paged.numbered(rows([], f"doc_id string, page int, headers {headers}"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan and "before, aggregate(" not in plan
