@@ -2,12 +2,14 @@
 
 import contextlib
 import io
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from lexloom.functions import numerals
-from lexloom.operators import prefilter, segment, slots
+from lexloom.operators import layout, prefilter, segment, slots
 from lexloom.plans import catalog, derived, storage  # noqa: F401  # derived registers more queries
 
 SF = "/root/testdata/sf0.001"
@@ -76,3 +78,28 @@ def test_kept_tables_are_columns(spark, rows):
 def test_pages_to_read_again_are_chosen_once(spark):
     """The choice parses every figure; both readings take its rows from where they are kept."""
     assert "THEN ocr" not in plan(catalog.QUERIES["reconciled_pages"](spark, SF))
+
+
+def test_pages_are_read_once(spark):
+    """Stripped pages carry their methods; the corpus isn't put together again for them."""
+    assert "lineitem" not in catalog.QUERIES["page_segments"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_zones_equal_a_walk(rows):
+    """Pages with and without blank lines, with every kind of line break."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["a", "b c", " ", "\t", "\u00a0", "", "x"]) + rng.choice(["\n", "\n", "\r\n", "\r", "\x0b", "\x1c", "\x85"]) for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    texts += ["", "\n", " ", "a", "a\n", "a\n\n", "\na", "a\n \nb", *("\n".join("abcdefghij"[:n]) for n in range(1, 11))]
+
+    def walk(text):
+        each = re.split(layout.LINE_BREAK, re.sub(rf"(?:{layout.LINE_BREAK})\Z", "", text))
+        solid = [i for i, x in enumerate(each) if x.strip()]
+        zone = min(layout.ZONE_LINES, max(1, len(solid) // 3))
+        edge = {i: k < zone or k >= len(solid) - zone for k, i in enumerate(solid)}
+        return [(i, x, edge.get(i)) for i, x in enumerate(each)]
+
+    got = layout.lines(rows([("d", k, t) for k, t in enumerate([*texts, None])], "doc_id string, page int, text string"))
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.page, []).append((r.line_no, r.line, r.edge))
+    assert {k: sorted(v, key=lambda x: x[0]) for k, v in found.items()} == {k: walk(t) for k, t in enumerate(texts)}
