@@ -53,3 +53,9 @@ def test_lines_are_found_once(spark):
     got = layout.strip_furniture(pages)
     assert "posexplode" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert {(r.page, r.text, r.removed) for r in got.collect()} == {(k, f"   \nisi {k}\n   ", 2) for k in range(4)}
+
+
+def test_articles_with_slots_are_put_together_once(spark):
+    """Slots and units are both found in articles that are kept."""
+    arts = catalog._slots(spark, DATA)[2]
+    assert "lineitem" not in arts._jdf.queryExecution().optimizedPlan().toString()
